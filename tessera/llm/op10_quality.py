@@ -194,3 +194,50 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_quality": op10_quality}
+
+
+def _sql() -> str:
+    """The same thresholds and verdicts in DuckDB's SQL, from the constants above."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    value = {"sym": "(1000 * n_symbols) // greatest(n_words, 1)", "dup": "(1000 * n_dup_lines) // greatest(lines, 1)",
+             "rep": "(1000 * n_repeat_words) // greatest(n_words, 1)", "mean": "(100 * word_chars) // greatest(n_words, 1)"}
+    bucketed = lambda v: f"CASE WHEN {v} < 64 THEN {v} ELSE (length(bin({v})) - 6) * 32 + ({v} >> (length(bin({v})) - 6)) END"
+    floor_ = lambda b: f"CASE WHEN {b} < 64 THEN {b} ELSE ({b} - ({b} // 32 - 1) * 32) << ({b} // 32 - 1) END"
+    spread = "CASE m " + " ".join(f"WHEN '{m}' THEN {k} * greatest(q3 - q1, {least})" for m, (k, least, _) in RULES.items()) + " END"
+    low = ", ".join(f"'{m}'" for m, r in RULES.items() if r[2])
+    level = lambda name, keys: f"""
+{name}_h AS (SELECT {keys}m, b, sum(n) AS n FROM sk GROUP BY ALL),
+{name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {keys}m ORDER BY b) AS c, sum(n) OVER (PARTITION BY {keys}m) AS docs FROM {name}_h),
+{name}_q AS (SELECT {keys}m, max(docs) AS docs, min(b) FILTER (WHERE c * 4 >= docs) AS b1, min(b) FILTER (WHERE c * 4 >= docs * 3) AS b3
+  FROM {name}_c GROUP BY ALL),
+{name}_v AS (SELECT *, {floor_('b1')} AS q1, {floor_('b3')} AS q3 FROM {name}_q),
+{name} AS (SELECT *, q3 + {spread} AS hi, CASE WHEN m IN ({low}) THEN q1 - {spread} END AS lo FROM {name}_v),"""
+    return f"""
+WITH w AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t,
+         list_filter(string_split(translate(coalesce(text, ''), {white}, '      '), ' '), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {white}) <> '') AS l FROM documents),
+g AS (SELECT id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW}),
+x AS (SELECT id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s FROM g),
+y AS (SELECT id, i, count(*) OVER (PARTITION BY id, s) AS n FROM x),
+z AS (SELECT id, count(DISTINCT p) AS r FROM (SELECT id, unnest(range(i, i + {WINDOW})) AS p FROM y WHERE n > 1) GROUP BY id),
+b AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS lines, CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN z USING (id)),
+v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  {", ".join(f"{e} AS v_{m}" for m, e in value.items())} FROM b),
+u AS (SELECT *, {", ".join(f"{bucketed(f'v_{m}')} AS b_{m}" for m in value)} FROM v),
+sk AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS m, b_{m} AS b, count(*) AS n FROM u WHERE NOT base_failed GROUP BY ALL" for m in value)}),
+{level('s', 'lang, source, ')}{level('l', 'lang, ')}{level('g', '')}
+t AS (
+  SELECT s.lang, s.source, s.m, CASE WHEN s.docs >= {LEAST_DOCS} THEN s.hi WHEN l.docs >= {LEAST_DOCS} THEN l.hi ELSE g.hi END AS hi,
+         CASE WHEN s.docs >= {LEAST_DOCS} THEN s.lo WHEN l.docs >= {LEAST_DOCS} THEN l.lo ELSE g.lo END AS lo
+  FROM s JOIN l USING (lang, m) JOIN g USING (m))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR {" OR ".join(f"coalesce({floor_(f'b_{m}')} > t_{m}.hi, false) OR coalesce({floor_(f'b_{m}')} < t_{m}.lo, false)" for m in value)}) AS kept
+FROM u {" ".join(f"LEFT JOIN t t_{m} ON t_{m}.m = '{m}' AND t_{m}.lang = u.lang AND t_{m}.source = u.source" for m in value)}"""
+
+
+SQL = {"op10_quality": _sql()}

@@ -1,8 +1,19 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tessera.llm import op1_mixing, op5_lines, op10_quality
+from tessera.llm import (
+    op1_mixing,
+    op2_minhash,
+    op3_warc,
+    op4_sharding,
+    op5_lines,
+    op6_langid,
+    op7_toxicity,
+    op8_packing,
+    op9_topk,
+    op10_quality,
+)
 
-MODULES = [op1_mixing, op5_lines, op10_quality]
+MODULES = [op1_mixing, op2_minhash, op3_warc, op4_sharding, op5_lines, op6_langid, op7_toxicity, op8_packing, op9_topk, op10_quality]
 
 
 def queries() -> dict:
