@@ -23,7 +23,7 @@ from tessera.llm.common import HOT_KEYS, n_words, stage, text_hashes
 
 SHARDS, CELLS = 16, 4096
 #: A group of copies that holds more than this part of a shard is split: else the sizes could not be near equal.
-PART = 1 / 16
+PART = 0.8
 
 
 def place(items: list[tuple], shards: int) -> dict:
