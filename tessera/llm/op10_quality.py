@@ -170,8 +170,9 @@ def measure(docs: DataFrame, *carry: str, doc_id: str = "doc_id", text: str = "t
 def verdicts(docs: DataFrame, **names: str) -> DataFrame:
     """doc_id, __rid (hash of text, lang and source), the metrics, base_failed and kept, for every row of docs."""
     measured = measure(docs, **names)
-    counted = stage(sketches(measured), "sketches")
-    limits = stage(thresholds(counted), "limits")
+    # both are as small as the number of groups, so few files do
+    counted = stage(sketches(measured).coalesce(8), "sketches")
+    limits = stage(thresholds(counted).coalesce(4), "limits")
     unstage(counted)
     return judge(measured, limits)
 
