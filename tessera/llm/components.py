@@ -78,7 +78,7 @@ def components(links: DataFrame, together: str | None = None, rounds: int = 60)
 def sorted_groups(batches, key: str, *columns: str):
     """For rows sorted by key within a task: (key, {column: numpy array or list}) of each group, in bounded memory.
 
-    Binary columns of one width come as a matrix of bytes.
+    Binary columns of one width come as a matrix of bytes, lists as an array of arrays.
     """
     rest: list = []
     for batch in batches:
@@ -91,6 +91,11 @@ def sorted_groups(batches, key: str, *columns: str):
             if pa.types.is_binary(arr.type):
                 joined = b"".join(arr.to_pylist())
                 cols[c] = np.frombuffer(joined, np.uint8).reshape(len(keys), -1)
+            elif pa.types.is_list(arr.type):
+                values, ends = arr.values.to_numpy(zero_copy_only=False), arr.offsets.to_numpy()
+                cols[c] = np.empty(len(keys), object)
+                for k in range(len(keys)):
+                    cols[c][k] = values[ends[k] : ends[k + 1]]
             else:
                 cols[c] = arr.to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]

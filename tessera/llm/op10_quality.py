@@ -218,8 +218,8 @@ WITH w AS (
   SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t,
          list_filter(string_split(translate(coalesce(text, ''), {white}, '      '), ' '), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {white}) <> '') AS l FROM documents),
-g AS (SELECT id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW}),
-x AS (SELECT id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s FROM g),
+win AS (SELECT id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW}),
+x AS (SELECT id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s FROM win),
 y AS (SELECT id, i, count(*) OVER (PARTITION BY id, s) AS n FROM x),
 z AS (SELECT id, count(DISTINCT p) AS r FROM (SELECT id, unnest(range(i, i + {WINDOW})) AS p FROM y WHERE n > 1) GROUP BY id),
 b AS (

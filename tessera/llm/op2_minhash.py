@@ -4,9 +4,10 @@ A document's set is embedded in TOKENS minwise coordinates. The roots of ROOTS t
 coordinate's token; a node too large to compare is branched by further coordinates, chosen at random for the node, into
 those that share another token. Nodes that are small enough are compared exhaustively on their signatures: the task that
 holds a node proposes a maximum spanning forest of its pairs of estimated similarity CANDIDATE and more, so a node makes
-no more rows than it has documents. Proposed links are confirmed on the full sets, exactly. In a second round nodes
-whose documents are still of several components propose every pair of candidates between them, so that no pair of
-candidates is left that is neither linked nor checked. Two documents of similarity s share no root with probability
+no more rows than it has documents. Proposed links are confirmed on the full sets, exactly. In a second round the
+documents of a node that have candidates in another component meet there with their full sets, and links between the
+components are looked for exactly, so no pair of candidates is left that is neither linked nor checked, and again no row
+stands for a pair. Two documents of similarity s share no root with probability
 (1 - s) ** ROOTS, 0.0000153 at 0.75, and are estimated under CANDIDATE with one of 0.0001 at 0.75, less above.
 
 Documents with equal sets are one class, found by their sets' fingerprints (128 bits) and represented by the smallest
@@ -33,6 +34,8 @@ SHINGLE, PERCENT = 5, 75
 TOKENS, ROOTS, CANDIDATE = 128, 8, 0.6
 #: Nodes of more documents are branched across tasks; within one, nodes of more than LEAF are, as long as that shrinks them.
 NODE, LEAF, BRANCHES, DEPTH = 4096, 48, 6, 4
+#: Shingles that a node may hold in the second round, per part.
+HELD = 2_000_000
 _MULT = (np.random.default_rng(20240611).integers(0, 1 << 63, TOKENS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -109,17 +112,10 @@ def _forest(sig: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _crossing(sig: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
-    """All pairs of CANDIDATE and more between different labels."""
+def _minority(label: np.ndarray) -> np.ndarray:
+    """The rows that do not have the most frequent label."""
     values, inverse, counts = np.unique(label, return_inverse=True, return_counts=True)
-    if len(values) < 2:
-        return []
-    most, out = int(np.argmax(counts)), []
-    for i in np.flatnonzero(inverse != most):
-        near = _alike(sig, i) >= CANDIDATE
-        near &= (label != label[i]) & ((inverse == most) | (np.arange(len(sig)) > i))
-        out += [(int(i), int(j)) for j in np.flatnonzero(near)]
-    return out
+    return np.flatnonzero(inverse != int(np.argmax(counts)))
 
 
 def _leaves(sig: np.ndarray, rows: np.ndarray, seed: int, depth: int = 0):
@@ -142,30 +138,68 @@ def _leaves(sig: np.ndarray, rows: np.ndarray, seed: int, depth: int = 0):
             yield from _leaves(sig, p, seed * 31 + k, depth + 1)
 
 
-def _proposer(labelled: bool):
-    def propose(batches):
-        out: list[tuple] = []
-        for node, g in sorted_groups(batches, "node", "id", "sig", *["label"] * labelled):
-            sig, ids = np.ascontiguousarray(g["sig"]).view(np.uint16), g["id"]
-            if len(ids) < 2:
-                continue
-            for rows in _leaves(sig, np.arange(len(ids)), int(node)):
-                part = sig if len(rows) == len(ids) else sig[rows]
-                pairs = _crossing(part, g["label"][rows]) if labelled else _forest(part)
-                out += [(int(node), int(ids[rows[i]]), int(ids[rows[j]])) for i, j in pairs]
-            if len(out) > 20_000:
-                yield _links(out)
-                out = []
+def _propose(batches):
+    """The spanning forests of all nodes."""
+    out: list[tuple] = []
+    for node, g in sorted_groups(batches, "node", "id", "sig"):
+        sig, ids = np.ascontiguousarray(g["sig"]).view(np.uint16), g["id"]
+        if len(ids) < 2:
+            continue
+        for rows in _leaves(sig, np.arange(len(ids)), int(node)):
+            part = sig if len(rows) == len(ids) else sig[rows]
+            out += [(int(node), int(ids[rows[i]]), int(ids[rows[j]])) for i, j in _forest(part)]
+        if len(out) > 20_000:
+            yield _links(out)
+            out = []
+    yield _links(out)
+
+
+def _open(batches):
+    """node, id of documents with a candidate in another component than theirs."""
+    for node, g in sorted_groups(batches, "node", "id", "sig", "label"):
+        sig, label = np.ascontiguousarray(g["sig"]).view(np.uint16), g["label"]
+        marked = np.zeros(len(label), bool)
+        for i in _minority(label):
+            near = (_alike(sig, i) >= CANDIDATE) & (label != label[i])
+            if near.any():
+                marked |= near
+                marked[i] = True
+        ids = g["id"][marked]
+        yield pa.RecordBatch.from_arrays([pa.array([int(node)] * len(ids), pa.int64()), pa.array(ids, pa.int64())], names=["node", "id"])
+
+
+def _verify(batches):
+    """Exact links between the components of a node, each pair of components linked once: of every document that is not of
+    the largest component the intersections with all sets of the node are counted in one pass over them."""
+    for node, g in sorted_groups(batches, "node", "id", "label", "s"):
+        ids, label, sets = g["id"], g["label"].copy(), g["s"]
+        size = np.array([len(x) for x in sets])
+        names, which = np.unique(np.concatenate(sets), return_inverse=True)
+        starts, flag, out = np.concatenate([[0], np.cumsum(size)[:-1]]), np.zeros(len(names), np.uint8), []
+        for i in _minority(label):
+            mine = which[starts[i] : starts[i] + size[i]]
+            flag[mine] = 1
+            both = np.add.reduceat(flag[which], starts, dtype=np.int64)
+            flag[mine] = 0
+            for j in np.flatnonzero((100 * both >= PERCENT * (size + size[i] - both)) & (label != label[i])):
+                if label[i] != label[j]:
+                    out.append((int(node), int(ids[i]), int(ids[j])))
+                    label[label == label[j]] = label[i]
         yield _links(out)
 
-    return propose
-
 
 def _links(rows):
     cols = list(zip(*rows, strict=True)) or [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["node", "a", "b"])
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (node, id, parts) of nodes too large for a task as nodes of every two of their parts: all pairs still meet."""
+    mine = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    met = rows.withColumn("k", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return met.select(F.xxhash64("node", F.least("k", "o"), F.greatest("k", "o")).alias("node"), "id")
+
+
 def tree_nodes(reps: DataFrame) -> DataFrame:
     """Staged rows node, id, sig: who is in which node of more than one document, large nodes branched."""
     roots = reps.select(F.posexplode("roots").alias("c", "v"), "id").select(F.xxhash64("c", "v").alias("node"), "id")
@@ -181,11 +215,8 @@ def tree_nodes(reps: DataFrame) -> DataFrame:
         large = level.filter(F.col("size") > NODE)
         if not large.limit(1).count():
             break
-        if depth == DEPTH:  # alike in all that was chosen: every two blocks of it are a node, so all pairs still meet
-            n = F.ceil(F.col("size") / (NODE // 2)).cast("int")
-            mine = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / (NODE // 2))).cast("int")
-            pairs = large.withColumns({"n": n, "k": mine}).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-            out = out.unionByName(pairs.select(F.xxhash64("node", F.least("k", "o"), F.greatest("k", "o")).alias("node"), "id"))
+        if depth == DEPTH:  # alike in all that was chosen
+            out = out.unionByName(_in_blocks(large.withColumn("parts", F.ceil(F.col("size") / (NODE // 2)).cast("int"))))
             break
         picks = F.array(*(F.pmod(F.xxhash64("node", F.lit(depth), F.lit(k)), F.lit(TOKENS)).cast("int") for k in range(BRANCHES)))
         grown = large.join(sigs, "id").withColumn("c", F.explode(F.array_distinct(picks)))
@@ -206,16 +237,19 @@ def confirmed(links: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i"))).select("node", "a", "b")
 
 
-def _proposed(nodes: DataFrame, labelled: bool) -> DataFrame:
-    dealt = nodes.repartition("node").sortWithinPartitions("node")
-    pairs = dealt.mapInArrow(_proposer(labelled), "node long, a long, b long")
+def _by_node(rows: DataFrame) -> DataFrame:
+    return rows.repartition("node").sortWithinPartitions("node")
+
+
+def _proposed(nodes: DataFrame) -> DataFrame:
+    pairs = _by_node(nodes).mapInArrow(_propose, "node long, a long, b long")
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("node").alias("node"))
     return pairs.filter("a < b")
 
 
-def _full_sets(docs: DataFrame, links: DataFrame, reps: DataFrame) -> DataFrame:
-    ids = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(reps.select("id", "f1"), "id")
-    ids = stage(ids, "linked")
+def _full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
+    """Staged rows id, s: the whole sets of the documents of ids, from their texts."""
+    ids = stage(ids.distinct().join(reps.select("id", "f1"), "id"), "linked")
     texts = docs.join(sized(ids.select(F.col("id").alias("doc_id")), 16), "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets, "id long, f1 long, s array<long>").join(sized(ids, 24), ["id", "f1"], "left_semi")
     out = stage(sets.dropDuplicates(["id"]).select("id", "s"), "sets")
@@ -223,6 +257,27 @@ def _full_sets(docs: DataFrame, links: DataFrame, reps: DataFrame) -> DataFrame:
     return out
 
 
+def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Staged links between components that candidates of one node still make; None without any such candidates."""
+    known = labels.select("id", F.col("component").alias("label"))
+    named = lambda rows: rows.join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    live = nodes.join(sized(links.select("node").distinct(), 8), "node", "left_semi")
+    mixed = named(live.select("node", "id")).groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    mixed = stage(mixed.select("node"), "mixed")
+    again = named(nodes.join(sized(mixed, 8), "node", "left_semi"))
+    left = stage(_by_node(again).mapInArrow(_open, "node long, id long"), "open")
+    extra = None
+    if left.limit(1).count():
+        wide = _full_sets(docs, left.select("id"), reps)
+        weight = left.join(reps.select("id", "n"), "id").groupBy("node").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
+        dealt = left.join(weight, "node")
+        dealt = dealt.filter("parts <= 1").select("node", "id").unionByName(_in_blocks(dealt.filter("parts > 1")))
+        extra = stage(_by_node(named(dealt).join(wide, "id")).mapInArrow(_verify, "node long, a long, b long"), "confirmed")
+        unstage(wide)
+    unstage(mixed, left)
+    return extra
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, __rid (hash of the text), n_shingles, component_id, kept for every row of docs."""
     docs = docs.select("doc_id", "text")
@@ -236,25 +291,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stage(classes, "classes")
     reps = classes.filter("id is not null")
     nodes = tree_nodes(reps)
-    links = stage(_proposed(nodes, False), "proposed")
-    sets = _full_sets(docs, links, reps)
+    links = stage(_proposed(nodes), "proposed")
+    sets = _full_sets(docs, links.select(F.explode(F.array("a", "b")).alias("id")), reps)
     good = stage(confirmed(links, sets), "confirmed")
     labels = components(good, "node")
-    # second round: in the nodes that proposed anything, pairs of candidates that are not yet in one component
-    live = nodes.join(sized(links.select("node").distinct(), 8), "node", "left_semi") if links.limit(1).count() else None
-    if live is not None:
-        known = labels.select("id", F.col("component").alias("label"))
-        who = live.select("node", "id").join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = stage(who.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node"), "mixed")
-        again = nodes.join(sized(mixed, 8), "node", "left_semi").join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        more = stage(_proposed(again, True).join(links.select("a", "b"), ["a", "b"], "left_anti"), "proposed")
-        if more.limit(1).count():
-            wide = _full_sets(docs, more, reps)
-            extra = stage(confirmed(more.select("node", "a", "b"), wide), "confirmed")
-            if extra.limit(1).count():
-                labels = components(good.unionByName(extra), "node")
-            unstage(wide)
-        unstage(mixed, more)
+    extra = _second_round(docs, reps, nodes, links, labels)
+    if extra is not None and extra.limit(1).count():
+        labels = components(good.unionByName(extra), "node")
     unstage(nodes, sets)
     named = classes.select(*key, "id", "copies").join(labels, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"), "copies")
     named = stage(named, "named")
