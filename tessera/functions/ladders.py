@@ -124,7 +124,8 @@ def decisions(reply: Column, rules: int) -> Column:
     and items without an id are dropped."""
     schema = "array<struct<qid:string,id:string,rule:int,confidence:double,reason:string>>"
     text = json_text(reply)
-    rows = F.coalesce(F.from_json(text, schema), F.from_json(F.get_json_object(text, "$.items"), schema))
+    # an object parses as a list of itself, so the first character decides
+    rows = F.when(text.startswith("["), F.from_json(text, schema)).otherwise(F.from_json(F.get_json_object(text, "$.items"), schema))
     named = F.transform(rows, lambda r: F.struct(F.coalesce(r.qid, r.id).alias("qid"), r.rule.alias("rule"), clamp(F.coalesce(r.confidence, F.lit(0.0))).alias("confidence"), F.coalesce(r.reason, F.lit("")).alias("reason")))
     return F.filter(named, lambda r: r.qid.isNotNull() & (r.rule.isNull() | r.rule.between(1, rules)))
 
