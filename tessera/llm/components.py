@@ -78,7 +78,7 @@ def components(links: DataFrame, together: str | None = None, rounds: int = 60)
 def sorted_groups(batches, key: str, *columns: str):
     """For rows sorted by key within a task: (key, {column: numpy array or list}) of each group, in bounded memory.
 
-    Binary columns of one width come as a matrix of bytes, lists as an array of arrays.
+    Binary columns, of one width in a group, come as a matrix of bytes, lists as an array of arrays.
     """
     rest: list = []
     for batch in batches:
@@ -89,8 +89,7 @@ def sorted_groups(batches, key: str, *columns: str):
         for c in columns:
             arr = batch.column(c)
             if pa.types.is_binary(arr.type):
-                joined = b"".join(arr.to_pylist())
-                cols[c] = np.frombuffer(joined, np.uint8).reshape(len(keys), -1)
+                cols[c] = arr.to_pylist()
             elif pa.types.is_list(arr.type):
                 values, ends = arr.values.to_numpy(zero_copy_only=False), arr.offsets.to_numpy()
                 cols[c] = np.empty(len(keys), object)
@@ -100,7 +99,7 @@ def sorted_groups(batches, key: str, *columns: str):
                 cols[c] = arr.to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
         for i, j in zip(cuts, cuts[1:], strict=False):
-            part = {c: v[i:j] for c, v in cols.items()}
+            part = {c: np.frombuffer(b"".join(v[i:j]), np.uint8).reshape(j - i, -1) if isinstance(v, list) else v[i:j] for c, v in cols.items()}
             if rest and rest[0][0] != keys[i]:
                 yield _joined(rest)
                 rest = []

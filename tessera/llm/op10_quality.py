@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WHITE, sized, stage, unstage, words
+from tessera.llm.common import BROADCAST_BYTES, WHITE, sized, stage, unstage, words
 
 SYMBOLS = "#*$%&|<>"
 #: metric: (spreads from the quartile that a value may lie away, least spread, whether low values are judged too).
@@ -137,7 +137,7 @@ def thresholds(sk: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """measured with base_failed and kept. limits: a staged table; joined by broadcast if its counted size allows, else
     salted, as one group can hold any share of the documents."""
-    fits = limits.count() * 160 <= 32 << 20
+    fits = limits.count() * 160 <= BROADCAST_BYTES
     if fits:
         joined = measured.join(F.broadcast(limits), ["__lang", "__source"], "left")
     else:

@@ -24,6 +24,7 @@ from tessera.llm.common import WHITE, ascii_lower, delete, new_path, sized, spli
 LEAST_CHARS, LEAST_DOCS = 20, 3
 BATCHES, FANOUT = 4, 4
 KEY = ["h1", "h2"]
+RUN = "h1 long, h2 long, n long, top long"
 
 
 def lines_of(text: Column) -> Column:
@@ -59,7 +60,7 @@ class SortedRuns:
 
     def absorb(self, keyed: DataFrame) -> None:
         """Adds a batch of rows h1, h2, doc_id, one for each document and distinct key."""
-        fresh = keyed.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
+        fresh = keyed.groupBy(*KEY).agg(F.count("*").alias("n"), F.max(F.col("doc_id").cast("long")).alias("top"))
         for name in self.runs():
             old = self.spark.table(name).filter(F.col("n") >= self.least_docs).select(*KEY, F.col("top").alias("__top"))
             fresh = fresh.join(old, [*(fresh[k] == old[k] for k in KEY), old["__top"] >= F.coalesce(fresh["top"], old["__top"])], "left_anti")
@@ -79,7 +80,7 @@ class SortedRuns:
     def _sum(self, names: list[str]) -> DataFrame:
         # the runs' files, not the bucketed tables: a union of those counts as partitioned by the key even where Spark
         # then reads them unbucketed (SPARK 4.1), and the sums would be of single runs
-        both = self.spark.read.parquet(*(self.paths[name] for name in names))
+        both = self.spark.read.schema(RUN).parquet(*(self.paths[name] for name in names))
         return both.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("top").alias("top"))
 
     def merged(self) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import stage, unstage
 from tessera.llm.components import sorted_groups
 
-TOP, TREE, PAGE, FANOUT, PIVOTS, BLOCK = 5, 4096, 64, 12, 256, 64
+TOP, TREE, PAGE, FANOUT, PIVOTS, BLOCK = 5, 16_384, 128, 12, 256, 64
 _EXACT = 1 << 52
 
 
@@ -111,7 +111,8 @@ class Tree:
                 continue
             ips = _products(page[2][live], q)
             if page[0]:
-                for i, score in zip(page[1][live].tolist(), ips.tolist(), strict=True):
+                good = ips >= least
+                for i, score in zip(page[1][live][good].tolist(), ips[good].tolist(), strict=True):
                     entry = (int(score), -i)
                     if i != query_id and (len(best) < k or entry > best[0]):
                         heapq.heappush(best, entry) if len(best) < k else heapq.heapreplace(best, entry)
