@@ -77,17 +77,17 @@ class Model:
         for k, c in enumerate(alphabet):
             self.symbol[ord(c)] = k + 2
         self.width = len(alphabet) + 2
-        tables, self.roots, self.ends, at = [], [], [], 0
+        tables, self.roots, at = [], [], 0
         for lang in self.langs:
             states = automaton(references[lang])
             table = np.full((len(states) + 1, self.width), -1, np.int32)  # the last: a phrase of a character that the reference lacks
             for s, moves in enumerate(states):
                 for c, t in moves.items():
                     table[s, self.symbol[ord(c)]] = t + at
-            table[0, 0] = at  # the end breaks off a phrase if one is under way
+            table[0, table[0] < 0] = at + len(states)  # a phrase begins with any character
+            table[0, 0] = at  # but not with the end, which breaks off one that is under way
             self.roots.append(at)
             at += len(states) + 1
-            self.ends.append(at - 1)
             tables.append(table)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
 
@@ -105,9 +105,8 @@ class Model:
         grid, owner = np.concatenate(pieces), np.concatenate(owner)
         for i in range(0, len(grid), SIDE):
             part = np.ascontiguousarray(grid[i : i + SIDE].T)
-            for lang, (root, alone) in enumerate(zip(self.roots, self.ends, strict=True)):
+            for lang, root in enumerate(self.roots):
                 start = self.table[root * self.width : (root + 1) * self.width]
-                start = np.where(start < 0, alone, start).astype(np.int32)
                 state = np.full(part.shape[1], root, np.int32)
                 count = np.zeros(part.shape[1], np.int64)
                 for sym in part:
