@@ -16,7 +16,8 @@ def first_of(rules: Sequence[tuple[Column, object]], otherwise=None) -> Column:
     for cond, value in rules:
         value = value if isinstance(value, Column) else F.lit(value)
         out = F.when(cond, value) if out is None else out.when(cond, value)
-    return out.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
+    last = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
+    return last if out is None else out.otherwise(last)
 
 
 def by_pattern(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -155,3 +156,52 @@ def options(raw: Column) -> Column:
         ).otherwise(F.struct(F.lit("").alias("label"), v.alias("text"))),
     )
     return F.when(F.trim(raw).startswith("{"), of_map).when(F.trim(raw).startswith("["), of_list).otherwise(F.array().cast(f"array<{entry}>"))
+
+
+def task_type(labels: Sequence[Column], prompt: Column, table: Mapping[str, str], rules: Sequence[tuple[str, str]]) -> Column:
+    """The type that a label names, else that the prompt's wording shows."""
+    return F.coalesce(by_piece(labels, table), by_pattern(prompt, rules))
+
+
+def is_task(labels: Sequence[Column], prompt: Column, topic: Column, *, veto_topic: str, veto: str, generic: str, table: Mapping[str, str], wording: str, rules: Sequence[tuple[str, str]]) -> Column:
+    """Whether a question belongs to a family: vetoed by its topic, or by labels of another family unless they name this
+    one too; then by a label of the table, a generic label, a label's wording, or the prompt."""
+    blob = F.lower(F.concat_ws(" ; ", *labels))
+    named = blob.rlike(generic)
+    return first_of(
+        [
+            (F.lower(norm_space(topic)) == veto_topic, False), (blob.rlike(veto) & ~named, False), (by_piece(labels, table).isNotNull(), True),
+            (named, True), (blob.rlike(wording), True), (task_type(labels, prompt, table, rules).isNotNull(), True),
+        ],
+        False,
+    )
+
+
+def status_of(given: Column, raised: Column) -> Column:
+    """The given status, else that of the error as a number, else null."""
+    return F.coalesce(given, raised.try_cast("int"))
+
+
+def pinned(values: Column, first: Column, last: Column) -> Column:
+    """The values, each once, with one of them first and one last where they are among them."""
+    rest = F.filter(F.array_distinct(values), lambda v: ~v.eqNullSafe(first) & ~v.eqNullSafe(last))
+    one = lambda c: F.when(c.isNotNull() & F.array_contains(values, c), F.array(c)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(one(first), rest, one(last)))
+
+
+def near_after(text: Column, pattern: str, then: str, within: int = 40) -> Column:
+    """Whether `then` stands within so many characters after the first match of pattern."""
+    return text.rlike(f"(?is){pattern}.{{0,{within}}}?\\b(?:{then})\\b")
+
+
+def agreement_candidate(prompt: Column, options: Column, joined: str, singular: str, plural: str, within: int = 40) -> Column:
+    """A joined-noun pattern in the prompt, and both verb forms among the options or one of them soon after the pattern."""
+    has = lambda p: F.exists(options, lambda o: o.rlike(f"(?i)\\b(?:{p})\\b"))
+    return prompt.rlike(f"(?i){joined}") & ((has(singular) & has(plural)) | near_after(prompt, joined, f"{singular}|{plural}", within))
+
+
+def rule_table(spark, anchors: Mapping[str, str], ambiguous: Sequence[str], rules: Sequence[tuple[str, str]]):
+    """The classifier's tables as rows part, number, label, value, so that it can be audited."""
+    rows = [("anchor", k, a, v) for k, (a, v) in enumerate(sorted(anchors.items()))] + [("ambiguous", k, a, None) for k, a in enumerate(sorted(ambiguous))]
+    rows += [("rule", k, n, p) for k, (n, p) in enumerate(rules)]
+    return spark.createDataFrame(rows, "part string, number int, label string, value string")

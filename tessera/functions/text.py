@@ -336,3 +336,13 @@ def held_on(title: Column) -> Column:
     raw = F.regexp_extract(text_of(title), pattern, 0)
     known = (raw != "") & months[F.lower(part(2))].isNotNull()
     return F.struct(F.when(known, raw).otherwise("").alias("raw"), F.when(known, iso).otherwise("").alias("iso"))
+
+
+def question_text(concept: Column, tags: Column, prompt: Column, options: Column) -> Column:
+    """Label, tags, cleaned prompt and options as one text."""
+    return norm_space(F.concat_ws(" ", concept, F.array_join(tags, " "), clean_prompt(prompt), F.array_join(options, " ")))
+
+
+def all_signals(curated: Column, quotes: Column) -> Column:
+    """Curated phrases of several words, then the quoted ones, each once."""
+    return F.array_distinct(F.concat(signal_phrases(curated), signal_phrases(quotes)))

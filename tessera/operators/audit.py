@@ -103,3 +103,8 @@ def summary(found: DataFrame, rules: Sequence[str]) -> DataFrame:
     every = spark.createDataFrame([(r,) for r in rules], "rule string")
     n = found.groupBy("rule").agg(F.count("*").alias("violations"), F.min("place").alias("first_place"))
     return every.join(n, "rule", "left").na.fill(0, ["violations"])
+
+
+def setting(spark, rule: str, holds: bool, detail: str) -> DataFrame:
+    """A check of configuration as a rule: a violation unless it holds."""
+    return spark.createDataFrame([] if holds else [(rule, "settings", detail)], "rule string, place string, detail string")

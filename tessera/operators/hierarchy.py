@@ -117,3 +117,34 @@ def two_periods(rows: DataFrame, group: Sequence[str], year: str, recent: Sequen
 def with_empty(counted: DataFrame, members: DataFrame, keys: Sequence[str], *counts: str) -> DataFrame:
     """All members, those without rows with counts of 0."""
     return members.join(counted, list(keys), "left").na.fill(0, list(counts))
+
+
+def counts_by(rows: DataFrame, column: str, default) -> DataFrame:
+    """Counts by a column, null and empty as the default, in the column's order."""
+    value = F.coalesce(F.nullif(F.col(column), F.lit("")) if isinstance(default, str) else F.col(column), F.lit(default))
+    return rows.groupBy(value.alias(column)).agg(F.count("*").alias("count")).orderBy(column)
+
+
+def subject_metrics(rows: DataFrame, subject: str, chapter: str, image: str) -> DataFrame:
+    return rows.groupBy(subject).agg(
+        F.count("*").alias("rows"), F.count_if(F.col(chapter).isNull()).alias("unclassified"), F.count_if(F.col(image)).alias("with_image"), F.count_distinct(chapter).alias("chapters")
+    )
+
+
+def rolled(rows: DataFrame, group: str, members: DataFrame, *dims: str) -> DataFrame:
+    """For each member of a dimension its rows and, of every other column, counts by value as a map; members without rows
+    stay, with 0 and empty maps."""
+    out = members.select(group).distinct().join(rows.groupBy(group).agg(F.count("*").alias("count")), group, "left").na.fill(0, ["count"])
+    for d in dims:
+        n = rows.groupBy(group, F.col(d).cast("string").alias("k")).agg(F.count("*").alias("n")).filter(F.col("k").isNotNull())
+        m = n.groupBy(group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(f"by_{d}"))
+        out = out.join(m, group, "left").withColumn(f"by_{d}", F.coalesce(f"by_{d}", F.create_map().cast("map<string,bigint>")))
+    return out
+
+
+def paper_summary(reports: DataFrame) -> DataFrame:
+    """For each exam: papers, validated, flagged, questions, skipped (columns ok, questions, skipped)."""
+    return reports.groupBy("exam").agg(
+        F.count("*").alias("papers"), F.count_if("ok").alias("validated"), F.count_if(~F.col("ok")).alias("flagged"),
+        F.coalesce(F.sum("questions"), F.lit(0)).cast("long").alias("questions"), F.coalesce(F.sum("skipped"), F.lit(0)).cast("long").alias("skipped"),
+    ).orderBy("exam")

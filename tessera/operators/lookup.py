@@ -33,7 +33,8 @@ def resolve_any(rows: DataFrame, row_id: str, probes: Column, aliases: DataFrame
 
 def first_rule(rows: DataFrame, row_id: str, rules: DataFrame, matches: Column, number: str, value: str) -> DataFrame:
     """row_id and value: of the rules that match, the first by number. matches may hold wildcards (null sets)."""
-    return rows.join(F.broadcast(rules), matches).groupBy(row_id).agg(F.min_by(value, number).alias(value), F.min(number).alias(number))
+    first = [F.min(number).alias(number), *([F.min_by(value, number).alias(value)] if value != number else [])]
+    return rows.join(F.broadcast(rules), matches).groupBy(row_id).agg(*first)
 
 
 def wildcard(members: Column, x: Column) -> Column:
@@ -177,3 +178,36 @@ def _within(base: DataFrame, row_id: str, names: DataFrame, least: int) -> DataF
     hit = t.join(n, ["__s", "__word"]).filter(contains_phrase(F.col("__t"), F.col("__key")))
     rank = Window.partitionBy(row_id).orderBy(F.length("__key").desc(), "number")
     return hit.withColumn("__r", F.row_number().over(rank)).filter("__r = 1")
+
+
+def raw_questions(papers: DataFrame, records: DataFrame, path: str = "path", qid: str = "qid") -> DataFrame:
+    """The questions of records: only papers that they name are exploded; of a reused id the last paper's last one."""
+    needed = records.select(F.col("paper_path").alias(path)).distinct()
+    q = papers.join(needed, path, "left_semi").select(path, F.posexplode("questions").alias("__at", "q"))
+    q = q.select(path, "__at", "q.*").join(records.select(qid).distinct(), qid, "left_semi")
+    w = Window.partitionBy(qid).orderBy(F.desc(path), F.desc("__at"))
+    return q.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "__at")
+
+
+def found(rows: DataFrame, column: str, value: str, order: Sequence[str]) -> DataFrame:
+    """The first row with the value."""
+    return rows.filter(F.col(column) == value).orderBy(*order).limit(1)
+
+
+def enriched(packs: DataFrame, pointers: DataFrame, on: str = "qid", items: str = "items") -> DataFrame:
+    """kind, id, position, the item and its pointer's columns, in order; known: whether there is a pointer."""
+    rows = packs.select("kind", "id", F.posexplode(items).alias("position", on))
+    p = pointers.dropDuplicates([on]).withColumn("known", F.lit(True))
+    return rows.join(p, on, "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def verdict_report(rows: DataFrame, group: Sequence[str], sample: str, most: int = 5) -> DataFrame:
+    """For each group its count and its first samples, the largest groups first."""
+    out = rows.groupBy(*group).agg(F.count("*").alias("count"), F.slice(F.array_sort(F.collect_set(sample)), 1, most).alias("samples"))
+    return out.orderBy(F.desc("count"), *group)
+
+
+def split_repairs(wrong: DataFrame, chapter: str) -> tuple[DataFrame, DataFrame]:
+    """Wrong rows that a chapter blocks, and those whose concept can be cleared."""
+    blocked = F.coalesce(F.col(chapter), F.lit("")) != ""
+    return wrong.filter(blocked), wrong.filter(~blocked)

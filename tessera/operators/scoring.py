@@ -140,3 +140,30 @@ def threshold(scored: DataFrame, score: str, right: Column, precision: float, st
     return good.agg(F.max(F.struct(F.col(score).alias("t"), F.col("__cn").alias("n"))).alias("b")).join(F.broadcast(all_)).select(
         F.col("b.t").alias("threshold"), (F.col("b.n") / F.col("__all")).alias("coverage")
     )
+
+
+def phrase_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, stats: DataFrame, as_is: bool = True) -> DataFrame:
+    """doc_id, rule, rarity of the phrases of several words (rule, phrase) in a text. as_is: the text is searched as it is,
+    so a capital or a comma beside a phrase hides it; else its key is."""
+    p = phrases.select("rule", norm_key(F.col("phrase")).alias("key")).filter(F.col("key").contains(" ")).distinct().withColumn("__word", F.split("key", " ")[0])
+    body = F.col(text) if as_is else norm_key(F.col(text))
+    d = docs.select(doc_id, body.alias("__text")).withColumn("__word", F.explode(F.array_distinct(F.split("__text", " "))))
+    hit = d.join(p, "__word").filter(contains_phrase(F.col("__text"), F.col("key"))).select(doc_id, "rule", "key").distinct()
+    return hit.join(stats.select("key", F.col("rarity")), "key", "left").select(doc_id, "rule", F.coalesce("rarity", F.lit(UNSEEN)).alias("rarity"))
+
+
+def effective(items: DataFrame, keyword: DataFrame, stored: DataFrame, accepted: Column, on: str = "qid") -> DataFrame:
+    """items with rule, source (review, keyword, stored or null) and reason: a review that vetoes moves or unfiles first;
+    then the keyword's match; then a stored decision above the floor; else unassigned with a reason.
+
+    keyword: qid, rule, outcome. stored: qid, rule, veto, and what accepted needs.
+    """
+    k = keyword.select(on, F.col("rule").alias("__k"), F.col("outcome").alias("__o"))
+    s = stored.select(on, F.col("rule").alias("__s"), F.coalesce("veto", F.lit(False)).alias("__v"), accepted.alias("__a"), F.lit(True).alias("__has"))
+    rows = items.join(k, on, "left").join(s, on, "left")
+    veto, matched = F.coalesce(F.col("__v"), F.lit(False)), F.col("__o") == "matched"
+    good = F.coalesce(F.col("__a"), F.lit(False))
+    rule = F.when(veto & good, F.col("__s")).when(veto, F.lit(None)).when(matched, F.col("__k")).when(good, F.col("__s"))
+    source = F.when(veto & good & F.col("__s").isNotNull(), "review").when(veto, F.lit(None)).when(matched, "keyword").when(good & F.col("__s").isNotNull(), "stored")
+    reason = F.when(rule.isNotNull(), F.lit(None)).when(veto, "vetoed").when(F.col("__has") & ~good, "low_confidence").when(F.col("__o").isNotNull() & (F.col("__o") != "matched"), F.col("__o")).otherwise("no_match")
+    return rows.withColumns({"rule": rule, "source": source, "reason": reason}).drop("__k", "__o", "__s", "__v", "__a", "__has")

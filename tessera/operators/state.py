@@ -141,3 +141,14 @@ def record_progress(old: DataFrame, phase: str, status: str, counters: dict[str,
     one = summed.groupBy("phase", "status", "updated").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("counters"))
     one = one if counters else new
     return old.filter(F.col("phase") != phase).select("phase", "status", "counters", "updated").unionByName(one.select("phase", "status", "counters", "updated"))
+
+
+def assigned(leaves: DataFrame, items: str = "items", name: str = "qid") -> DataFrame:
+    """The distinct ids of id lists, to be left out elsewhere by an anti-join."""
+    return leaves.select(F.explode(items).alias(name)).distinct()
+
+
+def corrections_from(rows: DataFrame, verdicts: DataFrame, on: Sequence[str], floor: float = 0.80) -> DataFrame:
+    """The verdicts that disagree, at the floor and more, joined to their rows: before, after, confidence, reason."""
+    v = verdicts.filter(~F.col("ok") & (F.col("confidence") >= floor)).select(*on, F.col("concept").alias("after"), "confidence", "reason")
+    return rows.select(*on, F.col("concept").alias("before")).join(v, list(on))

@@ -144,3 +144,35 @@ def canonical_labels(*sources: DataFrame) -> DataFrame:
     keyed = rows.withColumn("key", F.lower(norm_space(F.col("label")))).filter("key <> ''")
     w = Window.partitionBy("key").orderBy("prec", "seq", "label")
     return keyed.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select("key", "label")
+
+
+def raw_labels(questions: DataFrame, concept: str = "concept", tags: str = "tags") -> DataFrame:
+    """Distinct concepts and tags, white space normalised."""
+    one = questions.select(norm_space(F.col(concept)).alias("label")).unionByName(questions.select(F.explode(tags).alias("t")).select(norm_space(F.col("t")).alias("label")))
+    return one.filter("label <> ''").distinct().orderBy("label")
+
+
+def hygiene(rows: DataFrame, owned: DataFrame, subject: str, concept: str, chapter: str, strict: tuple[str, ...] = ()) -> DataFrame:
+    """rows whose concept is cleared where it makes no slug, or is another subject's: always in strict subjects, elsewhere
+    without a chapter. owned: owners()."""
+    from tessera.functions.text import slugify
+    from tessera.operators.lookup import only_foreign
+
+    o = owned.select(F.col("key").alias("__k"), F.col("owners").alias("__o"))
+    out = rows.join(o, norm_key(F.col(concept)) == F.col("__k"), "left")
+    foreign = only_foreign(F.col("__o"), F.col(subject))
+    clear = (slugify(F.col(concept), None) == "") | (foreign & (F.col(subject).isin(*strict) if strict else F.lit(False))) | (foreign & F.col(chapter).isNull())
+    return out.withColumn(concept, F.when(~clear, F.col(concept))).drop("__k", "__o")
+
+
+def finalized(rows: DataFrame, owned: DataFrame, labels: DataFrame, declared: DataFrame, chapters: DataFrame, subject: str, concept: str, chapter: str, strict: tuple[str, ...] = ()) -> DataFrame:
+    """hygiene, canonical spelling (labels: key, label), the owning chapter, and leaf_bucket `_other` where the chapter does
+    not declare the concept."""
+    out = hygiene(rows, owned, subject, concept, chapter, strict)
+    for c in (concept, chapter):
+        l = labels.select(F.col("key").alias("__k"), F.col("label").alias("__l"))
+        out = out.join(l, F.lower(norm_space(F.col(c))) == F.col("__k"), "left").withColumn(c, F.coalesce("__l", F.when(F.col(c).isNotNull(), norm_space(F.col(c))))).drop("__k", "__l")
+    out = realigned(out, declared, chapters, subject, chapter, concept)
+    out = declares(out, declared, subject, chapter, concept, "__declared")
+    parked = F.col(concept).isNotNull() & F.col(chapter).isNotNull() & ~F.col("__declared")
+    return out.withColumn("leaf_bucket", F.when(parked, "_other")).drop("__declared")

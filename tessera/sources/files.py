@@ -223,3 +223,32 @@ def scored(rows: DataFrame, scorer, schema: str, key: str, cache: DataFrame | No
 
 def normal_labels(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: norm_space(F.col(c)) for c in columns})
+
+
+def pointer(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The named fields, null where df lacks one."""
+    return df.select(*(F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields))
+
+
+def paper_fields(papers: DataFrame, with_questions: bool = False) -> DataFrame:
+    return papers if with_questions else papers.drop("questions")
+
+
+def write_reports(reports: DataFrame, coverage: DataFrame, root: str) -> DataFrame:
+    """Papers and flagged papers as JSON lines, and the coverage and the schema as small documents; the flagged papers."""
+    spark = reports.sparkSession
+    flagged = reports.filter(~F.coalesce(F.col("ok"), F.lit(False)))
+    write_lines(reports, f"{root}/papers")
+    write_lines(flagged, f"{root}/flagged")
+    write_json(spark, f"{root}/coverage.json", {k: v for k, v in coverage.first().asDict().items()})
+    write_json(spark, f"{root}/schema.json", json.loads(reports.schema.json()))
+    return flagged
+
+
+def write_rule_leaves(rows: DataFrame, rules: DataFrame, root: str, rule: str = "rule") -> DataFrame:
+    """Rows by rule, and a marker row for every rule, those without rows too: rule, count. Folders of before go."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy(rule).option("ignoreNullFields", False).json(f"{root}/rows")
+    n = rules.select(rule).distinct().join(rows.groupBy(rule).agg(F.count("*").alias("count")), rule, "left").na.fill(0, ["count"])
+    write_lines(n, f"{root}/markers")
+    return spark.read.schema(f"{rule} int, count long").json(f"{root}/markers")
