@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import new_path, split_join, stage, unstage
+from tessera.llm.common import new_path, sized, split_join, stage, unstage
 
 ROLL, SHARD_BYTES, RANGES, DATE = 64 << 20, 32 << 20, 1 << 14, "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6f1c3b0e-5d5e-4a55-9a39-0f2b7a4b9c11")
@@ -157,10 +157,11 @@ def write_warc(rows: DataFrame, folder: str, key: str, url: str, payload: str, r
     firsts = split_join(small.filter(F.col("size") >= revisit_bytes).distinct(), groups, ["digest", "size"], "n", n)
     firsts = stage(firsts.filter(~F.col("key").eqNullSafe(F.col("first"))).select(F.col("key").alias("__key"), F.col("digest").alias("__digest"), "first"), "warc-revisits")
     rows = rows.withColumn("shard", bounds.cast("long"))
-    rows = rows.join(firsts, F.col("key").eqNullSafe(F.col("__key")) & (F.col("digest") == F.col("__digest")), "left")
+    rows = rows.join(sized(firsts, 80), F.col("key").eqNullSafe(F.col("__key")) & (F.col("digest") == F.col("__digest")), "left")
     rows = rows.withColumn("revisit", F.col("__digest").isNotNull())
     dealt = rows.select("shard", "key", "url", "payload", "digest", "first", "revisit")
-    dealt = dealt.repartitionByRange(shard + 1, "shard").sortWithinPartitions("shard", "key", "digest", "url")
+    # more ranges than shards, so that a sample rarely puts two shards into one
+    dealt = dealt.repartitionByRange(3 * (shard + 1), "shard").sortWithinPartitions("shard", "key", "digest", "url")
     manifest = stage(dealt.mapInArrow(_writer(folder, roll_bytes, date), MANIFEST), "warc-manifest")
     manifest.mapInArrow(_committer(folder), MANIFEST).write.format("noop").mode("overwrite").save()
     fs, root = _files(folder)
@@ -233,3 +234,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_warc": op3_warc}
+SQL = {
+    "op3_warc": """
+WITH d AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+h AS (SELECT *, list_transform(range(1, 41), lambda i: strpos('0123456789abcdef', x[i]) - 1) AS n FROM d),
+v AS (SELECT *, list_transform(range(0, 8), lambda i: n[5 * i + 1] * 65536 + n[5 * i + 2] * 4096 + n[5 * i + 3] * 256 + n[5 * i + 4] * 16 + n[5 * i + 5]) AS q FROM h),
+b AS (SELECT page_id, payload_bytes, x, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((q[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest FROM v),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x, payload_bytes) AS first FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
+}
