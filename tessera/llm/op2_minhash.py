@@ -10,6 +10,9 @@ components are looked for exactly, so no pair of candidates is left that is neit
 stands for a pair. Two documents of similarity s share no root with probability
 (1 - s) ** ROOTS, 0.0000153 at 0.75, and are estimated under CANDIDATE with one of 0.0001 at 0.75, less above.
 
+A node of which a child still holds most is a family of near copies: branching would multiply it. It is cut into blocks
+that share some documents, and in the second round only the documents outside its largest component meet all blocks.
+
 Documents with equal sets are one class, found by their sets' fingerprints (128 bits) and represented by the smallest
 doc_id, so copies cost nothing.
 
@@ -24,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import sized, split_join, stage, unstage
@@ -34,6 +37,8 @@ SHINGLE, PERCENT = 5, 75
 TOKENS, ROOTS, CANDIDATE = 128, 8, 0.6
 #: Nodes of more documents are branched across tasks; within one, nodes of more than LEAF are, as long as that shrinks them.
 NODE, LEAF, BRANCHES, DEPTH = 4096, 48, 6, 4
+#: A node is a family if a child still has more than this share of it; documents that all blocks of a family share.
+SHRINK, ANCHORS = 0.7, 64
 #: Shingles that a node may hold in the second round, per part.
 HELD = 2_000_000
 _MULT = (np.random.default_rng(20240611).integers(0, 1 << 63, TOKENS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -130,7 +135,7 @@ def _leaves(sig: np.ndarray, rows: np.ndarray, seed: int, depth: int = 0):
         order = np.argsort(token, kind="stable")
         cuts = np.flatnonzero(np.diff(token[order])) + 1
         split.append([p for p in np.split(rows[order], cuts) if len(p) > 1])
-    if max((len(p) for s in split for p in s), default=0) > 0.7 * len(rows):
+    if max((len(p) for s in split for p in s), default=0) > SHRINK * len(rows):
         yield rows
         return
     for k, s in enumerate(split):
@@ -193,41 +198,62 @@ def _links(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["node", "a", "b"])
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (node, id, parts) of nodes too large for a task as nodes of every two of their parts: all pairs still meet."""
-    mine = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    met = rows.withColumn("k", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return met.select(F.xxhash64("node", F.least("k", "o"), F.greatest("k", "o")).alias("node"), "id")
+def _blocks(size: Column) -> Column:
+    return F.ceil(size / (NODE // 2)).cast("int")
+
+
+def _with_anchors(rows: DataFrame) -> DataFrame:
+    """Rows (node, id, size) of families as nodes of a block each; some ANCHORS of their documents are in every block, so
+    that the blocks' forests meet."""
+    parts = _blocks(F.col("size"))
+    anchor = F.pmod(F.xxhash64("id", "node"), F.col("size")) < ANCHORS
+    mine = F.array(F.pmod(F.xxhash64(F.lit(1), "id"), parts).cast("int"))
+    k = F.explode(F.when(anchor, F.sequence(F.lit(0), parts - 1)).otherwise(mine))
+    return rows.withColumn("k", k).select(F.xxhash64("node", F.lit("block"), "k").alias("node"), "id")
 
 
-def tree_nodes(reps: DataFrame) -> DataFrame:
-    """Staged rows node, id, sig: who is in which node of more than one document, large nodes branched."""
+def _against_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (node, id, label, parts) of nodes too large for a task as nodes that hold one part of the documents of the most
+    frequent label and all others: every pair of labels still meets, and only the others are repeated."""
+    top = rows.groupBy("node", "label").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("top"))
+    mine = F.array(F.pmod(F.xxhash64(F.lit(2), "id"), F.col("parts")).cast("int"))
+    k = F.explode(F.when(F.col("label") == F.col("top"), mine).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.join(top, "node").withColumn("k", k).select(F.xxhash64("node", F.lit("part"), "k").alias("node"), "id", "label")
+
+
+def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Staged rows node, id, sig: who is in which node of more than one document, large nodes branched; and the families
+    (node, id, size), None without any: large nodes of which a child still holds over SHRINK. Branching those would only
+    multiply them, so they are cut into blocks here, and what blocks tear apart is looked at in the second round."""
     roots = reps.select(F.posexplode("roots").alias("c", "v"), "id").select(F.xxhash64("c", "v").alias("node"), "id")
     sizes = stage(roots.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").withColumn("size", F.col("n")), "node-sizes")
-    total = reps.count() * ROOTS
-    rows = split_join(roots, sizes, ["node"], "n", total)
-    out, level = None, stage(rows, "nodes")
-    made = [sizes, level]
-    sigs = reps.select("id", "sig")
-    for depth in range(DEPTH + 1):
+    level = stage(split_join(roots, sizes, ["node"], "n", reps.count() * ROOTS), "nodes")
+    made, out, families, sigs, depth = [sizes, level], None, None, reps.select("id", "sig"), 0
+    while True:
         done = level.filter(F.col("size") <= NODE).select("node", "id")
         out = done if out is None else out.unionByName(done)
-        large = level.filter(F.col("size") > NODE)
+        large = level.filter(F.col("size") > NODE).select("node", "id", "size")
         if not large.limit(1).count():
             break
-        if depth == DEPTH:  # alike in all that was chosen
-            out = out.unionByName(_in_blocks(large.withColumn("parts", F.ceil(F.col("size") / (NODE // 2)).cast("int"))))
-            break
         picks = F.array(*(F.pmod(F.xxhash64("node", F.lit(depth), F.lit(k)), F.lit(TOKENS)).cast("int") for k in range(BRANCHES)))
         grown = large.join(sigs, "id").withColumn("c", F.explode(F.array_distinct(picks)))
-        token = F.expr("substring(sig, c * 2 + 1, 2)")
-        grown = stage(grown.select(F.xxhash64("node", "c", token).alias("node"), "id").distinct(), "nodes")
-        sizes = stage(grown.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").withColumn("size", F.col("n")), "node-sizes")
-        level = stage(split_join(grown, sizes, ["node"], "n", grown.count()), "nodes")
-        made += [grown, sizes, level]
+        child = F.xxhash64("node", "c", F.expr("substring(sig, c * 2 + 1, 2)"))
+        grown = stage(grown.select(child.alias("node"), "id", F.col("node").alias("up"), F.col("size").alias("was")), "nodes")
+        sizes = stage(grown.groupBy("node").agg(F.count("*").alias("n"), F.first("up").alias("up"), F.first("was").alias("was")), "node-sizes")
+        dense = sizes.filter(F.col("n") > SHRINK * F.col("was") if depth < DEPTH else F.col("was") > 0)
+        dense = stage(dense.select("up").distinct(), "dense")
+        family = large.join(sized(dense, 8), F.col("node") == F.col("up"), "left_semi")
+        families = family if families is None else families.unionByName(family)
+        live = sizes.join(sized(dense, 8), "up", "left_anti").filter("n > 1").select("node", "n", F.col("n").alias("size"))
+        level = stage(split_join(grown.select("node", "id"), live, ["node"], "n", grown.count()), "nodes")
+        made += [grown, sizes, dense, level]
+        depth += 1
+    if families is not None:
+        families = stage(families, "families")
+        out = out.unionByName(_with_anchors(families))
     held = stage(out.join(sigs, "id"), "tree")
     unstage(*made)
-    return held
+    return held, families
 
 
 def confirmed(links: DataFrame, sets: DataFrame) -> DataFrame:
@@ -257,24 +283,29 @@ def _full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
     return out
 
 
-def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame | None:
+def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, families: DataFrame | None, links: DataFrame, labels: DataFrame) -> DataFrame | None:
     """Staged links between components that candidates of one node still make; None without any such candidates."""
     known = labels.select("id", F.col("component").alias("label"))
     named = lambda rows: rows.join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = lambda rows: stage(rows.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node"), "mixed")
     live = nodes.join(sized(links.select("node").distinct(), 8), "node", "left_semi")
-    mixed = named(live.select("node", "id")).groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    mixed = stage(mixed.select("node"), "mixed")
-    again = named(nodes.join(sized(mixed, 8), "node", "left_semi"))
+    several = mixed(named(live.select("node", "id")))
+    again = named(nodes.join(sized(several, 8), "node", "left_semi")).select("node", "id", "label", "sig")
+    if families is not None:
+        family = named(families)
+        torn = mixed(family)
+        family = stage(family.join(sized(torn, 8), "node", "left_semi").withColumn("parts", _blocks(F.col("size"))), "torn")
+        again = again.unionByName(_against_blocks(family).join(reps.select("id", "sig"), "id").select("node", "id", "label", "sig"))
     left = stage(_by_node(again).mapInArrow(_open, "node long, id long"), "open")
     extra = None
     if left.limit(1).count():
         wide = _full_sets(docs, left.select("id"), reps)
         weight = left.join(reps.select("id", "n"), "id").groupBy("node").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
-        dealt = left.join(weight, "node")
-        dealt = dealt.filter("parts <= 1").select("node", "id").unionByName(_in_blocks(dealt.filter("parts > 1")))
-        extra = stage(_by_node(named(dealt).join(wide, "id")).mapInArrow(_verify, "node long, a long, b long"), "confirmed")
-        unstage(wide)
-    unstage(mixed, left)
+        dealt = stage(named(left.join(weight, "node")), "open")
+        both = dealt.filter("parts <= 1").select("node", "id", "label").unionByName(_against_blocks(dealt.filter("parts > 1")))
+        extra = stage(_by_node(both.join(wide, "id")).mapInArrow(_verify, "node long, a long, b long"), "confirmed")
+        unstage(wide, dealt)
+    unstage(several, left)
     return extra
 
 
@@ -290,12 +321,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     classes = stage(classes, "classes")
     reps = classes.filter("id is not null")
-    nodes = tree_nodes(reps)
+    nodes, families = tree_nodes(reps)
     links = stage(_proposed(nodes), "proposed")
     sets = _full_sets(docs, links.select(F.explode(F.array("a", "b")).alias("id")), reps)
     good = stage(confirmed(links, sets), "confirmed")
     labels = components(good, "node")
-    extra = _second_round(docs, reps, nodes, links, labels)
+    extra = _second_round(docs, reps, nodes, families, links, labels)
     if extra is not None and extra.limit(1).count():
         labels = components(good.unionByName(extra), "node")
     unstage(nodes, sets)
