@@ -13,6 +13,8 @@ from pyspark.sql.types import StringType
 IMAGE = r"\[IMAGE:[^\]]*\]"
 UNDERLINED = r"_{2,}(.+?)_{2,}"
 TERM_EDGE = " \t\n\r\x0b\x0c\"'“”‘’.,;:!?()[]"
+#: The white space of Unicode, and the four information separators that Python counts with it.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 QUOTES = "\"'“”‘’`"
 
 
@@ -21,13 +23,14 @@ def text_of(x: Column) -> Column:
 
 
 def norm_space(x: Column) -> Column:
-    """Runs of white space as one space, none at the ends; null as empty."""
-    return F.trim(F.regexp_replace(text_of(x), r"(?U)[\s\x1c-\x1f]+", " "))
+    """Runs of white space (Unicode's) as one space, none at the ends; null as empty."""
+    return F.trim(F.regexp_replace(F.translate(text_of(x), SPACES, " " * len(SPACES)), " {2,}", " "))
 
 
 def norm_key(x: Column) -> Column:
     """The lookup key: lower case, & as and, / - . as spaces."""
-    return norm_space(F.translate(F.replace(F.lower(norm_space(x)), F.lit("&"), F.lit(" and ")), "/-.", "   "))
+    plain = F.translate(F.replace(F.lower(text_of(x)), F.lit("&"), F.lit(" and ")), SPACES + "/-.", " " * (len(SPACES) + 3))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 @F.pandas_udf(StringType())

@@ -34,11 +34,18 @@ def document_frequency(docs: DataFrame, doc_id: str, terms: Column) -> DataFrame
     return out.withColumn("rarity", rarity(F.col("share")))
 
 
+def _meet(texts: DataFrame, doc_id: str, phrases: DataFrame) -> DataFrame:
+    """doc_id and the columns of phrases (key, __word: its first word) for the phrases in __text. Words meet first, without
+    the text; only documents that share a first word are then read whole."""
+    words = texts.select(doc_id, F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
+    near = words.join(phrases, "__word").drop("__word")
+    return near.join(texts, doc_id).filter(contains_phrase(F.col("__text"), F.col("key"))).drop("__text")
+
+
 def phrase_frequency(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
     """key, df: in how many documents a phrase of several words is; they meet on the phrase's first word."""
     p = phrases.select(norm_key(F.col(phrase)).alias("key")).distinct().filter(F.col("key").contains(" ")).withColumn("__word", F.split("key", " ")[0])
-    d = docs.select(doc_id, norm_key(F.col(text)).alias("__text")).withColumn("__word", F.explode(F.array_distinct(F.split("__text", " "))))
-    hit = d.join(p, "__word").filter(contains_phrase(F.col("__text"), F.col("key")))
+    hit = _meet(docs.select(doc_id, norm_key(F.col(text)).alias("__text")), doc_id, p)
     return p.select("key").join(hit.groupBy("key").agg(F.count_distinct(doc_id).alias("df")), "key", "left").na.fill(0, ["df"])
 
 
@@ -147,8 +154,7 @@ def phrase_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, sta
     so a capital or a comma beside a phrase hides it; else its key is."""
     p = phrases.select("rule", norm_key(F.col("phrase")).alias("key")).filter(F.col("key").contains(" ")).distinct().withColumn("__word", F.split("key", " ")[0])
     body = F.col(text) if as_is else norm_key(F.col(text))
-    d = docs.select(doc_id, body.alias("__text")).withColumn("__word", F.explode(F.array_distinct(F.split("__text", " "))))
-    hit = d.join(p, "__word").filter(contains_phrase(F.col("__text"), F.col("key"))).select(doc_id, "rule", "key").distinct()
+    hit = _meet(docs.select(doc_id, body.alias("__text")), doc_id, p).select(doc_id, "rule", "key").distinct()
     return hit.join(stats.select("key", F.col("rarity")), "key", "left").select(doc_id, "rule", F.coalesce("rarity", F.lit(UNSEEN)).alias("rarity"))
 
 
