@@ -160,13 +160,17 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     copies = allot(docs, **options).groupBy(F.col("doc_id").alias("__id"), F.col("__rid").alias("__r")).agg(F.sort_array(F.collect_list("copies")).alias("__c"))
     keyed = docs.withColumn("__rid", F.xxhash64("text", "source"))
     copies = copies.filter((F.size("__c") > 1) | (F.col("__c")[0] > 0))
-    small = sized(stage(copies, "copies"), 48)
+    copies = stage(copies, "copies")
+    small = sized(copies, 48)
     both = keyed.join(small, keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["__rid"] == F.col("__r")))
-    # repeated rows are rare; their array has an entry for each, and each row takes the sum's share in turn
-    single = both.filter(F.size("__c") == 1).withColumn("__n", F.col("__c")[0])
-    nth = Window.partitionBy("doc_id", "__rid").orderBy(F.lit(1))
-    multi = both.filter(F.size("__c") > 1).withColumn("__k", F.row_number().over(nth)).withColumn("__n", F.element_at("__c", F.col("__k"))).drop("__k")
-    both = single.unionByName(multi)
+    if copies.filter(F.size("__c") > 1).limit(1).count():
+        # equal rows: each takes an entry of the array in turn
+        single = both.filter(F.size("__c") == 1).withColumn("__n", F.col("__c")[0])
+        nth = Window.partitionBy("doc_id", "__rid").orderBy(F.lit(1))
+        several = both.filter(F.size("__c") > 1).withColumn("__k", F.row_number().over(nth))
+        both = single.unionByName(several.withColumn("__n", F.element_at("__c", F.col("__k"))).drop("__k"))
+    else:
+        both = both.withColumn("__n", F.col("__c")[0])
     return both.filter("__n > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __n)"))).select(*docs.columns)
 
 
