@@ -27,7 +27,7 @@ CAPACITY, END = 1024, 2
 #: The weights of tokens, documents and attention cost, and the other capacities: here they never bind before the tokens.
 WEIGHTS = (1.0, 0.001, 0.001)
 MOST_DOCS, MOST_COST = CAPACITY, CAPACITY**2
-CELL, REPACK = 6000, 0.98
+CELL, REPACK, MOST_TASKS = 6000, 0.98, 4096
 _ENCODERS: dict = {}
 
 
@@ -164,7 +164,8 @@ def pack(pieces: DataFrame, capacity=(CAPACITY, MOST_DOCS, MOST_COST), weights=W
         cells = max(1, -(-n // CELL))
         last = cells == 1 or rounds >= 12
         dealt = todo.withColumn("cell", F.pmod(F.xxhash64(F.lit(rounds), "row", "piece"), F.lit(cells)))
-        packed = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "row", "piece", "length")
+        # a cell takes seconds whatever its few bytes, so partitions are by number and not joined by size
+        packed = dealt.repartition(min(cells, MOST_TASKS), "cell").sortWithinPartitions("cell").select("cell", "row", "piece", "length")
         placed = packed.mapInArrow(_packer(capacity, weights, score, last), "row long, piece int, bin long, offset long")
         placed = stage(todo.join(placed, ["row", "piece"]), "packed")
         whole = placed.filter("bin >= 0").select(*cols, (F.col("bin") + F.lit(rounds << 56)).alias("sequence_id"), "offset")
