@@ -17,6 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_BYTES = 32 << 20
 #: At most so many keys can each hold more than 1/HOT_KEYS of all rows; those are the hot ones.
 HOT_KEYS = 1024
+WAVES = 8
 
 
 def scratch(spark: SparkSession) -> str:
@@ -40,14 +41,14 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def stage(df: DataFrame, name: str, *partition: str) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table in the shared folder: lineage ends here and a lost executor loses nothing.
 
-    The frame has the folder as `staged_at`, for unstage().
+    More tasks than WAVES for each core would only make more files, so partitions are joined, without a shuffle, down to
+    that number. The frame has the folder as `staged_at`, for unstage().
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    writer = df.write
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    df.coalesce(WAVES * spark.sparkContext.defaultParallelism).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

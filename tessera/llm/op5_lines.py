@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WHITE, ascii_lower, delete, new_path, sized, split_join, stage, unstage
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
-BATCHES, FANOUT = 4, 4
+BATCHES, FANOUT = 2, 2
 KEY = ["h1", "h2"]
 RUN = "h1 long, h2 long, n long, top long"
 
@@ -116,7 +116,7 @@ def keyed_lines(docs: DataFrame, batches: int, least_chars: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, fanout: int = FANOUT) -> DataFrame:
     """Staged rows doc_id, __rid, __gone: positions, from 0, of the lines that a document loses; none for most documents."""
-    lines = stage(keyed_lines(docs, batches, least_chars), "lines", "batch")
+    lines = stage(keyed_lines(docs, batches, least_chars), "lines")
     store = SortedRuns(docs.sparkSession, fanout=fanout, least_docs=least_docs)
     for b in range(batches):
         store.absorb(lines.filter((F.col("batch") == b) & F.col("first")))
