@@ -283,13 +283,13 @@ def _full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
     return out
 
 
-def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, families: DataFrame | None, links: DataFrame, labels: DataFrame) -> DataFrame | None:
+def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, families: DataFrame | None, labels: DataFrame) -> DataFrame | None:
     """Staged links between components that candidates of one node still make; None without any such candidates."""
     known = labels.select("id", F.col("component").alias("label"))
     named = lambda rows: rows.join(known, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = lambda rows: stage(rows.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node"), "mixed")
-    live = nodes.join(sized(links.select("node").distinct(), 8), "node", "left_semi")
-    several = mixed(named(live.select("node", "id")))
+    # labels alone decide: a proposed link has the name of one of its nodes only, and any other may hold candidates it left out
+    several = mixed(named(nodes.select("node", "id")))
     again = named(nodes.join(sized(several, 8), "node", "left_semi")).select("node", "id", "label", "sig")
     if families is not None:
         family = named(families)
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = _full_sets(docs, links.select(F.explode(F.array("a", "b")).alias("id")), reps)
     good = stage(confirmed(links, sets), "confirmed")
     labels = components(good, "node")
-    extra = _second_round(docs, reps, nodes, families, links, labels)
+    extra = _second_round(docs, reps, nodes, families, labels)
     if extra is not None and extra.limit(1).count():
         labels = components(good.unionByName(extra), "node")
     unstage(nodes, sets)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -51,6 +52,26 @@ def test_near_like_by_hand(spark, tmp_path):
     assert got == near_by_hand(rows)
 
 
+def around_the_threshold(k):
+    """Three texts of similarities around 0.75, in words of their own."""
+    rng = random.Random(k)
+    out = []
+    for d in range(3):
+        w = [f"v{k}x{i}" for i in range(60)]
+        start = rng.randrange(52)
+        for i in range(start, start + rng.randrange(0, 5)):
+            w[i] = f"y{k}x{d}x{i}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_near_links_that_a_forest_left_out(spark):
+    # of three candidates two are in the forests, under the names of nodes that the third pair does not share; one fails
+    rows = [(3 * k + d, t) for k in (2615, 5356, 14149) for d, t in enumerate(around_the_threshold(k))]
+    got = op2_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == near_by_hand(rows)
+
+
 def test_near_large_nodes(spark, tmp_path, monkeypatch):
     base = prose(3, 100)
     rows = [(i, changed(base, i, 0.05)) for i in range(150)] + [(1000 + i, f"{prose(8, 30)} {prose(5000 + i, 60)}") for i in range(150)]
