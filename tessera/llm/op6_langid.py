@@ -5,8 +5,9 @@ where the last phrase ended is a phrase. Few long phrases mean a close language:
 log2 of its reference's length wins, ties to the smaller name. Whole texts are parsed, as many pieces side by side as
 numpy steps through at once; a piece costs a phrase more at most, in every language alike.
 
-The fit is bounded: of each language FIT_DOCS rows of no more than FIT_CHARS characters, those with the smallest hashes
-of their ids, and REFERENCE characters of their letters. Everything else holds for all rows. Held out are rows whose
+The fit is bounded: of each language FIT_DOCS rows that have letters, of any length, those with the smallest hashes of
+their ids, and REFERENCE characters of their letters, as equal a share from each as their lengths allow. A share is taken
+in pieces from all over the text. Everything else holds for all rows. Held out are rows whose
 crc32(doc_id as text) is 0 modulo 5; they are never learned from.
 
 Results for odd input: a null text, and one without a letter, is `und` with score 0, as is every text if no language was
@@ -21,7 +22,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out
@@ -29,6 +30,10 @@ from tessera.llm.common import held_out
 FIT_DOCS, FIT_CHARS, REFERENCE = 64, 20_000, 16_000
 PIECE, SIDE = 256, 1 << 14
 _LETTER = re.compile(r"[^\W\d_]")
+#: The same for Spark.
+_LETTERS = "\\p{L}\\p{Nl}\\p{No}"
+#: A text longer than its share gives up to SLICES pieces, of at least SLICE letters.
+SLICES, SLICE = 16, 120
 
 
 def letters(text: str) -> str:
@@ -131,16 +136,47 @@ class Model:
         return names, scores
 
 
+def shares(sizes: list[int], total: int) -> list[int]:
+    """How many letters of each text make up total, as equal as the texts' sizes allow."""
+    out = [0] * len(sizes)
+    for done, k in enumerate(sorted(range(len(sizes)), key=lambda k: sizes[k])):
+        out[k] = min(sizes[k], total // (len(sizes) - done))
+        total -= out[k]
+    return out
+
+
+def spread(text: str, share: int) -> str:
+    """At most share characters: the whole text, or pieces from all over it."""
+    if len(text) <= share:
+        return text
+    n = min(max(share // SLICE, 1), SLICES)
+    size = (share + 1) // n - 1  # and a space between two
+    starts = [(len(text) - size) * (2 * i + 1) // (2 * n) for i in range(n)]
+    return " ".join(text[i : i + size] for i in starts)
+
+
+def _slices(found: Column) -> Column:
+    """A text of at most FIT_CHARS characters as it is, of others SLICES pieces."""
+    size = FIT_CHARS // SLICES - 1
+    step = (F.length(found) - size) / (2 * SLICES)
+    pieces = [F.substring(found, (F.floor(step * (2 * i + 1)) + 1).cast("int"), F.lit(size)) for i in range(SLICES)]
+    return F.when(F.length(found) <= FIT_CHARS, found).otherwise(F.concat_ws(" ", *pieces))
+
+
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, reference: int = REFERENCE) -> Model:
-    able = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text").between(1, FIT_CHARS))
+    able = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(f"[{_LETTERS}]")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # only ids are ranked, and Spark keeps fit_docs of each language and task before it deals them out
     ids = docs.filter(able).select("lang", "doc_id").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= fit_docs)
-    rows = docs.filter(able).join(F.broadcast(ids.select("doc_id", "k")), "doc_id").select("lang", "k", "text").collect()
+    rows = docs.filter(able).join(F.broadcast(ids), ["lang", "doc_id"])
+    rows = rows.select("lang", "k", F.trim(F.regexp_replace("text", f"[^{_LETTERS}]+", " ")).alias("t")).select("lang", "k", _slices(F.col("t")).alias("t")).collect()
     texts: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["k"], r["text"])):
-        texts.setdefault(r["lang"], []).append(letters(r["text"]))
-    found = {lang: " ".join(parts)[:reference] for lang, parts in texts.items()}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["k"], r["t"])):
+        texts.setdefault(r["lang"], []).append(letters(r["t"]))
+    found = {}
+    for lang, parts in texts.items():
+        sizes = shares([len(x) for x in parts], max(reference - len(parts) + 1, 0))
+        found[lang] = " ".join(spread(x, n) for x, n in zip(parts, sizes, strict=True) if n)
     return Model({lang: t for lang, t in found.items() if t.strip()})
 
 

@@ -186,6 +186,27 @@ def test_langid(spark, tmp_path):
     assert odd[0] == odd[1] == odd[2] == "und" and odd[8] != "und"
 
 
+def test_langid_learns_from_long_rows_and_from_many(spark):
+    say = lambda seed, n, alphabet: " ".join("".join(random.Random(seed * 10**6 + i).choices(alphabet, k=6)) for i in range(n))
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    order = [r[0] for r in spark.createDataFrame([(i,) for i in free], "i long").orderBy(F.xxhash64("i"), "i").collect()]
+    # x: the first row of the fit is long and has a wrong label; y: all texts are longer than FIT_CHARS; z: letters in one row only
+    rows = [(order[0], say(1, 2_700, "klmnop"), "x")] + [(i, say(2 + i, 40, "abcdef"), "x") for i in order[1:40]]
+    rows += [(i, say(2 + i, 4_000, "klmnop"), "y") for i in order[40:44]]
+    rows += [(i, "12 34 --", "z") for i in order[44:120]] + [(order[120], say(5, 200, "uvwxyz"), "z")]
+    assert len(rows[0][1]) < op6_langid.FIT_CHARS < min(len(r[1]) for r in rows if r[2] == "y")
+    model = op6_langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["x", "y", "z"] and max(model.bits) <= np.log2(op6_langid.REFERENCE + 2)
+    assert model.predict([say(9001, 30, "abcdef"), say(9002, 30, "klmnop"), say(9003, 30, "uvwxyz")])[0] == ["x", "y", "z"]
+
+
+def test_shares_and_pieces():
+    assert op6_langid.shares([10, 1000, 0, 300], 500) == [10, 245, 0, 245] and op6_langid.shares([3, 4], 100) == [3, 4]
+    text = "".join(chr(0x4E00 + i) for i in range(5_000))
+    got = op6_langid.spread(text, 500).split(" ")
+    assert len(got) == 4 and sum(map(len, got)) + 3 <= 500 and all(x in text for x in got) and text.index(got[0]) < 1_000 and text.index(got[3]) > 4_000
+
+
 def phrases_by_hand(text, reference):
     n = i = 0
     while i < len(text):
