@@ -82,7 +82,7 @@ def year_and_date_from_text(t):
   regexp_matches(text, '[A-Za-z0-9_.]+@[A-Za-z0-9.]+') AS hit FROM documents""")
 def redact(t):
     pattern = "[A-Za-z0-9_.]+@[A-Za-z0-9.]+"
-    return t("documents").select("doc_id", F.md5(text.mask(F.col("text"), [(pattern, "<mail>")], 1 << 20)).alias("h"), F.col("text").rlike(pattern).alias("hit"))
+    return t("documents").select("doc_id", F.md5(text.mask(F.col("text"), [(pattern, "<mail>")], None)).alias("h"), F.col("text").rlike(pattern).alias("hit"))
 
 
 @query("SELECT count(*) FILTER (WHERE regexp_matches(text, '[àâçéèêëîïôûùüÿñæœ]')) AS wide, count(*) FILTER (WHERE regexp_matches(text, '[äöüß]')) AS german, count(*) FILTER (WHERE regexp_matches(substr(text, 1, 200), '[àâçéèêëîïôûùüÿñæœ]')) AS head, count(*) FILTER (WHERE regexp_matches(lang || ' ' || source, '[é]')) AS labels FROM documents")

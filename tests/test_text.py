@@ -1,9 +1,11 @@
+import hashlib
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import ladders, text
+from tessera.plans import registry
 
 
 def one(spark, column, **values):
@@ -73,6 +75,14 @@ def test_redact(spark):
     assert "abcdef" not in got and "abc.def" not in got and "key=<redacted>" in got and len(got) <= 300
 
 
+def test_redact_query_hashes_whole_texts(spark, tmp_path):
+    long = "ab cd " * 180_000 + "me@x.org end"
+    spark.createDataFrame([(1, long), (2, "short a@b.c")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["h"] for r in registry.QUERIES["redact"](spark, str(tmp_path)).collect()}
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert len(long) > 1 << 20 and got == {1: md5(long.replace("me@x.org", "<mail>")), 2: md5("short <mail>")}
+
+
 def test_ladders(spark):
     kind = ladders.failure_kind(F.col("s"), F.col("m"))
     for s, m, want in [(401, "", "auth"), (429, "", "rate_limit"), (200, "<html>", "http"), (None, "invalid JSON", "bad_json"), (None, "timed out", "transport"), (500, "x", "http"), (None, "x", "other")]:
