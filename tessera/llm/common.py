@@ -21,11 +21,14 @@ WAVES = 8
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    """The shared folder of spark.checkpoint.dir. Where that is unset a local master gets a temporary folder, as in tests;
+    a cluster must name one, since no folder of one machine is seen by all of it."""
     return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark)).rstrip("/")
 
 
 def _own_dir(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     found = getattr(spark, "_tessera_scratch", None)
     if not found:
         found = spark._tessera_scratch = "file://" + tempfile.mkdtemp(prefix="tessera-")
@@ -45,10 +48,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table in the shared folder: lineage ends here and a lost executor loses nothing.
 
     More tasks than WAVES for each core would only make more files, so partitions are joined, without a shuffle, down to
-    that number. The frame has the folder as `staged_at`, for unstage().
+    that number; not where executors come and go, since the cores of the moment say nothing there. The frame has the
+    folder as `staged_at`, for unstage().
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.coalesce(WAVES * spark.sparkContext.defaultParallelism).write.parquet(path)
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
+        df = df.coalesce(WAVES * spark.sparkContext.defaultParallelism)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
@@ -92,16 +98,18 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def sized(df: DataFrame, row_bytes: int) -> DataFrame:
-    """The frame with a broadcast hint if its rows, counted now, fit BROADCAST_BYTES; else as it is, for a shuffle join.
+def sized(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """The frame with a broadcast hint if its bytes, summed now, fit BROADCAST_BYTES; else as it is, for a shuffle join.
 
-    df must be cheap to read twice (a staged table).
+    row_bytes: of a row, as a number or as a column of df. df must be cheap to read twice (a staged table).
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    each = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
+    total = df.agg(F.coalesce(F.sum(each.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def split_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, total: int, how: str = "inner") -> DataFrame:
-    """rows joined with a table that has each key once, whatever share of the rows one key holds.
+    """rows joined with a narrow table that has each key once, whatever share of the rows one key holds.
 
     weight: the table's column with the number of rows that have the key. Fewer than HOT_KEYS keys can hold more than
     total / HOT_KEYS rows each, so those are broadcast; no other key can make a partition of a shuffle join lopsided.
@@ -112,3 +120,18 @@ def split_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: s
     hot = F.broadcast(table.filter(F.col(weight) > most).drop(weight))
     cold = table.filter(F.col(weight) <= most).drop(weight)
     return rows.join(hot, keys, "inner").unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))
+
+
+def salted_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, total: int, by: Sequence[str]) -> DataFrame:
+    """The same for a table of wide rows, which are never broadcast: a key of more than total / HOT_KEYS rows is dealt over
+    as many salts as it has such shares, by the columns `by` of rows, and its wide row is repeated for each. That makes
+    no more than HOT_KEYS + 1 further rows in all. Only keys and salts of the hot ones, fewer than HOT_KEYS, go everywhere.
+    """
+    most = max(total // HOT_KEYS, 1)
+    keys = list(keys)
+    salts = F.ceil(F.col(weight) / most).cast("int")
+    hot = F.broadcast(table.filter(F.col(weight) > most).select(*keys, salts.alias("__salts")))
+    mine = F.pmod(F.xxhash64(F.lit(29), *by), F.coalesce("__salts", F.lit(1))).cast("int")
+    dealt = rows.join(hot, keys, "left").withColumn("__salt", mine).drop("__salts")
+    wide = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))).drop(weight)
+    return dealt.join(wide, [*keys, "__salt"]).drop("__salt")

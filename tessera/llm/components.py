@@ -51,28 +51,29 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out
 
 
-def components(links: DataFrame, together: str | None = None, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, together: str | None = None) -> DataFrame:
     """Staged rows id, component (the smallest id reachable) for every id of links (a, b, long) but the smallest ones.
 
-    together: a column of links; links that share its value meet in one task first.
+    together: a column of links; links that share its value meet in one task first. The rounds go on until all is stars,
+    which takes about the logarithm of the longest path; a round that changes nothing before that would be an error.
     """
     dealt = links.repartition(together) if together else links
     edges = dealt.select("a", "b").mapInArrow(_contract, "a long, b long")
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
     before = None
-    for _ in range(rounds):
-        state = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        # all stars: no node is both an end and a centre
+    while True:
+        # all stars: no node is both an end and a centre, and none has two centres
         mixed = edges.select("a").join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").limit(1).count()
-        twice = edges.count() - edges.select("a").distinct().count()
-        if state == before or (not mixed and not twice):
-            break
+        if not mixed and edges.count() == edges.select("a").distinct().count():
+            return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        state = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+        if state == before:
+            raise RuntimeError("links that no longer change are not stars")
         before = state
         wide = _star(edges, True)
         unstage(edges)
         edges = _star(wide, False)
         unstage(wide)
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
 def sorted_groups(batches, key: str, *columns: str):

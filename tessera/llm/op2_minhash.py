@@ -11,15 +11,18 @@ stands for a pair. Two documents of similarity s share no root with probability
 (1 - s) ** ROOTS, 0.0000153 at 0.75, and are estimated under CANDIDATE with one of 0.0001 at 0.75, less above.
 
 A node of which a child still holds most is a family of near copies: branching would multiply it. It is cut into blocks
-that share some documents, and in the second round only the documents outside its largest component meet all blocks.
+that share some documents. In the second round the documents of its largest component and the others are cut into blocks
+each, and every pair of blocks of which one is of the others meets: what a task holds is bounded, whatever the labels.
 
 Documents with equal sets are one class, found by their sets' fingerprints (128 bits) and represented by the smallest
-doc_id, so copies cost nothing.
-
-Results for odd input: a null text, or one without words, has an empty set (n_shingles 0) and is alone. Rows of one
-doc_id are one vertex; all rows of the smallest doc_id of a component are kept. A null doc_id takes part in its class
-only: it has the class's smallest doc_id as component, null if there is none. An empty table gives an empty result. Other
-columns pass through near_dedup(), whatever their names; columns made here start with two underscores.
+doc_id, so copies cost nothing. A class has a number of its own; rows of one doc_id that are in several classes link those.
+
+Results for odd input: a null text, or one without words, has an empty set (n_shingles 0), is linked with nothing and has
+its own doc_id as component, whatever other rows its doc_id has. All other rows of one doc_id are one vertex; all rows of
+the smallest doc_id of a component are kept. A null doc_id takes part in its class only: it has the class's component,
+null if the class has no other row. Very long texts are read whole: a set takes 8 bytes a word, of one row at a time, and
+in the second round a task holds two blocks of HELD / 2 shingles, or one set if that is longer. An empty table gives an
+empty result. Other columns pass through near_dedup(), whatever their names; columns made here start with two underscores.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import sized, split_join, stage, unstage
+from tessera.llm.common import salted_join, sized, split_join, stage, unstage
 from tessera.llm.components import components, sorted_groups
 
 SHINGLE, PERCENT = 5, 75
@@ -39,7 +42,7 @@ TOKENS, ROOTS, CANDIDATE = 128, 8, 0.6
 NODE, LEAF, BRANCHES, DEPTH = 4096, 48, 6, 4
 #: A node is a family if a child still has more than this share of it; documents that all blocks of a family share.
 SHRINK, ANCHORS = 0.7, 64
-#: Shingles that a node may hold in the second round, per part.
+#: Shingles that a node may hold in the second round.
 HELD = 2_000_000
 _MULT = (np.random.default_rng(20240611).integers(0, 1 << 63, TOKENS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -90,8 +93,10 @@ def _sets(batches):
     for batch in batches:
         found = [shingles(x.as_py()) for x in batch.column("text").cast(pa.binary())]
         f1 = [int(s.sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0 for s in found]
+        f2 = [int(np.bitwise_xor.reduce(_mix(s)).astype(np.int64)) if len(s) else 0 for s in found]
+        cols = [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in ([len(s) for s in found], f1, f2))]
         sets = pa.array([s.astype(np.int64) for s in found], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(f1, pa.int64()), sets], names=["id", "f1", "s"])
+        yield pa.RecordBatch.from_arrays([*cols, sets], names=["doc_id", "n", "f1", "f2", "s"])
 
 
 def _alike(sig: np.ndarray, i: int) -> np.ndarray:
@@ -212,13 +217,23 @@ def _with_anchors(rows: DataFrame) -> DataFrame:
     return rows.withColumn("k", k).select(F.xxhash64("node", F.lit("block"), "k").alias("node"), "id")
 
 
-def _against_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (node, id, label, parts) of nodes too large for a task as nodes that hold one part of the documents of the most
-    frequent label and all others: every pair of labels still meets, and only the others are repeated."""
-    top = rows.groupBy("node", "label").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("top"))
-    mine = F.array(F.pmod(F.xxhash64(F.lit(2), "id"), F.col("parts")).cast("int"))
-    k = F.explode(F.when(F.col("label") == F.col("top"), mine).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return rows.join(top, "node").withColumn("k", k).select(F.xxhash64("node", F.lit("part"), "k").alias("node"), "id", "label")
+def _block_pairs(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (node, id, label, w) of nodes too large for a task as nodes of at most about `most` weight. The documents of a
+    node's largest label are cut into blocks, and so are all others; each block of the others meets every block of both, so
+    every pair of documents of two labels still meets, and those of the largest label are repeated once a block of others."""
+    half = max(1, most // 2)
+    per = rows.groupBy("node", "label").agg(F.sum("w").alias("w"))
+    top = per.groupBy("node").agg(F.max(F.struct("w", "label")).alias("top"), F.sum("w").alias("all"))
+    blocks = lambda w: F.greatest(F.ceil(w / half), F.lit(1)).cast("int")
+    top = stage(top.select("node", F.col("top.label").alias("top"), blocks(F.col("top.w")).alias("p"), blocks(F.col("all") - F.col("top.w")).alias("q")), "tops")
+    mine = F.xxhash64(F.lit(2), "id")
+    met = F.expr(
+        "case when label = top then transform(sequence(0, q - 1), j -> struct(0 as kind, i, j))"
+        " else concat(transform(sequence(0, p - 1), x -> struct(0 as kind, x as i, i as j)),"
+        " transform(filter(sequence(0, q - 1), x -> x <> i), x -> struct(1 as kind, least(i, x) as i, greatest(i, x) as j))) end"
+    )
+    dealt = rows.join(sized(top, 32), "node").withColumn("i", F.pmod(mine, F.when(F.col("label") == F.col("top"), F.col("p")).otherwise(F.col("q"))).cast("int"))
+    return dealt.withColumn("k", F.explode(met)).select(F.xxhash64("node", F.lit("pair"), "k.kind", "k.i", "k.j").alias("node"), "id", "label")
 
 
 def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -257,9 +272,14 @@ def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 
 def confirmed(links: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (node, a, b) whose full sets are similar enough."""
-    a, b = (sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")) for k in "ab")
-    both = links.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
+    """The links (node, a, b) whose full sets are similar enough. Both frames are staged. A document may have any share of
+    the links, as ties make stars of a family's forest: its set is repeated for shares of them."""
+    total = links.count()
+    for k in "ab":
+        counted = links.groupBy(k).agg(F.count("*").alias("w"))
+        wide = sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}")).join(counted, k)
+        links = salted_join(links, wide, [k], "w", total, ["a", "b"])
+    both = links.withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
     return both.filter(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i"))).select("node", "a", "b")
 
 
@@ -274,10 +294,11 @@ def _proposed(nodes: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
-    """Staged rows id, s: the whole sets of the documents of ids, from their texts."""
-    ids = stage(ids.distinct().join(reps.select("id", "f1"), "id"), "linked")
-    texts = docs.join(sized(ids.select(F.col("id").alias("doc_id")), 16), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, "id long, f1 long, s array<long>").join(sized(ids, 24), ["id", "f1"], "left_semi")
+    """Staged rows id, s: the whole sets of the classes of ids, from the texts of their smallest doc_ids."""
+    ids = stage(ids.distinct().join(reps.select("id", F.col("top").alias("doc_id"), "n", "f1", "f2"), "id"), "linked")
+    texts = docs.join(sized(ids.select("doc_id"), 16), "doc_id", "left_semi")
+    schema = "doc_id long, n long, f1 long, f2 long, s array<long>"
+    sets = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sets, schema).join(sized(ids, 48), ["doc_id", "n", "f1", "f2"])
     out = stage(sets.dropDuplicates(["id"]).select("id", "s"), "sets")
     unstage(ids)
     return out
@@ -294,46 +315,79 @@ def _second_round(docs: DataFrame, reps: DataFrame, nodes: DataFrame, families:
     if families is not None:
         family = named(families)
         torn = mixed(family)
-        family = stage(family.join(sized(torn, 8), "node", "left_semi").withColumn("parts", _blocks(F.col("size"))), "torn")
-        again = again.unionByName(_against_blocks(family).join(reps.select("id", "sig"), "id").select("node", "id", "label", "sig"))
+        family = stage(family.join(sized(torn, 8), "node", "left_semi").withColumn("w", F.lit(1).cast("long")), "torn")
+        again = again.unionByName(_block_pairs(family, NODE).join(reps.select("id", "sig"), "id").select("node", "id", "label", "sig"))
     left = stage(_by_node(again).mapInArrow(_open, "node long, id long"), "open")
     extra = None
     if left.limit(1).count():
         wide = _full_sets(docs, left.select("id"), reps)
-        weight = left.join(reps.select("id", "n"), "id").groupBy("node").agg(F.ceil(F.sum("n") / HELD).cast("int").alias("parts"))
-        dealt = stage(named(left.join(weight, "node")), "open")
-        both = dealt.filter("parts <= 1").select("node", "id", "label").unionByName(_against_blocks(dealt.filter("parts > 1")))
+        weighed = left.join(reps.select("id", F.col("n").alias("w")), "id")
+        large = stage(weighed.groupBy("node").agg(F.sum("w").alias("w")).filter(F.col("w") > HELD).select("node"), "large")
+        dealt = stage(named(weighed), "open")
+        some = sized(large, 8)
+        both = dealt.join(some, "node", "left_anti").select("node", "id", "label").unionByName(_block_pairs(dealt.join(some, "node", "left_semi"), HELD))
         extra = stage(_by_node(both.join(wide, "id")).mapInArrow(_verify, "node long, a long, b long"), "confirmed")
-        unstage(wide, dealt)
+        unstage(wide, dealt, large)
     unstage(several, left)
     return extra
 
 
+def _same_id(found: DataFrame, reps: DataFrame, total: int) -> DataFrame | None:
+    """Staged links (node, a, b) of the classes that rows of one doc_id are in, each with the least of them; None without any."""
+    key = ["n", "f1", "f2"]
+    rows = found.filter("n > 0 and doc_id is not null").select("doc_id", *key)
+    torn = rows.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi"), F.count("*").alias("w"))
+    torn = stage(torn.filter("lo < hi").select("doc_id", "lo", "w"), "shared-ids")
+    if not torn.limit(1).count():
+        unstage(torn)
+        return None
+    pairs = split_join(rows, torn, ["doc_id"], "w", total).select(*key, *(F.col(f"lo.{c}").alias(f"{c}_0") for c in key))
+    pairs = stage(pairs.filter("not (n = n_0 and f1 = f1_0 and f2 = f2_0)").distinct().join(reps.select(F.col("id").alias("a"), *key), key), "shared-pairs")
+    least = [f"{c}_0" for c in key]
+    centres = pairs.groupBy(*least).agg(F.count("*").alias("w")).join(reps.select(F.col("id").alias("b"), *(F.col(c).alias(f"{c}_0") for c in key)), least)
+    out = stage(split_join(pairs.select("a", *least), stage(centres, "centres"), least, "w", total).select(F.col("a").alias("node"), "a", "b"), "shared-links")
+    unstage(torn, pairs)
+    return out
+
+
+def _component_ids(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, component_id (the smallest doc_id of the component) for the classes that have links. A component may hold any
+    share of them."""
+    members = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
+    members = stage(members.join(reps.select("id", "top"), "id"), "members")
+    least = stage(members.groupBy("component").agg(F.min("top").alias("component_id"), F.count("*").alias("w")), "least-ids")
+    return split_join(members.select("id", "component"), least, ["component"], "w", members.count()).select("id", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, __rid (hash of the text), n_shingles, component_id, kept for every row of docs."""
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, __rid long, n long, f1 long, f2 long, roots array<long>, sig binary"
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("__rid"), "text").mapInArrow(_features, schema)
     found = stage(found, "features")
-    key = ["n", "f1", "f2"]
+    total, key = found.count(), ["n", "f1", "f2"]
     classes = found.filter("n > 0").groupBy(*key).agg(
-        F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("roots").alias("roots"), F.first("sig").alias("sig")
+        F.min("doc_id").alias("top"), F.count("*").alias("copies"), F.first("roots").alias("roots"), F.first("sig").alias("sig")
     )
-    classes = stage(classes, "classes")
-    reps = classes.filter("id is not null")
+    # numbered as written, so a number stays with its class whatever is run again
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    reps = classes.filter("top is not null")
     nodes, families = tree_nodes(reps)
     links = stage(_proposed(nodes), "proposed")
     sets = _full_sets(docs, links.select(F.explode(F.array("a", "b")).alias("id")), reps)
     good = stage(confirmed(links, sets), "confirmed")
+    shared = _same_id(found, reps, total)
+    if shared is not None:
+        good = good.unionByName(shared)
     labels = components(good, "node")
     extra = _second_round(docs, reps, nodes, families, labels)
     if extra is not None and extra.limit(1).count():
         labels = components(good.unionByName(extra), "node")
     unstage(nodes, sets)
-    named = classes.select(*key, "id", "copies").join(labels, "id", "left").select(*key, F.coalesce("component", "id").alias("component_id"), "copies")
-    named = stage(named, "named")
+    named = classes.select(*key, "id", "top", "copies").join(_component_ids(reps, labels), "id", "left")
+    named = stage(named.select(*key, F.coalesce("component_id", "top").alias("component_id"), "copies"), "named")
     rows = found.select("doc_id", "__rid", *key)
-    out = split_join(rows.filter("n > 0"), named, key, "copies", found.count())
+    out = split_join(rows.filter("n > 0"), named, key, "copies", total)
     out = out.unionByName(rows.filter("n = 0").withColumn("component_id", F.col("doc_id")))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return out.select("doc_id", "__rid", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

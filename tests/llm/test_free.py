@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import components, op2_minhash, op3_warc, op4_sharding, op6_langid, op7_toxicity, op8_packing, op9_topk
-from tessera.llm.common import split_join, stage
+from tessera.llm.common import salted_join, split_join, stage
 from tests.llm.cases import changed, edge_docs, edge_rows, empty_docs, prose, save
 from tests.llm.test_native import LOWER, WORD
 
@@ -94,6 +94,48 @@ def test_near_odd_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in got if r["kept"]} and 5 not in {r["doc_id"] for r in got if r["kept"]}
 
 
+def vertices_by_hand(rows):
+    """The same for rows that may share a doc_id: (doc_id, text) -> component; rows of one id with words are one vertex."""
+    sets = [(d, shingle_set(t)) for d, t in rows]
+    group = list(range(len(rows)))
+    for i, (a, x) in enumerate(sets):
+        for j, (b, y) in enumerate(sets[:i]):
+            if x and y and (a == b or 100 * len(x & y) >= 75 * len(x | y)):
+                group = [group[j] if g == group[i] else g for g in group]
+    return {(d, t): min(e for (e, _), g in zip(sets, group, strict=True) if g == group[i]) for i, (d, t) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_near_ids_that_several_texts_share(spark, seed):
+    # 5 and 9 tie A, B and C together; 5 represents two classes; hundreds of rows share an id and hold texts of their own
+    a, b, c = prose(71 + seed, 40), prose(81 + seed, 40), prose(91 + seed, 60)
+    rows = [(1, a), (5, a), (5, b), (9, b), (9, c), (12, changed(c, seed, 0.01)), (20, a + " " + b), (21, ""), (5, "")]
+    rows += [(30, prose(2000 + i, 25)) for i in range(80)] + [(29, prose(2003, 25)), (40, prose(2050, 25)), (50, "x y"), (50, prose(3000, 30)), (45, "x y")]
+    got = op2_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", F.col("text"))).collect()
+    hashes = {(r["d"], r["h"]): (r["d"], r["t"]) for r in spark.createDataFrame(rows, "d long, t string").withColumn("h", F.xxhash64("t")).collect()}
+    want = vertices_by_hand(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["component_id"] == want[hashes[r["doc_id"], r["__rid"]]] and r["kept"] == (r["doc_id"] == r["component_id"])
+
+
+def test_near_families_with_many_labels(spark, monkeypatch):
+    # a node whose documents are of many components is cut into pairs of blocks, and no link is lost
+    monkeypatch.setattr(op2_minhash, "NODE", 16)
+    monkeypatch.setattr(op2_minhash, "HELD", 500)
+    base = prose(5, 80)
+    rows = [(i, changed(base, 100 + i, 0.02 + 0.0006 * i)) for i in range(120)]
+    got = op2_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == near_by_hand(rows)
+
+
+def test_salted_join_repeats_wide_rows_of_hot_keys_only(spark):
+    rows = stage(spark.range(0, 4000).select(F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("k"), "id"), "r")
+    table = stage(rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("s", F.array("k")), "t")
+    got = salted_join(rows, table, ["k"], "n", 4000, ["id"])
+    assert got.count() == 4000 and got.filter("s[0] <> k").count() == 0 and got.columns == ["k", "id", "s"]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001)]
     df = spark.createDataFrame(edges, "a long, b long").withColumn("g", F.col("a") % 7)
@@ -117,19 +159,56 @@ def pages(spark):
     return spark.createDataFrame([(*p, "t") for p in PAGES], "page_id long, url string, html string, size string")
 
 
+def warc_by_hand(rows):
+    """rows: key, payload. A response for each payload, the smallest key's (null last), the others revisit it."""
+    out, seen = Counter(), {}
+    for k, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        b = (html or "").encode()
+        first = b not in seen
+        out[k, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if first else "revisit", None if first else seen[b]] += 1
+        seen.setdefault(b, k)
+    return out
+
+
 def test_warc_round_trip(spark, tmp_path):
     save(pages(spark), tmp_path, "pages")
-    got = {r["page_id"]: tuple(r)[1:] for r in op3_warc.op3_warc(spark, str(tmp_path)).collect()}
-    first = {}
-    for k, _, html in sorted((p for p in PAGES if p[0] is not None)):
-        first.setdefault(html or "", k)
-    for k, _, html in PAGES:
-        if k is None:
-            continue
-        b = (html or "").encode()
-        f = first[html or ""]
-        assert got[k] == (len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if f == k else "revisit", None if f == k else f)
-    assert len(got) == len(PAGES)
+    got = Counter(tuple(r) for r in op3_warc.op3_warc(spark, str(tmp_path)).collect())
+    assert got == warc_by_hand([(k, html) for k, _, html in PAGES])
+
+
+WARC_ODD = {
+    "repeated rows": [(1, "abc")] * 2 + [(2, "abc")] + [(3, "once")] + [(5, "only here")] * 3 + [(None, "abc"), (None, "none"), (None, "none")],
+    "wide keys": [(-(1 << 63), "a"), ((1 << 63) - 1, "b"), (0, "a"), (-1, "c"), (1, "c" * 5_000)],
+    "one key with most rows": [(7, prose(i, 40)) for i in range(180)] + [(i, prose(9, 40)) for i in range(20)],
+    "one outlying key": [(i, prose(i, 60)) for i in range(150)] + [(1 << 62, "far")],
+    "copies of one payload": [(i, "the same " * 50) for i in range(300)] + [(4, "the same " * 50)] * 50,
+}
+
+
+@pytest.mark.parametrize("name", WARC_ODD)
+def test_warc_odd_keys(spark, tmp_path, name):
+    rows = WARC_ODD[name]
+    sums = []
+    for k in (1, 4):
+        df = spark.createDataFrame([(a, f"u{a}", b) for a, b in rows], "page_id long, url string, html string").repartition(k)
+        m = op3_warc.write_warc(df, f"file://{tmp_path}/w{k}", "page_id", "url", "html", shard_bytes=6_000, roll_bytes=3_000)
+        assert Counter(tuple(r) for r in op3_warc.read_warc(m, f"file://{tmp_path}/w{k}").collect()) == warc_by_hand(rows)
+        sums.append(sorted((r["name"], r["records"], r["sha256"]) for r in m.collect()))
+        if len(rows) > 100:  # no shard holds most of the records
+            assert m.groupBy("shard").agg(F.sum("records").alias("n")).agg(F.max("n")).first()[0] < 0.4 * len(rows)
+    assert sums[0] == sums[1]
+
+
+def test_warc_sql_on_repeated_rows(spark, tmp_path):
+    import duckdb
+
+    rows = WARC_ODD["repeated rows"]
+    folder = save(spark.createDataFrame([(a, "u", b) for a, b in rows], "page_id long, url string, html string"), tmp_path, "pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+    rel = con.sql(op3_warc.SQL["op3_warc"])
+    at = [rel.columns.index(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")]
+    assert Counter(tuple(r[i] for i in at) for r in rel.fetchall()) == warc_by_hand(rows)
 
 
 def test_warc_files_are_equal_and_rolled(spark, tmp_path):
