@@ -44,17 +44,17 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *folders: str) -> DataFrame:
     """The rows as a written table in the shared folder: lineage ends here and a lost executor loses nothing.
 
     More tasks than WAVES for each core would only make more files, so partitions are joined, without a shuffle, down to
     that number; not where executors come and go, since the cores of the moment say nothing there. The frame has the
-    folder as `staged_at`, for unstage().
+    folder as `staged_at`, for unstage(). folders: columns by whose values the table is cut into folders.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     if spark.conf.get("spark.dynamicAllocation.enabled", "false") != "true":
         df = df.coalesce(WAVES * spark.sparkContext.defaultParallelism)
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

@@ -7,55 +7,73 @@ in a fold; each leaves one fractional document, and those meet in blocks of the
 That last one is rounded alone. As long documents go first and the shorter ones make up for what that rounding adds, a
 source's words miss its target by less than its mean document, unless nearly all its words are in long ones.
 
+Rows that are equal in doc_id, text and source are one unit: moving mass among equal ones leaves whole copies and one
+fraction, whatever the order, so the whole ones are counted and the fraction is what the unit takes to its block. Blocks
+are as small, then, whatever share of the rows are equal, and the units' rows are told apart by number at the end.
+
+Targets are found by rounds over the sources, a narrow table however many they are: the level at which the sources below
+their caps share the rest rises until none passes its cap. A source's place by code point is its rank in a range-sorted
+table and that of the ranges before it. No window is without a key but one over the ranges.
+
 Random numbers are hashes of the documents, and a block's members are sorted: reruns agree, whatever the partitions.
 
 Results for odd input: a null text has size 0. Null sources are one source, after all others. Sources without words have
-target 0, and documents without words get the whole part of the copies only. A null doc_id is an id like others; equal
-rows are rounded each on its own and may differ, as their order means nothing. An empty table gives an empty result.
-Other columns pass through mix(), whatever their names; columns made here start with two underscores.
+target 0, and documents without words get the whole part of the copies only (one where the source has no words). A null
+doc_id is an id like others; of equal rows some may get a copy more than others, and which means nothing. Very long texts
+are counted whole; a document longer than its source's target still gets its copies or not as a whole. An empty table
+gives an empty result. Other columns pass through mix(), whatever their names; columns made here start with two
+underscores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import n_words, sized, stage
+from tessera.llm.common import n_words, sized, split_join, stage, unstage
 
 WEIGHTS, MOST_COPIES, FAN, SEED = (1, 2, 3), 3, 48, 20240607
+#: Rows of one unit that are numbered or made in one piece.
+CHUNK = 50_000
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """Rows source, n, source_size, target, __blocks, __mean, __short (words of those up to the mean): one for each source.
+def source_key(source: Column) -> Column:
+    """A source as a string that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
-    The targets are min(most * size, level * weight) with the level at which they share the sum of sizes: sources are
-    taken in order of the level at which they reach their cap, and the first that stays below it sets the level. The
-    windows have no key, as they hold one narrow row for each source.
-    """
-    s = sizes.groupBy("source", "size").agg(F.count("*").alias("n"))  # sizes first: the mean is needed for a sum
-    m = s.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("__mean"))
-    s = s.join(m, s["source"].eqNullSafe(m["source"])).drop(m["source"])
-    s = s.groupBy("source").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("source_size"), F.max("__mean").alias("__mean"),
+
+def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """Staged rows __s (source_key), source, n (rows), source_size, target, __blocks, __mean, __short (words of documents up
+    to the mean): one for each source. units: staged rows __s, source, size, c (how many rows there are of it)."""
+    s = units.groupBy("__s", "size").agg(F.sum("c").alias("n"), F.first("source").alias("source"))  # sizes first: the mean is needed for a sum
+    m = s.groupBy("__s").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("__mean"))
+    s = s.join(m, "__s").groupBy("__s").agg(
+        F.first("source").alias("source"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("source_size"), F.max("__mean").alias("__mean"),
         F.sum(F.when(F.col("size") <= F.col("__mean"), F.col("n") * F.col("size")).otherwise(0)).alias("__short"),
     )
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    s = s.withColumn("__k", F.row_number().over(order) - 1)
-    s = s.withColumn("__w", F.element_at(F.array(*(F.lit(float(x)) for x in weights)), (F.col("__k") % len(weights) + 1).cast("int")))
-    s = s.withColumn("__cap", (F.col("source_size") * most).cast("double"))
-    caps = Window.orderBy((F.col("__cap") / F.col("__w")), "__k")
-    before = caps.rowsBetween(Window.unboundedPreceding, -1)
-    rest = caps.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    total = F.sum("source_size").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    level = (total - F.coalesce(F.sum("__cap").over(before), F.lit(0.0))) / F.sum("__w").over(rest)
-    s = s.withColumn("__level", level)
-    # the first source whose cap is above the level sets it for all
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ratio = F.col("__cap") / F.col("__w")
-    first = F.min(F.when(ratio > F.col("__level"), F.struct(ratio.alias("r"), "__k", F.col("__level").alias("v"))))
-    s = s.withColumn("__level", first.over(whole)["v"])
-    target = F.when(F.col("__level").isNull(), F.col("__cap")).otherwise(F.least("__cap", F.col("__level") * F.col("__w")))
-    return s.select("source", "n", "source_size", target.alias("target"), F.ceil(F.col("n") / FAN).alias("__blocks"), "__mean", "__short")
+    s = stage(s, "sources")
+    # places by code point, null last: within a range by the order of its rows, and the ranges by their counts
+    placed = s.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
+    placed = stage(placed.withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "places")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("__range").agg(F.count("*").alias("k")).withColumn("__before", F.coalesce(F.sum("k").over(before), F.lit(0))).drop("k")
+    placed = placed.join(F.broadcast(ranges), "__range")  # a row for each partition
+    place = ((F.col("__before") + F.col("__at")) % len(weights) + 1).cast("int")
+    placed = placed.withColumn("__w", F.element_at(F.array(*(F.lit(x) for x in weights)), place)).withColumn("__cap", F.col("source_size") * most)
+    placed = stage(placed.drop("__range", "__at", "__before"), "weighed")
+    total = placed.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    capped, level = F.lit(False), None
+    while True:  # the level only rises; it stays once no further source passes its cap
+        share = placed.agg(F.sum(F.when(capped, F.col("__cap"))).alias("gone"), F.sum(F.when(~capped, F.col("__w"))).alias("w")).first()
+        found = (total - (share["gone"] or 0)) / share["w"] if share["w"] else None
+        if found is None or found == level:
+            break
+        level = found
+        capped = F.col("__w") * F.lit(float(level)) > F.col("__cap")
+    target = F.when(capped, F.col("__cap").cast("double")).otherwise(F.col("__w") * F.lit(float(level or 0)))
+    out = stage(placed.select("__s", "source", "n", "source_size", target.alias("target"), F.ceil(F.col("n") / FAN).alias("__blocks"), "__mean", "__short"), "targets")
+    unstage(s, placed)
+    return out
 
 
 def _uniform(a: str, b: str) -> str:
@@ -84,94 +102,118 @@ aggregate(slice(v, 2, size(v)), struct(v[0] as c, slice(array(struct(v[0].h as h
 
 
 def _level(live: DataFrame) -> DataFrame:
+    """live: __s, doc_id, __rid, size, __m (its fraction in words), __blocks."""
     h = F.xxhash64(F.lit(SEED), "doc_id", "__rid")
-    e = F.struct(h.alias("h"), F.col("doc_id").alias("id"), F.col("size").cast("double").alias("s"), (F.col("size") * F.col("__f")).alias("m"))
-    return live.select("source", F.pmod(h, F.col("__blocks")).alias("block"), e.alias("e"))
+    e = F.struct(h.alias("h"), F.col("doc_id").alias("id"), F.col("size").cast("double").alias("s"), F.col("__m").alias("m"))
+    return live.select("__s", F.pmod(h, F.col("__blocks")).alias("block"), e.alias("e"))
 
 
 def reduced(level: DataFrame, blocks: int) -> DataFrame:
-    """Rows source, h, id, s, rise: every document of level (source, block, e) rounded, by a tree of folds. blocks: the
+    """Rows __s, h, id, s, rise: every document of level (__s, block, e) rounded, by a tree of folds. blocks: the
     most that a source has. Each level is a staged table of a row for each block."""
     out = None
     while True:
-        folded = level.groupBy("source", "block").agg(F.sort_array(F.collect_list("e")).alias("v"))
-        folded = stage(folded.select("source", "block", F.expr(_FOLD).alias("r")).select("source", "block", "r.c", "r.done"), "mix-level")
-        done = folded.select("source", F.explode("done").alias("d")).select("source", "d.h", "d.id", "d.s", "d.rise")
+        folded = level.groupBy("__s", "block").agg(F.sort_array(F.collect_list("e")).alias("v"))
+        folded = stage(folded.select("__s", "block", F.expr(_FOLD).alias("r")).select("__s", "block", "r.c", "r.done"), "mix-level")
+        done = folded.select("__s", F.explode("done").alias("d")).select("__s", "d.h", "d.id", "d.s", "d.rise")
         out = done if out is None else out.unionByName(done)
         if blocks <= 1:  # one document is left in each source: rounded by its own fraction
             alone = F.expr(f"{_uniform('c.h', '1')} * c.s < c.m").alias("rise")
-            return out.unionByName(folded.select("source", "c.h", "c.id", "c.s", alone))
+            return out.unionByName(folded.select("__s", "c.h", "c.id", "c.s", alone))
         blocks = -(-blocks // FAN)
-        level = folded.select("source", F.floor(F.col("block") / FAN).alias("block"), F.col("c").alias("e"))
+        level = folded.select("__s", F.floor(F.col("block") / FAN).alias("block"), F.col("c").alias("e"))
 
 
-def rounded(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows source, h, id, s, rise for every document with words in a source whose copies are not whole. sizes has
-    doc_id, __rid, source, size.
+def _units(units: DataFrame, t: DataFrame, total: int) -> DataFrame:
+    """units with __base (further whole copies of their rows together) and __m (words of the fraction that is left)."""
+    live = split_join(units, t, ["__s"], "n", total)
+    mass = F.col("c") * F.col("__f")
+    base = F.floor(mass + F.lit(1e-9))
+    return live.withColumn("__base", base.cast("long")).withColumn("__m", F.greatest(mass - base, F.lit(0.0)) * F.col("size"))
+
+
+def rounded(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """Staged rows __s, doc_id, __rid, size, c, up: how many of the c equal rows get a copy above the whole part. For units with
+    words in sources whose copies are not whole. units: staged rows doc_id, __rid, __s, source, size, c.
 
     Documents longer than their source's mean go first. What the rounding of their last one adds to the source or takes
     from it, the shorter ones make up for: their fraction is shifted by it, which has expectation 0.
     """
-    t = targets.withColumn("__f", F.col("target") / F.col("source_size") - F.floor(F.col("target") / F.col("source_size")))
-    t = t.filter((F.col("source_size") > 0) & (F.col("__f") > 0)).select("source", "__f", "__blocks", "__mean", "__short")
-    live = sizes.filter(F.col("size") > 0)
-    live = live.join(_few(t), live["source"].eqNullSafe(t["source"])).drop(t["source"])
-    most = targets.agg(F.max("__blocks")).first()[0] or 1
-    long = reduced(_level(live.filter(F.col("size") > F.col("__mean"))), most)
-    over = long.groupBy("source").agg(F.sum(F.when(F.col("rise"), F.col("s")).otherwise(F.lit(0.0))).alias("__took"), F.sum("s").alias("__of"))
-    t = t.join(over, t["source"].eqNullSafe(over["source"]), "left").drop(over["source"])
+    rest = F.col("target") / F.col("source_size") - F.floor(F.col("target") / F.col("source_size"))
+    t = targets.filter("source_size > 0").withColumn("__f", rest).filter("__f > 0")
+    t = stage(t.select("__s", "__f", "__blocks", "__mean", "__short", "n"), "fractions")
+    total, most = units.count(), targets.agg(F.max("__blocks")).first()[0] or 1
+
+    def settled(live: DataFrame, name: str) -> DataFrame:
+        live = stage(live, name)
+        up = reduced(_level(live.filter("__m > 0")), most).filter("rise").select(F.col("h").alias("__h"), F.col("id").alias("__id"))
+        keyed = live.withColumn("__h", F.xxhash64(F.lit(SEED), "doc_id", "__rid"))
+        both = keyed.join(up, (keyed["__h"] == up["__h"]) & keyed["doc_id"].eqNullSafe(up["__id"]) & (keyed["__m"] > 0), "left")
+        copies = F.col("__base") + up["__h"].isNotNull().cast("long")
+        return stage(both.select("__s", "doc_id", "__rid", "size", "c", copies.alias("up")), f"{name}-up")
+
+    live = units.filter("size > 0").select("__s", "doc_id", "__rid", "size", "c")
+    long = settled(_units(live, t, total).filter(F.col("size") > F.col("__mean")), "long")
+    over = long.groupBy("__s").agg(F.sum(F.col("up") * F.col("size")).alias("__took"), F.sum(F.col("c") * F.col("size")).alias("__of"))
     owed = F.coalesce(F.col("__f") * F.col("__of") - F.col("__took"), F.lit(0.0))
     shifted = F.when(F.col("__short") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__f") + owed / F.col("__short")))).otherwise(F.col("__f"))
-    t = stage(t.select("source", shifted.alias("__f"), "__blocks", "__mean"), "mix-short")
-    live = sizes.filter(F.col("size") > 0)
-    live = live.join(_few(t), live["source"].eqNullSafe(t["source"])).drop(t["source"])
-    return long.unionByName(reduced(_level(live.filter(F.col("size") <= F.col("__mean"))), most))
-
-
-def _few(targets: DataFrame) -> DataFrame:
-    """A row for each source: broadcast if their counted number allows."""
-    return F.broadcast(targets) if targets.count() <= 100_000 else targets
-
-
-def allot(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """doc_id, __rid, source, size, source_size, target, copies for every row of docs; __rid: hash of text and source."""
-    sizes = stage(docs.select("doc_id", F.xxhash64("text", "source").alias("__rid"), "source", n_words(F.col("text")).alias("size")), "sizes")
-    targets = stage(source_targets(sizes, weights, most), "targets")
-    up = rounded(sizes, targets)
-    t = _few(targets.select("source", "source_size", "target"))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1))
-    rest = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") - F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
-    a = sizes.join(t, sizes["source"].eqNullSafe(t["source"])).drop(t["source"]).withColumns({"__whole": whole.cast("long"), "__rest": rest})
-    fixed = a.filter((F.col("size") == 0) | (F.col("__rest") <= 0)).withColumn("copies", F.col("__whole"))
-    moving = a.filter((F.col("size") > 0) & (F.col("__rest") > 0))
-    # equal rows are interchangeable: the k-th of them takes the k-th result
-    h = F.xxhash64(F.lit(SEED), "doc_id", "__rid")
-    got = up.groupBy(F.col("h").alias("__h"), F.col("id").alias("__id")).agg(F.sort_array(F.collect_list("rise")).alias("__rise"))
-    nth = Window.partitionBy("__h", "doc_id").orderBy("size")
-    moving = moving.withColumn("__h", h).withColumn("__nth", F.row_number().over(nth))
-    moving = moving.join(got, (moving["__h"] == got["__h"]) & moving["doc_id"].eqNullSafe(got["__id"])).drop(got["__h"])
-    moving = moving.withColumn("copies", F.col("__whole") + F.element_at("__rise", F.col("__nth")).cast("long"))
-    cols = ["doc_id", "__rid", "source", "size", "source_size", "target", "copies"]
-    return fixed.select(*cols).unionByName(moving.select(*cols))
+    t = stage(t.join(over, "__s", "left").select("__s", shifted.alias("__f"), "__blocks", "__mean", "n"), "shifted")
+    short = settled(_units(live, t, total).filter(F.col("size") <= F.col("__mean")), "short")
+    return long.unionByName(short)
+
+
+def allotted(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """A row for each unit: doc_id, __rid (hash of text and source), source, size, source_size, target, c (its rows),
+    __whole (copies of each), up (how many of the rows get one more)."""
+    rows = docs.select("doc_id", F.xxhash64("text", "source").alias("__rid"), source_key(F.col("source")).alias("__s"), "source", n_words(F.col("text")).alias("size"))
+    units = stage(rows.groupBy("doc_id", "__rid", "__s", "size").agg(F.first("source").alias("source"), F.count("*").alias("c")), "units")
+    targets = source_targets(units, weights, most)
+    up = rounded(units, targets)
+    cols = ["doc_id", "__rid", "source", "size", "source_size", "target", "c", "__whole", "up"]
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)).cast("long")
+    ratio = F.col("target") / F.col("source_size")
+    t = targets.withColumns({"__whole": whole, "__moves": F.when(F.col("source_size") > 0, ratio - F.floor(ratio) > 0).otherwise(F.lit(False))})
+    t = stage(t.select("__s", "source", "source_size", "target", "__whole", "__moves", "n"), "shares")
+    total = units.count()
+    still = split_join(units.drop("source"), t, ["__s"], "n", total).filter("size = 0 or not __moves").withColumn("up", F.lit(0).cast("long"))
+    moving = split_join(up, t, ["__s"], "n", total).filter("__moves")
+    return still.select(*cols).unionByName(moving.select(*cols))
+
+
+def allot(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, __rid, source, size, source_size, target, copies for every row of docs."""
+    units = stage(allotted(docs, **options), "allotted")
+    cols = ["doc_id", "__rid", "source", "size", "source_size", "target"]
+    single = units.filter("c = 1").select(*cols, (F.col("__whole") + F.col("up")).alias("copies"))
+    # equal rows are made by number, those of large units in pieces that any task may take
+    pieces = units.filter("c > 1").withColumn("__k", F.explode(F.expr(f"sequence(0L, (c - 1) div {CHUNK})")))
+    pieces = pieces.repartition("doc_id", "__rid", "__k")
+    several = pieces.withColumn("__i", F.explode(F.expr(f"sequence(__k * {CHUNK}L + 1, least(c, (__k + 1) * {CHUNK}L))")))
+    return single.unionByName(several.select(*cols, (F.col("__whole") + (F.col("__i") <= F.col("up")).cast("long")).alias("copies")))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs with every row as often as the mix takes it (0 times and more)."""
-    copies = allot(docs, **options).groupBy(F.col("doc_id").alias("__id"), F.col("__rid").alias("__r")).agg(F.sort_array(F.collect_list("copies")).alias("__c"))
+    units = allotted(docs, **options).filter("__whole > 0 or up > 0")
+    units = stage(units.select(F.col("doc_id").alias("__id"), F.col("__rid").alias("__r"), F.col("c").alias("__c"), "__whole", F.col("up").alias("__up")), "copies")
     keyed = docs.withColumn("__rid", F.xxhash64("text", "source"))
-    copies = copies.filter((F.size("__c") > 1) | (F.col("__c")[0] > 0))
-    copies = stage(copies, "copies")
-    small = sized(copies, 48)
-    both = keyed.join(small, keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["__rid"] == F.col("__r")))
-    if copies.filter(F.size("__c") > 1).limit(1).count():
-        # equal rows: each takes an entry of the array in turn
-        single = both.filter(F.size("__c") == 1).withColumn("__n", F.col("__c")[0])
-        nth = Window.partitionBy("doc_id", "__rid").orderBy(F.lit(1))
-        several = both.filter(F.size("__c") > 1).withColumn("__k", F.row_number().over(nth))
-        both = single.unionByName(several.withColumn("__n", F.element_at("__c", F.col("__k"))).drop("__k"))
-    else:
-        both = both.withColumn("__n", F.col("__c")[0])
-    return both.filter("__n > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __n)"))).select(*docs.columns)
+    same = keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["__rid"] == F.col("__r"))
+    both = keyed.join(sized(units, 64), same)
+    single = both.filter("__c = 1").withColumn("__n", F.col("__whole") + F.col("__up"))
+    if units.filter("__c > 1").limit(1).count():
+        # numbered as written: within a share of a unit's rows, and the shares by their counts
+        several = stage(both.filter("__c > 1").withColumn("__row", F.monotonically_increasing_id()), "repeated")
+        share = F.pmod(F.xxhash64("__row"), F.floor((F.col("__c") - 1) / CHUNK) + 1)
+        several = several.withColumn("__share", share)
+        key = ["__rid", "doc_id", "__share"]
+        counts = several.groupBy(*key).agg(F.count("*").alias("k"))
+        before = Window.partitionBy("__rid", "doc_id").orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
+        counts = stage(counts.withColumn("__before", F.coalesce(F.sum("k").over(before), F.lit(0))).select(*(F.col(c).alias(f"{c}_") for c in key), "__before"), "shares")
+        nth = several.withColumn("__i", F.row_number().over(Window.partitionBy(*key).orderBy("__row")))
+        nth = nth.join(sized(counts, 48), (nth["__rid"] == F.col("__rid_")) & nth["doc_id"].eqNullSafe(F.col("doc_id_")) & (nth["__share"] == F.col("__share_")))
+        several = nth.withColumn("__n", F.col("__whole") + (F.col("__before") + F.col("__i") <= F.col("__up")).cast("long"))
+        single = single.select(*docs.columns, "__n").unionByName(several.select(*docs.columns, "__n"))
+    return single.filter("__n > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __n)"))).select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,15 @@ A run is a bucketed table sorted by the 128-bit hash of a line's key, with the n
 and the largest id among them. Each batch of documents becomes a run of level 0; keys that an anti-join with the older
 runs finds settled there (enough documents, and no smaller id) are left out of it. Once a level has `fanout` runs they
 are merged into one of the next level. Counts add up and ids take the maximum, so the order of batches does not matter.
-At the end the lines are merge-joined with the runs, and those that stand repeated elsewhere go.
+At the end the lines are merge-joined with the runs, and those that stand repeated elsewhere go. A batch is a share of the
+input's splits, of about BATCH_DOCS documents, and there are BATCHES at least, so the more input, the more batches and
+levels. SortedRuns takes batches that arrive one by one just as well.
 
 Results for odd input: a null or empty text is one empty line, which stays. Every row counts as a document, so repeated
 rows of one doc_id count each; both keep their lines if theirs is the largest id. A null doc_id is never the largest;
-a key that only rows with null ids hold stays in all of them. An empty table gives an empty result. Other columns pass
-through, whatever their names; columns made here start with two underscores.
+a key that only rows with null ids hold stays in all of them. Very long texts are split whole: a row's lines are in
+memory at once, and no line is cut. An empty table gives an empty result. Other columns pass through, whatever their
+names; columns made here start with two underscores.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WHITE, ascii_lower, delete, new_path, sized, split_join, stage, unstage
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
-BATCHES, FANOUT = 2, 2
+BATCHES, BATCH_DOCS, FANOUT = 4, 50_000_000, 4
 KEY = ["h1", "h2"]
 RUN = "h1 long, h2 long, n long, top long"
 
@@ -110,13 +113,15 @@ def keyed_lines(docs: DataFrame, batches: int, least_chars: int) -> DataFrame:
         "transform(a, (x, i) -> struct(x.h1 as h1, x.h2 as h2, x.pos as pos,"
         " i = 0 or a[greatest(i - 1, 0)].h1 <> x.h1 or a[greatest(i - 1, 0)].h2 <> x.h2 as first))"
     )
-    batch = F.pmod(F.xxhash64(F.lit(5), "doc_id", "__rid"), F.lit(batches)).cast("int")
+    # a split's documents go to BATCHES batches next to each other, so there are few files
+    batch = F.pmod(F.spark_partition_id() + F.pmod(F.xxhash64(F.lit(5), "doc_id", "__rid"), F.lit(BATCHES)), F.lit(batches)).cast("int")
     return rows.select("doc_id", "__rid", F.explode(flagged).alias("x"), batch.alias("batch")).select("doc_id", "__rid", "x.*", "batch")
 
 
-def dropped_lines(docs: DataFrame, batches: int = BATCHES, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, fanout: int = FANOUT) -> DataFrame:
+def dropped_lines(docs: DataFrame, batches: int | None = None, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, fanout: int = FANOUT) -> DataFrame:
     """Staged rows doc_id, __rid, __gone: positions, from 0, of the lines that a document loses; none for most documents."""
-    lines = stage(keyed_lines(docs, batches, least_chars), "lines")
+    batches = batches or max(BATCHES, -(-docs.count() // BATCH_DOCS))
+    lines = stage(keyed_lines(docs, batches, least_chars), "lines", "batch")
     store = SortedRuns(docs.sparkSession, fanout=fanout, least_docs=least_docs)
     for b in range(batches):
         store.absorb(lines.filter((F.col("batch") == b) & F.col("first")))
@@ -135,7 +140,7 @@ def dedup_lines(docs: DataFrame, **limits: int) -> DataFrame:
     """docs with text without its dropped lines, and __n_lines, __n_dropped. A text that keeps all lines is untouched,
     a null one too."""
     gone = dropped_lines(docs, **limits)
-    small = sized(gone.select(F.col("doc_id").alias("__id"), F.col("__rid").alias("__r"), "__gone"), 200)
+    small = sized(gone.select(F.col("doc_id").alias("__id"), F.col("__rid").alias("__r"), "__gone"), 48 + 8 * F.size("__gone"))
     keyed = docs.withColumn("__rid", F.xxhash64("text"))
     both = keyed.join(small, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__rid").eqNullSafe(F.col("__r")), "left")
     both = both.withColumn("__l", lines_of(F.col("text")))
@@ -162,16 +167,16 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op5_lines": op5_lines}
 SQL = {
     "op5_lines": r"""
-WITH l AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+l AS (
+  SELECT row, doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS pos FROM d),
 k AS (
-  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT row, doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 f AS (
-  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
-m AS (SELECT k.*, f.top IS NOT NULL AND k.doc_id <> f.top AS gone FROM k LEFT JOIN f USING (key))
+  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT row) >= 3),
+m AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.top AS gone FROM k LEFT JOIN f USING (key))
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id"""
+FROM m GROUP BY row, doc_id"""
 }

@@ -8,11 +8,13 @@ packed in a task of its own; the sequences of a cell that stay emptier than REPA
 packed again in the next round, over fewer cells, until one cell holds what is left. So cells cost no sequences.
 
 Results for odd input: a null or empty text is the end token alone. Rows of one doc_id are documents each on its own. A
-null doc_id is an id like others. An empty table gives an empty result. Other columns are not returned.
+null doc_id is an id like others. Very long texts are encoded whole, one row at a time. An empty table gives an empty
+result. Other columns are not returned.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -29,6 +31,8 @@ WEIGHTS = (1.0, 0.001, 0.001)
 MOST_DOCS, MOST_COST = CAPACITY, CAPACITY**2
 CELL, REPACK, MOST_TASKS = 6000, 0.98, 4096
 _ENCODERS: dict = {}
+#: The pattern that splits words looks ahead from blanks, and steps back through a long run of them on a stack that ends.
+_BLANKS = re.compile(r"\s{1000}")
 
 
 def default_vocabulary() -> str:
@@ -39,7 +43,7 @@ def default_vocabulary() -> str:
 
 def _encoder(path: str):
     """The tokenizer of a tokenizers file; byte-level BPE with the well-known split runs on tiktoken, several times as fast
-    with the same ids."""
+    with the same ids. Texts with a long run of blanks are left to the tokenizers library."""
     if path not in _ENCODERS:
         _ENCODERS[path] = _bpe(path) or _plain(path)
     return _ENCODERS[path]
@@ -73,7 +77,8 @@ def _bpe(path: str):
     if merged != sorted(merged):
         return None
     enc = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: enc.encode(text, allowed_special="all", disallowed_special=())
+    plain = _plain(path)
+    return lambda text: plain(text) if _BLANKS.search(text) else enc.encode(text, allowed_special="all", disallowed_special=())
 
 
 def _pieces_of(path: str, capacity: int, end: int):
@@ -159,13 +164,13 @@ def pack(pieces: DataFrame, capacity=(CAPACITY, MOST_DOCS, MOST_COST), weights=W
     # numbers under 0 for pieces alone, from r * 2**56 for the cells of round r, each with 2**24
     done = pieces.filter(alone).select(*cols, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     todo = pieces.filter(~alone).select(*cols)
-    n, rounds = todo.count(), 0
+    n, rounds, tasks = todo.count(), 0, 2 * todo.sparkSession.sparkContext.defaultParallelism
     while n:
         cells = max(1, -(-n // CELL))
         last = cells == 1 or rounds >= 12
         dealt = todo.withColumn("cell", F.pmod(F.xxhash64(F.lit(rounds), "row", "piece"), F.lit(cells)))
         # a cell takes seconds whatever its few bytes, so partitions are by number and not joined by size
-        packed = dealt.repartition(min(cells, MOST_TASKS), "cell").sortWithinPartitions("cell").select("cell", "row", "piece", "length")
+        packed = dealt.repartition(min(cells, max(MOST_TASKS, tasks)), "cell").sortWithinPartitions("cell").select("cell", "row", "piece", "length")
         placed = packed.mapInArrow(_packer(capacity, weights, score, last), "row long, piece int, bin long, offset long")
         placed = stage(todo.join(placed, ["row", "piece"]), "packed")
         whole = placed.filter("bin >= 0").select(*cols, (F.col("bin") + F.lit(rounds << 56)).alias("sequence_id"), "offset")

@@ -3,17 +3,23 @@
 Vectors are dealt to the nearest of a bounded sample of pivots, and those of a pivot to trees of about TREE vectors. A
 tree is loaded in bulk: a node's members go to the nearest of FANOUT routing objects, down to leaves of PAGE; each node
 is a page (a row of a written table) with its entries' vectors, covering radii and distances to the node's own routing
-object. Queries go through each tree in blocks, best bound first: with q the query, p a node's routing object and c an
+object. Queries go through a tree in blocks, best bound first: with q the query, p a node's routing object and c an
 entry's, <q, c's members> <= <q, p> + |q| (d(p, c) + r(c)), which needs no product with c, and <= <q, c> + |q| r(c). A page
-is opened only while its bound reaches the k-th score so far. The best k of all trees are merged by score and id.
+is opened only while its bound reaches the k-th score so far.
 
-Every row of pages and blocks is small, and a task holds one tree at a time. The sum of products of two vectors must fit
-a long; vectors whose products might leave the exact range of doubles are multiplied as integers.
+The trees are gone through in two waves. In the first a query meets one tree, of the pivot whose product with it is
+highest; the k-th score found there goes with it. In the second it meets only the trees of pivots whose bound, by the
+pivot's covering radius, reaches that score, and starts in each of them with it. The best k of all are merged by score
+and id. Where trees are few, several tasks take a copy of a tree and a share of the blocks each.
 
-Results for odd input: vectors that are null, empty, or hold null or non-finite components take no part. Vectors of
-another length than the query's are no candidates. Rows of one id and equal vectors count once; a row with the query's
-own id is no candidate. A null id takes no part. Fewer than k candidates: all of them; none: no row. An empty table gives
-an empty result. Other columns are not used or returned.
+Every row of pages and blocks is small, and a task holds one tree at a time; vectors whose products might leave the exact
+range of doubles are multiplied as integers of any size.
+
+Results for odd input: vectors that are null, empty, or hold null or non-finite components take no part. Components, and
+scores, beyond the range of a long are the end of that range. Vectors of another length than the query's are no
+candidates. Rows of one id and equal vectors count once; a row with the query's own id is no candidate, and the rows of
+one id with other vectors are queries whose results are ranked as one. A null id takes no part. Fewer than k candidates:
+all of them; none: no row. An empty table gives an empty result. Other columns are not used or returned.
 """
 
 from __future__ import annotations
@@ -31,21 +37,26 @@ from tessera.llm.components import sorted_groups
 
 TOP, TREE, PAGE, FANOUT, PIVOTS, BLOCK = 5, 16_384, 128, 12, 256, 64
 _EXACT = 1 << 52
+#: What bounds are raised by, for the rounding of doubles.
+_SLACK = 1e-9
+_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 
 
 def _products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return rows @ q
+    """Scores: inner products, at the ends of a long's range if beyond."""
+    found = rows @ q
+    return found if found.dtype != object else np.minimum(np.maximum(found, _LOW), _HIGH)
 
 
 def _typed(m: np.ndarray) -> np.ndarray:
     """Integers as doubles if all their products are exact so, else as Python's integers."""
-    most = int(np.abs(m).max()) if m.size else 0
+    most = max(int(m.max()), -int(m.min())) if m.size else 0
     return m.astype(np.float64) if most * most * m.shape[-1] < _EXACT else m.astype(object)
 
 
 def _far(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
     d = rows.astype(np.float64) - point.astype(np.float64)
-    return np.sqrt(np.einsum("ij,ij->i", d, d)) * (1 + 1e-12)
+    return np.sqrt(np.einsum("ij,ij->i", d, d)) * (1 + _SLACK)
 
 
 def build(ids: np.ndarray, vectors: np.ndarray) -> list[bytes]:
@@ -87,25 +98,26 @@ class Tree:
         got = [pickle.loads(x) for x in payloads]
         self.root = got[0][0]
         self.pages = [(k, *(_typed(x) if x.ndim == 2 else x for x in rest)) for _, (k, *rest) in got]
+        # no routing object is longer than the longest vector of a page
+        self.reach = max(float(np.sqrt((p[2].astype(np.float64) ** 2).sum(1).max())) for p in self.pages) if self.pages else 0.0
         self.opened = 0
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the best k, best first."""
+    def search(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
+        """(score, id) of the best k with scores of at least floor, best first."""
         q = q.astype(np.float64) if _typed(q[None]).dtype == np.float64 and all(p[2].dtype == np.float64 for p in self.pages) else q.astype(object)
-        norm = float(np.sqrt((q.astype(np.float64) ** 2).sum())) * (1 + 1e-12)
-        slack = 1e-9
+        norm = _norm(q)
         best: list[tuple[int, int]] = []  # a heap of (score, -id)
-        root_ip = float(_products(self.root[None].astype(q.dtype), q)[0])
+        root_ip = float(self.root.astype(np.float64) @ q.astype(np.float64))
         todo = [(-np.inf, 0, root_ip)]
         while todo:
             bound, at, ip = heapq.heappop(todo)
-            least = best[0][0] if len(best) == k else -np.inf
+            least = max(best[0][0], floor) if len(best) == k else floor
             if -bound < least:
                 break
             self.opened += 1
             page = self.pages[at]
-            up = ip + norm * page[-1] if page[0] else ip + norm * (page[4] + page[3])
-            up = up + slack * (1 + np.abs(up))
+            far = page[-1] if page[0] else page[4] + page[3]
+            up = _raised(ip + norm * far, norm * (far + self.reach))
             live = np.flatnonzero(up >= least)
             if not len(live):
                 continue
@@ -117,14 +129,23 @@ class Tree:
                     if i != query_id and (len(best) < k or entry > best[0]):
                         heapq.heappush(best, entry) if len(best) < k else heapq.heapreplace(best, entry)
             else:
-                ub = ips.astype(np.float64) + norm * page[3][live]
-                ub = np.minimum(ub + slack * (1 + np.abs(ub)), up[live])
-                for b, child, x in zip(ub.tolist(), page[1][live].tolist(), ips.tolist(), strict=True):
+                near = page[2][live].astype(np.float64) @ q.astype(np.float64)
+                ub = np.minimum(_raised(near + norm * page[3][live], norm * (page[3][live] + self.reach)), up[live])
+                for b, child, x in zip(ub.tolist(), page[1][live].tolist(), near.tolist(), strict=True):
                     if b >= least:
-                        heapq.heappush(todo, (-b, child, float(x)))
+                        heapq.heappush(todo, (-b, child, x))
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
+def _norm(q: np.ndarray) -> float:
+    return float(np.sqrt((q.astype(np.float64) ** 2).sum())) * (1 + _SLACK)
+
+
+def _raised(bound, size):
+    """An upper bound with room for rounding, which grows with what was added up; at least the least score there is."""
+    return np.maximum(bound + _SLACK * (1 + np.abs(size)), float(_LOW))
+
+
 def _matrix(raw: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(raw).view(np.int64)
 
@@ -138,11 +159,40 @@ def _paged(batches):
 
 
 def _blocked(batches):
-    for block, g in sorted_groups(batches, "block", "vec_id", "v"):
-        ids, m = g["vec_id"], _matrix(g["v"])
+    for block, g in sorted_groups(batches, "block", "vec_id", "v", "floor"):
+        ids, m, floors = g["vec_id"], _matrix(g["v"]), g["floor"]
         for i in range(0, len(ids), BLOCK):
-            cols = [pa.array([int(block)], pa.int64()), pa.array([i], pa.int64()), pa.array([pickle.dumps((ids[i : i + BLOCK], m[i : i + BLOCK]))], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["block", "part", "payload"])
+            j = i + BLOCK
+            cols = [pa.array([int(block)], pa.int64()), pa.array([i], pa.int64()), pa.array([m.shape[1]], pa.int32()), pa.array([pickle.dumps((ids[i:j], m[i:j], floors[i:j]))], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["block", "part", "dim", "payload"])
+
+
+def _router(pivots: dict, radii: dict, first: bool):
+    """Of blocks of queries, for every pivot that they must look at, the part that must: in the first wave the pivot of
+    the highest product, in the second those whose bound reaches the query's floor."""
+
+    def route(batches):
+        for batch in batches:
+            rows = []
+            for block, part, dim, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "part", "dim", "payload")), strict=True):
+                ids, m, floors = pickle.loads(payload)
+                p, r = pivots[dim].astype(np.float64), radii[dim]
+                ips = m.astype(np.float64) @ p.T
+                if first:
+                    meets = np.zeros(ips.shape, bool)
+                    meets[np.arange(len(ids)), np.where(r >= 0, ips, -np.inf).argmax(1)] = True
+                else:
+                    norms = np.array([_norm(q) for q in m])[:, None]
+                    reach = np.sqrt((p * p).sum(1))[None, :]
+                    meets = (_raised(ips + norms * r[None, :], norms * (r[None, :] + reach)) >= floors[:, None]) & (r >= 0)[None, :]
+                for k in np.flatnonzero(meets.any(0)):
+                    who = np.flatnonzero(meets[:, k])
+                    rows.append((dim, int(k), block, part, pickle.dumps((ids[who], m[who], floors[who]))))
+            cols = list(zip(*rows, strict=True)) or [[] for _ in range(5)]
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["dim", "pivot", "block", "part", "payload"])
+
+    return route
 
 
 def _searcher(k: int):
@@ -157,9 +207,9 @@ def _searcher(k: int):
                     pages.append(payload.as_py())
                     continue
                 tree = tree or Tree(pages)
-                ids, m = pickle.loads(payload.as_py())
-                for i, q in zip(ids.tolist(), m, strict=True):
-                    out += [(i, v, s) for s, v in tree.search(i, q, k)]
+                ids, m, floors = pickle.loads(payload.as_py())
+                for i, q, floor in zip(ids.tolist(), m, floors.tolist(), strict=True):
+                    out += [(i, v, s) for s, v in tree.search(i, q, k, floor)]
             cols = list(zip(*out, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
@@ -177,14 +227,15 @@ def _dealer(pivots: dict):
     def deal(batches):
         for batch in batches:
             dims, raw = batch.column("dim").to_pylist(), batch.column("v")
-            found = np.zeros(batch.num_rows, np.int64)
+            found, far = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for d in set(dims):
                 rows = [i for i, x in enumerate(dims) if x == d]
                 m = np.frombuffer(b"".join(raw[i].as_py() for i in rows), np.int64).reshape(len(rows), d).astype(np.float64)
                 p = pivots[d].astype(np.float64)
-                found[rows] = ((p * p).sum(1)[None, :] - 2 * (m @ p.T)).argmin(1)
-            cols = [*batch.columns, pa.array(found, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "dim", "v", "pivot"])
+                found[rows] = near = ((p * p).sum(1)[None, :] - 2 * (m @ p.T)).argmin(1)
+                far[rows] = np.sqrt(((m - p[near]) ** 2).sum(1)) * (1 + _SLACK)
+            cols = [*batch.columns, pa.array(found, pa.int64()), pa.array(far, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "dim", "v", "pivot", "far"])
 
     return deal
 
@@ -201,27 +252,51 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
     pivots: dict[int, list] = {}
     for r in sorted(sample, key=lambda r: (r["dim"], bytes(r["v"]))):
         pivots.setdefault(r["dim"], []).append(np.frombuffer(bytes(r["v"]), np.int64))
-    dealt = rows.mapInArrow(_dealer({d: np.array(p) for d, p in pivots.items()}), "vec_id long, dim int, v binary, pivot long")
-    dealt = stage(dealt, "dealt")
-    cells = dealt.groupBy("dim", "pivot").agg(F.ceil(F.count("*") / TREE).cast("long").alias("parts"))
-    cells = F.broadcast(cells)  # PIVOTS rows for each length of vectors
-    trees = dealt.join(cells, ["dim", "pivot"]).withColumn("tree", F.xxhash64("dim", "pivot", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("parts"))))
-    pages = trees.repartition("tree").sortWithinPartitions("tree", "vec_id").select("tree", "dim", "vec_id", "v")
+    points = {d: np.array(p) for d, p in pivots.items()}
+    dealt = stage(rows.mapInArrow(_dealer(points), "vec_id long, dim int, v binary, pivot long, far double"), "dealt")
+    # at most PIVOTS rows for each length of vectors
+    cells = dealt.groupBy("dim", "pivot").agg(F.ceil(F.count("*") / TREE).cast("long").alias("parts"), F.max("far").alias("r"))
+    cells = stage(cells.coalesce(1), "cells")
+    radii, trees = {d: np.full(len(p), -1.0) for d, p in points.items()}, 0
+    for c in cells.collect():
+        radii[c["dim"]][c["pivot"]] = c["r"]
+        trees += c["parts"]
+    name = F.xxhash64("dim", "pivot", "j")
+    pages = dealt.join(F.broadcast(cells), ["dim", "pivot"]).withColumn("j", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("parts"))).withColumn("tree", name)
+    pages = pages.repartition("tree").sortWithinPartitions("tree", "vec_id").select("tree", "vec_id", "v")
     pages = stage(pages.mapInArrow(_paged, "tree long, kind int, seq long, payload binary"), "pages")
     asked = rows.filter(is_query)
-    blocks = asked.withColumn("block", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, asked.count() // (BLOCK * 8))))))
-    dims = stage(blocks.groupBy("block").agg(F.max("dim").alias("dim")), "block-dims")
-    blocks = blocks.repartition("block").sortWithinPartitions("block", "vec_id").mapInArrow(_blocked, "block long, part long, payload binary")
-    blocks = stage(blocks.join(dims, "block"), "blocks")
-    # every block meets every tree of vectors of its length
-    names = trees.groupBy("dim").agg(F.collect_set("tree").alias("trees"))
-    met = blocks.join(F.broadcast(names), "dim").select(F.explode("trees").alias("tree"), F.lit(1).alias("kind"), F.xxhash64("block", "part").alias("seq"), "payload")
-    both = pages.unionByName(met).repartition("tree").sortWithinPartitions("tree", "kind", "seq")
-    found = both.mapInArrow(_searcher(k), "query_id long, vec_id long, score long").distinct()
+    count = asked.count()
+    slices = max(1, min(-(-2 * rows.sparkSession.sparkContext.defaultParallelism // max(trees, 1)), -(-count // BLOCK)))
+
+    def blocked(queries: DataFrame) -> DataFrame:
+        dealt = queries.withColumn("block", F.xxhash64("dim", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, count // (BLOCK * 8))))))
+        return dealt.repartition("block").sortWithinPartitions("block", "vec_id").mapInArrow(_blocked, "block long, part long, dim int, payload binary")
+
+    def searched(queries: DataFrame, first: bool) -> DataFrame:
+        met = blocked(queries).mapInArrow(_router(points, radii, first), "dim int, pivot long, block long, part long, payload binary")
+        met = met.join(F.broadcast(cells), ["dim", "pivot"]).withColumn("slice", F.pmod(F.xxhash64("block", "part"), F.lit(slices)).cast("int"))
+        one = F.array(F.pmod(F.xxhash64("block", "part", F.lit(3)), F.col("parts")))
+        met = met.withColumn("j", F.explode(one if first else F.expr("sequence(0L, parts - 1)")))
+        met = met.select(name.alias("tree"), "slice", F.lit(1).alias("kind"), F.xxhash64("block", "part").alias("seq"), "payload")
+        copies = pages.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).select("tree", "slice", "kind", "seq", "payload")
+        both = copies.unionByName(met).repartition("tree", "slice").sortWithinPartitions("tree", "slice", "kind", "seq")
+        return both.withColumn("tree", F.xxhash64("tree", "slice")).mapInArrow(_searcher(k), "query_id long, vec_id long, score long").distinct()
+
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    floor = F.lit(float("-inf"))
+    queries = asked.withColumn("floor", floor)
+    if trees > 2:
+        kth = searched(queries, True).withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") == k)
+        # a double may round a large score up: one step down is a floor still
+        known = stage(kth.select(F.col("query_id").alias("vec_id"), (F.col("score").cast("double") * (1 - F.signum("score") * 1e-15)).alias("floor")), "floors")
+        # rows of one id that hold several vectors share their results, but not a floor
+        single = asked.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n = 1").select("vec_id")
+        queries = asked.join(known.join(single, "vec_id"), "vec_id", "left").withColumn("floor", F.coalesce("floor", floor))
+    found = searched(queries, False)
     out = found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
     out = stage(out.select("query_id", "rank", "vec_id", "score"), "top-k")
-    unstage(rows, dealt, pages, dims, blocks)
+    unstage(rows, dealt, pages, cells)
     return out
 
 
@@ -240,11 +315,11 @@ QUERIES = {"op9_topk": op9_topk}
 SQL = {
     "op9_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)

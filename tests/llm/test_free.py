@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -200,8 +201,6 @@ def test_warc_odd_keys(spark, tmp_path, name):
 
 
 def test_warc_sql_on_repeated_rows(spark, tmp_path):
-    import duckdb
-
     rows = WARC_ODD["repeated rows"]
     folder = save(spark.createDataFrame([(a, "u", b) for a, b in rows], "page_id long, url string, html string"), tmp_path, "pages")
     con = duckdb.connect()
@@ -381,6 +380,19 @@ def test_bpe_is_the_tokenizer():
     t = Tokenizer.from_file(path)
     for text in ("", " ", "a  b\n\n c", "Éclair's 12345 <|endoftext|> x", "日本語 🙂\u0085​", "don't I'LL\t\r\n", "\x00\x01"):
         assert op8_packing._encoder(path)(text) == t.encode(text, add_special_tokens=False).ids
+    rng = random.Random(3)
+    signs = ["a", "Z", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "'s", "'LL", "1", "²", "é", "日", "🙂", "_", "-", "<|", "|>", "\u0301", "ſ"]
+    for _ in range(1500):
+        text = "".join(rng.choices(signs, k=rng.randrange(1, 60)))
+        assert op8_packing._encoder(path)(text) == t.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_texts_of_long_runs(spark, tmp_path):
+    texts = [" " * 1_000_000 + "x", "\n" * 300_000, "x" * 300_000, ("a" + " " * 999) * 300, "a " * 200_000]
+    save(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    got = op8_packing.op8_packing(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    plain = op8_packing._plain(op8_packing.default_vocabulary())
+    assert {r["doc_id"]: r["n"] for r in got} == {i: len(plain(x)) + 1 for i, x in enumerate(texts)}
 
 
 def top_by_hand(rows, k=5):
@@ -408,6 +420,40 @@ def test_top_k_like_by_hand(spark, tmp_path, monkeypatch, n, dim, spread):
     save(spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label string, dim int"), tmp_path, "embeddings")
     got = {tuple(r) for r in op9_topk.op9_topk(spark, str(tmp_path)).collect()}
     assert got == top_by_hand(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    rel = con.sql(op9_topk.SQL["op9_topk"])
+    at = [rel.columns.index(c) for c in ("query_id", "rank", "vec_id", "score")]
+    assert {tuple(r[i] for i in at) for r in rel.fetchall()} == got
+
+
+def test_top_k_of_large_components(spark, tmp_path):
+    # scores beyond a long are the end of its range; ties there go to the smaller id
+    rows = [(0, [1e15, 1e15]), (1, [1e15, -1e15]), (2, [2e15, 3e15]), (3, [1e30, 1.0]), (4, [-1e30, -1.0]), (5, [-1e15, -2e15]), (6, [1.0, 2.0]), (50, [-3.0, 7.0]), (100, [1e9, -1e9])]
+    save(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tmp_path, "embeddings")
+    end = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    ints = {i: [end(int(np.floor(x * 256))) for x in v] for i, v in rows}
+    want = set()
+    for i in (0, 50, 100):
+        found = sorted((-end(sum(a * b for a, b in zip(ints[i], v, strict=True))), j) for j, v in ints.items() if j != i)[:5]
+        want |= {(i, r, j, -s) for r, (s, j) in enumerate(found, 1)}
+    assert {tuple(r) for r in op9_topk.op9_topk(spark, str(tmp_path)).collect()} == want
+
+
+def test_second_wave_skips_trees():
+    p = np.array([[0, 0], [1000, 0], [0, 1000]])
+    r = np.array([5.0, 10.0, -1.0])
+    q = np.array([[900, 0], [3, 3]], np.int64)
+    import pickle
+
+    import pyarrow as pa
+
+    payload = pickle.dumps((np.array([7, 8]), q, np.array([890_000.0, -np.inf])))
+    batch = pa.RecordBatch.from_pydict({"block": [1], "part": [0], "dim": [2], "payload": [payload]})
+    met = {row["pivot"]: pickle.loads(row["payload"])[0].tolist() for b in op9_topk._router({2: p}, {2: r}, False)([batch]) for row in b.to_pylist()}
+    assert met == {0: [8], 1: [7, 8]}
+    met = {row["pivot"]: pickle.loads(row["payload"])[0].tolist() for b in op9_topk._router({2: p}, {2: r}, True)([batch]) for row in b.to_pylist()}
+    assert met == {1: [7, 8]}
 
 
 def test_trees_skip_pages():

@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import struct
 from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import op1_mixing, op5_lines, op10_quality
@@ -91,6 +93,15 @@ def test_lines_like_by_hand(spark, tmp_path):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == lines_by_hand([(r[0], r[1]) for r in edge_rows()])
 
 
+def test_lines_sql_on_odd_rows(spark, tmp_path):
+    folder = save(edge_docs(spark), tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    rel = con.sql(op5_lines.SQL["op5_lines"])
+    at = [rel.columns.index(c) for c in ("doc_id", "n_lines", "n_dropped", "kept_sha256")]
+    assert sorted((tuple(r[i] for i in at) for r in rel.fetchall()), key=repr) == lines_by_hand([(r[0], r[1]) for r in edge_rows()])
+
+
 @pytest.mark.parametrize("batches, fanout", [(1, 2), (5, 2), (4, 4), (3, 9)])
 def test_lines_whatever_the_batches(spark, batches, fanout):
     rows = [(i, "\n".join(f"a line that is common number {j}" for j in range(i % 7)) + f"\nown {i}") for i in range(60)]
@@ -151,17 +162,81 @@ def test_mix_meets_targets(spark, sources):
     assert sorted((r["doc_id"], r["copies"]) for r in got) == sorted((r["doc_id"], r["copies"]) for r in again)
 
 
-def test_mix_expectations(spark, monkeypatch):
-    docs = mix_docs(spark, {"a": 60, "b": 30, "c": 10})
-    share = Counter()
-    for seed in range(6):
-        monkeypatch.setattr(op1_mixing, "SEED", 1000 + seed)
-        monkeypatch.setattr(op1_mixing, "_FOLD", op1_mixing._FOLD.replace(re.search(r"xxhash64\((\d+),", op1_mixing._FOLD)[1] + ",", f"{1000 + seed},"))
-        for r in op1_mixing.allot(docs).collect():
-            share[r["source"]] += r["copies"]
-            rate = r["target"] / r["source_size"]
-            assert int(rate) <= r["copies"] <= int(rate) + 1
-    assert share["a"] > 0
+def uniform_by_hand(a, b):
+    h = 42
+    for raw in (struct.pack("<i", op1_mixing.SEED), struct.pack("<q", a), b):
+        h = xxhash.xxh64_intdigest(raw, h)
+    return (h - (1 << 64) if h >= 1 << 63 else h) % (1 << 53) / float(1 << 53)
+
+
+def fold_by_hand(block):
+    """block: (h, id, size, mass), sorted. Pairs move mass until one is whole or none; the last is rounded alone."""
+    (h, i, s, m), done = block[0], {}
+    for xh, xi, xs, xm in block[1:]:
+        up, down = min(s - m, xm), min(m, xs - xm)
+        rise = up + down <= 0 or uniform_by_hand(h, struct.pack("<q", xh)) * (up + down) < down
+        if rise and s - m <= xm:
+            done[i], (h, i, s, m) = True, (xh, xi, xs, xm - (s - m))
+        elif rise:
+            done[xi], m = False, m + xm
+        elif m <= xs - xm:
+            done[i], (h, i, s, m) = False, (xh, xi, xs, xm + m)
+        else:
+            done[xi], m = True, m - (xs - xm)
+    done[i] = uniform_by_hand(h, struct.pack("<i", 1)) * s < m
+    return done
+
+
+def test_mix_rounding_by_hand(spark):
+    # 4000 sources of the same six documents: every step as by hand, every document as often as its fraction says
+    parts = [(30.0, 0.2), (200.0, 0.5), (7.0, 0.9), (90.0, 0.45), (50.0, 0.1), (50.0, 0.66)]
+    e = F.struct(F.xxhash64("k", "i").alias("h"), (F.col("k") * 10 + F.col("i")).alias("id"), F.col("s"), (F.col("s") * F.col("f")).alias("m"))
+    level = spark.createDataFrame([(k, i, s, f) for k in range(4000) for i, (s, f) in enumerate(parts)], "k long, i long, s double, f double")
+    level = level.select(F.col("k").cast("string").alias("__s"), F.lit(0).cast("long").alias("block"), e.alias("e"))
+    blocks = defaultdict(list)
+    for r in level.collect():
+        blocks[r["__s"]].append(tuple(r["e"]))
+    got = {r["id"]: r["rise"] for r in op1_mixing.reduced(level, 1).collect()}
+    assert got == {i: rise for b in blocks.values() for i, rise in fold_by_hand(sorted(b)).items()}
+    for i, (_, f) in enumerate(parts):
+        rate = sum(got[k * 10 + i] for k in range(4000)) / 4000
+        assert abs(rate - f) < 4.5 * (f * (1 - f) / 4000) ** 0.5
+    mass = sum(s * f for s, f in parts)
+    for k in range(4000):  # all but the last document's rounding keeps the words
+        assert abs(sum(s * got[k * 10 + i] for i, (s, _) in enumerate(parts)) - mass) <= 200
+
+
+def test_mix_equal_rows(spark, monkeypatch):
+    # nine rows of ten are one document; they are one unit, and their copies differ by one at most
+    monkeypatch.setattr(op1_mixing, "CHUNK", 100)
+    rows = [(7, prose(1, 50), "a", i) for i in range(1800)] + [(100 + i, prose(2 + i, 40), "ab"[i % 2], i) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, c long").repartition(7)
+    got = op1_mixing.allot(docs).collect()
+    assert len(got) == 2000
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["size"] * r["copies"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 50 for s in target)
+    many = Counter(r["copies"] for r in got if r["doc_id"] == 7)
+    assert sum(many.values()) == 1800 and max(many) - min(many) <= 1
+    mixed = Counter(tuple(r) for r in op1_mixing.mix(docs).collect())
+    by_doc = Counter()
+    for (doc, _, _, _), n in mixed.items():
+        by_doc[doc] += n
+    want = Counter()
+    for r in got:
+        want[r["doc_id"]] += r["copies"]
+    assert by_doc == +want and Counter(n for (d, *_), n in mixed.items() if d == 7) == Counter({k: n for k, n in many.items() if k})
+
+
+def test_mix_many_sources(spark):
+    rows = [(i, prose(i, 20 + i % 40), f"host{i % 300:03}") for i in range(900)]
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    got = {r["source"]: r["target"] for r in op1_mixing.allot(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == pytest.approx(targets_by_hand(sizes))
 
 
 def test_mix_odd_rows(spark, tmp_path):
