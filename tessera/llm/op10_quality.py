@@ -4,9 +4,14 @@ The sketch is a log-linear histogram of an integer: values under 64 have a bucke
 quantile is off by 1/32 of itself at most. Sketches merge by adding counts, in any order and with the same result, so
 partial ones are built before the shuffle, and one of a language is the sum of those of its sources.
 
+A limit stands above an upper quantile of the group by a multiple of that quantile's distance from the median. A group's
+quantiles are shrunk to its language's, and a language's to those of all, as if SHRINK more documents were there: a group
+of few documents is judged nearly by its language, one of many by itself, with no step between.
+
 Results for odd input: a null or empty text has no word and fails the base rules. Null and empty lang or source are one
-group. A null doc_id is a document like others; repeated rows each get their (equal) verdict. An empty table gives an
-empty result. Other columns are not touched, whatever their names; columns made here start with two underscores.
+group. A null doc_id is a document like others; repeated rows each get their (equal) verdict. Very long texts are measured
+whole, in arrays of the words and their hashes, of one row at a time. An empty table gives an empty result. Other columns
+are not touched, whatever their names; columns made here start with two underscores.
 """
 
 from __future__ import annotations
@@ -14,19 +19,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BROADCAST_BYTES, WHITE, sized, stage, unstage, words
+from tessera.llm.common import BROADCAST_BYTES, WHITE, sized, split_join, stage, unstage, words
 
 SYMBOLS = "#*$%&|<>"
-#: metric: (spreads from the quartile that a value may lie away, least spread, whether low values are judged too).
-#: The spread is that between the quartiles; the least one stands in where a group's values hardly differ.
+#: metric: (upper quantile in thousandths, distances from the median that a value may lie above it, least distance, whether
+#: low values are judged too, by the mirrored quantile). The least distance stands in where a group's values hardly differ.
 RULES = {
-    "sym": (3, 50, False),  # symbols per 1000 words
-    "dup": (3, 150, False),  # lines equal to an earlier one, per 1000
-    "rep": (3, 100, False),  # words in repeated windows, per 1000
-    "mean": (6, 15, True),  # 100 times the characters per word
+    "sym": (900, 2, 50, False),  # symbols per 1000 words
+    "dup": (990, 1, 50, False),  # lines equal to an earlier one, per 1000
+    "rep": (990, 1, 50, False),  # words in repeated windows, per 1000
+    "mean": (900, 3, 10, True),  # 100 times the characters per word
 }
-#: A group of fewer documents takes the thresholds of its language; a language of fewer, those of all.
-LEAST_DOCS = 200
+#: Documents that a group's quantiles are shrunk by.
+SHRINK = 200
+QUANTILES = sorted({500, *(r[0] for r in RULES.values()), *(1000 - r[0] for r in RULES.values() if r[3])})
 WINDOW = 8
 
 
@@ -37,12 +43,12 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("__w", words(F.col(text))).withColumn(
         "__l", F.filter(F.split(t, "\n"), lambda x: F.translate(x, blank, "") != "")
     )
+    # each word is hashed once, a window is the hash of its words' hashes
+    out = out.withColumn("__v", F.transform("__w", lambda w: F.xxhash64(w)))
+    window = ", ".join(f"__v[i + {k}]" for k in range(WINDOW))
     out = out.withColumn(
         "__h",
-        F.when(
-            F.size("__w") > WINDOW,
-            F.expr(f"transform(sequence(1, size(__w) - {WINDOW - 1}), i -> xxhash64(slice(__w, i, {WINDOW})))"),
-        ).otherwise(F.expr("cast(array() as array<bigint>)")),
+        F.when(F.size("__v") > WINDOW, F.expr(f"transform(sequence(0, size(__v) - {WINDOW}), i -> xxhash64({window}))")).otherwise(F.expr("cast(array() as array<bigint>)")),
     )
     out = out.withColumns(
         {
@@ -56,7 +62,7 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
                 F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
             ),
         }
-    ).drop("__w", "__l", "__h")
+    ).drop("__w", "__l", "__v", "__h")
     # a window is repeated if it equals a neighbour among the sorted; its words count from where the last one ended
     out = out.withColumn(
         "__p",
@@ -105,46 +111,51 @@ def sketches(measured: DataFrame) -> DataFrame:
     return long.groupBy("__lang", "__source", F.col("p.m").alias("m"), F.col("p.b").alias("b")).agg(F.count("*").alias("n"))
 
 
-def thresholds(sk: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """For each group __lang, __source: lo_<m> and hi_<m> (null lo: not judged).
-
-    Merges the sketches of a language, and of all; a group is judged by the narrowest that has least_docs documents.
-    """
-    levels = [("s", ["__lang", "__source"]), ("l", ["__lang"]), ("g", [])]
-    out = sk.select("__lang", "__source").distinct()
-    for tag, keys in levels:
-        h = sk.groupBy(*keys, "m", "b").agg(F.sum("n").alias("n"))
-        h = h.groupBy(*keys, "m").agg(F.sort_array(F.collect_list(F.struct("b", "n"))).alias("h"), F.sum("n").alias("docs"))
-        at = {
-            q: f"aggregate(h, struct(0L as c, cast(null as int) as b), (a, x) -> struct(a.c + x.n as c,"
-            f" case when a.b is null and (a.c + x.n) * 4 >= docs * {q} then x.b else a.b end as b), a -> a.b)"
-            for q in (1, 3)
-        }
-        h = h.withColumns({f"q{q}": bucket_floor(F.expr(e)) for q, e in at.items()}).withColumn("iqr", F.col("q3") - F.col("q1"))
-        aggs = [F.max("docs").alias(f"{tag}_docs")]
-        for m, (k, least, low) in RULES.items():
-            spread = k * F.greatest("iqr", F.lit(least))
-            aggs.append(F.max(F.when(F.col("m") == m, F.col("q3") + spread)).alias(f"{tag}_hi_{m}"))
-            aggs.append(F.max(F.when((F.col("m") == m) & F.lit(low), F.col("q1") - spread)).alias(f"{tag}_lo_{m}"))
-        table = h.groupBy(*keys).agg(*aggs)
-        out = out.join(table, keys, "left") if keys else out.join(F.broadcast(table))  # one row
-    pick = lambda c: (
-        F.when(F.col("s_docs") >= least_docs, F.col(f"s_{c}")).when(F.col("l_docs") >= least_docs, F.col(f"l_{c}")).otherwise(F.col(f"g_{c}"))
-    )
-    return out.select("__lang", "__source", *(pick(f"{x}_{m}").alias(f"__{x}_{m}") for m in RULES for x in ("lo", "hi")))
+def quantiles(sk: DataFrame, *keys: str) -> DataFrame:
+    """Of the merged sketches of keys and m: docs, and q500 and so on for QUANTILES."""
+    h = sk.groupBy(*keys, "m", "b").agg(F.sum("n").alias("n"))
+    h = h.groupBy(*keys, "m").agg(F.sort_array(F.collect_list(F.struct("b", "n"))).alias("h"), F.sum("n").alias("docs"))
+    at = {
+        q: f"aggregate(h, struct(0L as c, cast(null as int) as b), (a, x) -> struct(a.c + x.n as c,"
+        f" case when a.b is null and (a.c + x.n) * 1000 >= docs * {q} then x.b else a.b end as b), a -> a.b)"
+        for q in QUANTILES
+    }
+    return h.select(*keys, "m", "docs", *(bucket_floor(F.expr(e)).alias(f"q{q}") for q, e in at.items()))
+
+
+def _shrunk(near: DataFrame, wide: DataFrame, keys: list[str], shrink: int) -> DataFrame:
+    """near with its quantiles moved to those of wide, as by `shrink` documents."""
+    wide = wide.select(*keys, *(F.col(f"q{q}").alias(f"w{q}") for q in QUANTILES))
+    both = near.join(sized(wide, 100), keys)
+    return both.withColumns({f"q{q}": F.expr(f"(docs * q{q} + {shrink} * w{q}) div (docs + {shrink})") for q in QUANTILES}).drop(*(f"w{q}" for q in QUANTILES))
+
+
+def thresholds(sk: DataFrame, shrink: int = SHRINK) -> DataFrame:
+    """For each group __lang, __source: docs, and lo_<m> and hi_<m> (null lo: not judged). sk is staged."""
+    whole = stage(quantiles(sk).coalesce(1), "quantiles")
+    langs = stage(_shrunk(quantiles(sk, "__lang"), whole, ["m"], shrink).coalesce(1), "quantiles")
+    near = _shrunk(quantiles(sk, "__lang", "__source"), langs, ["__lang", "m"], shrink)
+    aggs = [F.max("docs").alias("docs")]
+    for m, (q, k, least, low) in RULES.items():
+        this = F.col("m") == m
+        up = k * F.greatest(F.col(f"q{q}") - F.col("q500"), F.lit(least))
+        aggs.append(F.max(F.when(this, F.col(f"q{q}") + up)).alias(f"__hi_{m}"))
+        if low:
+            down = k * F.greatest(F.col("q500") - F.col(f"q{1000 - q}"), F.lit(least))
+            aggs.append(F.max(F.when(this, F.col(f"q{1000 - q}") - down)).alias(f"__lo_{m}"))
+        else:
+            aggs.append(F.lit(None).cast("long").alias(f"__lo_{m}"))
+    return near.groupBy("__lang", "__source").agg(*aggs)
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
-    """measured with base_failed and kept. limits: a staged table; joined by broadcast if its counted size allows, else
-    salted, as one group can hold any share of the documents."""
-    fits = limits.count() * 160 <= BROADCAST_BYTES
-    if fits:
-        joined = measured.join(F.broadcast(limits), ["__lang", "__source"], "left")
+    """measured (staged) with base_failed and kept. limits: a staged table; joined by broadcast if its counted size allows,
+    else by split_join, as one group can hold any share of the documents."""
+    keys = ["__lang", "__source"]
+    if limits.count() * 160 <= BROADCAST_BYTES:
+        joined = measured.join(F.broadcast(limits.drop("docs")), keys, "left")
     else:
-        salts = 64
-        spread = limits.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = measured.withColumn("__salt", F.pmod(F.xxhash64("__rid"), F.lit(salts)).cast("int"))
-        joined = joined.join(spread, ["__lang", "__source", "__salt"], "left").drop("__salt")
+        joined = split_join(measured, limits, keys, "docs", measured.count(), "left")
     odd = F.lit(False)
     for m, make in METRIC.items():
         # the value's bucket is compared, as the limit comes from buckets
@@ -204,15 +215,17 @@ def _sql() -> str:
              "rep": "(1000 * n_repeat_words) // greatest(n_words, 1)", "mean": "(100 * word_chars) // greatest(n_words, 1)"}
     bucketed = lambda v: f"CASE WHEN {v} < 64 THEN {v} ELSE (length(bin({v})) - 6) * 32 + ({v} >> (length(bin({v})) - 6)) END"
     floor_ = lambda b: f"CASE WHEN {b} < 64 THEN {b} ELSE ({b} - ({b} // 32 - 1) * 32) << ({b} // 32 - 1) END"
-    spread = "CASE m " + " ".join(f"WHEN '{m}' THEN {k} * greatest(q3 - q1, {least})" for m, (k, least, _) in RULES.items()) + " END"
-    low = ", ".join(f"'{m}'" for m, r in RULES.items() if r[2])
+    per = lambda f: "CASE m " + " ".join(f"WHEN '{m}' THEN {f(m, *r)}" for m, r in RULES.items()) + " END"
+    hi = per(lambda m, q, k, least, low: f"q{q} + {k} * greatest(q{q} - q500, {least})")
+    lo = per(lambda m, q, k, least, low: f"q{1000 - q} - {k} * greatest(q500 - q{1000 - q}, {least})" if low else "CAST(NULL AS BIGINT)")
     level = lambda name, keys: f"""
 {name}_h AS (SELECT {keys}m, b, sum(n) AS n FROM sk GROUP BY ALL),
 {name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {keys}m ORDER BY b) AS c, sum(n) OVER (PARTITION BY {keys}m) AS docs FROM {name}_h),
-{name}_q AS (SELECT {keys}m, max(docs) AS docs, min(b) FILTER (WHERE c * 4 >= docs) AS b1, min(b) FILTER (WHERE c * 4 >= docs * 3) AS b3
-  FROM {name}_c GROUP BY ALL),
-{name}_v AS (SELECT *, {floor_('b1')} AS q1, {floor_('b3')} AS q3 FROM {name}_q),
-{name} AS (SELECT *, q3 + {spread} AS hi, CASE WHEN m IN ({low}) THEN q1 - {spread} END AS lo FROM {name}_v),"""
+{name}_b AS (SELECT {keys}m, max(docs) AS docs, {", ".join(f"min(b) FILTER (WHERE c * 1000 >= docs * {q}) AS b{q}" for q in QUANTILES)} FROM {name}_c GROUP BY ALL),
+{name}_q AS (SELECT {keys}m, docs, {", ".join(f"{floor_(f'b{q}')} AS q{q}" for q in QUANTILES)} FROM {name}_b),"""
+    shrunk = lambda name, wide, keys, using: f"""
+{name} AS (SELECT {keys}m, {", ".join(f"(n.docs * n.q{q} + {SHRINK} * w.q{q}) // (n.docs + {SHRINK}) AS q{q}" for q in QUANTILES)}
+  FROM {name}_q n JOIN {wide} w USING ({using})),"""
     return f"""
 WITH w AS (
   SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t,
@@ -231,11 +244,8 @@ v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
   {", ".join(f"{e} AS v_{m}" for m, e in value.items())} FROM b),
 u AS (SELECT *, {", ".join(f"{bucketed(f'v_{m}')} AS b_{m}" for m in value)} FROM v),
 sk AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS m, b_{m} AS b, count(*) AS n FROM u WHERE NOT base_failed GROUP BY ALL" for m in value)}),
-{level('s', 'lang, source, ')}{level('l', 'lang, ')}{level('g', '')}
-t AS (
-  SELECT s.lang, s.source, s.m, CASE WHEN s.docs >= {LEAST_DOCS} THEN s.hi WHEN l.docs >= {LEAST_DOCS} THEN l.hi ELSE g.hi END AS hi,
-         CASE WHEN s.docs >= {LEAST_DOCS} THEN s.lo WHEN l.docs >= {LEAST_DOCS} THEN l.lo ELSE g.lo END AS lo
-  FROM s JOIN l USING (lang, m) JOIN g USING (m))
+{level('g', '')}{level('l', 'lang, ')}{level('s', 'lang, source, ')}{shrunk('l', 'g_q', 'lang, ', 'm')}{shrunk('s', 'l', 'lang, source, ', 'lang, m')}
+t AS (SELECT lang, source, m, {hi} AS hi, {lo} AS lo FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR {" OR ".join(f"coalesce({floor_(f'b_{m}')} > t_{m}.hi, false) OR coalesce({floor_(f'b_{m}')} < t_{m}.lo, false)" for m in value)}) AS kept
 FROM u {" ".join(f"LEFT JOIN t t_{m} ON t_{m}.m = '{m}' AND t_{m}.lang = u.lang AND t_{m}.source = u.source" for m in value)}"""

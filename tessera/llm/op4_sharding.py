@@ -10,8 +10,9 @@ it: no window holds more than a cell.
 Law `bytes`: the shards' sizes are near equal; tokens and rows are balanced as far as that allows.
 
 Results for odd input: a null text has 1 byte (the one that every document adds) and its own group, apart from the empty
-text; its crc32 is that of no bytes, 0. Rows of one doc_id and null doc_ids are documents like others. An empty table
-gives an empty result. Other columns pass through, whatever their names; columns made here start with two underscores.
+text; its crc32 is that of no bytes, 0. Rows of one doc_id and null doc_ids are documents like others. A very long text
+is placed whole, and a shard holds at least that; its bytes are measured without keeping it. An empty table gives an empty
+result. Other columns pass through, whatever their names; columns made here start with two underscores.
 """
 
 from __future__ import annotations

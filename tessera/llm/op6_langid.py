@@ -5,14 +5,19 @@ where the last phrase ended is a phrase. Few long phrases mean a close language:
 log2 of its reference's length wins, ties to the smaller name. Whole texts are parsed, as many pieces side by side as
 numpy steps through at once; a piece costs a phrase more at most, in every language alike.
 
-The fit is bounded: of each language FIT_DOCS rows that have letters, of any length, those with the smallest hashes of
-their ids, and REFERENCE characters of their letters, as equal a share from each as their lengths allow. A share is taken
-in pieces from all over the text. Everything else holds for all rows. Held out are rows whose
-crc32(doc_id as text) is 0 modulo 5; they are never learned from.
+The fit is bounded: of each language FIT_DOCS ids whose rows have letters, of any length, those with the smallest hashes
+(of rows of one id the first by its letters), and REFERENCE characters of their letters, as equal a share from each as
+their lengths allow. A share is taken in pieces from all over the text. Everything else holds for all rows. Held out are
+rows whose crc32(doc_id as text) is 0 modulo 5; they are never learned from.
+
+An automaton's transitions are kept in a double array (a state's base plus a symbol is a slot, which names the state it
+belongs to): as many slots as transitions, whatever the alphabets. The models' bytes are counted; what the driver holds
+and sends grows with the number of languages alone, by a few hundred KB for each.
 
 Results for odd input: a null text, and one without a letter, is `und` with score 0, as is every text if no language was
 learned. Rows with a null doc_id are not held out, and not learned from either. Repeated rows each get their (equal)
-prediction; an empty table gives an empty result. Other columns are not used or returned.
+prediction. Very long texts are parsed whole, SIDE pieces at a time. An empty table gives an empty result. Other columns
+are not used or returned.
 """
 
 from __future__ import annotations
@@ -70,31 +75,72 @@ def automaton(text: str) -> list[dict[str, int]]:
     return nxt
 
 
+class Packed:
+    """The transitions of an automaton in a double array, symbols as numbers: from a state by a symbol lead the slot
+    base[state] + symbol to nxt, if the slot's check is the state. start: where each symbol leads from state 0."""
+
+    def __init__(self, states: list[dict[int, int]], width: int):
+        dead = len(states)  # after a symbol that the reference lacks: a phrase of its own
+        first = dict.fromkeys(range(1, width), dead) | states[0] | {0: 0}  # the end of a text begins no phrase
+        size = sum(map(len, states)) + 2 * width + 2
+        base, check, nxt = np.zeros(dead + 1, np.int32), np.full(size + width, -1, np.int32), np.zeros(size + width, np.int32)
+        used = bytearray(size + width)
+        low = 0
+
+        def fill(state, at, moves):
+            base[state] = at
+            for sym, to in moves.items():
+                used[at + sym] = 1
+                check[at + sym], nxt[at + sym] = state, to
+
+        fill(0, 0, first)
+        end = width  # no slot from here on is used
+        for state in sorted(range(1, dead), key=lambda k: -len(states[k])):
+            moves = states[state]
+            if not moves:
+                continue
+            least = min(moves)
+            low = used.find(0, low)
+            slot, tries = max(low, least), 0
+            while True:
+                slot = used.find(0, slot)
+                at = slot - least
+                if all(not used[at + sym] for sym in moves):
+                    break
+                slot, tries = slot + 1, tries + 1
+                if tries == 64:  # sparse enough behind what is filled
+                    slot = max(slot, end)
+            end = max(end, at + max(moves) + 1)
+            fill(state, at, moves)
+            if end + width >= len(used):
+                used.extend(bytes(len(used)))
+                check, nxt = np.append(check, np.full(len(check), -1, np.int32)), np.append(nxt, np.zeros(len(nxt), np.int32))
+        self.base, self.check, self.nxt = base, check[: end + width], nxt[: end + width]
+        self.start = np.array([first[k] for k in range(width)], np.int32)
+
+    def step(self, state: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a phrase ended before the symbol."""
+        slot = self.base[state] + sym
+        miss = self.check[slot] != state
+        return np.where(miss, self.start[sym], self.nxt[slot]), miss
+
+
 class Model:
-    """The automata of all languages in one table of transitions; -1: none."""
+    """The automata of all languages."""
 
     def __init__(self, references: dict[str, str]):
         self.langs = sorted(references)
         self.bits = np.array([math.log2(len(references[x]) + 2) for x in self.langs])
         alphabet = sorted({c for x in references.values() for c in x} | {" "})
         # symbol 0: after the end of a text; 1: a character that no reference has
-        self.symbol = np.ones(0x110000, np.uint16 if len(alphabet) > 250 else np.uint8)
+        self.symbol = np.ones(0x110000, np.uint8 if len(alphabet) < 250 else np.int32)
         for k, c in enumerate(alphabet):
             self.symbol[ord(c)] = k + 2
-        self.width = len(alphabet) + 2
-        tables, self.roots, at = [], [], 0
-        for lang in self.langs:
-            states = automaton(references[lang])
-            table = np.full((len(states) + 1, self.width), -1, np.int32)  # the last: a phrase of a character that the reference lacks
-            for s, moves in enumerate(states):
-                for c, t in moves.items():
-                    table[s, self.symbol[ord(c)]] = t + at
-            table[0, table[0] < 0] = at + len(states)  # a phrase begins with any character
-            table[0, 0] = at  # but not with the end, which breaks off one that is under way
-            self.roots.append(at)
-            at += len(states) + 1
-            tables.append(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        numbered = lambda moves: {int(self.symbol[ord(c)]): t for c, t in moves.items()}
+        self.packed = [Packed([numbered(m) for m in automaton(references[x])], len(alphabet) + 2) for x in self.langs]
+
+    def nbytes(self) -> int:
+        return self.symbol.nbytes + sum(a.nbytes for p in self.packed for a in (p.base, p.check, p.nxt, p.start))
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """For each text and language the number of phrases."""
@@ -110,17 +156,14 @@ class Model:
         grid, owner = np.concatenate(pieces), np.concatenate(owner)
         for i in range(0, len(grid), SIDE):
             part = np.ascontiguousarray(grid[i : i + SIDE].T)
-            for lang, root in enumerate(self.roots):
-                start = self.table[root * self.width : (root + 1) * self.width]
-                state = np.full(part.shape[1], root, np.int32)
-                count = np.zeros(part.shape[1], np.int64)
+            for lang, packed in enumerate(self.packed):
+                state = np.zeros(part.shape[1], np.int32)
+                count = np.zeros(part.shape[1], np.int32)
                 for sym in part:
-                    moved = self.table[state.astype(np.int64) * self.width + sym]
-                    miss = moved < 0
+                    state, miss = packed.step(state, sym)
                     count += miss
-                    state = np.where(miss, start[sym], moved)
                 # the phrase that the end broke off
-                count += state != root
+                count += state != 0
                 np.add.at(out[:, lang], owner[i : i + SIDE], count)
         return out
 
@@ -163,20 +206,31 @@ def _slices(found: Column) -> Column:
     return F.when(F.length(found) <= FIT_CHARS, found).otherwise(F.concat_ws(" ", *pieces))
 
 
+def _referenced(reference: int):
+    """Rows lang and the sorted letters of its rows as lang and its reference."""
+
+    def made(batches):
+        for batch in batches:
+            out = []
+            for rows in batch.column("rows").to_pylist():
+                parts = [letters(r["t"]) for r in rows]
+                sizes = shares([len(x) for x in parts], max(reference - len(parts) + 1, 0))
+                out.append(" ".join(spread(x, n) for x, n in zip(parts, sizes, strict=True) if n))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.string())], names=["lang", "reference"])
+
+    return made
+
+
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, reference: int = REFERENCE) -> Model:
     able = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(f"[{_LETTERS}]")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # only ids are ranked, and Spark keeps fit_docs of each language and task before it deals them out
-    ids = docs.filter(able).select("lang", "doc_id").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= fit_docs)
+    # only ids are ranked, each once, and Spark keeps fit_docs of each language and task before it deals them out
+    ids = docs.filter(able).select("lang", "doc_id").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= fit_docs)
     rows = docs.filter(able).join(F.broadcast(ids), ["lang", "doc_id"])
-    rows = rows.select("lang", "k", F.trim(F.regexp_replace("text", f"[^{_LETTERS}]+", " ")).alias("t")).select("lang", "k", _slices(F.col("t")).alias("t")).collect()
-    texts: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["k"], r["t"])):
-        texts.setdefault(r["lang"], []).append(letters(r["t"]))
-    found = {}
-    for lang, parts in texts.items():
-        sizes = shares([len(x) for x in parts], max(reference - len(parts) + 1, 0))
-        found[lang] = " ".join(spread(x, n) for x, n in zip(parts, sizes, strict=True) if n)
+    rows = rows.select("lang", "k", F.trim(F.regexp_replace("text", f"[^{_LETTERS}]+", " ")).alias("t")).select("lang", "k", _slices(F.col("t")).alias("t"))
+    rows = rows.groupBy("lang", "k").agg(F.min("t").alias("t"))
+    made = rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "t"))).alias("rows"))  # fit_docs rows of FIT_CHARS at most
+    found = {r["lang"]: r["reference"] for r in made.mapInArrow(_referenced(reference), "lang string, reference string").collect()}
     return Model({lang: t for lang, t in found.items() if t.strip()})
 
 

@@ -1,25 +1,32 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Transducers, composed over the words of a clause:
-  lexical    word or stem -> insult (with a weight), threat, target, negation, report, filler
-  negation   a negation word opens a scope of SCOPE words in which insults and threats weigh less
-  report     a verb of speech, or a quotation mark, opens reported speech up to the clause's end: what is in it weighs less
-  target     an insult or threat in a clause that addresses somebody weighs more
-A clause's weight is the sum of what the automaton puts out on its way; a document's features are its heaviest clause, the
-sum over clauses and their share, and a logistic function of them is the score.
-
-Insults and their weights are learned: words, and stems of STEMS letters, whose log odds between toxic and other rows are
-high. The fit is bounded: the FIT_ROWS labelled rows with the smallest hashes of their ids. Function words of the other
-classes are given, in four languages. Every text is scored whole. Held out are rows whose crc32(doc_id as text) is 0
-modulo 5; their labels are never learned from.
+The words and marks of a text are symbols: insult (with a weight), threat, intent, target, negation, contrast, report,
+quotation mark, comma, colon, ends of clauses and paragraphs, other words. Five transducers (transducers.py) are composed
+into one, and what it puts out over a clause is the clause's weight:
+  insult     hits by its weight
+  threat     hits in full after an intent, by a part alone
+  negation   a hit within its scope weighs less; the scope passes commas, and ends at a contrast
+  report     a hit in reported or quoted speech weighs less; it passes commas and colons, a quotation also ends of clauses
+  target     hits weigh more in a clause that addresses somebody, before or after
+A document's features are its heaviest clause, the sum over clauses and the share of clauses that hit; a logistic function
+of them, which never falls in any of them, is the score.
+
+Learned are: the insults and their weights (words, and stems of STEMS letters, whose log odds between toxic and other rows
+are LEAST_ODDS and more: all of them), the factors of the context (of CONTEXTS those under which the labels are likeliest)
+and the logistic function. The fit is bounded: the FIT_ROWS labelled ids with the smallest hashes, a row of each. The words
+of the other classes, which labels can't tell, are given in four languages. Every text is scored whole. Held out are rows
+whose crc32(doc_id as text) is 0 modulo 5; their labels are never learned from.
 
 Results for odd input: null and empty texts get the score of a text without any match. A null doc_id is not held out and
-not learned from. Labels that are null, or neither 0 nor 1, are not learned from; without any, the score is 0. Repeated
-rows each get their (equal) score; an empty table gives an empty result. Other columns are not used or returned.
+not learned from. Labels that are null, or neither 0 nor 1, are not learned from; without both kinds the score is near 0.
+An id that has several labels is toxic if one says so; of its rows in the fit the least text counts. Repeated rows each
+get their (equal) score. Very long texts are read whole, one clause after another. An empty table gives an empty result.
+Other columns are not used or returned.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -29,18 +36,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out
-
-FIT_ROWS, STEMS, LEAST_ROWS, LEAST_ODDS, MOST_PATTERNS = 12_000, (6, 7, 8), 4, 2.2, 20_000
-SCOPE, NEGATED, REPORTED, TARGETED = 3, 0.3, 0.5, 1.5
-THREAT = frozenset("kill hurt beat destroy burn shoot stab tuer frapper brûler töten schlagen brennen matar golpear quemar".split())
-TARGET = frozenset("you your yours yourself they them tu toi vous votre du dich dir ihr euch tú usted vosotros ustedes".split())
-NEGATION = frozenset("not no never neither nor without hardly ne pas jamais nicht kein keine nie ohne nunca jamás sin".split())
-REPORT = frozenset("said says say wrote writes claimed reported quoted called dit disait écrit sagte sagt schrieb dijo dice escribió".split())
-THREAT_WEIGHT = 3.0
-_CLAUSE = re.compile(r"[.!?;:,\n]+")
-_WORD = re.compile(r"[^\W\d_]+|[\"“”«»]")
-_LETTERS = re.compile(r"[^\W\d_]+")
+from tessera.llm.common import held_out, stage, unstage
+from tessera.llm.transducers import clause_machine
+
+FIT_ROWS, STEMS, LEAST_ROWS, LEAST_ODDS = 12_000, (6, 7, 8), 4, 2.2
+SCOPE, INTENT_SCOPE, ALONE, THREAT_WEIGHT = 3, 4, 0.5, 3.0
+#: Factors of negated, reported and aimed hits, from the strongest on; equal likelihood leaves the first.
+CONTEXTS = tuple(itertools.product((0.3, 0.6, 1.0), (0.5, 1.0), (1.5, 1.0)))
+#: Given words, by class.
+CLASSES = {
+    "THREAT": "kill hurt beat destroy burn shoot stab punch strangle murder crush tuer frapper brûler étrangler écraser töten schlagen brennen erschießen erwürgen matar golpear quemar disparar apuñalar",
+    "INTENT": "will shall gonna going i'll we'll should must want vais allons veux devrait werde werden will wollen sollte voy vamos quiero debería",
+    "TARGET": "you your yours yourself yourselves they them their tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer tú ti tuyo vosotros usted ustedes vuestro",
+    "NEGATION": "not no never neither nor without hardly cannot ne pas jamais aucun sans nicht kein keine keinen nie niemals ohne nunca jamás ningún sin tampoco",
+    "CONTRAST": "but however yet mais pourtant aber jedoch sondern pero sino",
+    "REPORT": "said says say saying wrote writes claimed claims reported reports quoted called calls told tells dit disait écrit appelle sagte sagt schrieb nannte dijo dice escribió llamó",
+}
+_CLASS = {w: c for c, ws in CLASSES.items() for w in ws.split()}
+_MARK = {",": "COMMA", ":": "COLON", "\n": "PARAGRAPH"} | dict.fromkeys('"“”«»', "QUOTE") | dict.fromkeys(".!?;", "END")
+_LETTERS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_TOKEN = re.compile(_LETTERS.pattern + r"|[,:\n\"“”«».!?;]")
 
 
 def patterns_of(text: str | None) -> set[str]:
@@ -50,48 +65,45 @@ def patterns_of(text: str | None) -> set[str]:
 
 
 class Grammar:
-    def __init__(self, insults: dict[str, float], curve: tuple[float, ...] = (-1.0, 1.0, 0.0, 0.0)):
-        self.insults, self.curve = insults, curve
-        self.words = {w for w in insults if w[0] != "="} | THREAT
-        self.stems = {w[1:] for w in insults if w[0] == "="}
-
-    def insult(self, word: str) -> float:
-        found = [self.insults[k] for k in (word, *(f"={word[:n]}" for n in STEMS if len(word) > n)) if k in self.insults]
-        return max(found, default=0.0)
-
-    def clause(self, words: list[str]) -> float:
-        """The weight that the composed transducers put out over a clause."""
-        weight, scope, reported, target = 0.0, 0, False, False
-        for w in words:
-            if w in NEGATION:
-                scope = SCOPE + 1
-            elif w in REPORT or w in '"“”«»':
-                reported = True
-            elif w in TARGET:
-                target = True
-            out = THREAT_WEIGHT if w in THREAT else self.insult(w)
-            weight += out * (NEGATED if scope else 1.0) * (REPORTED if reported else 1.0)
-            scope = max(0, scope - 1)
-        return weight * (TARGETED if target else 1.0)
+    def __init__(self, insults: dict[str, float], curve: tuple[float, ...] = (-1.0, 1.0, 0.0, 0.0), context: tuple[float, float, float] = CONTEXTS[0]):
+        self.insults, self.curve, self.context = insults, curve, context
+        self.machine = clause_machine(SCOPE, INTENT_SCOPE, ALONE, *context)
+        self.known: dict[str, tuple[str, float]] = {}
+
+    def symbol(self, token: str) -> tuple[str, float]:
+        """The class of a word or mark in lower case, and what it weighs. Looked up once for each word of a task."""
+        found = self.known.get(token)
+        if found is None:
+            if len(self.known) > 500_000:
+                self.known.clear()
+            keys = (token, *(f"={token[:n]}" for n in STEMS if len(token) > n))
+            weight = max((self.insults[k] for k in keys if k in self.insults), default=0.0)
+            name = _MARK.get(token) or _CLASS.get(token) or ("NEGATION" if token.endswith(("n't", "n’t")) else "WORD")
+            if name == "THREAT":
+                found = name, max(weight, THREAT_WEIGHT)
+            else:
+                found = ("INSULT", weight) if weight else (name, 0.0)
+            self.known[token] = found
+        return found
+
+    def clauses(self, text: str) -> list[float]:
+        """The weights of a text's clauses; none if it holds no insult or threat."""
+        stream = list(map(self.symbol, _TOKEN.findall(text.lower())))
+        return list(self.machine.clauses([*stream, ("PARAGRAPH", 0.0)])) if any(w for _, w in stream) else []
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        low = (text or "").lower()
-        seen = set(_LETTERS.findall(low))
-        hit = not seen.isdisjoint(self.words) or any(w[:n] in self.stems for w in seen for n in STEMS if len(w) > n)
-        if not hit:
+        found = self.clauses(text or "")
+        if not found:
             return 0.0, 0.0, 0.0
-        clauses = [self.clause(_WORD.findall(c)) for c in _CLAUSE.split(low)]
-        total = sum(clauses)
-        return math.log1p(max(clauses)), math.log1p(total), sum(c > 0 for c in clauses) / len(clauses)
+        return math.log1p(max(found)), math.log1p(sum(found)), sum(c > 0 for c in found) / len(found)
 
     def score(self, text: str | None) -> float:
         z = self.curve[0] + sum(a * x for a, x in zip(self.curve[1:], self.features(text), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps, with a small ridge on all but the constant. Weights of the features stay at 0 or more."""
-    x = np.column_stack([np.ones(len(x)), x])
+def _newton(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1.0) -> np.ndarray:
+    """Logistic weights by Newton steps, with a small ridge on all but the constant, the first column."""
     w = np.zeros(x.shape[1])
     r = np.full(len(w), ridge)
     r[0] = 1e-6
@@ -104,6 +116,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1.0
     return w
 
 
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """The constant and the features' weights, none of which is under 0 (a feature that would be is left out, and the others
+    fitted again), and the labels' log likelihood."""
+    x = np.column_stack([np.ones(len(x)), x])
+    kept = list(range(x.shape[1]))
+    while True:
+        w = _newton(x[:, kept], y)
+        worst = 1 + int(np.argmin(w[1:])) if len(w) > 1 else 0
+        if not worst or w[worst] >= 0:
+            break
+        del kept[worst]
+    full = np.zeros(x.shape[1])
+    full[kept] = w
+    p = np.clip(1 / (1 + np.exp(-np.clip(x @ full, -30, 30))), 1e-12, 1 - 1e-12)
+    return full, float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+
 def _counted(batches):
     """Of a task: in how many toxic and other rows each pattern is."""
     seen = {0: Counter(), 1: Counter()}
@@ -122,27 +151,32 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Grammar
     able = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     ids = able.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = stage(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "labelled")
     counts = rows.mapInArrow(_counted, "k string, bad long, good long").groupBy("k").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    found = counts.filter((F.col("k") == "") | (F.col("bad") >= LEAST_ROWS))
-    odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5))
+    found = stage(counts.filter((F.col("k") == "") | (F.col("bad") >= LEAST_ROWS)), "patterns")
     total = {r["k"]: r for r in found.filter("k = ''").collect()}.get("")
     if total is None or not total["bad"] or not total["good"]:
+        unstage(rows, found)
         return Grammar({}, (-30.0, 0.0, 0.0, 0.0))
     base = math.log((total["bad"] + 1) / (total["good"] + 1))
-    best = found.filter("k <> ''").withColumn("w", odds - F.lit(base)).filter(F.col("w") >= LEAST_ODDS)
-    insults = {r["k"]: r["w"] for r in best.orderBy(F.desc("w"), "k").limit(MOST_PATTERNS).collect()}
-    grammar = Grammar(insults)
+    odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5)) - F.lit(base)
+    # the rows of the fit bound how many patterns there are
+    insults = {r["k"]: r["w"] for r in found.filter("k <> ''").select("k", odds.alias("w")).filter(F.col("w") >= LEAST_ODDS).collect()}
 
     def featured(batches):
+        grammars = [Grammar(insults, context=c) for c in CONTEXTS]
         for batch in batches:
-            got = [(*grammar.features(t.as_py()), y) for t, y in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True)]
-            cols = list(zip(*got, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in cols], names=["a", "b", "c", "y"])
-
-    points = np.array([tuple(r) for r in rows.mapInArrow(featured, "a double, b double, c double, y double").collect()])
-    points = points[np.lexsort(points.T)]
-    return Grammar(insults, tuple(float(v) for v in _logistic(points[:, :3], points[:, 3])))
+            got = [[v for g in grammars for v in g.features(t.as_py())] for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "y"])
+
+    points = rows.select("text", "toxic").mapInArrow(featured, "x array<double>, y int").collect()
+    points = sorted((tuple(r["x"]), r["y"]) for r in points)
+    x, y = np.array([p[0] for p in points]).reshape(len(points), len(CONTEXTS), 3), np.array([p[1] for p in points], float)
+    curves = [logistic(x[:, k], y) for k in range(len(CONTEXTS))]
+    best = max(range(len(CONTEXTS)), key=lambda k: (round(curves[k][1], 6), -k))
+    unstage(rows, found)
+    return Grammar(insults, tuple(float(v) for v in curves[best][0]), CONTEXTS[best])
 
 
 def toxicity(docs: DataFrame, grammar: Grammar) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import components, op2_minhash, op3_warc, op4_sharding, op6_langid, op7_toxicity, op8_packing, op9_topk
+from tessera.llm import components, op2_minhash, op3_warc, op4_sharding, op6_langid, op7_toxicity, op8_packing, op9_topk, transducers
 from tessera.llm.common import salted_join, split_join, stage
 from tests.llm.cases import changed, edge_docs, edge_rows, empty_docs, prose, save
 from tests.llm.test_native import LOWER, WORD
@@ -304,6 +304,22 @@ def test_cross_parsing_counts(spark):
     assert model.phrases([long])[0][0] <= -(-len(long) // 6) + 6 and model.predict([long, None, "12"])[0] == ["a", "und", "und"]
 
 
+def test_langid_alphabets_and_repeated_ids(spark):
+    # a language of thousands of characters takes no more room than its transitions; 300 rows of one id are one row of the fit
+    rng = random.Random(4)
+    wide = "".join(chr(0x4E00 + rng.randrange(6_000)) for _ in range(9_000))
+    narrow = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(1_500))
+    model = op6_langid.Model({"w": wide, "n": narrow})
+    assert model.nbytes() < 0x110000 * 4 + 3_000_000
+    texts = [wide[100:160], narrow[50:400], "".join(rng.choices(wide + narrow + "!Ж", k=500)), wide[:3] + narrow[:9]]
+    texts = [op6_langid.letters(t)[:256].strip() for t in texts]
+    assert model.phrases(texts).tolist() == [[phrases_by_hand(t, narrow), phrases_by_hand(t, wide)] for t in texts]
+    free = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(free[0], f"{narrow[k:]}", "n") for k in range(300)] + [(free[1], wide, "w"), (free[2], narrow, "n")]
+    got = op6_langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert got.langs == ["n", "w"] and got.predict([narrow[:80], wide[:20]])[0] == ["n", "w"]
+
+
 def test_toxicity(spark, tmp_path):
     sf = "/root/testdata/sf0.01"
     got = op7_toxicity.op7_toxicity(spark, sf).collect()
@@ -318,12 +334,83 @@ def test_toxicity(spark, tmp_path):
 
 
 def test_grammar_composes():
-    g = op7_toxicity.Grammar({"idiot": 4.0, "=stupid": 3.0}, (-3.0, 2.0, 0.0, 0.0))
-    plain, told, denied, aimed = (g.clause(x.split()) for x in ("an idiot", "he said an idiot", "not an idiot", "you idiot"))
-    assert aimed > plain > told > denied > 0 and g.clause(["stupidest"]) == 3.0 and g.clause(["fine"]) == 0
+    g = op7_toxicity.Grammar({"idiot": 4.0, "=stupid": 3.0}, (-3.0, 2.0, 0.0, 0.0), (0.3, 0.5, 1.5))
+    of = lambda text: max(g.clauses(text), default=0.0)
+    assert of("an idiot") == 4.0 and of("Stupidest!") == 3.0 and of("fine") == 0.0
+    # negation, report and quotation reach past commas and colons; a contrast, an end or the closing mark stop them
+    for text in ("not an idiot", "not, really, an idiot", "isn't an idiot", "no \"idiot\""):
+        assert of(text) <= 0.3 * 4.0
+    assert of("not so, but an idiot") == 4.0 and of("not one two three idiot") == 4.0
+    for text in ("he said an idiot", "he said: an idiot", "he wrote, at last, that: idiot", "“An idiot”, no doubt", "“So it goes. An idiot he is.”"):
+        assert of(text) == 0.5 * 4.0
+    assert of("he said so. An idiot") == 4.0 and of("“so” an idiot") == 4.0 and of("“so\nan idiot") == 4.0
+    # a target counts before and after, in its own clause only
+    assert of("you idiot") == of("idiot, all of you") == of("You, sir, idiot") == 6.0 and of("you know. An idiot") == 4.0
+    assert of("i will kill you") == 4.5 and of("to kill you") == 2.25 and of("will not kill") == pytest.approx(0.9)
     assert g.features("Fine day.") == (0.0, 0.0, 0.0) and g.score("You idiot! Go.") > g.score("He said: idiot.") >= g.score(None)
 
 
+def paths_by_hand(parts, symbols):
+    """All that machines, one after another, can make of weighted symbols: (written, factors) by trying every path."""
+    out = [([s for s, _ in symbols], [1.0] * len(symbols))]
+    for t in parts:
+        made = []
+        for read, factors in out:
+            runs = [(t.start, [], [])]
+            for x, f in zip(read, factors, strict=True):
+                runs = [(n, [*w, y], [*u, f * v]) for state, w, u in runs for y, v, n in t.arcs[state, x]]
+            made += [(w, u) for _, w, u in runs]
+        out = made
+    return out
+
+
+def test_composition_is_one_machine_after_another():
+    options = (2, 3, 0.5, 0.3, 0.4, 1.7)
+    parts, whole = transducers.machines(*options), transducers.clause_machine(*options)
+    rng = random.Random(5)
+    names = [x for x in transducers.SYMBOLS if x != "HIT"]
+    for _ in range(1500):
+        symbols = [(x, rng.choice([1.0, 2.5]) if x in ("INSULT", "THREAT") else 0.0) for x in rng.choices(names, k=rng.randrange(1, 9))] + [("PARAGRAPH", 0.0)]
+        got = list(whole.clauses(symbols))
+        best = []
+        for written, factors in paths_by_hand(parts, symbols):
+            sums = [0.0]
+            for (x, weight), y, f in zip(symbols, written, factors, strict=True):
+                sums[-1] += weight * f * (y == "HIT")
+                if x in transducers.ENDS:
+                    sums.append(0.0)
+            best.append(sums[:-1])
+        assert best and got == pytest.approx([max(b[k] for b in best) for k in range(len(got))])
+
+
+def test_toxicity_scores_never_fall():
+    rng = np.random.default_rng(1)
+    x = rng.random((400, 3))
+    y = (x[:, 0] - 2 * x[:, 1] + 0.2 * rng.normal(size=400) > 0).astype(float)
+    w, _ = op7_toxicity.logistic(x, y)
+    assert (w[1:] >= 0).all() and w[1] > 0 and w[2] == 0
+
+
+def test_toxicity_learns_all_patterns_and_context(spark):
+    free = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 5][:3000]
+    rng, rows, labels, slurs = random.Random(2), [], [], [f"slu{a}{b}" for a in "abcde" for b in "pqrstuvw"]
+    for k, i in enumerate(free):
+        bad = slurs[k % 40] if k % 3 < 2 else ""
+        told = k % 3 == 1  # reported: not toxic
+        rows.append((i, f"{prose(i, 12)} {'he said: ' if told else ''}{bad} {prose(i + 1, 5)}."))
+        labels.append((i, 1, int(bool(bad) and not told)))
+    rng.shuffle(rows)
+    docs, marks = spark.createDataFrame(rows * 2, "doc_id long, text string"), spark.createDataFrame(labels + labels[:50], "doc_id long, quality int, toxic int")
+    odds = op7_toxicity.LEAST_ODDS
+    try:
+        op7_toxicity.LEAST_ODDS = 0.3
+        g = op7_toxicity.fit(docs, marks)
+    finally:
+        op7_toxicity.LEAST_ODDS = odds
+    assert set(slurs) <= set(g.insults) and g.context[1] == 0.5
+    assert g.score(f"a b {slurs[7]} c.") > 0.5 > g.score(f"a b he said: {slurs[7]} c.") and g.score("a b c") < 0.5
+
+
 def test_packing(spark, tmp_path):
     from tokenizers import Tokenizer
 

@@ -52,6 +52,40 @@ def test_quality_rejects_what_is_odd_for_its_group(spark, tmp_path):
     assert {r[0] for r in clean} <= kept and not {2000, 2001} & kept
 
 
+def limits_of(docs, shrink=op10_quality.SHRINK):
+    counted = op10_quality.stage(op10_quality.sketches(op10_quality.measure(docs)), "sketches")
+    return {(r["__lang"], r["__source"]): r for r in op10_quality.thresholds(counted, shrink).collect()}
+
+
+def floored(v):
+    return v if v < 64 else (v >> (v.bit_length() - 6)) << (v.bit_length() - 6)
+
+
+def test_quality_limits_like_by_hand(spark):
+    # one language, sources of their own distributions and sizes; quantiles are shrunk to the language's
+    rows = [(1000 * s + i, " ".join(w + "$" * ((i + k) % (3 * s + 2) == 0) for k, w in enumerate(prose(1000 * s + i, 60 + i % 40).split())), "en", f"s{s}") for s in range(3) for i in range((300, 40, 600)[s])]
+    got = limits_of(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    values = defaultdict(list)
+    for _, t, _, s in rows:
+        n, _, sym, *_ = metrics(t)
+        values[s].append(1000 * sym // n)
+    at = lambda v, q: floored(sorted(v)[-(-len(v) * q // 1000) - 1])
+    every = [x for v in values.values() for x in v]
+    for s, v in values.items():
+        q = {x: (len(v) * at(v, x) + 200 * at(every, x)) // (len(v) + 200) for x in (500, 900)}
+        assert got["en", s]["__hi_sym"] == q[900] + 2 * max(q[900] - q[500], 50)
+    assert len({r["__hi_sym"] for r in got.values()}) == 3
+
+
+def test_quality_limits_differ_by_source(spark):
+    got = limits_of(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    by_lang = defaultdict(set)
+    for (lang, _), r in got.items():
+        by_lang[lang].add((r["__hi_dup"], r["__hi_rep"], r["__hi_mean"], r["__lo_mean"]))
+    assert len(got) == 80 and all(len(v) >= 15 for v in by_lang.values())
+    assert len({r["__hi_dup"] for r in got.values()}) > 20 and len({r["__hi_rep"] for r in got.values()}) > 20 and sum(r["__hi_rep"] < 300 for r in got.values()) > 70
+
+
 def test_quality_sketches_merge(spark):
     b = op10_quality.bucket(F.col("id"))
     got = spark.range(0, 5000).select("id", op10_quality.bucket_floor(b).alias("f")).collect()
@@ -61,7 +95,7 @@ def test_quality_sketches_merge(spark):
 def test_quality_salted_join_is_the_same(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, prose(i, 60), "en", f"s{i % 3}") for i in range(90)], "doc_id long, text string, lang string, source string")
     measured = op10_quality.measure(docs)
-    limits = op10_quality.stage(op10_quality.thresholds(op10_quality.sketches(measured), 10), "limits")
+    limits = op10_quality.stage(op10_quality.thresholds(op10_quality.stage(op10_quality.sketches(measured), "sketches"), 10), "limits")
     plain = sorted((r["doc_id"], r["kept"]) for r in op10_quality.judge(measured, limits).collect())
     monkeypatch.setattr(op10_quality, "BROADCAST_BYTES", -1)
     assert plain == sorted((r["doc_id"], r["kept"]) for r in op10_quality.judge(measured, limits).collect())
