@@ -13,7 +13,7 @@ from tessera.functions.text import redact
 FIELDS = ("ts", "phase", "batch_id", "provider", "model", "kind", "http_status", "attempt", "message", "retryable", "item_ids", "scope", "task")
 
 
-def entries(raw: DataFrame, most_items: int = 20) -> DataFrame:
+def entries(raw: DataFrame, most_items: int = 50) -> DataFrame:
     """Rows with the ledger's fields: kind and retryable derived, message redacted, ids capped as an entry's own list is."""
     kind = failure_kind(F.col("http_status"), F.col("message"), F.col("kind"))
     out = raw.withColumn("kind", kind).withColumns({

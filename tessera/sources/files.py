@@ -95,7 +95,8 @@ def read_document(spark: SparkSession, path: str, default=None):
 
 
 def write_document(spark: SparkSession, path: str, text: str) -> None:
-    """A small text, under a temporary name and then renamed, so that no reader sees half of it."""
+    """A small text, under a temporary name that then takes the place of the old one in one step: a reader sees the old
+    text or the new one, whole."""
     fs, p = _fs(spark, path)
     fs.mkdirs(p.getParent())
     tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
@@ -104,10 +105,10 @@ def write_document(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        fs.delete(tmp, False)
-        raise OSError(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(tmp, fs.makeQualified(p), how)
 
 
 def write_json(spark: SparkSession, path: str, value) -> None:
@@ -148,15 +149,29 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return raw.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def write_tree(df: DataFrame, root: str, levels: Sequence[str], exclude: DataFrame | None = None, on: Sequence[str] = ("qid",)) -> DataFrame:
-    """Rows as JSON lines in a folder for each path of levels, rows that another view owns left out; partitions of before
-    that get no rows go. Returns counts by path."""
+def _swap(spark: SparkSession, new: str, root: str, whole: bool) -> None:
+    """Puts the folders of new (of the first level's values, as written: null and escaped ones too) in the place of those
+    of root; the others of root go too if whole."""
+    fs, to = _fs(spark, root)
+    fs.mkdirs(to)
+    names = [n for n in listed(spark, new) if "=" in n]
+    for n in listed(spark, root):
+        if "=" in n and (whole or n in set(names)):
+            delete(spark, f"{root}/{n}")
+    for n in names:  # values of the first level: a handful
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        if not fs.rename(path(f"{new}/{n}"), path(f"{root}/{n}")):
+            raise OSError(f"{root}/{n}")
+    delete(spark, new)
+
+
+def write_tree(df: DataFrame, root: str, levels: Sequence[str], exclude: DataFrame | None = None, on: Sequence[str] = ("qid",), whole: bool = False) -> DataFrame:
+    """Rows as JSON lines in a folder for each path of levels, rows that another view owns left out. A value of the first
+    level that has rows is replaced with all below it; the others stay, or go if whole. Returns counts by path."""
     kept = df.join(exclude.select(*on).distinct(), list(on), "left_anti") if exclude is not None else df
-    spark = df.sparkSession
-    first = levels[0]
-    for r in kept.select(first).distinct().collect():  # subjects: a handful
-        delete(spark, f"{root}/{first}={r[0]}")
-    kept.write.mode("append").partitionBy(*levels).option("ignoreNullFields", False).json(root)
+    new = f"{root}/_new-{uuid.uuid4().hex}"
+    kept.write.partitionBy(*levels).option("ignoreNullFields", False).json(new)
+    _swap(df.sparkSession, new, root, whole)
     return kept.groupBy(*levels).agg(F.count("*").alias("rows"))
 
 
@@ -188,10 +203,9 @@ def prune(spark: SparkSession, root: str, keep: Sequence[str], marker: str) -> l
 
 def write_packs(packs: DataFrame, root: str) -> DataFrame:
     """Packs as JSON lines by kind and their catalogue (kind, packs, questions); kinds of before are replaced."""
-    spark = packs.sparkSession
-    for r in packs.select("kind").distinct().collect():  # kinds: a handful
-        delete(spark, f"{root}/kind={r[0]}")
-    packs.write.mode("append").partitionBy("kind").json(root)
+    new = f"{root}/_new-{uuid.uuid4().hex}"
+    packs.write.partitionBy("kind").json(new)
+    _swap(packs.sparkSession, new, root, False)
     return packs.groupBy("kind").agg(F.count("*").alias("packs"), F.sum("count").cast("long").alias("questions"))
 
 

@@ -46,6 +46,28 @@ def test_index_and_tree(spark, tmp_path):
     assert rows.count() == 12 and files.places(rows).count() == 6
 
 
+def test_tree_of_null_escaped_and_vanished_values(spark, tmp_path):
+    root = f"file://{tmp_path}/tree"
+    rows = [("a", None, "x"), ("b", "A/B: c", "x"), ("c", "A/B: c", "y z"), ("d", "plain", None)]
+    df = spark.createDataFrame(rows, "qid string, subject string, chapter string")
+    read = lambda: sorted(r["qid"] for r in files.leaf_rows(spark, root, "qid string").collect())
+    for _ in range(2):  # a second write replaces, whatever the values
+        files.write_tree(df, root, ["subject", "chapter"])
+        assert read() == ["a", "b", "c", "d"]
+    files.write_tree(df.filter("qid = 'b'"), root, ["subject", "chapter"])
+    assert read() == ["a", "b", "d"]
+    files.write_tree(df.filter("qid in ('a', 'b')"), root, ["subject", "chapter"], whole=True)
+    assert read() == ["a", "b"] and all("=" in n for n in files.listed(spark, root))
+
+
+def test_document_is_replaced_in_one_step(spark, tmp_path):
+    p = f"file://{tmp_path}/d.json"
+    for value in (1, {"a": 2}):
+        files.write_json(spark, p, value)
+        assert files.read_document(spark, p) == value
+    assert [x.name for x in tmp_path.iterdir() if not x.name.startswith(".")] == ["d.json"]
+
+
 def test_outline_and_rules(spark, tmp_path):
     (tmp_path / "a.md").write_text("# 1. Algebra\n- [T] Surds\n## Roots\n- Square Roots\n- This is a long sentence that is prose here.\n# Notes\n- lost\n# 2. Ratio\n- Ages\n")
     got = outline.outline(outline.read_lines(spark, f"file://{tmp_path}/a.md"), 1, 30)
