@@ -3,6 +3,12 @@
 STAGES are applied in order; the rows of each are written as Parquet and read again as the next one's documents. All but
 the last return the columns of documents. Mixing repeats a document's row as often as the mix takes it; packing treats
 such rows as documents each on its own.
+
+Results for odd input: documents without words (null and empty texts too) fail the quality rules and go. Rows that are
+equal stay together through the first two stages; in near-dedup all rows of a component's smallest doc_id stay, and the
+next stages count each. Null lang and source are a group, and a source, of their own; a null doc_id is an id like others,
+but for near-dedup, where its row stays only if no row with an id is in its component. Very long texts pass whole, and are
+cut only into sequences. Other columns pass all stages but the last. An empty table gives an empty result.
 """
 
 from __future__ import annotations
