@@ -34,6 +34,8 @@ from tessera.llm.common import held_out
 
 FIT_DOCS, FIT_CHARS, REFERENCE = 64, 20_000, 16_000
 PIECE, SIDE = 256, 1 << 14
+#: Parts of a language's ids that are ranked apart, whatever the input.
+PARTS = 64
 _LETTER = re.compile(r"[^\W\d_]")
 #: The same for Spark.
 _LETTERS = "\\p{L}\\p{Nl}\\p{No}"
@@ -223,9 +225,11 @@ def _referenced(reference: int):
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, reference: int = REFERENCE) -> Model:
     able = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(f"[{_LETTERS}]")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # only ids are ranked, each once, and Spark keeps fit_docs of each language and task before it deals them out
-    ids = docs.filter(able).select("lang", "doc_id").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= fit_docs)
+    # only ids are ranked, each once, and within PARTS of a language first: the last ranking sees PARTS * fit_docs of each
+    ids = docs.filter(able).select("lang", "doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).withColumn("p", F.pmod("h", F.lit(PARTS)))
+    for keys in (["lang", "p"], ["lang"]):
+        ids = ids.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))).filter(F.col("k") <= fit_docs)
+    ids = ids.select("lang", "doc_id", "k")
     rows = docs.filter(able).join(F.broadcast(ids), ["lang", "doc_id"])
     rows = rows.select("lang", "k", F.trim(F.regexp_replace("text", f"[^{_LETTERS}]+", " ")).alias("t")).select("lang", "k", _slices(F.col("t")).alias("t"))
     rows = rows.groupBy("lang", "k").agg(F.min("t").alias("t"))
