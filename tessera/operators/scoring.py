@@ -43,10 +43,21 @@ def _meet(texts: DataFrame, doc_id: str, phrases: DataFrame) -> DataFrame:
 
 
 def phrase_frequency(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
-    """key, df: in how many documents a phrase of several words is; they meet on the phrase's first word."""
-    p = phrases.select(norm_key(F.col(phrase)).alias("key")).distinct().filter(F.col("key").contains(" ")).withColumn("__word", F.split("key", " ")[0])
-    hit = _meet(docs.select(doc_id, norm_key(F.col(text)).alias("__text")), doc_id, p)
-    return p.select("key").join(hit.groupBy("key").agg(F.count_distinct(doc_id).alias("df")), "key", "left").na.fill(0, ["df"])
+    """key, df: in how many documents a phrase of several words is. A document's distinct runs of words, of the lengths that
+    phrases have, meet the phrases whole, so a frequent first word makes no candidates."""
+    p = phrases.select(norm_key(F.col(phrase)).alias("key")).distinct().filter(F.col("key").contains(" "))
+    lengths = sorted(r[0] for r in p.select(F.size(F.split("key", " "))).distinct().collect())  # one number for each length
+    if not lengths:
+        return p.withColumn("df", F.lit(0).cast("long"))
+    runs = F.flatten(F.array(*(_runs(F.col("__words"), n) for n in lengths)))
+    words = docs.select(doc_id, F.split(norm_key(F.col(text)), " ").alias("__words"))
+    hit = words.select(doc_id, F.explode(F.array_distinct(runs)).alias("key")).join(p, "key").groupBy(doc_id, "key").agg(F.lit(1).alias("one"))
+    return p.join(hit.groupBy("key").agg(F.count("*").alias("df")), "key", "left").na.fill(0, ["df"])
+
+
+def _runs(words: Column, n: int) -> Column:
+    none = F.array().cast("array<string>")
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(none)
 
 
 def rule_terms(rules: DataFrame, number: str = "rule") -> DataFrame:

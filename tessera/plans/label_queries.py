@@ -166,16 +166,20 @@ def rarity_buckets(t):
 _NK = "trim(regexp_replace(translate(replace(lower({0}), '&', ' and '), '/-.' || chr(10) || chr(9) || chr(13), '      '), ' +', ' ', 'g'))"
 
 
-@query(f"""WITH p AS (SELECT DISTINCT array_to_string(string_split({_NK.format('text')}, ' ')[1:2], ' ') AS key FROM benchmark), d AS (SELECT doc_id, ' ' || {_NK.format('text')} || ' ' AS t FROM documents)
-SELECT key, count(doc_id) AS df FROM p LEFT JOIN d ON contains(t, ' ' || key || ' ') WHERE contains(key, ' ') GROUP BY ALL""")
+_PAIRS = "SELECT DISTINCT {0} w[i] || ' ' || w[i + 1] AS key FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT *, string_split({1}, ' ') AS w FROM {2}))"
+
+
+@query(f"""WITH p AS ({_PAIRS.format('', _NK.format('text'), 'benchmark')}), d AS ({_PAIRS.format('doc_id,', _NK.format('text'), 'documents')})
+SELECT key, count(doc_id) AS df FROM p LEFT JOIN d USING (key) GROUP BY ALL""")
 def phrase_document_frequency(t):
     from tessera.functions.text import norm_key
 
-    two = F.array_join(F.slice(F.split(norm_key(F.col("text")), " "), 1, 2), " ")
-    return scoring.phrase_frequency(t("documents"), "doc_id", "text", t("benchmark").select(two.alias("phrase")))
+    w = F.split(norm_key(F.col("text")), " ")
+    two = F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.array_join(F.slice(w, i, F.lit(2)), " ")))
+    return scoring.phrase_frequency(t("documents"), "doc_id", "text", t("benchmark").select(F.explode(two).alias("phrase")))
 
 
-_SCORE = f"""{_DF}, b AS (SELECT item_id AS rule, list_sort({_TERMS}) AS l FROM benchmark), w AS (SELECT rule, unnest(l[1:6]) AS term, 3 AS weight, false AS loose FROM b UNION ALL SELECT rule, unnest(l[7:12]), 1, true FROM b),
+_SCORE = f"""{_DF}, b AS (SELECT item_id AS rule, list_sort({_TERMS}) AS l FROM benchmark), w AS (SELECT rule, unnest(l[1:6]) AS term, 3 AS weight, false AS loose FROM b UNION ALL SELECT rule, unnest(l[7:]), 1, true FROM b),
 x AS (SELECT rule, term, max(weight) AS weight, min(loose) AS loose FROM w GROUP BY ALL), h AS (SELECT d.doc_id, x.rule, x.loose, x.weight * coalesce(q.rarity, 3) AS points FROM d JOIN x USING (term) LEFT JOIN q USING (term)),
 s AS (SELECT doc_id, rule, coalesce(sum(points) FILTER (WHERE NOT loose), 0) AS strong, least(4, coalesce(sum(points) FILTER (WHERE loose), 0)) AS loosely FROM h GROUP BY ALL),
 z AS (SELECT doc_id, rule, strong, strong + loosely AS score, l.n FROM s JOIN (SELECT rule, least(len(l), 6) AS n FROM b) l USING (rule)),
@@ -186,8 +190,8 @@ def _scored(t):
     terms = content_terms(F.col("text"), STOP)
     b = t("benchmark").select(F.col("item_id").alias("rule"), F.array_sort(terms).alias("l"))
     empty = F.array().cast("array<string>")
-    cut = lambda i, n: F.when(F.size("l") >= i, F.slice("l", i, n)).otherwise(empty)
-    rules = b.select("rule", cut(1, 6).alias("title_terms"), empty.alias("topic_terms"), empty.alias("signal_words"), cut(7, 6).alias("body_terms"), empty.alias("example_terms"))
+    cut = lambda i, n: F.when(F.size("l") >= i, F.slice("l", F.lit(i), n)).otherwise(empty)
+    rules = b.select("rule", cut(1, F.lit(6)).alias("title_terms"), empty.alias("topic_terms"), empty.alias("signal_words"), cut(7, F.size("l")).alias("body_terms"), empty.alias("example_terms"))
     doc_terms = t("documents").select("doc_id", F.explode(terms).alias("term"))
     s = scoring.score_rules(doc_terms, "doc_id", doc_terms, scoring.rule_terms(rules), _stats(t))
     return s, rules.select("rule", scoring.specificity("title_terms", "topic_terms", "signal_words").alias("terms"))

@@ -60,13 +60,13 @@ def breaker_cooldown(t):
     return e.select("user_id", ledger.cooldown(F.col("trips"), 60.0, 3600.0).alias("cooldown"))
 
 
-@query("""WITH p AS (SELECT 'index' AS manifest, o_orderkey AS path FROM orders WHERE o_orderkey % 3 = 0), f AS (SELECT o_orderkey AS path FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH p AS (SELECT 'index' AS manifest, o_orderkey AS path FROM orders WHERE o_orderstatus <> 'O'), f AS (SELECT o_orderkey AS path FROM orders WHERE o_orderstatus <> 'F')
 SELECT count(*) AS files, CAST(sum(path) AS BIGINT) AS total FROM (SELECT path FROM p UNION SELECT path FROM f)""")
 def manifest_upsert(t):
     from tessera.operators.state import merged_paths
 
-    o = t("orders").select(F.col("o_orderkey").alias("path"))
-    m = merged_paths(o.filter("path % 3 = 0"), o.filter("path % 2 = 0"))
+    o = t("orders").withColumn("path", F.col("o_orderkey"))
+    m = merged_paths(o.filter("o_orderstatus <> 'O'").select("path"), o.filter("o_orderstatus <> 'F'").select("path"))
     return m.agg(F.count("*").alias("files"), F.sum("path").alias("total"))
 
 

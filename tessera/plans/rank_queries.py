@@ -5,21 +5,21 @@ from pyspark.sql import functions as F
 from tessera.operators import rank, sections, state
 from tessera.plans.registry import query
 
-_SECTIONS = """WITH a AS (SELECT *, last_value(turn IGNORE NULLS) OVER (ORDER BY conv_id, rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
-  FROM (SELECT conv_id, turn, role, row_number() OVER (ORDER BY conv_id, turn, role, text) AS rn FROM conversations)),
-s AS (SELECT *, sum(CASE WHEN turn IS NULL OR prev IS NULL OR turn <= prev THEN 1 ELSE 0 END) OVER (ORDER BY conv_id, rn ROWS UNBOUNDED PRECEDING) AS section FROM a)"""
+_SECTIONS = """WITH a AS (SELECT *, last_value(turn IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+  FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY role, turn, text) AS rn FROM conversations)),
+s AS (SELECT *, sum(CASE WHEN turn IS NULL OR prev IS NULL OR turn <= prev THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS section FROM a)"""
 
 
 def _turns(t):
     from pyspark.sql import Window
 
     rows = t("conversations")
-    return rows.withColumn("rn", F.row_number().over(Window.orderBy("conv_id", "turn", "role", "text"))).withColumn("paper", F.lit(1))
+    return rows.withColumn("rn", F.row_number().over(Window.partitionBy("conv_id").orderBy("role", "turn", "text")))
 
 
-@query(f"{_SECTIONS} SELECT CAST(section AS INTEGER) AS section, count(*) AS size FROM s GROUP BY ALL")
+@query(f"{_SECTIONS} SELECT conv_id, CAST(section AS INTEGER) AS section, count(*) AS size FROM s GROUP BY ALL")
 def sections_by_reset(t):
-    return sections.with_sections(_turns(t), ["paper"], "rn", "turn").groupBy("section").agg(F.count("*").alias("size"))
+    return sections.with_sections(_turns(t), ["conv_id"], "rn", "turn").groupBy("conv_id", "section").agg(F.count("*").alias("size"))
 
 
 @query("""WITH a AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS ordinal FROM lineitem),
@@ -210,14 +210,14 @@ def qid_digest(t):
     return state.set_digest(t("customer").withColumnRenamed("c_mktsegment", "subject"), ["subject"], "c_custkey")
 
 
-_CORRECTIONS = """WITH c AS (SELECT o_custkey AS c_custkey, o_orderkey AS seq, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE o_orderpriority END AS c_mktsegment, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS c_name FROM orders WHERE o_orderkey % 5 < 2),
+_CORRECTIONS = """WITH c AS (SELECT o_custkey AS c_custkey, o_orderkey AS seq, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE o_orderpriority END AS c_mktsegment, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS c_name FROM orders),
 x AS (SELECT c_custkey, arg_max(c_mktsegment, seq) FILTER (WHERE trim(c_mktsegment) <> '') AS s, arg_max(c_name, seq) FILTER (WHERE trim(c_name) <> '') AS n FROM c GROUP BY ALL)"""
 
 
 @query(f"{_CORRECTIONS} SELECT c.c_custkey, coalesce(x.s, c.c_mktsegment) AS c_mktsegment, coalesce(x.n, c.c_name) AS c_name, CASE WHEN x.s IS NOT NULL OR x.n IS NOT NULL THEN 'corrected' ELSE 'index' END AS source FROM customer c LEFT JOIN x USING (c_custkey)")
 def apply_corrections(t):
     rows = t("customer").select("c_custkey", "c_mktsegment", "c_name", F.lit("index").alias("source"))
-    o = t("orders").filter("o_orderkey % 5 < 2")
+    o = t("orders")
     fixes = o.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.col("o_orderpriority")).alias("c_mktsegment"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("c_name"))
     return state.corrected(rows, fixes, ["c_custkey"], ["c_mktsegment", "c_name"], "seq")
 
