@@ -30,6 +30,7 @@ import itertools
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from tessera.llm.transducers import clause_machine
 
 FIT_ROWS, STEMS, LEAST_ROWS, LEAST_ODDS = 12_000, (6, 7, 8), 4, 2.2
 SCOPE, INTENT_SCOPE, ALONE, THREAT_WEIGHT = 3, 4, 0.5, 3.0
+FADED = max(SCOPE, INTENT_SCOPE)
 #: Factors of negated, reported and aimed hits, from the strongest on; equal likelihood leaves the first.
 CONTEXTS = tuple(itertools.product((0.3, 0.6, 1.0), (0.5, 1.0), (1.5, 1.0)))
 #: Given words, by class.
@@ -64,6 +66,15 @@ def patterns_of(text: str | None) -> set[str]:
     return found | {f"={w[:n]}" for w in found for n in STEMS if len(w) > n}
 
 
+def faded(stream: Iterable[tuple[str, float]]) -> Iterator[tuple[str, float]]:
+    """The stream without the words that follow more words than any scope spans: they leave every machine where it is."""
+    run = 0
+    for x in stream:
+        run = run + 1 if x[0] == "WORD" else 0
+        if run <= FADED:
+            yield x
+
+
 class Grammar:
     def __init__(self, insults: dict[str, float], curve: tuple[float, ...] = (-1.0, 1.0, 0.0, 0.0), context: tuple[float, float, float] = CONTEXTS[0]):
         self.insults, self.curve, self.context = insults, curve, context
@@ -86,13 +97,20 @@ class Grammar:
             self.known[token] = found
         return found
 
+    def stream(self, text: str) -> list[tuple[str, float]]:
+        """The symbols of a text and their weights, up to a last end; none if it holds no insult or threat."""
+        found = list(map(self.symbol, _TOKEN.findall(text.lower())))
+        return [*faded(found), ("PARAGRAPH", 0.0)] if any(w for _, w in found) else []
+
     def clauses(self, text: str) -> list[float]:
         """The weights of a text's clauses; none if it holds no insult or threat."""
-        stream = list(map(self.symbol, _TOKEN.findall(text.lower())))
-        return list(self.machine.clauses([*stream, ("PARAGRAPH", 0.0)])) if any(w for _, w in stream) else []
+        return list(self.machine.clauses(self.stream(text)))
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        found = self.clauses(text or "")
+        return self.features_of(self.stream(text or ""))
+
+    def features_of(self, stream: list[tuple[str, float]]) -> tuple[float, float, float]:
+        found = list(self.machine.clauses(stream))
         if not found:
             return 0.0, 0.0, 0.0
         return math.log1p(max(found)), math.log1p(sum(found)), sum(c > 0 for c in found) / len(found)
@@ -167,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Grammar
     def featured(batches):
         grammars = [Grammar(insults, context=c) for c in CONTEXTS]
         for batch in batches:
-            got = [[v for g in grammars for v in g.features(t.as_py())] for t in batch.column("text")]
+            # the contexts differ in factors alone, so they read the same symbols
+            streams = [grammars[0].stream(t.as_py() or "") for t in batch.column("text")]
+            got = [[v for g in grammars for v in g.features_of(s)] for s in streams]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "y"])
 
     points = rows.select("text", "toxic").mapInArrow(featured, "x array<double>, y int").collect()

@@ -572,3 +572,17 @@ def test_empty_others(spark, tmp_path):
     assert op3_warc.op3_warc(spark, str(tmp_path)).count() == 0
     assert op9_topk.op9_topk(spark, str(tmp_path)).count() == 0
     assert op7_toxicity.op7_toxicity(spark, str(tmp_path)).count() == 0
+
+
+def test_toxicity_long_runs_of_words_fade():
+    faded, most = op7_toxicity.faded, op7_toxicity.FADED
+    g, rng = op7_toxicity.Grammar({}), random.Random(3)
+    for _ in range(300):
+        stream = []
+        for _ in range(rng.randint(1, 12)):
+            name = rng.choice([x for x in transducers.SYMBOLS if x != "HIT"])
+            stream += [(name, rng.choice([1.0, 2.5]) if name in ("INSULT", "THREAT") else 0.0)] + [("WORD", 0.0)] * rng.choice([0, 1, most - 1, most, most + 1, 20])
+        stream.append(("PARAGRAPH", 0.0))
+        short = list(faded(stream))
+        assert list(g.machine.clauses(short)) == list(g.machine.clauses(stream))
+    assert len(list(faded([("WORD", 0.0)] * 50))) == most
