@@ -179,9 +179,9 @@ def test_state_and_pending(spark, tmp_path):
 
 
 def test_ledger(spark):
-    raw = spark.createDataFrame([("2024-01-01", "p", "b", "prov", "m", None, 429, 1, "Bearer abcdefgh", [str(i) for i in range(30)], "route", "t")], "ts string, phase string, batch_id string, provider string, model string, kind string, http_status int, attempt int, message string, item_ids array<string>, scope string, task string")
+    raw = spark.createDataFrame([("2024-01-01", "p", "b", "prov", "m", None, 429, 1, "Bearer abcdefgh", [str(i) for i in range(60)], "route", "t")], "ts string, phase string, batch_id string, provider string, model string, kind string, http_status int, attempt int, message string, item_ids array<string>, scope string, task string")
     got = ledger.entries(raw).first()
-    assert got["kind"] == "rate_limit" and got["retryable"] and "abcdefgh" not in got["message"] and len(got["item_ids"]) == 20
+    assert got["kind"] == "rate_limit" and got["retryable"] and "abcdefgh" not in got["message"] and len(got["item_ids"]) == 50
     out = lambda rows: ledger.outage(spark.createDataFrame(rows, "kind string, scope string, message string")).first()["reason"]
     assert out([("auth", "route", "<html> cloudflare")]) == "all_providers_403_waf" and out([("auth", "route", "x")]) == "all_providers_auth_rejected"
     assert out([("other", "batch", "no healthy route for m")]) == "no_route_for_model" and out([("rate_limit", "route", "busy")]) == "all_providers_rate_limited"
