@@ -1,19 +1,31 @@
 """Dimension lookups: defaults, several probes, ordered rules, containment and token overlap.
 
-Dimensions are small tables that carry a declaration number; the joins are on equality wherever the rule allows it, and
-what can't be (rules with wildcards) is a join with the dimension alone.
+Dimensions are small tables that carry a declaration number; the joins are on equality wherever the rule allows it. What
+can't be is one expression over the rows, with the rules as literals, where there are at most LITERALS rules; more of them
+are joined on the condition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.ladders import first_of
 from tessera.functions.text import contains_phrase, key_tokens, norm_key, norm_space
 
 
+LITERALS = 256
+
+
+def _literals(rules: DataFrame) -> list | None:
+    """The rows of a rule table; None if there are more than LITERALS."""
+    found = rules.limit(LITERALS + 1).collect()
+    return found if len(found) <= LITERALS else None
+
+
 def resolve(rows: DataFrame, value: str, aliases: DataFrame, *, key: str = "key", canonical: str = "canonical") -> DataFrame:
     """rows with canonical and source: the alias of the value's key, else the value itself as observed."""
     a = aliases.select(F.col(key).alias("__key"), F.col(canonical).alias("__canonical"))
@@ -45,6 +57,14 @@ def best_path(rows: DataFrame, path: str, kinds: DataFrame) -> DataFrame:
     """path and kind: the kind whose includes are all in the path and whose excludes are not; the one with the longest
     include wins, the first declared of equals. kinds: kind, number, includes, excludes."""
     p = F.lower(F.col(path))
+    literal = _literals(kinds)
+    if literal is not None:
+        able = [k for k in literal if k["includes"] is not None and k["excludes"] is not None]
+        able.sort(key=lambda k: (-max((len(i) for i in k["includes"] if i is not None), default=0), k["number"], k["kind"]))
+        held = lambda words: [p.contains(F.lower(F.lit(w))) for w in words]
+        every = lambda k: reduce(lambda a, b: a & b, [*held(k["includes"]), *(~e for e in held(k["excludes"]))], F.lit(True))
+        kind = first_of([(every(k), F.struct(F.lit(k["kind"]).alias("kind"))) for k in able], F.lit(None).cast("struct<kind:string>"))
+        return rows.select(path).distinct().withColumn("__hit", kind).filter("__hit is not null").select(path, "__hit.kind")
     fits = F.forall("includes", lambda i: p.contains(F.lower(i))) & ~F.exists("excludes", lambda e: p.contains(F.lower(e)))
     hit = rows.select(path).distinct().join(F.broadcast(kinds), fits)
     longest = F.aggregate("includes", F.lit(0), lambda a, i: F.greatest(a, F.length(i)))
@@ -79,12 +99,25 @@ def overlapping(rows: DataFrame, row_id: str, text: str, names: DataFrame, least
 
 def by_pattern_rule(rows: DataFrame, row_id: str, text: str, rules: DataFrame) -> DataFrame:
     """row_id, target: the first rule (number, pattern, target) whose pattern begins at a word's start in the text."""
-    hit = rows.select(row_id, F.lower(norm_space(F.col(text))).alias("__text")).join(F.broadcast(rules), F.expr("__text rlike concat('\\\\b(?:', pattern, ')')"))
+    lowered = rows.select(row_id, F.lower(norm_space(F.col(text))).alias("__text"))
+    literal = _literals(rules.select("number", "pattern", "target"))
+    if literal is not None:
+        typed = f"struct<target:string,rule:{rules.schema['number'].dataType.simpleString()}>"
+        ordered = sorted((x for x in literal if x["pattern"] is not None), key=lambda x: x["number"])
+        value = lambda x: F.struct(F.lit(x["target"]).alias("target"), F.lit(x["number"]).alias("rule")).cast(typed)
+        hit = first_of([(F.col("__text").rlike(f"\\b(?:{x['pattern']})"), value(x)) for x in ordered], F.lit(None).cast(typed))
+        return lowered.select(row_id, hit.alias("__hit")).filter("__hit is not null").select(row_id, "__hit.target", "__hit.rule")
+    hit = lowered.join(F.broadcast(rules), F.expr("__text rlike concat('\\\\b(?:', pattern, ')')"))
     return hit.groupBy(row_id).agg(F.min_by("target", "number").alias("target"), F.min("number").alias("rule"))
 
 
 def longest_key(rows: DataFrame, path: str, blocks: DataFrame) -> DataFrame:
     """path, block: the block of the longest key (key, block) that the path contains; empty if none."""
+    literal = _literals(blocks.select("key", "block"))
+    if literal is not None:
+        ordered = sorted((b for b in literal if b["key"] is not None), key=lambda b: (len(b["key"]), b["key"]), reverse=True)
+        block = first_of([(F.col(path).contains(b["key"]), b["block"] or "") for b in ordered], "")
+        return rows.select(path).distinct().withColumn("block", block)
     hit = rows.select(path).distinct().join(F.broadcast(blocks), F.col(path).contains(F.col("key")), "left")
     return hit.groupBy(path).agg(F.coalesce(F.max_by("block", F.struct(F.length("key"), "key")), F.lit("")).alias("block"))
 

@@ -224,3 +224,20 @@ def test_vocabulary(spark):
     q = spark.createDataFrame([("q", "Synonyms", "Select the synonym of the word.\n\nLucid", [("A", "Clear."), ("B", "None of these")], "A", "E", 2020), ("r", "Maths", "2+2?", [], "A", "E", 2020)], "qid string, labels string, prompt string, options array<struct<label:string,text:string>>, correct string, exam string, year int")
     item = vocab.items(q, "(?i)select|choose", "(?i)options?\\b", "(?i)^none of these$").collect()
     assert [(r["qid"], r["kind"], r["term"], r["options"], r["correct_option"]) for r in item] == [("q", "synonym", "Lucid", ["Clear"], "Clear")]
+
+
+def test_rules_as_literals_and_joined_agree(spark, monkeypatch):
+    paths = spark.createDataFrame([("/EN/a/8",), ("/en/b",), ("/x/",), ("/fr/8",), (None,), ("/en/b",)], "path string")
+    kinds = spark.createDataFrame([("en", 1, ["/en/"], []), ("eight", 2, ["/8"], ["/fr/"]), ("any", 3, [], []), ("too", 0, ["/en/"], ["b"])], "kind string, number int, includes array<string>, excludes array<string>")
+    blocks = spark.createDataFrame([("/en/", "e"), ("/en/b", "eb"), ("8", "n"), (None, "x")], "key string, block string")
+    texts = spark.createDataFrame([(1, "An  Apple"), (2, "pineapple"), (3, "a tin box"), (4, None)], "i int, t string")
+    rules = spark.createDataFrame([(5, "tin|box", "metal"), (2, "apple", "fruit"), (9, "an", "word")], "number int, pattern string, target string")
+
+    def found():
+        return [sorted(map(repr, d.collect())) for d in (lookup.best_path(paths, "path", kinds), lookup.longest_key(paths, "path", blocks), lookup.by_pattern_rule(texts, "i", "t", rules))]
+
+    literal = found()
+    plan = lookup.longest_key(paths, "path", blocks)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+    monkeypatch.setattr(lookup, "LITERALS", 1)
+    assert found() == literal
