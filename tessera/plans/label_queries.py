@@ -166,10 +166,10 @@ def rarity_buckets(t):
 _NK = "trim(regexp_replace(translate(replace(lower({0}), '&', ' and '), '/-.' || chr(10) || chr(9) || chr(13), '      '), ' +', ' ', 'g'))"
 
 
-_PAIRS = "SELECT DISTINCT {0} w[i] || ' ' || w[i + 1] AS key FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT *, string_split({1}, ' ') AS w FROM {2}))"
+_TWO_WORDS = "SELECT DISTINCT {0} w[i] || ' ' || w[i + 1] AS key FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT *, string_split({1}, ' ') AS w FROM {2}))"
 
 
-@query(f"""WITH p AS ({_PAIRS.format('', _NK.format('text'), 'benchmark')}), d AS ({_PAIRS.format('doc_id,', _NK.format('text'), 'documents')})
+@query(f"""WITH p AS ({_TWO_WORDS.format('', _NK.format('text'), 'benchmark')}), d AS ({_TWO_WORDS.format('doc_id,', _NK.format('text'), 'documents')})
 SELECT key, count(doc_id) AS df FROM p LEFT JOIN d USING (key) GROUP BY ALL""")
 def phrase_document_frequency(t):
     from tessera.functions.text import norm_key
