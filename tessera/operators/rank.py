@@ -9,6 +9,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import slugify
+from tessera.sources.scratch import written
+
+
+def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "position", total: str | None = None) -> DataFrame:
+    """rows with their number from 1 in their group, and with `total` the group's rows: row_number() for groups of any size.
+
+    The rows are dealt by ranges of group and order and written, so a large group is many sorted parts and none of its
+    tasks holds all of it. The parts are counted, and a row's number is its place in its part after the parts before. The
+    order must be total for the numbers to be the same each time.
+    """
+    dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    table = written(dealt.withColumn("__id", F.monotonically_increasing_id()), "numbered").withColumn("__part", F.shiftright("__id", 33))
+    counted = table.groupBy(*(F.col(c).alias(f"__g{k}") for k, c in enumerate(group)), F.col("__part").alias("__p")).agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    w = Window.partitionBy(*(f"__g{k}" for k in range(len(group))))
+    before = F.coalesce(F.sum("__n").over(w.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = counted.select("*", before.alias("__before"), F.sum("__n").over(w).alias("__all"))
+    same = F.col("__part") == F.col("__p")
+    for k, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g{k}"))
+    new = [(F.col("__id") - F.col("__first") + F.col("__before") + 1).alias(name)] + ([F.col("__all").alias(total)] if total else [])
+    return table.join(counted, same).select(*rows.columns, *new)
 
 
 def round_robin(rows: DataFrame, group: Sequence[str], buckets: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
@@ -24,8 +45,12 @@ def packs(rows: DataFrame, kinds: dict[str, Sequence[str]], item: str, buckets:
     is exploded into its kinds."""
     parts = F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(n).alias("kind_no"), F.array(*(F.col(c).cast("string") for c in cols)).alias("key")) for n, (k, cols) in enumerate(kinds.items())))
     grown = rows.withColumn("__k", F.explode(parts)).select("*", "__k.kind", "__k.kind_no", "__k.key").filter(~F.exists("key", lambda v: v.isNull()))
-    held = grown.withColumn("__n", F.count("*").over(Window.partitionBy("kind", "key"))).filter(F.col("__n") >= least)
-    chosen = round_robin(held, ["kind", "key"], buckets, order)
+    held = grown.groupBy("kind", "key").agg(F.count("*").alias("__n")).filter(F.col("__n") >= least).select("kind", "key")
+    if size:
+        # a row's position is its turn at least, so later turns go before a group's rows meet
+        turn = F.row_number().over(Window.partitionBy("kind", "key", *buckets).orderBy(*order))
+        grown = grown.withColumn("__turn", turn).filter(F.col("__turn") <= size).drop("__turn")
+    chosen = round_robin(grown.join(held, ["kind", "key"], "left_semi"), ["kind", "key"], buckets, order)
     chosen = chosen.filter(F.col("position") <= size) if size else chosen
     year = F.col(buckets[1] if len(buckets) > 1 else buckets[0])
     out = chosen.groupBy("kind", "kind_no", "key").agg(
@@ -50,20 +75,19 @@ def distinct_ids(found: DataFrame, kind: str = "kind", name: str = "id", key: st
 
 def evenly(rows: DataFrame, group: Sequence[str], order: Sequence[str], take: int | Column) -> DataFrame:
     """Of each group evenly spaced rows: those at floor(i * size / take) for i under take; all if there are fewer."""
-    w = Window.partitionBy(*group)
-    out = rows.withColumns({"__at": F.row_number().over(w.orderBy(*order)) - 1, "__n": F.count("*").over(w)})
+    out = numbered(rows, group, order, "__nth", "__n").withColumn("__at", F.col("__nth") - 1)
     k = F.least(F.col("__n"), take if isinstance(take, Column) else F.lit(take)).cast("long")
     # a row at p is floor(i * n / k) for some i exactly if the multiple of n above p * k lies within k of it
     i = F.ceil(F.col("__at") * k / F.col("__n")).cast("long")
-    return out.filter((i < k) & (F.floor(i * F.col("__n") / k) == F.col("__at"))).drop("__at", "__n")
+    return out.filter((i < k) & (F.floor(i * F.col("__n") / k) == F.col("__at"))).drop("__at", "__n", "__nth")
 
 
 def stratified(rows: DataFrame, stratum: str, order: Sequence[str], strata: int, take: int) -> DataFrame:
     """Rows of the largest half of the wanted strata and an even choice of the others; of each evenly spaced rows."""
-    sizes = rows.groupBy(stratum).agg(F.count("*").alias("__size"))
-    ranked = sizes.withColumn("__rank", F.row_number().over(Window.orderBy(F.desc("__size"), stratum)))
+    sizes = rows.groupBy(stratum).agg(F.count("*").alias("__size")).withColumn("__one", F.lit(1))
+    ranked = numbered(sizes, ["__one"], [F.desc("__size"), stratum], "__rank")
     half = strata // 2
-    rest = evenly(ranked.filter(F.col("__rank") > half).withColumn("__one", F.lit(1)), ["__one"], [stratum], strata - half).select(stratum)
+    rest = evenly(ranked.filter(F.col("__rank") > half), ["__one"], [stratum], strata - half).select(stratum)
     chosen = ranked.filter(F.col("__rank") <= half).select(stratum).unionByName(rest)
     return evenly(rows.join(F.broadcast(chosen), stratum, "left_semi"), [stratum], order, take)
 
@@ -89,8 +113,9 @@ def recent_values(rows: DataFrame, column: str, span: int) -> DataFrame:
 
 def batches(rows: DataFrame, group: Sequence[str], order: Sequence[str], size: int, name: str = "batch") -> DataFrame:
     """Numbers runs of size rows from 0; a size of 0 makes one."""
-    at = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
-    return rows.withColumn(name, F.floor(at / size).cast("int") if size > 0 else F.lit(0))
+    if size <= 0:
+        return rows.withColumn(name, F.lit(0))
+    return numbered(rows, group, order, "__nth").withColumn(name, F.floor((F.col("__nth") - 1) / size).cast("int")).drop("__nth")
 
 
 def mode(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import contains_phrase, norm_key
+from tessera.operators.rank import numbered
 
 #: Weights of a rule's tables, the most that loose terms add, and where evidence is enough.
 SIGNAL, TITLE, TOPIC, BODY, PHRASE, HINT_STRONG, HINT_WEAK = 3, 3, 2, 1, 6, 6, 2
@@ -141,9 +142,8 @@ def by_signature(tokens: DataFrame, doc_id: str, sigs: DataFrame, label: str) ->
 
 def holdout(rows: DataFrame, label: str, order: Sequence[str], part: float = 0.8) -> DataFrame:
     """rows with train: the first part of each class, one row at least."""
-    w = Window.partitionBy(label)
-    at = F.row_number().over(w.orderBy(*order))
-    return rows.withColumn("train", at <= F.greatest(F.lit(1), F.floor(F.count("*").over(w) * part)))
+    out = numbered(rows, [label], order, "__nth", "__n")
+    return out.withColumn("train", F.col("__nth") <= F.greatest(F.lit(1), F.floor(F.col("__n") * part))).drop("__nth", "__n")
 
 
 def threshold(scored: DataFrame, score: str, right: Column, precision: float, start: int = 20) -> DataFrame:
