@@ -6,7 +6,7 @@ concept, number). Numbers give the order of declaration.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import after_dash, key_tokens, name_like, norm_key, norm_space
@@ -135,15 +135,15 @@ def counts(chapters: DataFrame, topics: DataFrame, concepts: DataFrame) -> DataF
     return one(chapters, "chapters").unionByName(one(topics, "topics")).unionByName(one(concepts, "concepts")).groupBy("subject").pivot("kind", ["chapters", "topics", "concepts"]).count().na.fill(0)
 
 
-def canonical_labels(*sources: DataFrame) -> DataFrame:
-    """key, label: the first spelling of each key over sources (label) in their order."""
+def canonical_labels(*sources: DataFrame, seq: str | None = None) -> DataFrame:
+    """key, label: the first spelling of each key over sources (label) in their order; within a source the first by the
+    column seq, without one the smallest spelling."""
     rows = None
     for k, s in enumerate(sources):
-        part = s.select(F.col("label"), F.lit(k).alias("prec"), F.monotonically_increasing_id().alias("seq"))
+        part = s.select(F.col("label"), F.struct(F.lit(k).alias("prec"), (F.col(seq) if seq else F.lit(0)).alias("seq"), "label").alias("at"))
         rows = part if rows is None else rows.unionByName(part)
     keyed = rows.withColumn("key", F.lower(norm_space(F.col("label")))).filter("key <> ''")
-    w = Window.partitionBy("key").orderBy("prec", "seq", "label")
-    return keyed.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select("key", "label")
+    return keyed.groupBy("key").agg(F.min("at").alias("at")).select("key", F.col("at.label").alias("label"))
 
 
 def raw_labels(questions: DataFrame, concept: str = "concept", tags: str = "tags") -> DataFrame:

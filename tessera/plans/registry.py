@@ -27,4 +27,4 @@ def query(sql: str | None = None):
     return add
 
 
-from tessera.plans import hierarchy_queries, item_queries, label_queries, ledger_queries, rank_queries, source_queries, text_queries  # noqa: E402, F401
+from tessera.plans import hierarchy_queries, item_queries, label_queries, ledger_queries, rank_queries, source_queries, taxonomy_queries, text_queries  # noqa: E402, F401
