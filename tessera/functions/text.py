@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,6 +22,11 @@ def text_of(x: Column) -> Column:
     return F.coalesce(x.cast("string"), F.lit(""))
 
 
+def held(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x worked out once: a lambda's variable is a value, where a column is put in again at each use."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def norm_space(x: Column) -> Column:
     """Runs of white space (Unicode's) as one space, none at the ends; null as empty."""
     return F.trim(F.regexp_replace(F.translate(text_of(x), SPACES, " " * len(SPACES)), " {2,}", " "))
@@ -193,28 +198,27 @@ def underlined(x: Column) -> Column:
 def asked_term(x: Column, instruction: str, deny: str) -> Column:
     """The term a prompt asks about: after the first line that is an instruction, its own later sentences from the last
     back, then the following lines; without such a line the last underlined term, else the last line like one."""
-    lines = F.filter(F.split(norm_lines(x), "\n"), lambda v: F.trim(v) != "")
-    flags = F.transform(lines, lambda v: strip_markup(v).rlike(instruction))
-    at = F.array_position(flags, F.lit(True)).cast("int")
-    line = F.regexp_replace(strip_markup(F.get(lines, at - 1)), r"(?i)^\s*directions?\s*[:\-–]\s*", "")
-    sentences = F.split(line, r"(?<=[.:?])\s+")
-    own = F.when(F.size(sentences) > 1, F.reverse(F.slice(sentences, 2, F.size(sentences) - 1))).otherwise(F.array().cast("array<string>"))
-    after = F.when(at < F.size(lines), F.slice(lines, at + 1, F.size(lines) - at)).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
     usable = lambda v: term_like(v, deny) & ~(v.rlike(instruction) & (word_count(v) > 4))
-    found = F.get(F.filter(F.transform(F.concat(own, after), clean_term), usable), F.lit(0))
-    marked = F.get(F.reverse(underlined(x)), F.lit(0))
-    marked = F.when(term_like(clean_term(marked), deny), clean_term(marked))
-    return F.coalesce(F.when(at > 0, found), marked, last_term(norm_lines(x), deny))
+    first = lambda rows: F.array_position(F.transform(rows, lambda v: strip_markup(v).rlike(instruction)), F.lit(True)).cast("int")
+
+    def later(rows: Column, at: Column) -> Column:
+        line = F.regexp_replace(strip_markup(F.get(rows, at - 1)), r"(?i)^\s*directions?\s*[:\-–]\s*", "")
+        own = held(F.split(line, r"(?<=[.:?])\s+"), lambda s: F.when(F.size(s) > 1, F.reverse(F.slice(s, 2, F.size(s) - 1))).otherwise(none))
+        after = F.when(at < F.size(rows), F.slice(rows, at + 1, F.size(rows) - at)).otherwise(none)
+        return F.get(F.filter(F.transform(F.concat(own, after), clean_term), usable), F.lit(0))
+
+    lines = F.filter(F.split(norm_lines(x), "\n"), lambda v: F.trim(v) != "")
+    found = held(lines, lambda rows: held(first(rows), lambda at: F.when(at > 0, later(rows, at))))
+    marked = held(clean_term(F.get(F.reverse(underlined(x)), F.lit(0))), lambda v: F.when(term_like(v, deny), v))
+    return F.coalesce(found, marked, last_term(norm_lines(x), deny))
 
 
 def spelling_target(instruction: Column, payload: Column, deny: str) -> Column:
     """The first underlined term, else the last of the payload, else the instruction if it is one."""
     marked = clean_term(F.coalesce(F.get(underlined(payload), F.lit(0)), F.get(underlined(instruction), F.lit(0))))
-    whole = clean_term(instruction)
-    return F.coalesce(
-        F.when((marked != "") & term_like(marked, deny), marked), F.nullif(last_term(payload, deny), F.lit("")),
-        F.when(term_like(whole, deny), whole), F.lit(""),
-    )
+    term = lambda x: held(x, lambda v: F.when(term_like(v, deny), v))
+    return F.coalesce(F.nullif(term(marked), F.lit("")), F.nullif(last_term(payload, deny), F.lit("")), term(clean_term(instruction)), F.lit(""))
 
 
 def entry_key(x: Column, drop_to: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import contains_phrase, norm_key
 from tessera.operators.rank import numbered
+from tessera.sources.scratch import written
 
 #: Weights of a rule's tables, the most that loose terms add, and where evidence is enough.
 SIGNAL, TITLE, TOPIC, BODY, PHRASE, HINT_STRONG, HINT_WEAK = 3, 3, 2, 1, 6, 6, 2
@@ -148,10 +149,16 @@ def holdout(rows: DataFrame, label: str, order: Sequence[str], part: float = 0.8
 
 def threshold(scored: DataFrame, score: str, right: Column, precision: float, start: int = 20) -> DataFrame:
     """One row threshold, coverage: the first score, from the highest down and from the position `start` on, at which all
-    rows of that score and more reach the precision. Rows are first counted by score, so the window holds scores."""
+    rows of that score and more reach the precision. Rows are counted by score and the scores dealt by range, so a window
+    holds the scores of a part, and one over the parts' sums a row for each part."""
     by = scored.groupBy(score).agg(F.count("*").alias("__n"), F.count_if(right).alias("__r"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    run = by.withColumns({"__cn": F.sum("__n").over(w), "__cr": F.sum("__r").over(w)})
+    by = written(by.repartitionByRange(F.desc(score)).withColumn("__part", F.spark_partition_id()), "scores")
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = by.groupBy("__part").agg(F.sum("__n").alias("__pn"), F.sum("__r").alias("__pr"))
+    parts = parts.select("__part", *(F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(c) for c in ("__pn", "__pr")))
+    w = Window.partitionBy("__part").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
+    run = by.withColumns({"__cn": F.sum("__n").over(w), "__cr": F.sum("__r").over(w)}).join(parts, "__part")
+    run = run.withColumns({"__cn": F.col("__cn") + F.col("__pn"), "__cr": F.col("__cr") + F.col("__pr")})
     all_ = scored.agg(F.count("*").alias("__all"))
     # a score counts from `start` on if its last row lies behind that position
     good = run.filter((F.col("__cn") > start) & (F.col("__cr") / F.col("__cn") >= precision))

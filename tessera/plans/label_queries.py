@@ -107,9 +107,9 @@ def ownership_verdict(t):
     return p.select("p_partkey", v.alias("verdict"), lookup.foreign_level(F.col("co"), F.col("owners"), F.col("p_brand")).alias("level"))
 
 
-@query("""SELECT DISTINCT lower(p_type) AS key FROM part WHERE p_brand <> 'Brand#11' EXCEPT SELECT lower(p_type) FROM part WHERE p_brand = 'Brand#11'""")
+@query("""SELECT DISTINCT lower(p_name) AS key FROM part WHERE p_brand <> 'Brand#11' EXCEPT SELECT lower(p_name) FROM part WHERE p_brand = 'Brand#11'""")
 def foreign_vocabulary(t):
-    return taxonomy.foreign_names(t("part").select(F.col("p_type").alias("name"), F.col("p_brand").alias("subject")), "Brand#11")
+    return taxonomy.foreign_names(t("part").select(F.col("p_name").alias("name"), F.col("p_brand").alias("subject")), "Brand#11")
 
 
 @query(f"""WITH a AS (SELECT subject, key, canonical, chapter FROM (VALUES ('R0', 'promo anodized tin', 'Promo Tin', 'PROMO')) v(subject, key, canonical, chapter)),

@@ -1,5 +1,8 @@
 """Ledgers, outages, failure runs, audits and event windows over events, orders, documents and part."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import ladders
@@ -28,12 +31,28 @@ def ledger_tail_window(t):
     return ledger.tail(t("events"), "ts", 3 * 86_400).groupBy("event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
 
 
-@query("""WITH r AS (SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY AND event_type = 'error')
-SELECT CASE WHEN count(*) = 0 THEN 'unclassified_ai_outage' ELSE 'all_providers_transport_error' END AS reason, count(*) AS rows FROM r""")
+#: name, kind, scope and message of a tail's rows, and the verdict on it.
+_TAILS = [
+    ("waf", "auth", "route", "<html> Cloudflare", "all_providers_403_waf"), ("auth", "auth", "route", "denied", "all_providers_auth_rejected"),
+    ("spent", "rate_limit", "route", "all keys in use", "all_keys_exhausted"), ("busy", "rate_limit", "route", "busy", "all_providers_rate_limited"),
+    ("wire", "transport", "route", "timed out", "all_providers_transport_error"), ("skip", "other", "batch", "no healthy route for m", "no_route_for_model"),
+    ("odd", "bad_json", "batch", "so", "unclassified_ai_outage"), ("none", None, None, None, "unclassified_ai_outage"),
+]
+_NAMED = ", ".join(f"('{name}', {kind is not None}, '{verdict}')" for name, kind, _, _, verdict in _TAILS)
+
+
+@query(f"""WITH r AS (SELECT count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY AND event_type = 'error'), v(tail, filled, reason) AS (VALUES {_NAMED})
+SELECT tail, CASE WHEN filled AND n > 0 THEN reason ELSE 'unclassified_ai_outage' END AS reason, CASE WHEN filled THEN n ELSE 0 END AS rows FROM v, r
+UNION ALL SELECT 'no_keys', 'no_keys_configured', n FROM r""")
 def outage_reason(t):
     recent = ledger.tail(t("events"), "ts", 86_400).filter("event_type = 'error'")
-    rows = recent.select(F.lit("transport").alias("kind"), F.lit("route").alias("scope"), F.lit("timed out").alias("message"))
-    return ledger.outage(rows).select("reason", "rows")
+    out = []
+    for name, kind, scope, message, _ in _TAILS:
+        rows = recent.select(F.lit(kind).cast("string").alias("kind"), F.lit(scope).cast("string").alias("scope"), F.lit(message).cast("string").alias("message"))
+        out.append(ledger.outage(rows if kind else rows.limit(0)).select(F.lit(name).alias("tail"), "reason", "rows"))
+    keyless = recent.select(F.lit("auth").alias("kind"), F.lit("route").alias("scope"), F.lit("").alias("message"))
+    out.append(ledger.outage(keyless, keys_configured=False).select(F.lit("no_keys").alias("tail"), "reason", "rows"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'auth' WHEN event_id % 6 = 1 THEN 'rate_limit' WHEN event_id % 6 = 2 THEN 'rate_limit' WHEN event_id % 6 = 3 THEN 'bad_json' WHEN event_id % 6 = 4 THEN 'transport' ELSE 'http' END AS kind,
@@ -113,10 +132,10 @@ def audit_empty_leaves(t):
     return audit.empty_and_marked(places, rows, "n_nationkey", "marked")
 
 
-@query("""SELECT 'wrong_owner' AS rule, CAST(p_partkey AS VARCHAR) AS place, p_brand || '|' || p_type AS detail FROM part WHERE p_type IS NOT NULL AND (p_brand, lower(p_type)) NOT IN (SELECT p_brand, lower(p_type) FROM part WHERE p_size <= 40)""")
+@query("""SELECT 'wrong_owner' AS rule, CAST(p_partkey AS VARCHAR) AS place, p_brand || '|' || p_name AS detail FROM part WHERE p_name IS NOT NULL AND (p_brand, lower(p_name)) NOT IN (SELECT p_brand, lower(p_name) FROM part WHERE p_size <= 10)""")
 def audit_ownership(t):
-    declared = t("part").filter("p_size <= 40").select(F.col("p_brand").alias("subject"), F.lower("p_type").alias("key"))
-    return audit.wrong_owner(t("part"), declared, "p_brand", "p_type", "p_partkey")
+    declared = t("part").filter("p_size <= 10").select(F.col("p_brand").alias("subject"), F.lower("p_name").alias("key"))
+    return audit.wrong_owner(t("part"), declared, "p_brand", "p_name", "p_partkey")
 
 
 @query("""WITH u AS (SELECT 'repeated_in_place' AS rule, count(*) AS violations FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)
