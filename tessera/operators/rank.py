@@ -12,13 +12,23 @@ from tessera.functions.text import slugify
 from tessera.sources.scratch import written
 
 
-def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "position", total: str | None = None) -> DataFrame:
+#: Groups up to this many rows are sorted by one task each.
+ONE_TASK = 1_000_000
+
+
+def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "position", total: str | None = None, most: int | None = None) -> DataFrame:
     """rows with their number from 1 in their group, and with `total` the group's rows: row_number() for groups of any size.
 
-    The rows are dealt by ranges of group and order and written, so a large group is many sorted parts and none of its
-    tasks holds all of it. The parts are counted, and a row's number is its place in its part after the parts before. The
-    order must be total for the numbers to be the same each time.
+    The largest group is counted, unless the caller knows a bound (most). Up to ONE_TASK rows a window does it. Beyond, the
+    rows are dealt by ranges of group and order and written, so a large group is many sorted parts and none of its tasks
+    holds all of it; the parts are counted, and a row's number is its place in its part after the parts before. Both give
+    the same numbers. The order must be total for the numbers to be the same each time.
     """
+    if most is None:
+        most = rows.groupBy(*group).agg(F.count("*").alias("__n")).agg(F.max("__n")).first()[0] or 0
+    if most <= ONE_TASK:
+        g = Window.partitionBy(*group)
+        return rows.withColumns({name: F.row_number().over(g.orderBy(*order)).cast("long")} | ({total: F.count("*").over(g)} if total else {}))
     dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     table = written(dealt.withColumn("__id", F.monotonically_increasing_id()), "numbered").withColumn("__part", F.shiftright("__id", 33))
     counted = table.groupBy(*(F.col(c).alias(f"__g{k}") for k, c in enumerate(group)), F.col("__part").alias("__p")).agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))

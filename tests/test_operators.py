@@ -64,7 +64,9 @@ def round_robin(buckets):
     return out
 
 
-def test_numbers_of_large_groups(spark):
+@pytest.mark.parametrize("one_task", [0, 1_000_000])
+def test_numbers_of_large_groups(spark, monkeypatch, one_task):
+    monkeypatch.setattr(rank, "ONE_TASK", one_task)
     rows = [("hot" if i % 10 else None if i % 20 else "cold", (i * 7919) % 4001, i) for i in range(4000)]
     df = spark.createDataFrame(rows, "g string, o int, i int")
     got = {(r["g"], r["i"]): (r["k"], r["n"]) for r in rank.numbered(df, ["g"], [F.desc("o"), "i"], "k", "n").collect()}
@@ -73,7 +75,7 @@ def test_numbers_of_large_groups(spark):
         held = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
         want |= {(g, r[2]): (k, len(held)) for k, r in enumerate(held, 1)}
     assert got == want
-    assert rank.numbered(df.limit(0), ["g"], ["i"]).count() == 0
+    assert rank.numbered(df.limit(0), ["g"], ["i"], most=1).count() == 0
 
 
 def test_round_robin_like_a_loop(spark):
