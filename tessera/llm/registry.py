@@ -11,9 +11,10 @@ from tessera.llm import (
     op8_packing,
     op9_topk,
     op10_quality,
+    op12_collocations,
 )
 
-MODULES = [op1_mixing, op2_minhash, op3_warc, op4_sharding, op5_lines, op6_langid, op7_toxicity, op8_packing, op9_topk, op10_quality]
+MODULES = [op1_mixing, op2_minhash, op3_warc, op4_sharding, op5_lines, op6_langid, op7_toxicity, op8_packing, op9_topk, op10_quality, op12_collocations]
 
 
 def queries() -> dict:
