@@ -11,10 +11,12 @@ from tessera.llm import (
     op8_packing,
     op9_topk,
     op10_quality,
+    op11_lexical,
     op12_collocations,
+    op13_tokenids,
 )
 
-MODULES = [op1_mixing, op2_minhash, op3_warc, op4_sharding, op5_lines, op6_langid, op7_toxicity, op8_packing, op9_topk, op10_quality, op12_collocations]
+MODULES = [op1_mixing, op2_minhash, op3_warc, op4_sharding, op5_lines, op6_langid, op7_toxicity, op8_packing, op9_topk, op10_quality, op11_lexical, op12_collocations, op13_tokenids]
 
 
 def queries() -> dict:
