@@ -7,8 +7,11 @@ the positions of its last word: shifted by one and ANDed with a word's bitmap it
 after it, and popcounts are occurrences. As no bitmap has a piece's end, no phrase passes it.
 
 A shard extends its phrases depth first, a block of first words at a time, and the popcounts of all shards are summed.
-Only words that are frequent over all shards are extended, and to a third word only pairs that are, by pairs that are. So
-a bitmap is never made that can't count, and every phrase that is frequent is counted in each shard that holds it.
+Only words that are frequent over all shards are extended, and to a third word only pairs that are, by pairs that are. Most
+pairs of a shard are rare, so their popcounts are first summed by a hash of about 32 times as many values as there are
+words, packed by ranges of it; a sum is never less than a pair's own, so pairs whose sums are too small are out, and of the
+rest each shard gives its popcounts by the pairs themselves. Every phrase that is frequent is counted in each shard that
+holds it.
 
 The AND of a sparse bitmap with the sparse bitmaps of all words is done at once: a position holds one word at most, so the
 shifted positions, grouped by the word there, are all the ANDs that aren't empty. Dense ones are ANDed as bits.
@@ -26,6 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +42,9 @@ SHARD = 1 << 21
 #: Positions of first words that are extended at once, and bytes of a text that are read at once.
 BLOCK, SLICE = 1 << 19, 4 << 20
 SALTS = 64
+#: Positions whose pairs make one range of hashes.
+RANGE = 1 << 22
+COUNTED = "shard long, lang string, phrase string, n long"
 BITMAPS = "shard long, lang string, word string, n long, bits boolean, positions long, bitmap binary"
 _ENDS = ".,;:!?\n\x0b\x0c\r"
 #: Ends of pieces become the byte of a full stop, which no word can have, and tabs blanks.
@@ -124,7 +131,7 @@ class Bitmaps:
         key = phrase.astype(np.int64) * len(self.words) + word
         order = np.argsort(key, kind="stable")
         key = key[order]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+        starts = _starts(key)
         counts = np.diff(np.concatenate([starts, [len(key)]]))
         found = key[starts]
         return found // len(self.words), found % len(self.words), counts, np.repeat(np.arange(len(starts)), counts), after[order]
@@ -174,6 +181,11 @@ def _columns(rows, width: int = 3) -> tuple[np.ndarray, ...]:
     return tuple(out.T)
 
 
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+
+
 def to_bits(place: np.ndarray, positions: int) -> np.ndarray:
     held = np.zeros(-(-positions // 64) * 64, np.uint8)
     held[place] = 1
@@ -250,24 +262,93 @@ def _shards(batches) -> Iterator[tuple[int, pa.Table]]:
         yield rest[0].column("shard")[0].as_py(), pa.Table.from_batches(rest)
 
 
+def _kind(rows: pa.Table, kind: int) -> pa.Table:
+    return rows.filter(pc.equal(rows["kind"], kind))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers, their bytes plane by plane: the high ones are alike."""
+    return zstandard.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def pair_hash(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """Of the words' hashes, the pair's among 2 ** bits values."""
+    with np.errstate(over="ignore"):
+        x = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+    return x >> np.uint64(64 - bits)
+
+
+def _sketch(bits: int, parts: int):
+    """For each shard and range of hashes: the hashes there, as steps, and the sums of popcounts."""
+
+    def sketch(batches):
+        for shard, rows in _shards(batches):
+            found, hashes = Bitmaps.loaded(rows), rows["h"].to_numpy()
+            chunks = [(pair_hash(hashes[w], hashes[v], bits), n) for w, v, n in found.pairs()]
+            key, n = (np.concatenate(x) for x in zip(*chunks, strict=True))
+            if not len(key):
+                continue
+            order = np.argsort(key)
+            key, n = key[order], n[order]
+            starts = _starts(key)
+            key, n = key[starts], np.add.reduceat(n, starts)
+            part = key >> np.uint64(bits - parts)
+            cuts = _starts(part).tolist()
+            out = [(int(part[i]), shard, packed(np.diff(key[i:j], prepend=np.uint64(0))), packed(n[i:j])) for i, j in zip(cuts, [*cuts[1:], len(key)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["part", "shard", "hashes", "counts"])
+
+    return sketch
+
+
+def _survivors(least: int):
+    """Of each shard's hashes in a range those whose sums over all shards come to least."""
+
+    def choose(batches):
+        for _, rows in _shards(b.rename_columns(["shard", "of", "hashes", "counts"]) for b in batches):
+            held = [np.cumsum(unpacked(x), dtype=np.uint64) for x in rows["hashes"].to_pylist()]
+            counts = np.concatenate([unpacked(x) for x in rows["counts"].to_pylist()])
+            known, where = np.unique(np.concatenate(held), return_inverse=True)
+            enough = (np.bincount(where, counts, len(known)) >= least)[where]
+            ends = np.cumsum([0, *map(len, held)])
+            left = [x[enough[i:j]] for x, i, j in zip(held, ends, ends[1:], strict=False)]
+            keep = [k for k, x in enumerate(left) if len(x)]
+            yield pa.RecordBatch.from_arrays([rows["of"].combine_chunks().take(pa.array(keep, pa.int64())), pa.array([packed(left[k]) for k in keep], pa.binary())], names=["shard", "bitmap"])
+
+    return choose
+
+
 def _counted(shard: int, lang: str, phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     n = len(phrase)
     columns = [pa.array(np.full(n, shard, np.int64)), pa.array([lang] * n, pa.string()), phrase, pa.array(counts.astype(np.int64))]
     return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "phrase", "n"])
 
 
-def _pairs(batches):
-    for shard, rows in _shards(batches):
-        found, lang = Bitmaps.loaded(rows), rows["lang"][0].as_py()
-        for w, v, n in found.pairs():
-            yield _counted(shard, lang, found.phrase(w, v), n)
+def _pairs(bits: int):
+    def count(batches):
+        for shard, rows in _shards(batches):
+            chosen, rows = _kind(rows, HASHES)["bitmap"].to_pylist(), _kind(rows, WORD)
+            if chosen and rows.num_rows:
+                found, lang, hashes = Bitmaps.loaded(rows), rows["lang"][0].as_py(), rows["h"].to_numpy()
+                wanted = np.sort(np.concatenate([unpacked(x) for x in chosen]))
+                for w, v, n in found.pairs():
+                    key = pair_hash(hashes[w], hashes[v], bits)
+                    keep = wanted[np.searchsorted(wanted, key).clip(max=len(wanted) - 1)] == key
+                    yield _counted(shard, lang, found.phrase(w[keep], v[keep]), n[keep])
+
+    return count
 
 
 def _triples(batches):
-    """Rows of BITMAPS, and before a shard's own those of its frequent pairs (the phrase as word, no bitmap)."""
     for shard, rows in _shards(batches):
-        lone = pc.is_null(rows["bitmap"])
-        pairs, rows = rows.filter(lone), rows.filter(pc.invert(lone))
+        pairs, rows = _kind(rows, PAIR), _kind(rows, WORD)
         if pairs.num_rows and rows.num_rows:
             found, lang = Bitmaps.loaded(rows), rows["lang"][0].as_py()
             ends = pc.split_pattern(pairs["word"].combine_chunks(), " ")
@@ -276,7 +357,15 @@ def _triples(batches):
                 yield _counted(shard, lang, found.phrase(a, b, c), n)
 
 
-def _by_shard(rows: DataFrame, shards: int) -> DataFrame:
+#: What a row that goes to a shard's task is: a word's bitmap, hashes of pairs (packed), or a frequent pair.
+WORD, HASHES, PAIR = 0, 1, 2
+
+
+def _to_shards(shards: int, words: DataFrame, kind: int | None = None, others: DataFrame | None = None) -> DataFrame:
+    """The rows of `words`, and others of a kind that have some of its columns, by shard."""
+    rows = words.withColumn("kind", F.lit(WORD))
+    if others is not None:
+        rows = rows.unionByName(others.withColumn("kind", F.lit(kind)), allowMissingColumns=True)
     return rows.repartition(max(1, min(shards, 8192)), "shard").sortWithinPartitions("shard")
 
 
@@ -292,24 +381,26 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard
     if not 1 <= words <= 3:
         raise ValueError("phrases have 1 to 3 words")
     table = bitmaps(docs, shard_positions)
-    shards = table.select("shard").distinct().count()
     totals = stage(table.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    schema = "shard long, lang string, phrase string, n long"
+    shards, positions = table.select("shard").distinct().count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # a word stands once in a shard, so no key is hotter than the number of shards
     found = [frequent(table.withColumnRenamed("word", "phrase"), least, 1)]
     width = F.octet_length("phrase") + F.octet_length("lang") + 60
     if words > 1:
         able = table.join(sized(found[0].select("lang", F.col("phrase").alias("word")), F.octet_length("word") + F.octet_length("lang") + 60), ["lang", "word"], "left_semi")
-        able = stage(_by_shard(able.select(*table.columns), shards), "bitmaps-able")
-        pairs = stage(_by_shard(able, shards).mapInArrow(_pairs, schema), "pairs")
+        able = able.select(*table.columns, F.xxhash64("lang", "word").alias("h"))
+        parts = max(0, (positions // RANGE).bit_length())
+        bits = min(62, positions.bit_length() + 5)
+        sketch = _to_shards(shards, able).mapInArrow(_sketch(bits, parts), "part long, shard long, hashes binary, counts binary")
+        chosen = sketch.repartition(1 << min(parts, 13), "part").sortWithinPartitions("part").mapInArrow(_survivors(least), "shard long, bitmap binary")
+        chosen = stage(chosen, "pair-hashes")
+        pairs = stage(_to_shards(shards, able, HASHES, chosen).mapInArrow(_pairs(bits), COUNTED), "pairs")
         found.append(frequent(pairs, least, 2))
         if words > 2:
             held = pairs.join(sized(found[1].select("lang", "phrase"), width), ["lang", "phrase"], "left_semi")
-            none = lambda kind: F.lit(None).cast(kind)
-            held = held.select("shard", "lang", F.col("phrase").alias("word"), "n", none("boolean").alias("bits"), none("long").alias("positions"), none("binary").alias("bitmap"))
-            both = _by_shard(able.unionByName(held), shards)
-            found.append(frequent(both.mapInArrow(_triples, schema), least, 3))
-        unstage(pairs, able)
+            held = held.select("shard", F.col("phrase").alias("word"))
+            found.append(frequent(_to_shards(shards, able, PAIR, held).mapInArrow(_triples, COUNTED), least, 3))
+        unstage(pairs, chosen)
     unstage(table)
     return reduce(DataFrame.unionByName, found), totals
 
