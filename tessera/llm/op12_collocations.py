@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -210,7 +209,7 @@ def popcount(bits: np.ndarray) -> int:
 def _build(shard_positions: int):
     def build(batches):
         held: dict[str, list[bytes]] = {}
-        total, made, task = 0, 0, TaskContext.get().partitionId()
+        total, made, part = 0, 0, 0
 
         def flush(lang):
             nonlocal total, made
@@ -220,12 +219,12 @@ def _build(shard_positions: int):
             dense, bitmap = found.serialized()
             n, made = len(found.words), made + 1
             columns = [
-                np.full(n, (task << 32) + made, np.int64), pa.array([lang] * n, pa.string()), found.words, found.counts.astype(np.int64), dense, np.full(n, found.positions, np.int64), bitmap.cast(pa.binary()),
+                np.full(n, (part << 32) + made, np.int64), pa.array([lang] * n, pa.string()), found.words, found.counts.astype(np.int64), dense, np.full(n, found.positions, np.int64), bitmap.cast(pa.binary()),
             ]
             return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["shard", "lang", "word", "n", "bits", "positions", "bitmap"])
 
         for batch in batches:
-            texts = batch.column("text")
+            texts, part = batch.column("text"), batch.column("part")[0].as_py() if batch.num_rows else part
             for k, lang in enumerate(batch.column("lang").to_pylist()):
                 for tokens in tokens_of(texts[k].as_py() or ""):
                     held.setdefault(lang, []).extend(tokens)
@@ -242,7 +241,7 @@ def _build(shard_positions: int):
 
 def bitmaps(docs: DataFrame, shard_positions: int = SHARD) -> DataFrame:
     """Staged rows of BITMAPS: every word of every shard."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part"))
     return stage(rows.mapInArrow(_build(shard_positions), BITMAPS), "bitmaps")
 
 
