@@ -1,17 +1,17 @@
 """Phrases whose words stand together, from compressed position bitmaps of every word.
 
 Texts are cut into pieces and words and dealt, as they are read, to shards of one language and about SHARD positions; a
-piece's end takes a position of its own that no word holds. A shard keeps a bitmap of positions for each word (the table
-of `bitmaps`): a sorted array of 32-bit positions, or the bits themselves where those are shorter. A phrase's bitmap holds
-the positions of its last word: shifted by one and ANDed with a word's bitmap it is that of the phrase with the word
-after it, and popcounts are occurrences. As no bitmap has a piece's end, no phrase passes it.
-
-A shard extends its phrases depth first, a block of first words at a time, and the popcounts of all shards are summed.
-Only words that are frequent over all shards are extended, and to a third word only pairs that are, by pairs that are. Most
-pairs of a shard are rare, so their popcounts are first summed by a hash of about 32 times as many values as there are
-words, packed by ranges of it; a sum is never less than a pair's own, so pairs whose sums are too small are out, and of the
-rest each shard gives its popcounts by the pairs themselves. Every phrase that is frequent is counted in each shard that
-holds it.
+piece's end takes a position of its own that no word holds. A shard has a bitmap of positions for each word: written (the
+table of `bitmaps`, a row a shard) as the gaps between its positions, packed; in a task as sorted 32-bit positions, or as
+the bits themselves where those are shorter. A phrase's bitmap holds the positions of its last word: shifted by one and
+ANDed with a word's bitmap it is that of the phrase with the word after it, and popcounts are occurrences. As no bitmap has
+a piece's end, no phrase passes it.
+
+A shard extends its phrases depth first, a block of first words at a time, and the popcounts of all shards are summed. Most
+pairs of a shard are rare over all, so their popcounts are first summed by a hash of about 32 times as many values as there
+are words, packed by ranges of it; a sum is never less than a pair's own, so pairs whose sums are too small are out. The
+rest are counted by the pairs themselves, and extended to a third word by pairs that are left too. So a bitmap is hardly
+made that can't count, and every phrase that is frequent is counted in each shard that holds it.
 
 The AND of a sparse bitmap with the sparse bitmaps of all words is done at once: a position holds one word at most, so the
 shifted positions, grouped by the word there, are all the ANDs that aren't empty. Dense ones are ANDed as bits.
@@ -23,12 +23,13 @@ is never cut. An empty table gives an empty result. Other columns are not used o
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,8 +44,8 @@ BLOCK, SLICE = 1 << 19, 4 << 20
 SALTS = 64
 #: Positions whose pairs make one range of hashes.
 RANGE = 1 << 22
-COUNTED = "shard long, lang string, phrase string, n long"
-BITMAPS = "shard long, lang string, word string, n long, bits boolean, positions long, bitmap binary"
+COUNTED = "lang string, phrase string, words int, n long"
+BITMAPS = "shard long, lang string, words string, counts array<int>, positions long, gaps binary"
 _ENDS = ".,;:!?\n\x0b\x0c\r"
 #: Ends of pieces become the byte of a full stop, which no word can have, and tabs blanks.
 _CLEAN = bytes.maketrans(_ENDS.encode() + b"\t", b"." * len(_ENDS) + b" ")
@@ -95,21 +96,20 @@ class Bitmaps:
             names = pa.concat_arrays([names[:end], names[end + 1 :]])
         return cls(names.cast(pa.string()), order, counts, len(tokens))
 
-    def serialized(self) -> tuple[np.ndarray, pa.Array]:
-        """For each word whether its bitmap is bits, and the bitmap."""
-        parts, lengths, at = [], self.counts * 4, 0
-        for w in self.dense.tolist():
-            parts += [self.place[at : self.ends[w]].astype("<u4").tobytes(), self.bits[w].astype("<u8").tobytes()]
-            lengths[w], at = len(parts[-1]), self.ends[w + 1]
-        data = b"".join([*parts, self.place[at:].astype("<u4").tobytes()])
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        return self.is_dense, pa.Array.from_buffers(pa.large_binary(), len(self.words), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    def gaps(self) -> np.ndarray:
+        """The first position of each word and the gaps to its others."""
+        out = np.diff(self.place.astype(np.int64), prepend=0)
+        out[self.ends[:-1]] = self.place[self.ends[:-1]]
+        return out
 
     @classmethod
-    def loaded(cls, rows: pa.Table) -> Bitmaps:
-        found = [from_bits(np.frombuffer(b, "<u8")) if dense else np.frombuffer(b, "<u4") for dense, b in zip(rows["bits"].to_pylist(), rows["bitmap"].to_pylist(), strict=True)]
-        words = rows["word"].combine_chunks()
-        return cls(words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words, np.concatenate(found), rows["n"].to_numpy(), rows["positions"][0].as_py())
+    def loaded(cls, words: str, counts: np.ndarray, positions: int, gaps: bytes) -> Bitmaps:
+        gap = unpacked(gaps).astype(np.int64)
+        after = np.cumsum(gap)
+        first = np.cumsum(counts) - counts
+        # what had summed up before a word's first position goes off again
+        place = after - np.repeat(after[first] - gap[first], counts)
+        return cls(pa.array(words.split(" "), pa.string()), place.astype(np.uint32), counts, positions)
 
     def blocks(self) -> Iterator[tuple[int, int]]:
         """Ranges of words with about BLOCK positions."""
@@ -215,13 +215,11 @@ def _build(shard_positions: int):
             nonlocal total, made
             tokens = held.pop(lang)
             total -= len(tokens)
-            found = Bitmaps.of(tokens)
-            dense, bitmap = found.serialized()
-            n, made = len(found.words), made + 1
-            columns = [
-                np.full(n, (part << 32) + made, np.int64), pa.array([lang] * n, pa.string()), found.words, found.counts.astype(np.int64), dense, np.full(n, found.positions, np.int64), bitmap.cast(pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["shard", "lang", "word", "n", "bits", "positions", "bitmap"])
+            found, made = Bitmaps.of(tokens), made + 1
+            if len(found.words):
+                row = [(part << 32) + made], [lang], [" ".join(found.words.to_pylist())], [found.counts], [found.positions], [packed(found.gaps())]
+                kinds = pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.binary()
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds, strict=True)], names=["shard", "lang", "words", "counts", "positions", "gaps"])
 
         for batch in batches:
             texts, part = batch.column("text"), batch.column("part")[0].as_py() if batch.num_rows else part
@@ -230,17 +228,17 @@ def _build(shard_positions: int):
                     held.setdefault(lang, []).extend(tokens)
                     total += len(tokens)
                     if len(held[lang]) >= shard_positions:
-                        yield flush(lang)
+                        yield from flush(lang)
                     elif total >= 2 * shard_positions:  # many languages: the largest goes
-                        yield flush(max(held, key=lambda x: len(held[x])))
+                        yield from flush(max(held, key=lambda x: len(held[x])))
         for lang in list(held):
-            yield flush(lang)
+            yield from flush(lang)
 
     return build
 
 
 def bitmaps(docs: DataFrame, shard_positions: int = SHARD) -> DataFrame:
-    """Staged rows of BITMAPS: every word of every shard."""
+    """Staged rows of BITMAPS: a shard each, its words joined by blanks, their popcounts, and their bitmaps one after another."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part"))
     return stage(rows.mapInArrow(_build(shard_positions), BITMAPS), "bitmaps")
 
@@ -261,8 +259,12 @@ def _shards(batches) -> Iterator[tuple[int, pa.Table]]:
         yield rest[0].column("shard")[0].as_py(), pa.Table.from_batches(rest)
 
 
-def _kind(rows: pa.Table, kind: int) -> pa.Table:
-    return rows.filter(pc.equal(rows["kind"], kind))
+def _loaded(rows: pa.Table) -> tuple[Bitmaps, str, np.ndarray]:
+    """The bitmaps of a shard's row, the language, and a hash of each word."""
+    row = rows.slice(0, 1).to_pydict()
+    found = Bitmaps.loaded(row["words"][0], np.array(row["counts"][0], np.int64), row["positions"][0], row["gaps"][0])
+    seed = zlib.crc32(row["lang"][0].encode())
+    return found, row["lang"][0], np.array([xxhash.xxh64_intdigest(w, seed) for w in found.words.to_pylist()], np.uint64)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -278,7 +280,7 @@ def unpacked(data: bytes) -> np.ndarray:
 def pair_hash(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
     """Of the words' hashes, the pair's among 2 ** bits values."""
     with np.errstate(over="ignore"):
-        x = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)
+        x = first * np.uint64(0x9E3779B97F4A7C15) + second
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
@@ -290,7 +292,7 @@ def _sketch(bits: int, parts: int):
 
     def sketch(batches):
         for shard, rows in _shards(batches):
-            found, hashes = Bitmaps.loaded(rows), rows["h"].to_numpy()
+            found, _, hashes = _loaded(rows)
             chunks = [(pair_hash(hashes[w], hashes[v], bits), n) for w, v, n in found.pairs()]
             key, n = (np.concatenate(x) for x in zip(*chunks, strict=True))
             if not len(key):
@@ -319,89 +321,62 @@ def _survivors(least: int):
             ends = np.cumsum([0, *map(len, held)])
             left = [x[enough[i:j]] for x, i, j in zip(held, ends, ends[1:], strict=False)]
             keep = [k for k, x in enumerate(left) if len(x)]
-            yield pa.RecordBatch.from_arrays([rows["of"].combine_chunks().take(pa.array(keep, pa.int64())), pa.array([packed(left[k]) for k in keep], pa.binary())], names=["shard", "bitmap"])
+            yield pa.RecordBatch.from_arrays([rows["of"].combine_chunks().take(pa.array(keep, pa.int64())), pa.array([packed(np.diff(left[k], prepend=np.uint64(0))) for k in keep], pa.binary())], names=["shard", "hashes"])
 
     return choose
 
 
-def _counted(shard: int, lang: str, phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(phrase)
-    columns = [pa.array(np.full(n, shard, np.int64)), pa.array([lang] * n, pa.string()), phrase, pa.array(counts.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "phrase", "n"])
-
-
-def _pairs(bits: int):
+def _phrases(bits: int, words: int):
     def count(batches):
-        for shard, rows in _shards(batches):
-            chosen, rows = _kind(rows, HASHES)["bitmap"].to_pylist(), _kind(rows, WORD)
-            if chosen and rows.num_rows:
-                found, lang, hashes = Bitmaps.loaded(rows), rows["lang"][0].as_py(), rows["h"].to_numpy()
-                wanted = np.sort(np.concatenate([unpacked(x) for x in chosen]))
-                for w, v, n in found.pairs():
-                    key = pair_hash(hashes[w], hashes[v], bits)
-                    keep = wanted[np.searchsorted(wanted, key).clip(max=len(wanted) - 1)] == key
-                    yield _counted(shard, lang, found.phrase(w[keep], v[keep]), n[keep])
+        for _, rows in _shards(batches):
+            chosen, rows = rows["hashes"].drop_null().to_pylist(), rows.filter(pc.is_valid(rows["gaps"]))
+            if not chosen or not rows.num_rows:
+                continue
+            found, lang, hashes = _loaded(rows)
+            wanted = np.sort(np.concatenate([np.cumsum(unpacked(x), dtype=np.uint64) for x in chosen]))
+            able = []
+
+            def counted(n, *parts):
+                columns = [pa.array([lang] * len(n), pa.string()), found.phrase(*parts), pa.array(np.full(len(n), len(parts), np.int32)), pa.array(n.astype(np.int64))]  # noqa: B023
+                return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
+
+            for w, v, n in found.pairs():
+                key = pair_hash(hashes[w], hashes[v], bits)
+                keep = wanted[np.searchsorted(wanted, key).clip(max=len(wanted) - 1)] == key
+                able.append((w[keep], v[keep]))
+                yield counted(n[keep], *able[-1])
+            if words > 2:
+                for a, b, c, n in found.triples(*(np.concatenate(x) for x in zip(*able, strict=True))):
+                    yield counted(n, a, b, c)
 
     return count
 
 
-def _triples(batches):
-    for shard, rows in _shards(batches):
-        pairs, rows = _kind(rows, PAIR), _kind(rows, WORD)
-        if pairs.num_rows and rows.num_rows:
-            found, lang = Bitmaps.loaded(rows), rows["lang"][0].as_py()
-            ends = pc.split_pattern(pairs["word"].combine_chunks(), " ")
-            w, v = (pc.index_in(pc.list_element(ends, k), found.words).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for a, b, c, n in found.triples(w, v):
-                yield _counted(shard, lang, found.phrase(a, b, c), n)
-
-
-#: What a row that goes to a shard's task is: a word's bitmap, hashes of pairs (packed), or a frequent pair.
-WORD, HASHES, PAIR = 0, 1, 2
-
-
-def _to_shards(shards: int, words: DataFrame, kind: int | None = None, others: DataFrame | None = None) -> DataFrame:
-    """The rows of `words`, and others of a kind that have some of its columns, by shard."""
-    rows = words.withColumn("kind", F.lit(WORD))
-    if others is not None:
-        rows = rows.unionByName(others.withColumn("kind", F.lit(kind)), allowMissingColumns=True)
-    return rows.repartition(max(1, min(shards, 8192)), "shard").sortWithinPartitions("shard")
-
-
-def frequent(counted: DataFrame, least: int, words: int) -> DataFrame:
-    """Staged lang, phrase, a, words: popcounts summed over shards, from least up."""
-    total = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return stage(total.withColumn("words", F.lit(words)), "phrases")
+def _frequent(counted: DataFrame, least: int) -> DataFrame:
+    """Staged lang, phrase, words, a: popcounts summed over shards, from least up."""
+    return stage(counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "phrases")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard_positions: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """(phrases, totals): staged lang, phrase, a, words for all phrases of 1 to `words` (at most 3) words with least
+    """(phrases, totals): staged lang, phrase, words, a for all phrases of 1 to `words` (at most 3) words with least
     occurrences, and lang, n with all word occurrences."""
     if not 1 <= words <= 3:
         raise ValueError("phrases have 1 to 3 words")
     table = bitmaps(docs, shard_positions)
-    totals = stage(table.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    shards, positions = table.select("shard").distinct().count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # a word stands once in a shard, so no key is hotter than the number of shards
-    found = [frequent(table.withColumnRenamed("word", "phrase"), least, 1)]
-    width = F.octet_length("phrase") + F.octet_length("lang") + 60
+    # a word stands once in a shard, so no word is hotter than the number of shards
+    each = table.select("lang", F.explode(F.arrays_zip(F.split("words", " ").alias("phrase"), F.col("counts").alias("n"))).alias("x"))
+    each = each.select("lang", "x.phrase", F.lit(1).alias("words"), F.col("x.n").cast("long").alias("n"))
+    totals = stage(table.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("n")), "totals")
+    out = _frequent(each, least)
     if words > 1:
-        able = table.join(sized(found[0].select("lang", F.col("phrase").alias("word")), F.octet_length("word") + F.octet_length("lang") + 60), ["lang", "word"], "left_semi")
-        able = able.select(*table.columns, F.xxhash64("lang", "word").alias("h"))
-        parts = max(0, (positions // RANGE).bit_length())
-        bits = min(62, positions.bit_length() + 5)
-        sketch = _to_shards(shards, able).mapInArrow(_sketch(bits, parts), "part long, shard long, hashes binary, counts binary")
-        chosen = sketch.repartition(1 << min(parts, 13), "part").sortWithinPartitions("part").mapInArrow(_survivors(least), "shard long, bitmap binary")
-        chosen = stage(chosen, "pair-hashes")
-        pairs = stage(_to_shards(shards, able, HASHES, chosen).mapInArrow(_pairs(bits), COUNTED), "pairs")
-        found.append(frequent(pairs, least, 2))
-        if words > 2:
-            held = pairs.join(sized(found[1].select("lang", "phrase"), width), ["lang", "phrase"], "left_semi")
-            held = held.select("shard", F.col("phrase").alias("word"))
-            found.append(frequent(_to_shards(shards, able, PAIR, held).mapInArrow(_triples, COUNTED), least, 3))
-        unstage(pairs, chosen)
+        shards, positions = table.count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        parts, bits = (positions // RANGE).bit_length(), min(62, positions.bit_length() + 5)
+        sketch = table.mapInArrow(_sketch(bits, parts), "part long, shard long, hashes binary, counts binary")
+        chosen = sketch.repartition(1 << min(parts, 13), "part").sortWithinPartitions("part").mapInArrow(_survivors(least), "shard long, hashes binary")
+        both = table.unionByName(chosen, allowMissingColumns=True).repartition(max(1, min(shards, 1 << 16)), "shard").sortWithinPartitions("shard")
+        out = out.unionByName(_frequent(both.mapInArrow(_phrases(bits, words), COUNTED), least))
     unstage(table)
-    return reduce(DataFrame.unionByName, found), totals
+    return out, totals
 
 
 def _part(first: int | Column, last: int | Column) -> Column:
