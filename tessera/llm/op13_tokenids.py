@@ -11,8 +11,8 @@ is deleted.
 Ids are written with 2 bytes where the vocabulary has at most 65,536 of them, else with 4. Only the dictionary depends on the
 sample (SAMPLE documents, SAMPLE_CHARS of each): it changes sizes, never ids.
 
-Words are encoded by the tokenizers library once, and then looked up, as long as the vocabulary's file says that words never
-reach over blanks; texts are then cut at blanks before they are encoded, which gives the same ids. Else whole texts are.
+Where the vocabulary's file says that tokens never reach over blanks, texts are cut at blanks, and each different word is
+encoded by the tokenizers library once, which gives the same ids; else whole texts are encoded.
 
 Results for odd input: a null or empty text is the end id alone. Rows of one doc_id stand side by side, each a document, in an
 order by their text's hash; equal rows are alike. A null doc_id is an id like others, before all of them. Very long texts are
@@ -23,14 +23,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,16 +42,23 @@ END = 1
 SAMPLE, SAMPLE_CHARS, DICTIONARY, LEVEL = 2000, 32_768, 112_640, 3
 ROLL = 128 << 20
 #: Words kept with their ids in a worker, the longest of them, and characters that are encoded at once.
-KEPT, LONGEST, AT_ONCE = 1 << 19, 64, 4 << 20
+KEPT, LONGEST, AT_ONCE = 1 << 20, 64, 8 << 20
 MAGIC = b"TOKENIDS"
 #: Magic, bytes of an id, offset of the index, documents, ids, the dictionary's SHA-256.
 TRAILER = np.dtype([("magic", "S8"), ("width", "<u8"), ("index", "<u8"), ("docs", "<u8"), ("ids", "<u8"), ("dictionary", "V32")])
 FILES = "part int, roll int, temporary string, name string, docs long, ids long, bytes long, first long, last long"
 _ENCODERS: dict = {}
-#: The parts of a tokenizers file under which no token reaches over a blank. White space is made a blank and
-#: then removed, and every word is looked up by itself.
-_SPACES = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
-_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: The normalizer and splitter of a tokenizers file under which texts may be cut at blanks.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Letters that no normal form changes but to lower case, and points after them.
+_LATIN = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: The characters that stand for bytes in a byte-level vocabulary: visible ones for themselves, the rest from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 def default_vocabulary() -> str:
@@ -60,7 +68,11 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Serialized ids of texts, with the end id after each. cuts: words are encoded once and kept."""
+    """Serialized ids of texts, with the end id after each. cuts: texts are cut at blanks, and words encoded once and kept.
+
+    A word of Latin letters, with or without points after it, is its letters in lower case, one lookup of the model, and then
+    the points: for those the vocabulary's normalizer and splitter do nothing else. Other words go through the whole tokenizer.
+    """
 
     def __init__(self, path: str, end: int = END):
         from tokenizers import Tokenizer
@@ -69,32 +81,76 @@ class Encoder:
             raw = f.read()
         self.tokenizer, spec = Tokenizer.from_str(raw.decode()), json.loads(raw)
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
-        self.end, self.kept = np.array([end], self.kind).tobytes(), {}
+        self.end = np.array([end], self.kind).tobytes()
         normal = (spec.get("normalizer") or {}).get("normalizers", [])
-        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        split = pre[0].get("type") == "Split" and pre[0].get("pattern") == {"Regex": _SPLIT} and pre[0].get("behavior") == "Removed" and pre[0].get("invert")
-        known = all(x == _SPACES or x.get("type") in ("NFC", "Lowercase") for x in normal)
-        added = any(" " in x["content"] or "\n" in x["content"] or x.get("lstrip") or x.get("rstrip") for x in spec.get("added_tokens", []))
-        self.cuts = bool(split and known and not added)
+        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        added = any(re.search(r"\s", x["content"]) or _LATIN.match(x["content"]) or x.get("lstrip") or x.get("rstrip") for x in spec.get("added_tokens", []))
+        self.cuts = normal == _NORMAL and pre == _SPLITS and not added
+        self.model = self.tokenizer.model
+        self.kept: dict[str, bytes] = {"": b"", " ": self.end}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        return [array(self._code, x.ids).tobytes() for x in found]
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if not self.cuts:
-            return [x + self.end for x in self._plain(list(texts))]
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+    @property
+    def _code(self) -> str:
+        return "H" if self.kind.itemsize == 2 else "I"
+
+    def _letters(self, word: str) -> bytes:
+        """The ids of Latin letters in lower case."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_SHOWN)
+        return array(self._code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
         if len(self.kept) > KEPT:
-            self.kept.clear()
-        new = list(set().union(*words) - self.kept.keys())
-        self.kept.update(zip(new, self._plain(new), strict=True))
-        out = [b"".join(map(self.kept.__getitem__, w)) + self.end for w in words]
-        for w in new:
-            if len(w) > LONGEST:
-                del self.kept[w]
+            self.kept = {"": b"", " ": self.end}
+        kept, out, rest = self.kept, [], []
+        for k, w in enumerate(words):
+            ids = kept.get(w)
+            if ids is None:
+                m = _LATIN.fullmatch(w)
+                if m:
+                    letters, points = m.groups()
+                    letters = letters.lower()
+                    ids = kept.get(letters)
+                    if ids is None:
+                        ids = self._letters(letters)
+                        if len(letters) <= LONGEST:
+                            kept[letters] = ids
+                    if points:
+                        if points not in kept:
+                            kept[points] = self._whole([points])[0]
+                        ids += kept[points]
+                else:
+                    rest.append(k)
+            out.append(ids)
+        for k, ids in zip(rest, self._whole([words[k] for k in rest]), strict=True):
+            out[k] = ids
+            if len(words[k]) <= LONGEST:
+                kept[words[k]] = ids
         return out
 
+    def encode(self, texts: Sequence[str]) -> list[bytes]:
+        if not self.cuts:
+            return [x + self.end for x in self._whole(list(texts))]
+        words, ends = [], []
+        for t in texts:
+            words.extend(t.replace("\n", " ").split(" "))
+            ends.append(len(words))
+            words.append(" ")  # no word has a blank: this one stands for the end
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        found, codes = self._words(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(found), self.kind)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        start, n = (np.cumsum(size) - size)[codes], size[codes]
+        after = np.cumsum(n)
+        whole = ids[np.repeat(start - (after - n), n) + np.arange(after[-1] if len(after) else 0)]
+        cuts = [0, *after[ends].tolist()]
+        return [whole[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]
+
 
 def encoder(path: str, end: int = END) -> Encoder:
     if (path, end) not in _ENCODERS:
@@ -183,8 +239,15 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def _writer(folder: str, path: str, end: int, dictionary, roll_bytes: int):
     def write(batches):
         (fs, root), codec, kind = _files(folder), Codec(dictionary.value), encoder(path, end).kind
-        part, out, done = TaskContext.get().partitionId(), None, []
-        for docs, found in _encoded(batches, path, end):
+        out, done, part = None, [], None
+
+        def noted():
+            nonlocal part
+            for batch in batches:
+                part = batch.column("part")[0].as_py() if batch.num_rows else part
+                yield batch
+
+        for docs, found in _encoded(noted(), path, end):
             for doc_id, ids in zip(docs, found, strict=True):
                 out = out or _File(fs, root, part, len(done), codec, kind)
                 out.add(doc_id, ids)
@@ -223,7 +286,8 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str | None = None, end:
     # ties go by the text's hash; equal rows, of which one range may not hold all, by where they were read
     place = [F.asc_nulls_first("doc_id"), F.col("h"), F.col("r")]
     keyed = rows.withColumns({"h": F.xxhash64("text"), "r": F.monotonically_increasing_id()})
-    dealt = keyed.repartitionByRange(*place).sortWithinPartitions(*place).select("doc_id", "text")
+    dealt = keyed.repartitionByRange(*place).sortWithinPartitions(*place).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    # a task may hold several ranges: a file's name has its range, not its task
     spark = docs.sparkSession
     written = stage(dealt.mapInArrow(_writer(folder, path, end, spark.sparkContext.broadcast(dictionary), roll_bytes), FILES), "id-files")
     written.mapInArrow(_commit(folder), FILES).write.format("noop").mode("overwrite").save()
