@@ -358,8 +358,8 @@ def _frequent(counted: DataFrame, least: int) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard_positions: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """(phrases, totals): staged lang, phrase, words, a for all phrases of 1 to `words` (at most 3) words with least
-    occurrences, and lang, n with all word occurrences."""
+    """(phrases, totals): staged lang, phrase, words, a for all phrases of 2 to `words` (at most 3) words with least
+    occurrences and the words in them (with words=1, for all words), and lang, n with all word occurrences."""
     if not 1 <= words <= 3:
         raise ValueError("phrases have 1 to 3 words")
     table = bitmaps(docs, shard_positions)
@@ -367,14 +367,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard
     each = table.select("lang", F.explode(F.arrays_zip(F.split("words", " ").alias("phrase"), F.col("counts").alias("n"))).alias("x"))
     each = each.select("lang", "x.phrase", F.lit(1).alias("words"), F.col("x.n").cast("long").alias("n"))
     totals = stage(table.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("n")), "totals")
-    out = _frequent(each, least)
-    if words > 1:
+    if words == 1:
+        out = _frequent(each, least)
+    else:
         shards, positions = table.count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         parts, bits = (positions // RANGE).bit_length(), min(62, positions.bit_length() + 5)
         sketch = table.mapInArrow(_sketch(bits, parts), "part long, shard long, hashes binary, counts binary")
         chosen = sketch.repartition(1 << min(parts, 13), "part").sortWithinPartitions("part").mapInArrow(_survivors(least), "shard long, hashes binary")
         both = table.unionByName(chosen, allowMissingColumns=True).repartition(max(1, min(shards, 1 << 16)), "shard").sortWithinPartitions("shard")
-        out = out.unionByName(_frequent(both.mapInArrow(_phrases(bits, words), COUNTED), least))
+        out = _frequent(both.mapInArrow(_phrases(bits, words), COUNTED), least)
+        held = out.filter("words = 2").select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+        held = stage(held, "words-held")
+        able = each.join(sized(held, F.octet_length("lang") + F.octet_length("phrase") + 60), ["lang", "phrase"], "left_semi")
+        out = out.unionByName(_frequent(able, least))
+        unstage(held)
     unstage(table)
     return out, totals
 
