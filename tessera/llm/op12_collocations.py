@@ -10,8 +10,9 @@ a piece's end, no phrase passes it.
 A shard extends its phrases depth first, a block of first words at a time, and the popcounts of all shards are summed. Most
 pairs of a shard are rare over all, so their popcounts are first summed by a hash of about 32 times as many values as there
 are words, packed by ranges of it; a sum is never less than a pair's own, so pairs whose sums are too small are out. The
-rest are counted by the pairs themselves, and extended to a third word by pairs that are left too. So a bitmap is hardly
-made that can't count, and every phrase that is frequent is counted in each shard that holds it.
+rest are counted by the pairs themselves, and extended to a third word by pairs that are left too; their words travel
+packed. So a bitmap is hardly made that can't count, and every phrase that is frequent is counted in each shard that holds
+it.
 
 The AND of a sparse bitmap with the sparse bitmaps of all words is done at once: a position holds one word at most, so the
 shifted positions, grouped by the word there, are all the ANDs that aren't empty. Dense ones are ANDed as bits.
@@ -44,7 +45,6 @@ BLOCK, SLICE = 1 << 19, 4 << 20
 SALTS = 64
 #: Positions whose pairs make one range of hashes.
 RANGE = 1 << 22
-COUNTED = "lang string, phrase string, words int, n long"
 BITMAPS = "shard long, lang string, words string, counts array<int>, positions long, gaps binary"
 _ENDS = ".,;:!?\n\x0b\x0c\r"
 #: Ends of pieces become the byte of a full stop, which no word can have, and tabs blanks.
@@ -284,7 +284,7 @@ def pair_hash(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
-    return x >> np.uint64(64 - bits)
+    return x >> np.uint64(64 - bits) if bits < 64 else x
 
 
 def _sketch(bits: int, parts: int):
@@ -326,7 +326,9 @@ def _survivors(least: int):
     return choose
 
 
-def _phrases(bits: int, words: int):
+def _phrases(bits: int, parts: int, words: int):
+    """Popcounts of a shard's phrases, packed by ranges of their hashes."""
+
     def count(batches):
         for _, rows in _shards(batches):
             chosen, rows = rows["hashes"].drop_null().to_pylist(), rows.filter(pc.is_valid(rows["gaps"]))
@@ -335,31 +337,57 @@ def _phrases(bits: int, words: int):
             found, lang, hashes = _loaded(rows)
             wanted = np.sort(np.concatenate([np.cumsum(unpacked(x), dtype=np.uint64) for x in chosen]))
             able = []
-
-            def counted(n, *parts):
-                columns = [pa.array([lang] * len(n), pa.string()), found.phrase(*parts), pa.array(np.full(len(n), len(parts), np.int32)), pa.array(n.astype(np.int64))]  # noqa: B023
-                return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
-
             for w, v, n in found.pairs():
                 key = pair_hash(hashes[w], hashes[v], bits)
                 keep = wanted[np.searchsorted(wanted, key).clip(max=len(wanted) - 1)] == key
-                able.append((w[keep], v[keep]))
-                yield counted(n[keep], *able[-1])
+                able.append((w[keep], v[keep], n[keep], key[keep]))
+            first, second, n, key = (np.concatenate(x) for x in zip(*able, strict=True))
+            yield _ranged(found, lang, key >> np.uint64(bits - parts), n, first, second)
             if words > 2:
-                for a, b, c, n in found.triples(*(np.concatenate(x) for x in zip(*able, strict=True))):
-                    yield counted(n, a, b, c)
+                a, b, c, n = (np.concatenate(x) for x in zip(*found.triples(first, second), strict=True)) if len(first) else [np.empty(0, np.int64)] * 4
+                key = pair_hash(pair_hash(hashes[a], hashes[b], 64), hashes[c], bits)
+                yield _ranged(found, lang, key >> np.uint64(bits - parts), n, a, b, c)
 
     return count
 
 
+def _ranged(found: Bitmaps, lang: str, part: np.ndarray, n: np.ndarray, *words: np.ndarray) -> pa.RecordBatch:
+    """A row for each range: its phrases, joined by END, and their popcounts."""
+    order = np.argsort(part, kind="stable")
+    part, n, starts = part[order], n[order], _starts(part[order])
+    offsets = pa.array(np.concatenate([starts, [len(part)]]).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, found.phrase(*(w[order] for w in words))), _END.decode())
+    cuts = [*starts.tolist(), len(part)]
+    columns = [
+        pa.array(part[starts].astype(np.int64)), pa.array([lang] * len(starts), pa.string()), pa.array([len(words)] * len(starts), pa.int32()),
+        pa.array([zstandard.compress(x.encode(), 1) for x in joined.to_pylist()], pa.binary()), pa.array([packed(n[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "lang", "words", "phrases", "counts"])
+
+
+def _sums(least: int):
+    """Of each range the phrases whose popcounts come to least over all shards."""
+
+    def total(batches):
+        for _, rows in _shards(b.rename_columns(["shard", *b.schema.names[1:]]) for b in batches):
+            tables = []
+            for lang, words, phrases, counts in zip(*(rows[c].to_pylist() for c in ("lang", "words", "phrases", "counts")), strict=True):
+                held = zstandard.decompress(phrases).decode().split(_END.decode())
+                tables.append(pa.table({"lang": pa.array([lang] * len(held), pa.string()), "phrase": pa.array(held, pa.string()), "words": pa.array(np.full(len(held), words, np.int32)), "n": pa.array(unpacked(counts).astype(np.int64))}))
+            summed = pa.concat_tables(tables).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")]).rename_columns(["lang", "phrase", "words", "a"])
+            yield from summed.filter(pc.greater_equal(summed["a"], least)).combine_chunks().to_batches()
+
+    return total
+
+
 def _frequent(counted: DataFrame, least: int) -> DataFrame:
     """Staged lang, phrase, words, a: popcounts summed over shards, from least up."""
     return stage(counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "phrases")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard_positions: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """(phrases, totals): staged lang, phrase, words, a for all phrases of 2 to `words` (at most 3) words with least
-    occurrences and the words in them (with words=1, for all words), and lang, n with all word occurrences."""
+    """(phrases, totals): staged lang, phrase, words, a for all phrases of 1 to `words` (at most 3) words with least
+    occurrences, and lang, n with all word occurrences."""
     if not 1 <= words <= 3:
         raise ValueError("phrases have 1 to 3 words")
     table = bitmaps(docs, shard_positions)
@@ -367,20 +395,16 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, words: int = WORDS, shard
     each = table.select("lang", F.explode(F.arrays_zip(F.split("words", " ").alias("phrase"), F.col("counts").alias("n"))).alias("x"))
     each = each.select("lang", "x.phrase", F.lit(1).alias("words"), F.col("x.n").cast("long").alias("n"))
     totals = stage(table.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("n")), "totals")
-    if words == 1:
-        out = _frequent(each, least)
-    else:
+    out = _frequent(each, least)
+    if words > 1:
         shards, positions = table.count(), totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         parts, bits = (positions // RANGE).bit_length(), min(62, positions.bit_length() + 5)
+        by = lambda df, key, n: df.repartition(max(1, min(n, 1 << 16)), key).sortWithinPartitions(key)
         sketch = table.mapInArrow(_sketch(bits, parts), "part long, shard long, hashes binary, counts binary")
-        chosen = sketch.repartition(1 << min(parts, 13), "part").sortWithinPartitions("part").mapInArrow(_survivors(least), "shard long, hashes binary")
-        both = table.unionByName(chosen, allowMissingColumns=True).repartition(max(1, min(shards, 1 << 16)), "shard").sortWithinPartitions("shard")
-        out = _frequent(both.mapInArrow(_phrases(bits, words), COUNTED), least)
-        held = out.filter("words = 2").select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-        held = stage(held, "words-held")
-        able = each.join(sized(held, F.octet_length("lang") + F.octet_length("phrase") + 60), ["lang", "phrase"], "left_semi")
-        out = out.unionByName(_frequent(able, least))
-        unstage(held)
+        chosen = by(sketch, "part", 1 << parts).mapInArrow(_survivors(least), "shard long, hashes binary")
+        both = by(table.unionByName(chosen, allowMissingColumns=True), "shard", shards)
+        ranged = both.mapInArrow(_phrases(bits, parts, words), "part long, lang string, words int, phrases binary, counts binary")
+        out = out.unionByName(stage(by(ranged, "part", 1 << parts).mapInArrow(_sums(least), "lang string, phrase string, words int, a long"), "phrases"))
     unstage(table)
     return out, totals
 
