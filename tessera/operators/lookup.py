@@ -7,14 +7,15 @@ are joined on the condition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ladders import first_of
-from tessera.functions.text import contains_phrase, key_tokens, norm_key, norm_space
+from tessera.functions.text import key_tokens, norm_key, norm_space
+from tessera.operators.phrases import phrases_in
 
 
 LITERALS = 256
@@ -43,14 +44,36 @@ def resolve_any(rows: DataFrame, row_id: str, probes: Column, aliases: DataFrame
     return hit.groupBy(row_id).agg(F.min_by(canonical, "probe_no").alias("canonical"), F.min("probe_no").alias("probe_no"))
 
 
-def first_rule(rows: DataFrame, row_id: str, rules: DataFrame, matches: Column, number: str, value: str) -> DataFrame:
-    """row_id and value: of the rules that match, the first by number. matches may hold wildcards (null sets)."""
-    first = [F.min(number).alias(number), *([F.min_by(value, number).alias(value)] if value != number else [])]
-    return rows.join(F.broadcast(rules), matches).groupBy(row_id).agg(*first)
+def first_rule(rows: DataFrame, row_id: str, rules: DataFrame, fields: Mapping[str, str], number: str, value: str) -> DataFrame:
+    """row_id and value: of the rules that fit, the first by number. fields: a column of rows and the rules' set (array) of
+    values for it, null where any value does; a null in rows is in no set.
 
-
-def wildcard(members: Column, x: Column) -> Column:
-    return members.isNull() | F.array_contains(members, x)
+    Rules are told apart by which of their sets are null, at most 2 ** fields ways. Those of one way are a table by their
+    values, each with its first rule, and meet the rows on equality; the least of all ways wins. So there is no nested loop
+    for any number of rules, and rows are not multiplied.
+    """
+    best = F.min(F.struct(F.col(number).alias("number"), F.col(value).alias("value"))).alias("__best")
+    open_ = F.array(*(F.col(c).isNull() for c in fields.values()))
+    masks = sorted(tuple(r[0]) for r in rules.select(open_).distinct().collect())
+    out, hits = rows.select(row_id, *(F.col(c).alias(f"__f{k}") for k, c in enumerate(fields))), []
+    for m, mask in enumerate(masks):
+        able = rules.filter(reduce(lambda a, b: a & b, (F.col(c).isNull() == o for c, o in zip(fields.values(), mask, strict=True))))
+        keys = []
+        for k, (c, free) in enumerate(zip(fields.values(), mask, strict=True)):
+            if not free:
+                able = able.withColumn(f"__f{k}", F.explode(F.col(c)))
+                keys.append(f"__f{k}")
+        hits.append(f"__hit{m}")
+        if keys:
+            out = out.join(able.groupBy(*keys).agg(best).withColumnRenamed("__best", hits[-1]), keys, "left")
+        else:
+            kinds = [rules.schema[c].dataType for c in (number, value)]
+            first = able.agg(best).first()[0]  # one rule
+            out = out.withColumn(hits[-1], F.struct(*(F.lit(x).cast(t).alias(n) for x, t, n in zip(first, kinds, ("number", "value"), strict=True))))
+    if not hits:
+        return out.select(row_id, F.lit(None).cast(rules.schema[number].dataType).alias(number), F.lit(None).cast(rules.schema[value].dataType).alias(value)).limit(0)
+    won = out.withColumn("__won", F.least(*hits) if len(hits) > 1 else F.col(hits[0])).filter("__won is not null")
+    return won.select(row_id, F.col("__won.number").alias(number), *([F.col("__won.value").alias(value)] if value != number else [])).distinct()
 
 
 def best_path(rows: DataFrame, path: str, kinds: DataFrame) -> DataFrame:
@@ -72,16 +95,11 @@ def best_path(rows: DataFrame, path: str, kinds: DataFrame) -> DataFrame:
 
 
 def contained(rows: DataFrame, row_id: str, text: str, names: DataFrame, least: int = 4) -> DataFrame:
-    """row_id, name, number: the longest name found in the text on word boundaries, the first declared of equals.
-
-    names: name, number. Texts and names meet on the name's first word, so no product of both is made; what shares it is
-    then compared whole.
-    """
-    t = rows.select(row_id, norm_key(F.col(text)).alias("__text")).withColumn("__word", F.explode(F.array_distinct(F.split("__text", " "))))
-    n = names.withColumn("__key", norm_key(F.col("name"))).filter(F.length("__key") >= least)
-    n = n.withColumn("__word", F.split("__key", " ")[0])
-    hit = t.join(n, "__word").filter(contains_phrase(F.col("__text"), F.col("__key")))
-    best = F.min(F.struct((-F.length("__key")).alias("l"), F.col("number").alias("number"), F.col("name").alias("name"))).alias("b")
+    """row_id, name, number: the longest name found in the text on word boundaries, the first declared of equals; one pass
+    of an automaton. names: name, number."""
+    n = names.withColumn("key", norm_key(F.col("name"))).filter(F.length("key") >= least)
+    hit = phrases_in(rows, row_id, norm_key(F.col(text)), n).join(n, "key")
+    best = F.min(F.struct((-F.length("key")).alias("l"), F.col("number").alias("number"), F.col("name").alias("name"))).alias("b")
     return hit.groupBy(row_id).agg(best).select(row_id, "b.name", "b.number")
 
 
@@ -184,8 +202,7 @@ def placed(rows: DataFrame, row_id: str, concept: str, subject: str, aliases: Da
     )
     near = t.join(n, ["__s", "__token"]).groupBy(row_id, "name", "number", "__of").agg(F.count("*").alias("__h")).filter(F.col("__h") / F.col("__of") >= 0.6)
     near = near.groupBy(row_id).agg(F.min(F.struct((-F.col("__h") / F.col("__of")).alias("o"), "number", "name"))["name"].alias("__near"))
-    p = base.join(F.broadcast(patterns.select(F.col("subject").alias("__ps"), "number", "pattern", "target")), (F.col("__s") == F.col("__ps")) & F.expr("lower(__raw) rlike concat('\\\\b(?:', pattern, ')')"))
-    p = p.groupBy(row_id).agg(F.min_by("target", "number").alias("__target"))
+    p = _by_subject_pattern(base, row_id, patterns)
     for d in (held, topical, near, p):
         base = base.join(d, row_id, "left")
     local = F.coalesce("__exact", "__held", "__tchapter", F.when(~F.col("__cross"), F.col("__near")))
@@ -204,12 +221,22 @@ def placed(rows: DataFrame, row_id: str, concept: str, subject: str, aliases: Da
     )
 
 
+def _by_subject_pattern(base: DataFrame, row_id: str, patterns: DataFrame) -> DataFrame:
+    """row_id, __target: the first pattern of the row's subject that begins at a word's start in __raw."""
+    rules = patterns.select(F.col("subject").alias("__ps"), "number", "pattern", "target")
+    literal = _literals(rules)
+    if literal is None:
+        p = base.join(rules, (F.col("__s") == F.col("__ps")) & F.expr("lower(__raw) rlike concat('\\\\b(?:', pattern, ')')"))
+        return p.groupBy(row_id).agg(F.min_by("target", "number").alias("__target"))
+    able = sorted((x for x in literal if x["pattern"] is not None and x["__ps"] is not None), key=lambda x: x["number"])
+    hit = first_of([((F.col("__s") == x["__ps"]) & F.lower("__raw").rlike(f"\\b(?:{x['pattern']})"), F.struct(F.lit(x["target"]).alias("t"))) for x in able], F.lit(None).cast("struct<t:string>"))
+    return base.select(row_id, hit.alias("__hit")).filter("__hit is not null").select(row_id, F.col("__hit.t").alias("__target"))
+
+
 def _within(base: DataFrame, row_id: str, names: DataFrame, least: int) -> DataFrame:
-    t = base.select(row_id, "__s", norm_key(F.col("__text")).alias("__t")).withColumn("__word", F.explode(F.array_distinct(F.split("__t", " "))))
-    n = names.withColumns({"__key": norm_key(F.col("name"))}).filter(F.length("__key") >= least)
-    n = n.withColumns({"__word": F.split("__key", " ")[0], "__s": F.col("subject")}).drop("subject")
-    hit = t.join(n, ["__s", "__word"]).filter(contains_phrase(F.col("__t"), F.col("__key")))
-    rank = Window.partitionBy(row_id).orderBy(F.length("__key").desc(), "number")
+    n = names.withColumn("key", norm_key(F.col("name"))).filter(F.length("key") >= least).withColumnRenamed("subject", "__s")
+    hit = phrases_in(base, row_id, norm_key(F.col("__text")), n).join(base.select(row_id, "__s"), row_id).join(n, ["__s", "key"])
+    rank = Window.partitionBy(row_id).orderBy(F.length("key").desc(), "number")
     return hit.withColumn("__r", F.row_number().over(rank)).filter("__r = 1")
 
 
@@ -235,8 +262,17 @@ def enriched(packs: DataFrame, pointers: DataFrame, on: str = "qid", items: str
 
 
 def verdict_report(rows: DataFrame, group: Sequence[str], sample: str, most: int = 5) -> DataFrame:
-    """For each group its count and its first samples, the largest groups first."""
-    out = rows.groupBy(*group).agg(F.count("*").alias("count"), F.slice(F.array_sort(F.collect_set(sample)), 1, most).alias("samples"))
+    """For each group its count and its first different samples, the largest groups first. Samples are counted by value and
+    ranked, so a group's are never gathered."""
+    each = rows.groupBy(*group, sample).agg(F.count("*").alias("__n"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.asc_nulls_last(sample)))
+    kept = each.filter(F.col(sample).isNotNull()).withColumn("__r", rank).filter(F.col("__r") <= most)
+    cols = [F.col(c).alias(f"__g{k}") for k, c in enumerate(group)]
+    named = kept.groupBy(*cols).agg(F.array_sort(F.collect_list(sample)).alias("samples"))
+    counts = each.groupBy(*group).agg(F.sum("__n").alias("count"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__g{k}")) for k, c in enumerate(group)))
+    none = F.array().cast(named.schema["samples"].dataType)
+    out = counts.join(named, same, "left").select(*group, "count", F.coalesce("samples", none).alias("samples"))
     return out.orderBy(F.desc("count"), *group)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,33 +14,31 @@ from tessera.functions.text import slugify
 from tessera.sources.scratch import written
 
 
-#: Groups up to this many rows are sorted by one task each.
+#: Groups that are known to have at most so many rows are sorted by one task each.
 ONE_TASK = 1_000_000
 
 
 def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "position", total: str | None = None, most: int | None = None) -> DataFrame:
     """rows with their number from 1 in their group, and with `total` the group's rows: row_number() for groups of any size.
 
-    The largest group is counted, unless the caller knows a bound (most). Up to ONE_TASK rows a window does it. Beyond, the
-    rows are dealt by ranges of group and order and written, so a large group is many sorted parts and none of its tasks
-    holds all of it; the parts are counted, and a row's number is its place in its part after the parts before. Both give
-    the same numbers. The order must be total for the numbers to be the same each time.
+    Rows are dealt by ranges of group and order and written, so a group is as many sorted parts as it needs and no task
+    holds all of a large one; the parts are counted, and a row's number is its place in its part after the parts before. A
+    caller who knows that no group has more than ONE_TASK rows says so (most) and gets a window. The order must be total
+    for the numbers to be the same each time.
     """
-    if most is None:
-        most = rows.groupBy(*group).agg(F.count("*").alias("__n")).agg(F.max("__n")).first()[0] or 0
-    if most <= ONE_TASK:
+    if most is not None and most <= ONE_TASK:
         g = Window.partitionBy(*group)
         return rows.withColumns({name: F.row_number().over(g.orderBy(*order)).cast("long")} | ({total: F.count("*").over(g)} if total else {}))
     dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
-    table = written(dealt.withColumn("__id", F.monotonically_increasing_id()), "numbered").withColumn("__part", F.shiftright("__id", 33))
-    counted = table.groupBy(*(F.col(c).alias(f"__g{k}") for k, c in enumerate(group)), F.col("__part").alias("__p")).agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
-    w = Window.partitionBy(*(f"__g{k}" for k in range(len(group))))
-    before = F.coalesce(F.sum("__n").over(w.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = counted.select("*", before.alias("__before"), F.sum("__n").over(w).alias("__all"))
-    same = F.col("__part") == F.col("__p")
+    table = written(dealt.withColumn("__num_id", F.monotonically_increasing_id()), "numbered").withColumn("__num_part", F.shiftright("__num_id", 33))
+    counted = table.groupBy(*(F.col(c).alias(f"__num_g{k}") for k, c in enumerate(group)), F.col("__num_part").alias("__num_p")).agg(F.min("__num_id").alias("__num_first"), F.count("*").alias("__num_n"))
+    w = Window.partitionBy(*(f"__num_g{k}" for k in range(len(group))))
+    before = F.coalesce(F.sum("__num_n").over(w.orderBy("__num_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = counted.select("*", before.alias("__num_before"), F.sum("__num_n").over(w).alias("__num_all"))
+    same = F.col("__num_part") == F.col("__num_p")
     for k, c in enumerate(group):
-        same = same & F.col(c).eqNullSafe(F.col(f"__g{k}"))
-    new = [(F.col("__id") - F.col("__first") + F.col("__before") + 1).alias(name)] + ([F.col("__all").alias(total)] if total else [])
+        same = same & F.col(c).eqNullSafe(F.col(f"__num_g{k}"))
+    new = [(F.col("__num_id") - F.col("__num_first") + F.col("__num_before") + 1).alias(name)] + ([F.col("__num_all").alias(total)] if total else [])
     return table.join(counted, same).select(*rows.columns, *new)
 
 
@@ -146,24 +146,118 @@ def subject_order(subject: Column, order: Sequence[str]) -> Column:
 
 def byte_shards(rows: DataFrame, group: str, order: Sequence[str], size: str, most: int, name: str = "shard") -> DataFrame:
     """Numbers a group's shards from 0: in order, a new one where the next row would take it over `most`; a larger row has
-    one of its own. The sum starts anew with each shard, which no window frame does, so each group is folded over its
-    (narrow) sorted rows, a batch at a time with the state carried along."""
-    cols = [group, *order, size]
-    narrow = rows.select(*cols).withColumn(name, F.lit(0))
-
-    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held, shard = None, 0, 0
-        for part in parts:
-            out = []
-            for g, n in zip(part[group], part[size], strict=True):
-                if g != now:
-                    now, held, shard = g, 0, 0
-                elif held and held + n > most:
-                    held, shard = 0, shard + 1
-                held += n
-                out.append(shard)
-            yield part.assign(**{name: pd.Series(out, index=part.index, dtype="int32")})
-
-    # all rows of a group are in one partition, in order; a group's fold is sequential by definition
-    dealt = narrow.repartition(group).sortWithinPartitions(group, *order)
-    return dealt.mapInPandas(fold, narrow.schema)
+    one of its own. Null sizes are 0; a null group is a group. Columns: group, order, size and the number.
+
+    The sum starts anew with each shard, which no window does. But all that a block of rows needs to know is how many bytes
+    the shard that reaches into it holds, and the first row to open a shard stands within the block's first `most` bytes. So
+    blocks of PART rows are summed up side by side, as maps from bytes held before to bytes held after and shards opened;
+    maps of up to FAN blocks are joined to one, level by level while a group has more; then each block gets what reaches into
+    it, from the top down, and numbers its rows. A task holds PART rows, or FAN maps (each of the rows of one shard).
+    """
+    narrow = rows.select(group, *order, size)
+    at = numbered(narrow, [group], list(order), "__at")
+    at = written(at.withColumns({"__block": F.floor((F.col("__at") - 1) / PART).cast("long"), "__size": F.coalesce(F.col(size), F.lit(0)).cast("long")}), "shard-rows")
+    kind = rows.schema[group].dataType.simpleString()
+    maps = f"`{group}` {kind}, __block long, total long, before array<long>, size array<long>, held array<long>, opened array<long>"
+
+    def summed(key, part):
+        return _framed(group, key, _summary(part.sort_values("__at")["__size"].to_numpy(), most))
+
+    blocks = written(at.select(group, "__block", "__at", "__size").groupBy(group, "__block").applyInPandas(summed, maps), "shard-blocks")
+    entered = _entered(blocks, group, kind, most, maps)
+    same = F.col(group).eqNullSafe(F.col("__g")) & (F.col("__block") == F.col("__b"))
+    rows_in = at.join(entered.select(F.col(group).alias("__g"), F.col("__block").alias("__b"), "held", "opened"), same).drop("__g", "__b")
+
+    def number(key, part):
+        part = part.sort_values("__at")
+        shard = _numbers(part["__size"].to_numpy(), int(part["held"].iloc[0]), int(part["opened"].iloc[0]), most)
+        return part.assign(**{name: shard})[[group, *order, size, name]]
+
+    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in narrow.columns) + f", `{name}` int"
+    return rows_in.groupBy(group, "__block").applyInPandas(number, schema)
+
+
+#: Rows of a block and blocks of a level in byte_shards().
+PART, FAN = 200_000, 64
+#: A map of a block: bytes in all; of each row that may be the first to open a shard the bytes before it, its own, and the
+#: bytes held and shards opened at the block's end if it does.
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _next_starts(sums: np.ndarray, most: int) -> np.ndarray:
+    """For each row that opens a shard the next row that does, else the number of rows. sums: of sizes before each row."""
+    base = sums[:-1]
+    # a shard that holds nothing takes any row; else the row whose sum passes `most` opens the next
+    return np.maximum(np.searchsorted(sums, base, "right"), np.searchsorted(sums, base + most, "right") - 1).clip(max=len(base))
+
+
+def _summary(sizes: np.ndarray, most: int) -> Block:
+    n, sums = len(sizes), np.concatenate([[0], np.cumsum(sizes)])
+    follow, rows = _next_starts(sums, most), np.arange(n)
+    last, opened = np.where(follow < n, follow, rows), (follow < n).astype(np.int64)
+    while (last[last] != last).any():  # twice as many shards on each time
+        opened, last = opened + opened[last], last[last]
+    able = rows[: int(np.searchsorted(sums[:n], most, "right")) + 1]
+    return int(sums[n]), sums[able], sizes[able], sums[n] - sums[last[able]], opened[able] + 1
+
+
+def _passed(block: Block, held: np.ndarray, opened: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes held and shards opened after a block, for each of those before it."""
+    total, before, size, after, more = block
+    first = np.searchsorted(before + size, most - held, "right")
+    first = np.where(held == 0, np.maximum(first, np.searchsorted(before, 0, "right")), first)
+    none, at = first >= len(before), first.clip(max=len(before) - 1)
+    return np.where(none, held + total, after[at]), opened + np.where(none, 0, more[at])
+
+
+def _joined(a: Block, b: Block, most: int) -> Block:
+    held, opened = _passed(b, a[3], a[4], most)
+    rest = int(np.searchsorted(b[1] + a[0], most, "right")) + 1 if a[1][-1] <= most else 0
+    both = lambda x, y: np.concatenate([x, y[:rest]])
+    return a[0] + b[0], both(a[1], b[1] + a[0]), both(a[2], b[2]), both(held, b[3]), both(opened, b[4])
+
+
+def _framed(group: str, key: tuple, block: Block) -> pd.DataFrame:
+    return pd.DataFrame({group: [key[0]], "__block": [key[1]], "total": [block[0]], "before": [block[1]], "size": [block[2]], "held": [block[3]], "opened": [block[4]]})
+
+
+def _blocks(part: pd.DataFrame) -> list[tuple[int, Block]]:
+    part = part.sort_values("__block")
+    return [(b, (int(t), *(np.asarray(x, np.int64) for x in rest))) for b, t, *rest in zip(*(part[c] for c in ("__block", "total", "before", "size", "held", "opened")), strict=True)]
+
+
+def _entered(blocks: DataFrame, group: str, kind: str, most: int, maps: str) -> DataFrame:
+    """group, __block, held, opened: the bytes of the shard that reaches into each block and the shards opened before."""
+    above = F.floor(F.col("__block") / FAN).cast("long").alias("__above")
+    found = f"`{group}` {kind}, __block long, held long, opened long"
+
+    def down(part, held, opened):
+        out = []
+        for b, block in _blocks(part):
+            out.append((part[group].iloc[0], b, held, opened))
+            held, opened = (int(x[0]) for x in _passed(block, np.array([held]), np.array([opened]), most))
+        return pd.DataFrame(out, columns=[group, "__block", "held", "opened"])
+
+    if (blocks.agg(F.max("__block")).first()[0] or 0) < FAN:
+        return blocks.groupBy(group).applyInPandas(lambda part: down(part, 0, 0), found)
+
+    def up(key, part):
+        held = [block for _, block in _blocks(part)]
+        return _framed(group, key, reduce(lambda a, b: _joined(a, b, most), held))
+
+    joined = written(blocks.groupBy(group, above).applyInPandas(up, maps), "shard-blocks")
+    top = _entered(joined, group, kind, most, maps).select(F.col(group).alias("__g"), F.col("__block").alias("__a"), F.col("held").alias("__held"), F.col("opened").alias("__opened"))
+    rows = blocks.withColumn("__above", above).join(top, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__above") == F.col("__a")))
+    return rows.groupBy(group, "__above").applyInPandas(lambda part: down(part, int(part["__held"].iloc[0]), int(part["__opened"].iloc[0])), found)
+
+
+def _numbers(sizes: np.ndarray, held: int, opened: int, most: int) -> np.ndarray:
+    """The shard of each row of a block."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    first = int(np.searchsorted(sums[1:], most - held, "right"))
+    first = max(first, int(np.searchsorted(sums[:-1], 0, "right"))) if not held else first
+    follow, opens, at = _next_starts(sums, most), np.zeros(len(sizes), np.int32), first
+    while at < len(sizes):
+        opens[at] = 1
+        at = int(follow[at])
+    return (opened + np.cumsum(opens)).astype(np.int32)

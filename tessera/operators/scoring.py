@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import contains_phrase, norm_key
+from tessera.functions.text import norm_key
+from tessera.operators.phrases import phrases_in
 from tessera.operators.rank import numbered
 from tessera.sources.scratch import written
 
@@ -36,32 +37,14 @@ def document_frequency(docs: DataFrame, doc_id: str, terms: Column) -> DataFrame
     return out.withColumn("rarity", rarity(F.col("share")))
 
 
-def _meet(texts: DataFrame, doc_id: str, phrases: DataFrame) -> DataFrame:
-    """doc_id and the columns of phrases (key, __word: its first word) for the phrases in __text. Words meet first, without
-    the text; only documents that share a first word are then read whole."""
-    words = texts.select(doc_id, F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
-    near = words.join(phrases, "__word").drop("__word")
-    return near.join(texts, doc_id).filter(contains_phrase(F.col("__text"), F.col("key"))).drop("__text")
-
-
 def phrase_frequency(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
-    """key, df: in how many documents a phrase of several words is. A document's distinct runs of words, of the lengths that
-    phrases have, meet the phrases whole, so a frequent first word makes no candidates."""
+    """key, df: in how many documents a phrase of several words is; one pass of an automaton, with a row for each phrase that
+    a document holds."""
     p = phrases.select(norm_key(F.col(phrase)).alias("key")).distinct().filter(F.col("key").contains(" "))
-    lengths = sorted(r[0] for r in p.select(F.size(F.split("key", " "))).distinct().collect())  # one number for each length
-    if not lengths:
-        return p.withColumn("df", F.lit(0).cast("long"))
-    runs = F.flatten(F.array(*(_runs(F.col("__words"), n) for n in lengths)))
-    words = docs.select(doc_id, F.split(norm_key(F.col(text)), " ").alias("__words"))
-    hit = words.select(doc_id, F.explode(F.array_distinct(runs)).alias("key")).join(p, "key").groupBy(doc_id, "key").agg(F.lit(1).alias("one"))
+    hit = phrases_in(docs, doc_id, norm_key(F.col(text)), p).groupBy(doc_id, "key").agg(F.lit(1).alias("one"))
     return p.join(hit.groupBy("key").agg(F.count("*").alias("df")), "key", "left").na.fill(0, ["df"])
 
 
-def _runs(words: Column, n: int) -> Column:
-    none = F.array().cast("array<string>")
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(none)
-
-
 def rule_terms(rules: DataFrame, number: str = "rule") -> DataFrame:
     """rule, term, weight, loose from array columns title_terms, topic_terms, signal_words, body_terms, example_terms: a
     term has the weight of its strongest table; body and examples are loose where no table names the term."""
@@ -170,9 +153,9 @@ def threshold(scored: DataFrame, score: str, right: Column, precision: float, st
 def phrase_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, stats: DataFrame, as_is: bool = True) -> DataFrame:
     """doc_id, rule, rarity of the phrases of several words (rule, phrase) in a text. as_is: the text is searched as it is,
     so a capital or a comma beside a phrase hides it; else its key is."""
-    p = phrases.select("rule", norm_key(F.col("phrase")).alias("key")).filter(F.col("key").contains(" ")).distinct().withColumn("__word", F.split("key", " ")[0])
+    p = phrases.select("rule", norm_key(F.col("phrase")).alias("key")).filter(F.col("key").contains(" ")).distinct()
     body = F.col(text) if as_is else norm_key(F.col(text))
-    hit = _meet(docs.select(doc_id, body.alias("__text")), doc_id, p).select(doc_id, "rule", "key").distinct()
+    hit = phrases_in(docs, doc_id, body, p).join(p, "key").select(doc_id, "rule", "key").distinct()
     return hit.join(stats.select("key", F.col("rarity")), "key", "left").select(doc_id, "rule", F.coalesce("rarity", F.lit(UNSEEN)).alias("rarity"))
 
 

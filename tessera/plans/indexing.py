@@ -54,10 +54,10 @@ def build_index(papers: DataFrame, kinds: DataFrame, rules: DataFrame, spans: Da
     topics, patterns of lookup.placed()."""
     q = questions_of(papers.withColumn("length", F.size("questions"))).select("path", "title", "year", "shift", "length", "ordinal", "q.*")
     routed = lookup.best_path(papers, "path", kinds)
-    q = q.join(F.broadcast(routed), "path").join(F.broadcast(kinds.select("kind", "exam")), "kind")
+    q = q.join(routed, "path").join(kinds.select("kind", "exam"), "kind")
     shape = q.select("path", "kind", "year", "length").distinct()
-    fits = (F.col("kind") == F.col("__kind")) & lookup.wildcard(F.col("years"), F.col("year")) & lookup.wildcard(F.col("lengths"), F.col("length"))
-    chosen = lookup.first_rule(shape, "path", rules.withColumnRenamed("kind", "__kind"), fits, "rule_no", "rule_no")
+    fields = {"kind": "__kinds", "year": "years", "length": "lengths"}
+    chosen = lookup.first_rule(shape, "path", rules.withColumn("__kinds", F.array("kind")), fields, "rule_no", "rule_no")
     q = q.join(chosen.select("path", "rule_no"), "path", "left").withColumn("layout", F.concat_ws("#", "kind", "rule_no"))
     laid = spans.select(F.concat_ws("#", "kind", "rule_no").alias("kind"), "number", "subject", "start", "end")
     opts = F.array_join(F.transform(ladders.options(F.col("options")), lambda o: o.text), " ")

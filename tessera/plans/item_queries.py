@@ -46,8 +46,8 @@ def raw_question_lookup(t):
     # a customer is a paper, an order a question whose id is reused
     q = F.struct(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("qid"))
     papers = t("orders").groupBy(F.col("o_custkey").alias("path")).agg(F.array_sort(F.collect_list(q)).alias("questions"))
-    ids = t("orders").select(F.col("o_orderpriority").alias("qid")).distinct()
-    records = t("customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("paper_path")).join(F.broadcast(ids))
+    named = t("orders").select(F.col("o_orderpriority").alias("qid"), F.col("o_custkey").alias("paper_path")).distinct()
+    records = named.join(t("customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("paper_path")), "paper_path")
     return lookup.raw_questions(papers, records).select("qid", "path", "key")
 
 

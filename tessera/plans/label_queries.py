@@ -57,8 +57,7 @@ _RULES = [(0, ["1-URGENT"], None, "express"), (1, None, [1995, 1996], "old"), (2
 def first_matching_rule(t):
     rules = t.spark.createDataFrame(_RULES, "number int, priorities array<string>, years array<int>, lane string")
     o = t("orders").select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
-    fits = lookup.wildcard(F.col("priorities"), F.col("o_orderpriority")) & lookup.wildcard(F.col("years"), F.col("y"))
-    return lookup.first_rule(o, "o_orderkey", rules, fits, "number", "lane").select("o_orderkey", "lane")
+    return lookup.first_rule(o, "o_orderkey", rules, {"o_orderpriority": "priorities", "y": "years"}, "number", "lane").select("o_orderkey", "lane")
 
 
 @query("""WITH k(kind, number, inc) AS (VALUES ('en', 0, '/en/'), ('fr', 1, '/fr/'), ('query', 2, 'page='), ('net', 3, 'example.net'))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.plans.registry import query
-from tessera.sources import files, outline
+from tessera.sources import files, outline, shards
 from tessera.sources.scratch import new_path
 
 
@@ -79,6 +79,20 @@ def index_manifest(t):
     return files.write_index(rows, new_path(t.spark, "index"), "c_mktsegment", "c_custkey", 100).select("c_mktsegment", "records", "files")
 
 
+_LINE = "length('{\"c_custkey\":,\"c_mktsegment\":\"\",\"c_name\":\"\"}') + length(CAST(c_custkey AS VARCHAR)) + length(c_mktsegment) + length(c_name) + 1"
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT c_mktsegment AS g, c_custkey, {_LINE} AS n, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS k FROM customer),
+f AS (SELECT g, k, c_custkey, n, 0 AS shard, n AS held FROM o WHERE k = 1
+  UNION ALL SELECT o.g, o.k, o.c_custkey, o.n, CASE WHEN f.held + o.n > 6000 THEN f.shard + 1 ELSE f.shard END, CASE WHEN f.held + o.n > 6000 THEN o.n ELSE f.held + o.n END FROM f JOIN o ON o.g = f.g AND o.k = f.k + 1),
+s AS (SELECT *, row_number() OVER (ORDER BY g, k) - 1 AS seq FROM f)
+SELECT g AS c_mktsegment, CAST(shard AS INTEGER) AS shard, count(*) AS records, min(c_custkey) AS first_key, min(seq) AS first_seq FROM s GROUP BY ALL""")
+def index_shards(t):
+    rows = t("customer").select("c_custkey", "c_mktsegment", "c_name")
+    got = shards.round_trip(rows, "c_mktsegment", ["c_custkey"], 6000, packed=True)
+    return got.groupBy("c_mktsegment", F.col("__shard").alias("shard")).agg(F.count("*").alias("records"), F.min("c_custkey").alias("first_key"), F.min("seq").alias("first_seq"))
+
+
 @query("SELECT 'second' AS name, 2 AS version, 7 AS fallback, sha256('{' || chr(10) || '  \"version\": 2' || chr(10) || '}' || chr(10)) AS sha256")
 def document_replace(t):
     path = new_path(t.spark, "document")

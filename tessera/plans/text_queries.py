@@ -3,9 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.functions import ladders, text
-from tessera.operators.lookup import wildcard  # noqa: F401  (part of the query vocabulary)
 from tessera.plans.registry import query
-from tessera.sources import settings  # noqa: F401
 
 _WS = "[\\s]+"
 

@@ -9,7 +9,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -149,37 +149,53 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return raw.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def _swap(spark: SparkSession, new: str, root: str, whole: bool) -> None:
-    """Puts the folders of new (of the first level's values, as written: null and escaped ones too) in the place of those
-    of root; the others of root go too if whole."""
-    fs, to = _fs(spark, root)
-    fs.mkdirs(to)
-    names = [n for n in listed(spark, new) if "=" in n]
-    for n in listed(spark, root):
-        if "=" in n and (whole or n in set(names)):
-            delete(spark, f"{root}/{n}")
-    for n in names:  # values of the first level: a handful
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        if not fs.rename(path(f"{new}/{n}"), path(f"{root}/{n}")):
-            raise OSError(f"{root}/{n}")
-    delete(spark, new)
+#: The folder of a tree's versions, and the file that says which version has each folder of the first level.
+VERSIONS, CURRENT = "_versions", "_current.json"
+
+
+def tree_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folders of the first level and the paths that hold them now."""
+    held = read_document(spark, f"{root}/{CURRENT}", {})
+    return {name: f"{root}/{VERSIONS}/{version}/{name}" for name, version in held.items()}
+
+
+def _swap(spark: SparkSession, version: str, root: str, whole: bool) -> None:
+    """Makes the folders of a written version (of the first level's values, as written: null and escaped ones too) the
+    tree's; the others of root stay where they are, or go if whole.
+
+    Nothing is moved: one pointer file is replaced in one step, so a reader sees the tree of before or the new one, and a
+    writer that stops anywhere leaves one of both. After that, versions that neither this pointer nor the one before names
+    are deleted; the one before stays for those who still read it.
+    """
+    old = read_document(spark, f"{root}/{CURRENT}", {})
+    new = {n: version for n in listed(spark, f"{root}/{VERSIONS}/{version}") if "=" in n}
+    write_json(spark, f"{root}/{CURRENT}", new if whole else old | new)
+    kept = {version, *old.values(), *new.values()}
+    for v in listed(spark, f"{root}/{VERSIONS}"):
+        if v not in kept:
+            delete(spark, f"{root}/{VERSIONS}/{v}")
 
 
 def write_tree(df: DataFrame, root: str, levels: Sequence[str], exclude: DataFrame | None = None, on: Sequence[str] = ("qid",), whole: bool = False) -> DataFrame:
     """Rows as JSON lines in a folder for each path of levels, rows that another view owns left out. A value of the first
-    level that has rows is replaced with all below it; the others stay, or go if whole. Returns counts by path."""
+    level that has rows is replaced with all below it; the others stay, or go if whole. Returns counts by path. The tree
+    is read through tree_folders() or leaf_rows()."""
     kept = df.join(exclude.select(*on).distinct(), list(on), "left_anti") if exclude is not None else df
-    new = f"{root}/_new-{uuid.uuid4().hex}"
-    kept.write.partitionBy(*levels).option("ignoreNullFields", False).json(new)
-    _swap(df.sparkSession, new, root, whole)
+    version = uuid.uuid4().hex
+    kept.write.partitionBy(*levels).option("ignoreNullFields", False).json(f"{root}/{VERSIONS}/{version}")
+    _swap(df.sparkSession, version, root, whole)
     return kept.groupBy(*levels).agg(F.count("*").alias("rows"))
 
 
 def leaf_rows(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """All rows below a folder, with place: the folder of their file below root."""
-    raw = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*").json(root).select("*", F.col("_metadata.file_path").alias("__f"))
+    """All rows below a folder, or of the tree's folders as they are now, with place: the folder of their file below root."""
+    folders = sorted(tree_folders(spark, root).values()) if exists(spark, f"{root}/{CURRENT}") else [root]
+    if not folders:
+        return spark.createDataFrame([], schema).withColumn("place", F.lit(""))
+    raw = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*").json(folders).select("*", F.col("_metadata.file_path").alias("__f"))
     base = root.split(":", 1)[-1].strip("/")
-    return raw.withColumn("place", F.regexp_replace(F.regexp_replace(F.url_decode("__f"), f"^.*?{base}/?", ""), "/?[^/]+$", "")).drop("__f")
+    below = F.regexp_replace(F.url_decode("__f"), f"^.*?{base}/?({VERSIONS}/[^/]+/)?", "")
+    return raw.withColumn("place", F.regexp_replace(below, "/?[^/]+$", "")).drop("__f")
 
 
 def places(rows: DataFrame, reserved: Sequence[str] = ()) -> DataFrame:
@@ -203,9 +219,9 @@ def prune(spark: SparkSession, root: str, keep: Sequence[str], marker: str) -> l
 
 def write_packs(packs: DataFrame, root: str) -> DataFrame:
     """Packs as JSON lines by kind and their catalogue (kind, packs, questions); kinds of before are replaced."""
-    new = f"{root}/_new-{uuid.uuid4().hex}"
-    packs.write.partitionBy("kind").json(new)
-    _swap(packs.sparkSession, new, root, False)
+    version = uuid.uuid4().hex
+    packs.write.partitionBy("kind").json(f"{root}/{VERSIONS}/{version}")
+    _swap(packs.sparkSession, version, root, False)
     return packs.groupBy("kind").agg(F.count("*").alias("packs"), F.sum("count").cast("long").alias("questions"))
 
 
@@ -222,9 +238,13 @@ def selected(df: DataFrame, search: str = "", id_column: str = "id", **equal: st
 
 
 def page(rows: DataFrame, group: str, item: str, order: Sequence[str], most: int = 200) -> DataFrame:
-    """For each group the first items, joined, and how many more there are."""
-    cut = F.slice(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(item).alias("__i")))), lambda x: x["__i"]), 1, most)
-    return rows.groupBy(group).agg(cut.alias("items"), F.greatest(F.count("*") - most, F.lit(0)).alias("more"))
+    """For each group the first items, joined, and how many more there are. Rows are ranked and cut before they gather."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order, item))
+    first = rows.select(group, *dict.fromkeys([*order, item])).withColumn("__r", rank).filter(F.col("__r") <= most)
+    items = F.transform(F.array_sort(F.collect_list(F.struct("__r", F.col(item).alias("__i")))), lambda x: x["__i"])
+    first = first.groupBy(F.col(group).alias("__g")).agg(items.alias("items"))
+    counts = rows.groupBy(group).agg(F.count("*").alias("__n"))
+    return counts.join(first, F.col(group).eqNullSafe(F.col("__g"))).select(group, "items", F.greatest(F.col("__n") - most, F.lit(0)).alias("more"))
 
 
 def scored(rows: DataFrame, scorer, schema: str, key: str, cache: DataFrame | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
+from functools import reduce
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,17 +105,48 @@ def test_evenly_spaced(spark, n, k):
     assert [r["i"] for r in rank.evenly(df, ["g"], ["i"], k).orderBy("i").collect()] == sorted({i * n // m for i in range(m)})
 
 
-def test_byte_shards_like_a_loop(spark):
-    rng = random.Random(3)
-    data = [("a" if i % 3 else "b", i, rng.choice([1, 5, 30, 120])) for i in range(300)]
-    got = {r["i"]: r["shard"] for r in rank.byte_shards(spark.createDataFrame(data, "g string, i int, n long"), "g", ["i"], "n", 100).collect()}
-    for g in "ab":
+def shards_by_hand(data, most):
+    """data: (group, order, size)."""
+    out = {}
+    for g in {x[0] for x in data}:
         held = shard = 0
-        for _, i, n in sorted(x for x in data if x[0] == g):
-            if held and held + n > 100:
+        for _, i, n in sorted((x for x in data if x[0] == g), key=lambda x: x[1]):
+            n = n or 0
+            if held and held + n > most:
                 held, shard = 0, shard + 1
             held += n
-            assert got[i] == shard
+            out[i] = shard
+    return out
+
+
+@pytest.mark.parametrize("part, fan, sizes", [(200_000, 64, (1, 5, 30, 120)), (7, 3, (1, 5, 30, 120)), (5, 2, (0, 0, 0, 101, 40, None)), (1, 2, (1, 100, 0)), (4, 2, (1,))])
+def test_byte_shards_like_a_loop(spark, monkeypatch, part, fan, sizes):
+    monkeypatch.setattr(rank, "PART", part)
+    monkeypatch.setattr(rank, "FAN", fan)
+    rng = random.Random(3)
+    data = [("a" if i % 3 else None if i % 2 else "b", i, rng.choice(sizes)) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, i int, n long").repartition(3)
+    assert {r["i"]: r["shard"] for r in rank.byte_shards(df, "g", ["i"], "n", 100).collect()} == shards_by_hand(data, 100)
+    assert rank.byte_shards(df.limit(0), "g", ["i"], "n", 100).count() == 0
+
+
+def test_joined_blocks_are_their_rows():
+    rng = random.Random(9)
+    for _ in range(300):
+        rows = [rng.choice([0, 1, 7, 60, 140]) for _ in range(rng.randrange(2, 40))]
+        cuts = sorted({0, len(rows), *rng.sample(range(1, len(rows)), min(3, len(rows) - 1))})
+        parts = [np.array(rows[i:j]) for i, j in zip(cuts, cuts[1:])]
+        whole = rank._summary(np.array(rows), 100)
+        joined = reduce(lambda a, b: rank._joined(a, b, 100), [rank._summary(p, 100) for p in parts])
+        assert all(np.array_equal(x, y) for x, y in zip(whole, joined))
+        for held in (0, 1, 50, 100, 140):
+            got = rank._passed(whole, np.array([held]), np.array([0]), 100)
+            now, n = held, 0
+            for s in rows:
+                if now and now + s > 100:
+                    now, n = 0, n + 1
+                now += s
+            assert (int(got[0][0]), int(got[1][0])) == (now, n)
 
 
 def test_distinct_ids_and_modes(spark):

@@ -28,7 +28,7 @@ ONE_ROW = {
     "class_signatures", "coverage_identity", "document_frequency", "exam_subject_matrix", "importance_by_hierarchy", "ledger_tail_window", "outage_reason", "precision_threshold",
     "priority_by_subject", "priority_overall", "rarity_buckets", "rule_score_top1_margin", "rule_shortlist", "share_of_total", "index_distribution", "settings_scope",
 }
-RULES = {"family_members", "first_matching_rule", "raw_question_lookup"}
+RULES = {"family_members"}
 #: Queries with a window over all rows of a small table: parts of a range, distinct values of a list, the ten best.
 SMALL_WINDOW = {"precision_threshold", "subject_order", "priority_overall"}
 

@@ -57,7 +57,37 @@ def test_tree_of_null_escaped_and_vanished_values(spark, tmp_path):
     files.write_tree(df.filter("qid = 'b'"), root, ["subject", "chapter"])
     assert read() == ["a", "b", "d"]
     files.write_tree(df.filter("qid in ('a', 'b')"), root, ["subject", "chapter"], whole=True)
-    assert read() == ["a", "b"] and all("=" in n for n in files.listed(spark, root))
+    assert read() == ["a", "b"] and all("=" in n for n in files.tree_folders(spark, root))
+
+
+def test_a_tree_is_whole_wherever_a_writer_stops(spark, tmp_path, monkeypatch):
+    """Each call that changes the file system fails in turn: what is read is the tree of before or the new one."""
+    root = f"file://{tmp_path}/tree"
+    frame = lambda ids: spark.createDataFrame([(q, q[0].upper(), "c") for q in ids], "qid string, subject string, chapter string")
+    read = lambda: sorted(r["qid"] for r in files.leaf_rows(spark, root, "qid string").collect())
+    files.write_tree(frame(["a1", "b1"]), root, ["subject", "chapter"])
+    for name in ("write_json", "delete"):
+        whole = getattr(files, name)
+        for when in ("before", "after"):
+            before, ids = read(), [f"a{name}{when}", f"c{name}{when}"]
+
+            def stop(*args, whole=whole, when=when):
+                if when == "after":
+                    whole(*args)
+                raise OSError("stopped")
+
+            monkeypatch.setattr(files, name, stop)
+            try:
+                files.write_tree(frame(ids), root, ["subject", "chapter"])
+            except OSError:
+                pass
+            monkeypatch.setattr(files, name, whole)
+            after = sorted([q for q in before if q[0] not in "ac"] + ids)
+            assert read() in (before, after)
+            assert (read() == before) == (name == "write_json" and when == "before")
+    files.write_tree(frame(["a9", "c9"]), root, ["subject", "chapter"], whole=True)
+    files.write_tree(frame(["a9", "c9"]), root, ["subject", "chapter"], whole=True)
+    assert read() == ["a9", "c9"] and len(files.listed(spark, f"{root}/{files.VERSIONS}")) == 2
 
 
 def test_document_is_replaced_in_one_step(spark, tmp_path):
