@@ -304,6 +304,18 @@ def test_cross_parsing_counts(spark):
     assert model.phrases([long])[0][0] <= -(-len(long) // 6) + 6 and model.predict([long, None, "12"])[0] == ["a", "und", "und"]
 
 
+def test_langid_parses_long_texts_whole():
+    """Pieces go on where the one before ended: as many phrases as in one parse, also where a match is longer than pieces."""
+    rng = random.Random(8)
+    refs = {c: " ".join("".join(rng.choices(letters, k=rng.randrange(2, 7))) for _ in range(900)) for c, letters in (("a", "abcde"), ("b", "bcdef"), ("c", "ghab"))}
+    model = op6_langid.Model(refs)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 8))) for _ in range(500))[:n] for n in (2_000, 511, 512, 513, 1)]
+    texts += [refs["a"][100:1900], refs["b"][:700] + refs["a"][300:1500], "a" * 1000]
+    texts = [op6_langid.letters(t) for t in texts]
+    assert model.phrases(texts).tolist() == [[phrases_by_hand(t, refs[c]) for c in "abc"] for t in texts]
+    assert model.phrases([refs["a"][100:1900].strip()])[0][0] == 1
+
+
 def test_langid_alphabets_and_repeated_ids(spark):
     # a language of thousands of characters takes no more room than its transitions; 300 rows of one id are one row of the fit
     rng = random.Random(4)
@@ -312,12 +324,14 @@ def test_langid_alphabets_and_repeated_ids(spark):
     model = op6_langid.Model({"w": wide, "n": narrow})
     assert model.nbytes() < 0x110000 * 4 + 3_000_000
     texts = [wide[100:160], narrow[50:400], "".join(rng.choices(wide + narrow + "!Ж", k=500)), wide[:3] + narrow[:9]]
-    texts = [op6_langid.letters(t)[:256].strip() for t in texts]
+    texts = [op6_langid.letters(t) for t in texts]
     assert model.phrases(texts).tolist() == [[phrases_by_hand(t, narrow), phrases_by_hand(t, wide)] for t in texts]
     free = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
     rows = [(free[0], f"{narrow[k:]}", "n") for k in range(300)] + [(free[1], wide, "w"), (free[2], narrow, "n")]
     got = op6_langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert got.langs == ["n", "w"] and got.predict([narrow[:80], wide[:20]])[0] == ["n", "w"]
+    # numbers that are no letters: fractions, raised and Roman ones, digits of other scripts
+    assert got.predict(["½ ² Ⅷ", "½", "٣ 7", "_", "a½"])[0][:4] == ["und"] * 4 and got.predict(["a½"])[0] != ["und"]
 
 
 def test_toxicity(spark, tmp_path):
