@@ -132,8 +132,8 @@ def _shrunk(near: DataFrame, wide: DataFrame, keys: list[str], shrink: int) -> D
 
 def thresholds(sk: DataFrame, shrink: int = SHRINK) -> DataFrame:
     """For each group __lang, __source: docs, and lo_<m> and hi_<m> (null lo: not judged). sk is staged."""
-    whole = stage(quantiles(sk).coalesce(1), "quantiles")
-    langs = stage(_shrunk(quantiles(sk, "__lang"), whole, ["m"], shrink).coalesce(1), "quantiles")
+    whole = stage(quantiles(sk), "quantiles")
+    langs = stage(_shrunk(quantiles(sk, "__lang"), whole, ["m"], shrink), "quantiles")
     near = _shrunk(quantiles(sk, "__lang", "__source"), langs, ["__lang", "m"], shrink)
     aggs = [F.max("docs").alias("docs")]
     for m, (q, k, least, low) in RULES.items():
@@ -181,9 +181,9 @@ def measure(docs: DataFrame, *carry: str, doc_id: str = "doc_id", text: str = "t
 def verdicts(docs: DataFrame, **names: str) -> DataFrame:
     """doc_id, __rid (hash of text, lang and source), the metrics, base_failed and kept, for every row of docs."""
     measured = measure(docs, **names)
-    # both are as small as the number of groups, so few files do
-    counted = stage(sketches(measured).coalesce(8), "sketches")
-    limits = stage(thresholds(counted).coalesce(4), "limits")
+    # as many tasks as there are groups for: adaptive execution joins small parts
+    counted = stage(sketches(measured), "sketches")
+    limits = stage(thresholds(counted), "limits")
     unstage(counted)
     return judge(measured, limits)
 
