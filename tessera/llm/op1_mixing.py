@@ -108,9 +108,13 @@ def _level(live: DataFrame) -> DataFrame:
     return live.select("__s", F.pmod(h, F.col("__blocks")).alias("block"), e.alias("e"))
 
 
-def reduced(level: DataFrame, blocks: int) -> DataFrame:
+def reduced(level: DataFrame, blocks: int, room: DataFrame | None = None) -> DataFrame:
     """Rows __s, h, id, s, rise: every document of level (__s, block, e) rounded, by a tree of folds. blocks: the
-    most that a source has. Each level is a staged table of a row for each block."""
+    most that a source has. Each level is a staged table of a row for each block.
+
+    room: __s, give, take: words that other documents of a source can give up or take afterwards. The document that is left
+    at the end then goes the way that they can make up for, by chance only if they can for both.
+    """
     out = None
     while True:
         folded = level.groupBy("__s", "block").agg(F.sort_array(F.collect_list("e")).alias("v"))
@@ -118,8 +122,12 @@ def reduced(level: DataFrame, blocks: int) -> DataFrame:
         done = folded.select("__s", F.explode("done").alias("d")).select("__s", "d.h", "d.id", "d.s", "d.rise")
         out = done if out is None else out.unionByName(done)
         if blocks <= 1:  # one document is left in each source: rounded by its own fraction
-            alone = F.expr(f"{_uniform('c.h', '1')} * c.s < c.m").alias("rise")
-            return out.unionByName(folded.select("__s", "c.h", "c.id", "c.s", alone))
+            alone = F.expr(f"{_uniform('c.h', '1')} * c.s < c.m")
+            if room is not None:
+                folded = folded.join(room, "__s", "left").na.fill(0.0, ["give", "take"])
+                more, less = F.expr("c.s - c.m - give"), F.expr("c.m - take")
+                alone = F.when((more <= 0) & (less <= 0), alone).otherwise(more < less)
+            return out.unionByName(folded.select("__s", "c.h", "c.id", "c.s", alone.alias("rise")))
         blocks = -(-blocks // FAN)
         level = folded.select("__s", F.floor(F.col("block") / FAN).alias("block"), F.col("c").alias("e"))
 
@@ -137,23 +145,26 @@ def rounded(units: DataFrame, targets: DataFrame) -> DataFrame:
     words in sources whose copies are not whole. units: staged rows doc_id, __rid, __s, source, size, c.
 
     Documents longer than their source's mean go first. What the rounding of their last one adds to the source or takes
-    from it, the shorter ones make up for: their fraction is shifted by it, which has expectation 0.
+    from it, the shorter ones make up for: their fraction is shifted by it. Where they can do so for both ways, the way is
+    by chance and the shift has expectation 0; where for one alone, that one is taken, and where for none the nearer. So a
+    source misses its target by less than its mean document, unless its shorter documents are too few words for either way.
     """
     rest = F.col("target") / F.col("source_size") - F.floor(F.col("target") / F.col("source_size"))
     t = targets.filter("source_size > 0").withColumn("__f", rest).filter("__f > 0")
     t = stage(t.select("__s", "__f", "__blocks", "__mean", "__short", "n"), "fractions")
     total, most = units.count(), targets.agg(F.max("__blocks")).first()[0] or 1
 
-    def settled(live: DataFrame, name: str) -> DataFrame:
+    def settled(live: DataFrame, name: str, room: DataFrame | None = None) -> DataFrame:
         live = stage(live, name)
-        up = reduced(_level(live.filter("__m > 0")), most).filter("rise").select(F.col("h").alias("__h"), F.col("id").alias("__id"))
+        up = reduced(_level(live.filter("__m > 0")), most, room).filter("rise").select(F.col("h").alias("__h"), F.col("id").alias("__id"))
         keyed = live.withColumn("__h", F.xxhash64(F.lit(SEED), "doc_id", "__rid"))
         both = keyed.join(up, (keyed["__h"] == up["__h"]) & keyed["doc_id"].eqNullSafe(up["__id"]) & (keyed["__m"] > 0), "left")
         copies = F.col("__base") + up["__h"].isNotNull().cast("long")
         return stage(both.select("__s", "doc_id", "__rid", "size", "c", copies.alias("up")), f"{name}-up")
 
     live = units.filter("size > 0").select("__s", "doc_id", "__rid", "size", "c")
-    long = settled(_units(live, t, total).filter(F.col("size") > F.col("__mean")), "long")
+    room = t.select("__s", (F.col("__f") * F.col("__short")).cast("double").alias("give"), ((1 - F.col("__f")) * F.col("__short")).cast("double").alias("take"))
+    long = settled(_units(live, t, total).filter(F.col("size") > F.col("__mean")), "long", room)
     over = long.groupBy("__s").agg(F.sum(F.col("up") * F.col("size")).alias("__took"), F.sum(F.col("c") * F.col("size")).alias("__of"))
     owed = F.coalesce(F.col("__f") * F.col("__of") - F.col("__took"), F.lit(0.0))
     shifted = F.when(F.col("__short") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__f") + owed / F.col("__short")))).otherwise(F.col("__f"))

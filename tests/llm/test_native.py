@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import random
 import struct
 from collections import Counter, defaultdict
 
@@ -196,6 +197,28 @@ def test_mix_meets_targets(spark, sources):
     assert sorted((r["doc_id"], r["copies"]) for r in got) == sorted((r["doc_id"], r["copies"]) for r in again)
 
 
+@pytest.mark.parametrize("others", [50, 12])
+def test_mix_makes_up_for_a_long_document(spark, others):
+    """One document of 5,000 words among short ones, in many sources: the way it is rounded is one they can make up for."""
+    rng = random.Random(others)
+    rows = []
+    for s in range(24):
+        rows += [(s * 1000, " ".join(["w"] * 5000), f"s{s:02}")]
+        rows += [(s * 1000 + i, " ".join(["w"] * rng.randrange(80, 220)), f"s{s:02}") for i in range(1, others + 1)]
+    got = op1_mixing.allot(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, total, short, target = Counter(), Counter(), Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["size"] * r["copies"]
+        total[r["source"]] += r["size"]
+        short[r["source"]] += r["size"] * (r["size"] < 5000)
+        target[r["source"]] = r["target"]
+    for s in target:
+        f = target[s] / total[s] % 1
+        # beyond what the short ones can give up or take, whichever way is nearer
+        beyond = max(0.0, min(5000 * (1 - f) - f * short[s], 5000 * f - (1 - f) * short[s]))
+        assert abs(taken[s] - target[s]) <= beyond + total[s] / (others + 1)
+
+
 def uniform_by_hand(a, b):
     h = 42
     for raw in (struct.pack("<i", op1_mixing.SEED), struct.pack("<q", a), b):
