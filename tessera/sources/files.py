@@ -150,7 +150,7 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 #: The folder of a tree's versions, and the file that says which version has each folder of the first level.
-VERSIONS, CURRENT = "_versions", "_current.json"
+VERSIONS, CURRENT = "_versions", "current.json"
 
 
 def tree_folders(spark: SparkSession, root: str) -> dict[str, str]:
