@@ -49,13 +49,22 @@ def outline(lines: DataFrame, first: int, last: int, depth: int = 2, labels: Seq
 
 def families(members: DataFrame, chapters: DataFrame) -> DataFrame:
     """member, chapter: family members joined to chapters by equal key, else to the first chapter that contains theirs."""
-    m = members.select("member", norm_key(F.col("member")).alias("mk"))
+    m = members.select("member", norm_key(F.col("member")).alias("mk")).distinct()
     c = chapters.select(F.col("name").alias("chapter"), "number", norm_key(F.col("name")).alias("ck"))
-    exact = m.join(F.broadcast(c), F.col("mk") == F.col("ck")).groupBy("member").agg(F.min_by("chapter", "number").alias("exact"))
-    part = m.join(F.broadcast(c), F.col("ck").contains(F.col("mk")) & (F.col("mk") != "")).groupBy("member").agg(F.min_by("chapter", "number").alias("part"))
+    exact = m.join(c, F.col("mk") == F.col("ck")).groupBy("member").agg(F.min_by("chapter", "number").alias("exact"))
+    # containment on equality: a chapter's parts of the lengths that members have
+    lengths = sorted(r[0] for r in m.select(F.length("mk")).distinct().collect() if r[0])
+    parts = F.array_distinct(F.flatten(F.array(*(_parts(F.col("ck"), n) for n in lengths)))) if lengths else F.array().cast("array<string>")
+    held = c.select("chapter", "number", F.explode(parts).alias("mk"))
+    part = m.join(held, "mk").groupBy("member").agg(F.min_by("chapter", "number").alias("part"))
     return m.select("member").distinct().join(exact, "member", "left").join(part, "member", "left").select("member", F.coalesce("exact", "part").alias("chapter"))
 
 
+def _parts(x: Column, n: int) -> Column:
+    none = F.array().cast("array<string>")
+    return F.when(F.length(x) >= n, F.transform(F.sequence(F.lit(1), F.length(x) - n + 1), lambda i: F.substr(x, i, F.lit(n)))).otherwise(none)
+
+
 def rule_blocks(lines: DataFrame) -> DataFrame:
     """file, number, title, topic, sources, body, examples, wrong, right, quotes of the blocks `## Rule N: title`."""
     w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)

@@ -67,3 +67,13 @@ def test_report_keeps_the_first_samples(spark):
     df = spark.createDataFrame([("a", i % 9) for i in range(50)] + [(None, 3), (None, None), ("b", None)], "g string, s int")
     got = {r["g"]: (r["count"], r["samples"]) for r in lookup.verdict_report(df, ["g"], "s").collect()}
     assert got == {"a": (50, [0, 1, 2, 3, 4]), None: (2, [3]), "b": (1, [])}
+
+
+def test_hints_and_frequent_terms(spark):
+    """A term that gives no points makes no pair; a strong hint counts without a term, a weak one with evidence alone."""
+    terms = spark.createDataFrame([(i, t) for i in range(50) for t in ("the", f"t{i % 3}")], "q int, term string")
+    weighted = spark.createDataFrame([(r, "the", 3, False) for r in range(400)] + [(1, "t1", 3, False)], "rule int, term string, weight int, loose boolean")
+    stats = spark.createDataFrame([("the", 0), ("t0", 1), ("t1", 2), ("t2", 1)], "term string, rarity int")
+    hints = spark.createDataFrame([(0, 7, True), (1, 1, False), (2, 1, False)], "q int, rule int, strong boolean")
+    got = {(r["q"], r["rule"]): (r["score"], r["hint"]) for r in scoring.score_rules(terms, "q", terms, weighted, stats, hints=hints).collect()}
+    assert got == {(0, 7): (6, True), **{(i, 1): (8, True) if i == 1 else (6, False) for i in range(50) if i % 3 == 1}}

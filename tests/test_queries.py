@@ -22,13 +22,11 @@ def duck():
     return con
 
 
-#: Queries whose plan has a nested-loop join: with a side of one row (a total, a newest time), or the rules of a table
-#: that is a parameter (rules with wildcards, families, the subjects of a paper's kinds).
+#: Queries whose plan has a nested-loop join: with a side of one row (a total, a newest time).
 ONE_ROW = {
     "class_signatures", "coverage_identity", "document_frequency", "exam_subject_matrix", "importance_by_hierarchy", "ledger_tail_window", "outage_reason", "precision_threshold",
     "priority_by_subject", "priority_overall", "rarity_buckets", "rule_score_top1_margin", "rule_shortlist", "share_of_total", "index_distribution", "settings_scope",
 }
-RULES = {"family_members"}
 #: Queries with a window over all rows of a small table: parts of a range, distinct values of a list, the ten best.
 SMALL_WINDOW = {"precision_threshold", "subject_order", "priority_overall"}
 
@@ -54,7 +52,7 @@ def test_matches_sql(spark, duck, name):
     assert got == want
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
-    assert "NestedLoopJoin" not in plan or name in ONE_ROW | RULES
+    assert "NestedLoopJoin" not in plan or name in ONE_ROW
     assert not one_task_window(plan) or name in SMALL_WINDOW
 
 
