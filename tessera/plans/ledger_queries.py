@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tessera.functions import ladders
 from tessera.operators import audit, ledger
 from tessera.plans.registry import query
+from tessera.sources.scratch import new_path
+from tessera.streaming import events as stream
 
 _RAW = """raw AS (SELECT event_id AS seq, ts, event_type AS phase, 'user' || (user_id % 7) AS provider, event_type = 'error' AS retry,
   CASE WHEN event_id % 3 = 0 THEN '' ELSE 'm' || (event_id % 11) END AS message, CAST(event_id % 5 AS INTEGER) AS status FROM events)"""
@@ -156,3 +158,15 @@ SELECT user_id, min(ts) AS start, count(*) AS events FROM b GROUP BY user_id, s"
 def session_windows(t):
     e = t("events").withColumn("at", F.col("ts").cast("timestamp")).groupBy("user_id", F.session_window("at", "6 hours").alias("w")).agg(F.count("*").alias("events"))
     return e.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), "events")
+
+
+@query("""WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_us(ts) / 1000000.0::DOUBLE AS sec, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k
+  FROM events WHERE ts < (SELECT max(ts) FROM events)),
+f AS (SELECT user_id, 0 AS k, 0 AS run, 0 AS trips, 0.0::DOUBLE AS until FROM o WHERE k = 1
+  UNION ALL SELECT o.user_id, CAST(o.k AS INTEGER), CASE WHEN NOT bad OR (run + 1 >= 2 AND sec >= until) THEN 0 ELSE run + 1 END,
+    CASE WHEN NOT bad THEN 0 WHEN run + 1 >= 2 AND sec >= until THEN trips + 1 ELSE trips END,
+    CASE WHEN bad AND run + 1 >= 2 AND sec >= until THEN sec + least(7200.0, 600.0 * pow(2, trips)) ELSE until END FROM f JOIN o ON o.user_id = f.user_id AND o.k = f.k + 1)
+SELECT user_id, CAST(k AS BIGINT) AS events, trips, run, round(until, 3) AS open_until FROM f WHERE k > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY k DESC) = 1""")
+def keyed_breaker_stream(t):
+    got = stream.replayed_breaker(t("events").select("event_id", "ts", "user_id", "event_type"), new_path(t.spark, "breaker"), base=600.0, most=7200.0, limit=2)
+    return got.select("user_id", "events", "trips", "run", F.round("open_until", 3).alias("open_until"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -65,3 +66,88 @@ def breaker(events: DataFrame, base: float = 60.0, most: float = 3600.0, limit:
     return events.groupBy("user_id").applyInPandasWithState(
         step, "user_id long, trips int, run int, open_until double", "run int, trips int, until double", "update", GroupStateTimeout.NoTimeout
     )
+
+
+class _KeyedBreaker(StatefulProcessor):
+    """Events wait until the watermark has passed them and then count in order of time."""
+
+    def __init__(self, base: float, most: float, limit: int):
+        self.base, self.most, self.limit = base, most, limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.now = handle.getValueState("breaker", "run int, trips int, until double, events long")
+        self.waiting = handle.getListState("waiting", "us long, event_id long, error boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first, passed = None, timerValues.getCurrentWatermarkInMs() * 1000
+        for part in rows:
+            part = part[part["us"] >= passed]  # what is late by more is dropped
+            if part.empty:
+                continue
+            us = part["us"].to_numpy()
+            self.waiting.appendList(list(zip(us.tolist(), part["event_id"].tolist(), (part["event_type"] == "error").tolist(), strict=True)))
+            first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:  # once that one is passed, all that the watermark has passed count
+            self.handle.registerTimer(first // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted(tuple(x) for x in self.waiting.get())
+        due, rest = [x for x in held if x[0] < passed], [x for x in held if x[0] >= passed]
+        run, trips, until, events = self.now.get() if self.now.exists() else (0, 0, 0.0, 0)
+        for us, _, error in due:
+            at = us / 1e6
+            run, trips = (run + 1, trips) if error else (0, 0)
+            if run >= self.limit and at >= until:
+                trips, run, until = trips + 1, 0, at + min(self.most, self.base * 2**trips)
+        if due:
+            self.now.update((run, trips, until, events + len(due)))
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(rest[0][0] // 1000 + 1)
+            else:
+                self.waiting.clear()
+            yield pd.DataFrame({"user_id": [key[0]], "events": [events + len(due)], "trips": [trips], "run": [run], "open_until": [until]})
+
+    def close(self) -> None:
+        pass
+
+
+#: What transformWithState needs for its state.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keyed_breaker(events: DataFrame, base: float = 60.0, most: float = 3600.0, limit: int = 3, late: str = "0 seconds") -> DataFrame:
+    """The breaker in order of event time, however rows come: a user's events wait in the state until the watermark, `late`
+    behind the newest event, has passed them, and then count. Rows later than the watermark are dropped. A row user_id,
+    events (counted so far), trips, run, open_until each time that a user's events count; needs ROCKSDB as state store."""
+    timed = events.withColumn("us", _micros()).withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", late)
+    schema = "user_id long, events long, trips int, run int, open_until double"
+    return timed.groupBy("user_id").transformWithStateInPandas(_KeyedBreaker(base, most, limit), schema, "Append", "EventTime")
+
+
+def _micros() -> Column:
+    """The clock time of ts as microseconds, whatever the session's time zone."""
+    return F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts AS timestamp_ntz))")
+
+
+def replayed_breaker(events: DataFrame, folder: str, triggers: int = 4, **options) -> DataFrame:
+    """The breaker's last row of each user after a replay of an event log in as many micro-batches as triggers: written to
+    folder in order of time, a file each, and read back as a stream. The newest event is not passed by any watermark."""
+    spark = events.sparkSession
+    cuts = events.select(_micros().alias("us")).approxQuantile("us", [k / triggers for k in range(1, triggers)], 0.01)
+    ends = [None, *(int(c) for c in cuts), None]
+    for low, high in zip(ends, ends[1:], strict=False):
+        part = events if low is None else events.filter(_micros() >= low)
+        (part if high is None else part.filter(_micros() < high)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        replay(keyed_breaker(stream, **options), f"{folder}/out", f"{folder}/checkpoint")
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+    rows = spark.read.schema("user_id long, events long, trips int, run int, open_until double").parquet(f"{folder}/out")
+    return rows.groupBy("user_id").agg(F.max(F.struct("events", "trips", "run", "open_until")).alias("r")).select("user_id", "r.*")

@@ -131,3 +131,29 @@ def test_stream_replay_and_breaker(spark, tmp_path):
     q = events.breaker(events.read_events(spark, f"{tmp_path}/in", "*.parquet"), limit=2).writeStream.format("memory").queryName("breaker").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r["user_id"] for r in spark.table("breaker").collect()} == {0, 1}
+
+
+def test_keyed_breaker_waits_for_the_watermark(spark, tmp_path):
+    """Rows out of order within the delay count in order of time; later ones than that are dropped."""
+    from datetime import datetime, timedelta
+
+    at = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    batches = [
+        [(1, at(100), 1, "error"), (3, at(140), 1, "view"), (2, at(120), 1, "error")],  # two errors before the success
+        [(4, at(400), 2, "view")],  # the watermark is at 340 after this
+        [(5, at(90), 1, "error"), (6, at(370), 1, "error"), (7, at(350), 1, "error")],  # 5 is late
+        [(8, at(3000), 2, "view")],
+    ]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, event_type string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", events.ROCKSDB)
+    try:
+        events.replay(events.keyed_breaker(stream, base=60.0, most=3600.0, limit=2, late="60 seconds"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").filter("user_id = 1").orderBy("events").collect()]
+    start = datetime(1970, 1, 1)
+    second = lambda s: (at(s) - start).total_seconds()
+    # the trip at 120 is undone by the success at 140; that at 370 cools down anew
+    assert got == [(1, 3, 0, 0, second(120) + 60), (1, 5, 1, 0, second(370) + 60)]
