@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+#: The mark of an image, underlined text, and what is trimmed off a term.
 IMAGE = r"\[IMAGE:[^\]]*\]"
 UNDERLINED = r"_{2,}(.+?)_{2,}"
 TERM_EDGE = " \t\n\r\x0b\x0c\"'“”‘’.,;:!?()[]"
@@ -235,6 +236,7 @@ def after_dash(x: Column) -> Column:
 
 def quoted(x: Column, drop: Sequence[str] = ()) -> Column:
     """Quoted expressions in order, each once whatever its case, without the words to drop."""
+    # fixed value: the pattern
     raw = F.regexp_extract_all(text_of(x), F.lit("[\"“]([^\"“”]+)[\"”]|[‘']([^‘’']+)[’']|`([^`]+)`"), F.lit(0))
     found = F.filter(F.transform(raw, lambda v: F.trim(F.btrim(F.trim(v), F.lit(QUOTES)))), lambda v: v != "")
     keys = F.transform(found, F.lower)
@@ -338,6 +340,7 @@ def year_of_path(path: Column, title: Column) -> Column:
 
 def held_on(title: Column) -> Column:
     """struct(raw, iso) of `held on 3 Jan 2024`; empty strings without one."""
+    # fixed values: the pattern and the months
     pattern = r"(?i)held\s+on\s+(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?,?\s+(20\d\d)"
     part = lambda k: F.regexp_extract(text_of(title), pattern, k)
     months = F.create_map(*(F.lit(v) for k, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1) for v in (m, f"{k:02d}")))

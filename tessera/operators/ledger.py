@@ -39,27 +39,33 @@ def tail(rows: DataFrame, ts: str, seconds: int, least: int = 60) -> DataFrame:
     return rows.join(F.broadcast(newest), F.col(ts) >= F.col("__newest") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(max(least, seconds)))).drop("__newest")
 
 
-def outage(recent: DataFrame, keys_configured: bool = True, wall: str = r"<html|cloudflare|captcha", spent: str = r"all keys|exhausted|no usable key") -> DataFrame:
+#: The verdicts on an outage, and what messages show it by.
+NO_KEYS, NO_ROUTE, WAF, REJECTED = "no_keys_configured", "no_route_for_model", "all_providers_403_waf", "all_providers_auth_rejected"
+EXHAUSTED, LIMITED, TRANSPORT, UNKNOWN = "all_keys_exhausted", "all_providers_rate_limited", "all_providers_transport_error", "unclassified_ai_outage"
+WALL, SPENT, SKIPPED = "<html|cloudflare|captcha", "all keys|exhausted|no usable key", "no healthy route"
+
+
+def outage(recent: DataFrame, keys_configured: bool = True, wall: str = WALL, spent: str = SPENT) -> DataFrame:
     """One row reason, rows: a verdict over a tail (kind, scope, message). Route rows are the evidence, else batch rows."""
     r = recent.select(F.coalesce("kind", F.lit("other")).alias("kind"), F.coalesce("scope", F.lit("route")).alias("scope"), F.lower(F.coalesce("message", F.lit(""))).alias("m"))
     route, batch = F.col("scope") == "route", F.col("scope") == "batch"
     a = r.agg(
         F.count("*").alias("rows"), F.count_if(route).alias("routes"), F.count_if(batch).alias("batches"),
         *(f(F.when(c, F.col(col))).alias(f"{k}_{name}") for k, c in (("r", route), ("b", batch)) for name, f, col in (("kinds", F.collect_set, "kind"),)),
-        *(F.coalesce(F.max(F.when(c, F.col("m").rlike(p))), F.lit(False)).alias(f"{k}_{name}") for k, c in (("r", route), ("b", batch)) for name, p in (("wall", wall), ("spent", spent), ("skipped", "no healthy route"))),
+        *(F.coalesce(F.max(F.when(c, F.col("m").rlike(p))), F.lit(False)).alias(f"{k}_{name}") for k, c in (("r", route), ("b", batch)) for name, p in (("wall", wall), ("spent", spent), ("skipped", SKIPPED))),
     )
     pick = lambda name: F.when(F.col("routes") > 0, F.col(f"r_{name}")).otherwise(F.col(f"b_{name}"))
     kinds = pick("kinds")
     only = lambda *k: F.size(F.array_except(kinds, F.array(*(F.lit(x) for x in k)))) == 0
     reason = first_of(
         [
-            (F.lit(not keys_configured), "no_keys_configured"), (F.col("routes") + F.col("batches") == 0, "unclassified_ai_outage"),
-            ((F.col("routes") == 0) & F.col("b_skipped"), "no_route_for_model"), (pick("wall") & only("auth", "http"), "all_providers_403_waf"),
-            (only("auth"), "all_providers_auth_rejected"), (pick("spent") & F.array_contains(kinds, "rate_limit"), "all_keys_exhausted"),
-            (only("rate_limit"), "all_providers_rate_limited"), (only("transport"), "all_providers_transport_error"),
-            (F.col("r_skipped") | F.col("b_skipped"), "no_route_for_model"),
+            (F.lit(not keys_configured), NO_KEYS), (F.col("routes") + F.col("batches") == 0, UNKNOWN),
+            ((F.col("routes") == 0) & F.col("b_skipped"), NO_ROUTE), (pick("wall") & only("auth", "http"), WAF),
+            (only("auth"), REJECTED), (pick("spent") & F.array_contains(kinds, "rate_limit"), EXHAUSTED),
+            (only("rate_limit"), LIMITED), (only("transport"), TRANSPORT),
+            (F.col("r_skipped") | F.col("b_skipped"), NO_ROUTE),
         ],
-        "unclassified_ai_outage",
+        UNKNOWN,
     )
     return a.select(reason.alias("reason"), "rows", "routes", "batches")
 
