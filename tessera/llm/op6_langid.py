@@ -11,12 +11,12 @@ their lengths allow. A share is taken in pieces from all over the text. Everythi
 rows whose crc32(doc_id as text) is 0 modulo 5; they are never learned from.
 
 An automaton's transitions are kept in a double array (a state's base plus a symbol is a slot, which names the state it
-belongs to): as many slots as transitions, whatever the alphabets. The models' bytes are counted; what the driver holds
-and sends grows with the number of languages alone, by a few hundred KB for each.
+belongs to): as many slots as transitions, whatever the alphabets. What the driver builds and sends grows with the number
+of languages alone, by a few hundred KB for each; nothing bounds that number.
 
 Results for odd input: a null text, and one without a letter, is `und` with score 0, as is every text if no language was
 learned. Rows with a null doc_id are not held out, and not learned from either. Repeated rows each get their (equal)
-prediction. Very long texts are parsed whole, SIDE pieces at a time. An empty table gives an empty result. Other columns
+prediction. Very long texts are parsed whole. An empty table gives an empty result. Other columns
 are not used or returned.
 """
 
