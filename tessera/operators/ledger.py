@@ -87,8 +87,10 @@ def cooldown(trips: Column, base: float, most: float) -> Column:
     return F.when(trips < 1, F.lit(0.0)).otherwise(F.least(F.lit(float(most)), base * F.pow(F.lit(2.0), trips - 1)))
 
 
-def progress(done: DataFrame, total: int, elapsed: float) -> DataFrame:
-    """One row: items done, remaining, failed, corrected, share, and the seconds left at the pace so far."""
+def progress(done: DataFrame, total: int, elapsed: float, over: bool = False) -> DataFrame:
+    """One row: items done, remaining, failed, corrected, share, and the seconds left at the pace so far. over: with more done
+    than the total, remaining and the seconds go below 0; else they end there."""
     n = done.agg(F.count("*").alias("done"), F.count_if("failed").alias("failed"), F.count_if("corrected").alias("corrected"))
-    left = F.greatest(F.lit(total) - F.col("done"), F.lit(0))
+    left = F.lit(total) - F.col("done")
+    left = left if over else F.greatest(left, F.lit(0))
     return n.withColumns({"remaining": left, "share": F.round(100.0 * F.col("done") / max(total, 1), 1), "eta_seconds": F.when(F.col("done") > 0, F.round(elapsed / F.col("done") * left, 1))})
