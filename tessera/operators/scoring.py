@@ -154,13 +154,26 @@ def threshold(scored: DataFrame, score: str, right: Column, precision: float, st
     )
 
 
-def phrase_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, stats: DataFrame, as_is: bool = True) -> DataFrame:
+def phrase_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, stats: DataFrame, as_is: bool = True, once: bool = False) -> DataFrame:
     """doc_id, rule, rarity of the phrases of several words (rule, phrase) in a text. as_is: the text is searched as it is,
-    so a capital or a comma beside a phrase hides it; else its key is."""
+    so a capital or a comma beside a phrase hides it; else its key is. once: a row for each rule and rarity of a document,
+    however many phrases show it.
+
+    A phrase's rules are an array until the last step, so that no aggregate holds a document's row for each rule.
+    """
     p = phrases.select("rule", norm_key(F.col("phrase")).alias("key")).filter(F.col("key").contains(" ")).distinct()
+    ruled = p.join(stats.select("key", "rarity"), "key", "left").select("key", F.struct("rule", F.coalesce("rarity", F.lit(UNSEEN)).alias("rarity")).alias("r"))
+    ruled = ruled.groupBy("key").agg(F.collect_list("r").alias("rules"))
     body = F.col(text) if as_is else norm_key(F.col(text))
-    hit = phrases_in(docs, doc_id, body, p).join(p, "key").select(doc_id, "rule", "key").distinct()
-    return hit.join(stats.select("key", F.col("rarity")), "key", "left").select(doc_id, "rule", F.coalesce("rarity", F.lit(UNSEEN)).alias("rarity"))
+    hit = phrases_in(docs, doc_id, body, p)
+    if not once:
+        return hit.distinct().join(ruled, "key").select(doc_id, F.inline("rules"))
+    # documents of the same phrases have the same rules, found once for each set of phrases
+    sets = written(hit.groupBy(doc_id).agg(F.array_sort(F.collect_set("key")).alias("keys")), "phrase-sets")
+    by_set = sets.select("keys").distinct().select("keys", F.explode("keys").alias("key")).join(ruled, "key")
+    by_set = by_set.groupBy("keys").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"))
+    # from the left, so that the documents, few bytes but many rows out, are dealt and never broadcast
+    return sets.repartition(F.col(doc_id)).join(by_set, "keys", "left").select(doc_id, F.inline("rules"))
 
 
 def effective(items: DataFrame, keyword: DataFrame, stored: DataFrame, accepted: Column, on: str = "qid") -> DataFrame:
