@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -69,47 +70,43 @@ def breaker(events: DataFrame, base: float = 60.0, most: float = 3600.0, limit:
 
 
 class _KeyedBreaker(StatefulProcessor):
-    """Events wait until the watermark has passed them and then count in order of time."""
+    """Events wait until the watermark has passed them and then count in order of time. A user's state is one value, since
+    each call to the state store is a round trip: a user costs a few for each batch, however many events it has."""
 
     def __init__(self, base: float, most: float, limit: int):
         self.base, self.most, self.limit = base, most, limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.now = handle.getValueState("breaker", "run int, trips int, until double, events long")
-        self.waiting = handle.getListState("waiting", "us long, event_id long, error boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first, passed = None, timerValues.getCurrentWatermarkInMs() * 1000
-        for part in rows:
-            part = part[part["us"] >= passed]  # what is late by more is dropped
-            if part.empty:
-                continue
-            us = part["us"].to_numpy()
-            self.waiting.appendList(list(zip(us.tolist(), part["event_id"].tolist(), (part["event_type"] == "error").tolist(), strict=True)))
-            first = int(us.min()) if first is None else min(first, int(us.min()))
-        if first is not None:  # once that one is passed, all that the watermark has passed count
-            self.handle.registerTimer(first // 1000 + 1)
+        self.held = handle.getValueState("breaker", "run int, trips int, until double, events long, us array<long>, ids array<long>, errors array<boolean>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        new = [(r["us"], r["event_id"], r["error"]) for r in rows if r["us"] >= passed]  # what is late by more is dropped
+        if new:
+            run, trips, until, events, us, ids, errors = self.held.get() or (0, 0, 0.0, 0, [], [], [])
+            at, n, bad = zip(*new, strict=True)
+            self.held.update((run, trips, until, events, [*us, *at], [*ids, *n], [*errors, *bad]))
+            self.handle.registerTimer(min(at) // 1000 + 1)  # once that one is passed, all that the watermark has passed count
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(x) for x in self.waiting.get())
-        due, rest = [x for x in held if x[0] < passed], [x for x in held if x[0] >= passed]
-        run, trips, until, events = self.now.get() if self.now.exists() else (0, 0, 0.0, 0)
-        for us, _, error in due:
+        run, trips, until, events, *waiting = self.held.get()
+        held = sorted(zip(*waiting, strict=True))
+        due = bisect_left(held, (passed,))
+        if not due:
+            return
+        for us, _, error in held[:due]:
             at = us / 1e6
             run, trips = (run + 1, trips) if error else (0, 0)
             if run >= self.limit and at >= until:
                 trips, run, until = trips + 1, 0, at + min(self.most, self.base * 2**trips)
-        if due:
-            self.now.update((run, trips, until, events + len(due)))
-            if rest:
-                self.waiting.put(rest)
-                self.handle.registerTimer(rest[0][0] // 1000 + 1)
-            else:
-                self.waiting.clear()
-            yield pd.DataFrame({"user_id": [key[0]], "events": [events + len(due)], "trips": [trips], "run": [run], "open_until": [until]})
+        rest = [list(x) for x in zip(*held[due:], strict=True)] or [[], [], []]
+        self.held.update((run, trips, until, events + due, *rest))
+        if rest[0]:
+            self.handle.registerTimer(rest[0][0] // 1000 + 1)
+        yield Row(user_id=key[0], events=events + due, trips=trips, run=run, open_until=until)
 
     def close(self) -> None:
         pass
@@ -117,6 +114,8 @@ class _KeyedBreaker(StatefulProcessor):
 
 #: What transformWithState needs for its state.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Users in a part of the state.
+USERS = 4000
 
 
 def keyed_breaker(events: DataFrame, base: float = 60.0, most: float = 3600.0, limit: int = 3, late: str = "0 seconds") -> DataFrame:
@@ -124,8 +123,9 @@ def keyed_breaker(events: DataFrame, base: float = 60.0, most: float = 3600.0, l
     behind the newest event, has passed them, and then count. Rows later than the watermark are dropped. A row user_id,
     events (counted so far), trips, run, open_until each time that a user's events count; needs ROCKSDB as state store."""
     timed = events.withColumn("us", _micros()).withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", late)
+    rows = timed.select("user_id", "event_id", "us", (F.col("event_type") == "error").alias("error"))
     schema = "user_id long, events long, trips int, run int, open_until double"
-    return timed.groupBy("user_id").transformWithStateInPandas(_KeyedBreaker(base, most, limit), schema, "Append", "EventTime")
+    return rows.groupBy("user_id").transformWithState(_KeyedBreaker(base, most, limit), schema, "Append", "EventTime")
 
 
 def _micros() -> Column:
@@ -143,11 +143,17 @@ def replayed_breaker(events: DataFrame, folder: str, triggers: int = 4, **option
         part = events if low is None else events.filter(_micros() >= low)
         (part if high is None else part.filter(_micros() < high)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set(name, ROCKSDB)
+    # a part of the state costs a task and a store in each batch, so there are as many as the users need, and no more than set
+    users = events.agg(F.approx_count_distinct("user_id")).first()[0]
+    set_ = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.shuffle.partitions": str(min(set_, max(spark.sparkContext.defaultParallelism, users // USERS)))}
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
     try:
         replay(keyed_breaker(stream, **options), f"{folder}/out", f"{folder}/checkpoint")
     finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
     rows = spark.read.schema("user_id long, events long, trips int, run int, open_until double").parquet(f"{folder}/out")
     return rows.groupBy("user_id").agg(F.max(F.struct("events", "trips", "run", "open_until")).alias("r")).select("user_id", "r.*")
