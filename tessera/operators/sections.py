@@ -4,26 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 FOREVER = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def with_sections(rows: DataFrame, group: Sequence[str], order: str, n: str, name: str = "section") -> DataFrame:
-    """Numbers a group's sections from 1: one begins where n is null, not above the last n that was not, or has none before."""
-    w = Window.partitionBy(*group).orderBy(order)
+def _opens(n: str, w: WindowSpec) -> Column:
     last = F.last(n, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.col(n).isNull() | last.isNull() | (F.col(n) <= last)
-    return rows.withColumn(name, F.sum(opens.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
-
-
-def clean_sections(rows: DataFrame, group: Sequence[str], order: str, n: str) -> DataFrame:
-    """For each section its size, and whether its n run 1, 2, 3 and so on."""
-    cut = with_sections(rows, group, order, n)
-    at = F.row_number().over(Window.partitionBy(*group, "section").orderBy(order))
-    checked = cut.withColumn("fits", F.coalesce(F.col(n) == at, F.lit(False)))
-    return checked.groupBy(*group, "section").agg(F.count("*").alias("size"), F.min("fits").alias("clean"), F.min(order).alias("start"), F.max(order).alias("end"))
+    return F.col(n).isNull() | last.isNull() | (F.col(n) <= last)
+
+
+def with_sections(rows: DataFrame, group: Sequence[str], order: str, n: str, name: str = "section", by: Sequence[str] = ()) -> DataFrame:
+    """Numbers a group's sections from 1: one begins where n is null, not above the last n that was not, or has none before.
+    by: the columns that `order` numbers the rows by, so that rows sorted by them for it are not sorted anew."""
+    w = Window.partitionBy(*group).orderBy(*(by or [order]))
+    return rows.withColumn(name, F.sum(_opens(n, w).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+
+
+def clean_sections(rows: DataFrame, group: Sequence[str], order: str, n: str, by: Sequence[str] = ()) -> DataFrame:
+    """For each section its size, and whether its n run 1, 2, 3 and so on. by: as for with_sections.
+
+    All of it is one sort and running values over it, of which a section's last row holds the result: no aggregate keeps a
+    row for each section."""
+    w = Window.partitionBy(*group).orderBy(*(by or [order]))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    cut = rows.withColumns({"__opens": _opens(n, w), "__nth": F.row_number().over(w)})
+    first = lambda c: F.max(F.when(F.col("__opens"), F.col(c))).over(upto)
+    section = F.sum(F.col("__opens").cast("int")).over(upto).cast("int")
+    cut = cut.withColumns({"section": section, "start": first(order), "__from": first("__nth"), "__ends": F.coalesce(F.lead("__opens").over(w), F.lit(True))})
+    cut = cut.withColumn("size", (F.col("__nth") - F.col("__from") + 1).cast("long"))
+    wrong = F.max(F.when(F.coalesce(F.col(n) != F.col("size"), F.lit(True)), F.col("__nth"))).over(upto)
+    cut = cut.withColumn("clean", F.coalesce(wrong < F.col("__from"), F.lit(True)))
+    return cut.filter("__ends").select(*group, "section", "size", "clean", "start", F.col(order).alias("end"))
 
 
 def majority(votes: DataFrame, group: Sequence[str], subject: str, order: Sequence[str] = (), least: int = 3, most_share: float = 0.60) -> DataFrame:
