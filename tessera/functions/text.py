@@ -291,11 +291,13 @@ def leaf_path(chapter: Column, topic: Column, concept: Column, other: Column) ->
     return F.when(F.coalesce(other, F.lit(False)) & (F.size(levels) >= 2), parked).otherwise(levels)
 
 
-def mask(x: Column, rules: Sequence[tuple[str, str]], most: int | None = 300) -> Column:
-    """White space collapsed, the patterns replaced in order, cut to a length with an ellipsis; None: not cut."""
+def mask(x: Column, rules: Sequence[tuple[str, ...]], most: int | None = 300) -> Column:
+    """White space collapsed, the patterns replaced in order, cut to a length with an ellipsis; None: not cut. A rule is a
+    pattern, what replaces it and, where there is one, a string without which it is nowhere: that is looked for first."""
     out = norm_space(x)
-    for pattern, to in rules:
-        out = F.regexp_replace(out, pattern, to)
+    for pattern, to, *needs in rules:
+        changed = F.regexp_replace(out, pattern, to)
+        out = F.when(out.contains(needs[0]), changed).otherwise(out) if needs else changed
     if most is None:
         return out
     return F.when(F.length(out) > most, F.concat(F.rtrim(F.substring(out, 1, most - 3)), F.lit("..."))).otherwise(out)

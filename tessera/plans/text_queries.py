@@ -78,8 +78,11 @@ def year_and_date_from_text(t):
 @query("""SELECT doc_id, md5(regexp_replace(trim(regexp_replace(text, '[ \\t\\n\\x0b\\x0c\\r]+', ' ', 'g')), '[A-Za-z0-9_.]+@[A-Za-z0-9.]+', '<mail>', 'g')) AS h,
   regexp_matches(text, '[A-Za-z0-9_.]+@[A-Za-z0-9.]+') AS hit FROM documents""")
 def redact(t):
-    pattern = "[A-Za-z0-9_.]+@[A-Za-z0-9.]+"
-    return t("documents").select("doc_id", F.md5(text.mask(F.col("text"), [(pattern, "<mail>")], None)).alias("h"), F.col("text").rlike(pattern).alias("hit"))
+    # the SQL's pattern, from where a name begins or the last match ended and without going back: each character is met once
+    name, host = "[A-Za-z0-9_.]", "[A-Za-z0-9.]"
+    mail = (rf"(?:(?<!{name})|\G){name}++@{host}++", "<mail>", "@")
+    hit = F.col("text").contains("@") & F.col("text").rlike(f"{name}@{host}")
+    return t("documents").select("doc_id", F.md5(text.mask(F.col("text"), [mail], None)).alias("h"), hit.alias("hit"))
 
 
 @query("SELECT count(*) FILTER (WHERE regexp_matches(text, '[àâçéèêëîïôûùüÿñæœ]')) AS wide, count(*) FILTER (WHERE regexp_matches(text, '[äöüß]')) AS german, count(*) FILTER (WHERE regexp_matches(lang || ' ' || source, '[é]')) AS labels FROM documents")
