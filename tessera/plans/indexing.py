@@ -28,9 +28,10 @@ def analyzed(questions: DataFrame, spans: DataFrame, seen: Column, skipped: Colu
     by_question = sections.agreement(live, ["path"], F.col("declared"), F.col("seen"), least)
     ends = spans.select("kind", F.col("number").alias("span"), "start", "end")
     in_span = sections.expand_spans(ends, "start", "end", "ordinal").groupBy("kind", "ordinal").agg(F.min("span").alias("span"))
-    by_section = sections.section_agreement(live.join(in_span, ["kind", "ordinal"]), ["path"], "span", "declared", "seen")
+    # written, as the quality below, since one task would else hold the sorts and aggregates of all three at once
+    by_section = written(sections.section_agreement(live.join(in_span, ["kind", "ordinal"]), ["path"], "span", "declared", "seen"), "by-section")
     layout = sections.detected_layout(live, "path", "ordinal", "n", "seen", order)
-    quality = sections.layout_quality(live, "path", "ordinal", "n", "seen", least)
+    quality = written(sections.layout_quality(live, "path", "ordinal", "n", "seen", least), "quality")
     report = by_question.withColumnRenamed("ok", "question_ok").join(by_section.select("path", F.col("agreement").alias("section_agreement"), F.col("comparable").alias("section_comparable")), "path", "left")
     report = report.join(quality.select("path", F.col("ok").alias("detected_ok"), "confidence"), "path", "left")
     report = written(report, "reports")
