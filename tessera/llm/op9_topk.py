@@ -3,9 +3,11 @@
 Vectors are dealt to the nearest of a bounded sample of pivots, and those of a pivot to trees of about TREE vectors. A
 tree is loaded in bulk: a node's members go to the nearest of FANOUT routing objects, down to leaves of PAGE; each node
 is a page (a row of a written table) with its entries' vectors, covering radii and distances to the node's own routing
-object. Queries go through a tree in blocks, best bound first: with q the query, p a node's routing object and c an
+object. Queries go through a tree in groups, best bound first, each page multiplied once with all the queries that must
+open it: with q the query, p a node's routing object and c an
 entry's, <q, c's members> <= <q, p> + |q| (d(p, c) + r(c)), which needs no product with c, and <= <q, c> + |q| r(c). A page
-is opened only while its bound reaches the k-th score so far.
+is opened by a query only while its bound reaches the query's k-th score so far. Without a score to start with, a query
+goes down to one leaf first. Where vectors spread evenly no bound holds, and the products are queries times vectors.
 
 The trees are gone through in two waves. In the first a query meets one tree, of the pivot whose product with it is
 highest; the k-th score found there goes with it. In the second it meets only the trees of pivots whose bound, by the
@@ -25,6 +27,7 @@ all of them; none: no row. An empty table gives an empty result. Other columns a
 from __future__ import annotations
 
 import heapq
+import itertools
 import pickle
 
 import numpy as np
@@ -36,22 +39,26 @@ from tessera.llm.common import stage, unstage
 from tessera.llm.components import sorted_groups
 
 TOP, TREE, PAGE, FANOUT, PIVOTS, BLOCK = 5, 16_384, 128, 12, 256, 64
-_EXACT = 1 << 52
+#: Queries that go through a tree side by side.
+GROUP = 8 * BLOCK
+#: Sums of products stay exact below this, in single and double precision; above both as Python's integers.
+_EXACT32, _EXACT, _TYPES = 1 << 24, 1 << 52, (np.float32, np.float64, object)
 #: What bounds are raised by, for the rounding of doubles.
 _SLACK = 1e-9
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 
 
-def _products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Scores: inner products, at the ends of a long's range if beyond."""
-    found = rows @ q
-    return found if found.dtype != object else np.minimum(np.maximum(found, _LOW), _HIGH)
+def _narrow(m: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes as hold them all."""
+    for t in (np.int16, np.int32):
+        if not m.size or (np.iinfo(t).min <= m.min() and m.max() <= np.iinfo(t).max):
+            return m.astype(t)
+    return m
 
 
-def _typed(m: np.ndarray) -> np.ndarray:
-    """Integers as doubles if all their products are exact so, else as Python's integers."""
-    most = max(int(m.max()), -int(m.min())) if m.size else 0
-    return m.astype(np.float64) if most * most * m.shape[-1] < _EXACT else m.astype(object)
+def _under(score: int) -> float:
+    """The score as a double, one step down if that may have rounded it up."""
+    return float(score) if abs(score) < _EXACT else float(np.nextafter(float(score), -np.inf))
 
 
 def _far(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -68,7 +75,7 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> list[bytes]:
         at = len(pages)
         pages.append(None)
         if len(rows) <= PAGE:
-            pages[at] = (1, ids[rows], vectors[rows], _far(vectors[rows], center))
+            pages[at] = (1, ids[rows], _narrow(vectors[rows]), _far(vectors[rows], center))
             return at
         chosen, near = [rows[0]], _far(vectors[rows], vectors[rows[0]])
         owner = np.zeros(len(rows), np.int64)
@@ -86,7 +93,7 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> list[bytes]:
             if len(part):
                 entries.append((load(part, vectors[c]), vectors[c], float(_far(vectors[part], vectors[c]).max())))
         centers = np.array([e[1] for e in entries])
-        pages[at] = (0, np.array([e[0] for e in entries]), centers, np.array([e[2] for e in entries]), _far(centers, center))
+        pages[at] = (0, np.array([e[0] for e in entries]), _narrow(centers), np.array([e[2] for e in entries]), _far(centers, center))
         return at
 
     load(np.arange(len(ids)), vectors[0])
@@ -96,49 +103,110 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> list[bytes]:
 class Tree:
     def __init__(self, payloads: list[bytes]):
         got = [pickle.loads(x) for x in payloads]
-        self.root = got[0][0]
-        self.pages = [(k, *(_typed(x) if x.ndim == 2 else x for x in rest)) for _, (k, *rest) in got]
+        self.root = got[0][0].astype(np.float64)
+        self.pages = [p for _, p in got]
         # no routing object is longer than the longest vector of a page
-        self.reach = max(float(np.sqrt((p[2].astype(np.float64) ** 2).sum(1).max())) for p in self.pages) if self.pages else 0.0
+        self.reach = max(float(_norms(p[2]).max()) for p in self.pages)
         self.opened = 0
+        self.typed: dict = {}
 
     def search(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
         """(score, id) of the best k with scores of at least floor, best first."""
-        q = q.astype(np.float64) if _typed(q[None]).dtype == np.float64 and all(p[2].dtype == np.float64 for p in self.pages) else q.astype(object)
-        norm = _norm(q)
-        best: list[tuple[int, int]] = []  # a heap of (score, -id)
-        root_ip = float(self.root.astype(np.float64) @ q.astype(np.float64))
-        todo = [(-np.inf, 0, root_ip)]
+        return self.search_all(np.array([query_id]), q[None], k, np.array([floor], np.float64))[0]
+
+    def search_all(self, ids: np.ndarray, m: np.ndarray, k: int, floors: np.ndarray) -> list[list[tuple[int, int]]]:
+        """The same for each row of m, side by side: a page is multiplied once with all the queries that must open it.
+
+        No partial sum of a product is above that of the lengths, which says in what type products are exact in any order.
+        """
+        most = np.maximum(_norms(m), 1) * max(self.reach, 1)
+        kinds = np.where(most < _EXACT32, 0, np.where(most < _EXACT, 1, 2))
+        out: list = [None] * len(ids)
+        for kind in np.unique(kinds):
+            who = np.flatnonzero(kinds == kind)
+            for i, best in zip(who.tolist(), self._search(ids[who], m[who], k, floors[who], _TYPES[kind]), strict=True):
+                out[i] = [(s, -v) for s, v in sorted(best, reverse=True)]
+        return out
+
+    def _rows(self, at: int, dtype) -> np.ndarray:
+        if (at, dtype) not in self.typed:
+            self.typed[at, dtype] = self.pages[at][2].astype(dtype)
+        return self.typed[at, dtype]
+
+    def _search(self, ids: np.ndarray, m: np.ndarray, k: int, floors: np.ndarray, dtype) -> list[list[tuple[int, int]]]:
+        exact, q, norm, names = m.astype(dtype), m.astype(np.float64), _norms(m), ids.tolist()
+        heaps: list[list[tuple[int, int]]] = [[] for _ in names]  # of (score, -id)
+        # what an entry must reach: a score and, at that score, an id of at most last
+        least, last = floors.astype(np.float64), np.full(len(names), _HIGH)
+
+        def meet(at: int, rows, who: np.ndarray) -> None:
+            self.opened += len(who)
+            found = self._rows(at, dtype)[rows] @ exact[who].T
+            if dtype is object:
+                found = np.minimum(np.maximum(found, _LOW), _HIGH)
+            r, c = np.nonzero(found >= least[who])
+            scores, near, who = found[r, c], self.pages[at][1][rows][r], who[c]
+            good = np.flatnonzero((scores > least[who]) | (near <= last[who]))
+            for i, score, v in zip(who[good].tolist(), scores[good].tolist(), near[good].tolist(), strict=True):
+                best, entry = heaps[i], (int(score), -v)
+                if v == names[i] or (len(best) == k and entry <= best[0]) or entry in best:
+                    continue
+                heapq.heappush(best, entry) if len(best) < k else heapq.heapreplace(best, entry)
+                if len(best) == k:
+                    least[i], last[i] = _under(best[0][0]), -best[0][1]
+
+        # a query without a floor first goes down to one leaf, by the products with routing objects
+        down = [(0, np.flatnonzero(least == -np.inf))]
+        while down:
+            at, who = down.pop()
+            if not len(who):
+                continue
+            if self.pages[at][0]:
+                meet(at, slice(None), who)
+                continue
+            self.opened += len(who)
+            nearest = (self._rows(at, np.float64) @ q[who].T).argmax(0)
+            down += [(int(self.pages[at][1][e]), who[nearest == e]) for e in np.unique(nearest)]
+        # then all go on together: (bound by length, number, page, queries, their bounds, their products with the page's routing object)
+        who, number = np.arange(len(names)), itertools.count()
+        todo = [(0.0, next(number), 0, who, np.full(len(names), np.inf), q @ self.root)]
         while todo:
-            bound, at, ip = heapq.heappop(todo)
-            least = max(best[0][0], floor) if len(best) == k else floor
-            if -bound < least:
-                break
-            self.opened += 1
-            page = self.pages[at]
+            _, _, at, who, bound, ip = heapq.heappop(todo)
+            live = bound >= least[who]
+            if not live.any():
+                continue
+            who, ip = who[live], ip[live]
+            page, lengths = self.pages[at], norm[who]
             far = page[-1] if page[0] else page[4] + page[3]
-            up = _raised(ip + norm * far, norm * (far + self.reach))
-            live = np.flatnonzero(up >= least)
-            if not len(live):
+            # entries nearer to the routing object than any query needs are not multiplied
+            rows = np.flatnonzero(far >= _needed(least[who], ip, lengths, self.reach))
+            if not len(rows):
                 continue
-            ips = _products(page[2][live], q)
             if page[0]:
-                good = ips >= least
-                for i, score in zip(page[1][live][good].tolist(), ips[good].tolist(), strict=True):
-                    entry = (int(score), -i)
-                    if i != query_id and (len(best) < k or entry > best[0]):
-                        heapq.heappush(best, entry) if len(best) < k else heapq.heapreplace(best, entry)
-            else:
-                near = page[2][live].astype(np.float64) @ q.astype(np.float64)
-                ub = np.minimum(_raised(near + norm * page[3][live], norm * (page[3][live] + self.reach)), up[live])
-                for b, child, x in zip(ub.tolist(), page[1][live].tolist(), near.tolist(), strict=True):
-                    if b >= least:
-                        heapq.heappush(todo, (-b, child, x))
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+                meet(at, rows, who)
+                continue
+            self.opened += len(who)
+            near, r, far = self._rows(at, np.float64)[rows] @ q[who].T, page[3][rows][:, None], far[rows][:, None]
+            ub = np.minimum(_raised(near + lengths * r, lengths * (r + self.reach)), _raised(ip + lengths * far, lengths * (far + self.reach)))
+            for e, child in enumerate(page[1][rows].tolist()):
+                meets = np.flatnonzero(ub[e] >= least[who])
+                if len(meets):
+                    first = -float((ub[e, meets] / np.maximum(lengths[meets], 1)).max())
+                    heapq.heappush(todo, (first, next(number), child, who[meets], ub[e, meets], near[e, meets]))
+        return heaps
+
 
+def _norms(m: np.ndarray) -> np.ndarray:
+    return np.sqrt((m.astype(np.float64) ** 2).sum(1)) * (1 + _SLACK)
 
-def _norm(q: np.ndarray) -> float:
-    return float(np.sqrt((q.astype(np.float64) ** 2).sum())) * (1 + _SLACK)
+
+def _needed(least: np.ndarray, ip: np.ndarray, norm: np.ndarray, reach: float) -> float:
+    """The least distance from a routing object at which the bound of some query reaches its score: _raised() solved for
+    the distance, with room for rounding."""
+    free = (least <= _LOW) | (norm == 0)
+    room = 2 * _SLACK * (1 + np.abs(ip) + norm * reach)
+    need = (least - ip - room) / np.where(free, 1, norm * (1 + 2 * _SLACK))
+    return float(np.where(free, -np.inf, need).min())
 
 
 def _raised(bound, size):
@@ -163,7 +231,7 @@ def _blocked(batches):
         ids, m, floors = g["vec_id"], _matrix(g["v"]), g["floor"]
         for i in range(0, len(ids), BLOCK):
             j = i + BLOCK
-            cols = [pa.array([int(block)], pa.int64()), pa.array([i], pa.int64()), pa.array([m.shape[1]], pa.int32()), pa.array([pickle.dumps((ids[i:j], m[i:j], floors[i:j]))], pa.binary())]
+            cols = [pa.array([int(block)], pa.int64()), pa.array([i], pa.int64()), pa.array([m.shape[1]], pa.int32()), pa.array([pickle.dumps((ids[i:j], _narrow(m[i:j]), floors[i:j]))], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["block", "part", "dim", "payload"])
 
 
@@ -182,7 +250,7 @@ def _router(pivots: dict, radii: dict, first: bool):
                     meets = np.zeros(ips.shape, bool)
                     meets[np.arange(len(ids)), np.where(r >= 0, ips, -np.inf).argmax(1)] = True
                 else:
-                    norms = np.array([_norm(q) for q in m])[:, None]
+                    norms = _norms(m)[:, None]
                     reach = np.sqrt((p * p).sum(1))[None, :]
                     meets = (_raised(ips + norms * r[None, :], norms * (r[None, :] + reach)) >= floors[:, None]) & (r >= 0)[None, :]
                 for k in np.flatnonzero(meets.any(0)):
@@ -197,21 +265,31 @@ def _router(pivots: dict, radii: dict, first: bool):
 
 def _searcher(k: int):
     def search(batches):
-        at, pages, tree = None, [], None
+        at, pages, tree, asked = None, [], None, []
+
+        def answers():
+            ids, m, floors = (np.concatenate(x) for x in zip(*asked, strict=True))
+            asked.clear()
+            out = [(i, v, s) for i, best in zip(ids.tolist(), tree.search_all(ids, m, k, floors), strict=True) for s, v in best]
+            cols = list(zip(*out, strict=True)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
-            out = []
             for name, kind, payload in zip(batch.column("tree").to_pylist(), batch.column("kind").to_pylist(), batch.column("payload"), strict=True):
                 if name != at:
+                    if asked:
+                        yield answers()
                     at, pages, tree = name, [], None
                 if kind == 0:
                     pages.append(payload.as_py())
                     continue
-                tree = tree or Tree(pages)
-                ids, m, floors = pickle.loads(payload.as_py())
-                for i, q, floor in zip(ids.tolist(), m, floors.tolist(), strict=True):
-                    out += [(i, v, s) for s, v in tree.search(i, q, k, floor)]
-            cols = list(zip(*out, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+                if tree is None:
+                    tree, pages = Tree(pages), []
+                asked.append(pickle.loads(payload.as_py()))
+                if sum(len(x[0]) for x in asked) >= GROUP:
+                    yield answers()
+        if asked:
+            yield answers()
 
     return search
 
@@ -219,8 +297,10 @@ def _searcher(k: int):
 def _packed(batches):
     """Arrays of longs as bytes."""
     for batch in batches:
-        v = [np.array(x.as_py(), np.int64).tobytes() for x in batch.column("v")]
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("dim"), pa.array(v, pa.binary())], names=["vec_id", "dim", "v"])
+        flat = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        ends = np.append(0, np.cumsum(batch.column("v").value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64) * 8)
+        v = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("dim"), v.cast(pa.binary())], names=["vec_id", "dim", "v"])
 
 
 def _dealer(pivots: dict):

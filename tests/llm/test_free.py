@@ -568,6 +568,54 @@ def test_trees_skip_pages():
     assert tree.opened < 21 * len(tree.pages) / 2
 
 
+def test_a_page_is_met_once_by_a_group_of_queries(monkeypatch):
+    """On vectors without clusters every query needs nearly every page: pages, not queries times pages, are gone through."""
+    import pickle
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(3000, 24))
+    m = np.floor(256 * m / np.sqrt((m * m).sum(1))[:, None]).astype(np.int64)
+    pages = op9_topk.build(np.arange(len(m)), m)
+    asked = np.arange(0, 3000, 10)
+    payloads = [pickle.dumps((asked[i : i + 64], m[asked[i : i + 64]], np.full(len(asked[i : i + 64]), -np.inf))) for i in range(0, len(asked), 64)]
+    n = len(pages) + len(payloads)
+    batch = pa.RecordBatch.from_pydict({"tree": [1] * n, "kind": [0] * len(pages) + [1] * len(payloads), "payload": [*pages, *payloads]})
+    opened, pop = [], op9_topk.heapq.heappop
+    monkeypatch.setattr(op9_topk.heapq, "heappop", lambda heap: opened.append(1) or pop(heap))
+    got: dict = {}
+    for b in op9_topk._searcher(5)([batch]):
+        for r in b.to_pylist():
+            got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert len(opened) <= 2 * len(pages)
+    scores = m[asked] @ m.T
+    assert got == {int(i): [(-s, v) for s, v in sorted((-int(x), j) for j, x in enumerate(row) if j != i)[:5]] for i, row in zip(asked, scores, strict=True)}
+
+
+def test_groups_of_queries_like_by_hand(monkeypatch):
+    monkeypatch.setattr(op9_topk, "PAGE", 6)
+    rng = np.random.default_rng(2)
+    for scale in (1, 300, 5000, 1 << 30, 1 << 62):
+        for _ in range(20):
+            n = int(rng.integers(1, 100))
+            m, ids = rng.integers(-scale, scale, (n, 3), endpoint=True), np.sort(rng.integers(0, n, n))
+            m[: n // 3] //= scale  # queries and vectors of other lengths
+            m[rng.integers(0, n, n // 2)] = m[0]
+            end = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+            want = []
+            for i, q in zip(ids.tolist(), m.tolist(), strict=True):
+                found = sorted({(-end(sum(a * b for a, b in zip(q, v, strict=True))), j) for v, j in zip(m.tolist(), ids.tolist(), strict=True) if j != i})
+                want.append([(-s, j) for s, j in found[:5]])
+            assert op9_topk.Tree(op9_topk.build(ids, m)).search_all(ids, m, 5, np.full(n, -np.inf)) == want
+
+
+def test_vectors_of_one_id_and_score_take_one_rank(spark, tmp_path):
+    rows = [(50, [1.0, 0.0])] + [(7, [5.0, float(i)]) for i in range(9)] + [(i, [float(i % 5), 1.0]) for i in range(60, 90)]
+    save(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), tmp_path, "embeddings")
+    assert {tuple(r) for r in op9_topk.op9_topk(spark, str(tmp_path)).collect()} == top_by_hand(rows)
+
+
 def test_large_numbers_stay_exact():
     m = np.array([[1 << 30, 3], [1 << 30, 4], [5, 6]], np.int64)
     assert op9_topk.Tree(op9_topk.build(np.arange(3), m)).search(0, m[0], 2) == [((1 << 60) + 12, 1), (5 * (1 << 30) + 18, 2)]
